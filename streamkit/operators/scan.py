@@ -5,23 +5,27 @@ row) is a window function ``partitionBy(key).orderBy(order)``.  That puts every
 row of a key into one task: with a key holding a third of all rows, one task
 sorts a third of the data.
 
-``keyed_scan`` splits such *hot* keys into order-contiguous blocks:
-
-1. ``groupBy(key)`` with map-side partial aggregation finds the keys holding
-   more than ``block_rows`` rows, with their order range.  At most
-   ``N / block_rows`` keys qualify; they are fetched only when a checked bound
-   holds, otherwise they stay a (shuffled) DataFrame.
-2. Each hot key's order range is cut into ``ceil(n / block_rows) * OVERSAMPLE``
-   equal-width blocks; cold keys form one block.  The block is a monotone
-   function of the order, so blocks are contiguous runs of the key's rows.
-3. Per-(key, block) totals (partial aggregation again) get an exclusive prefix
-   across the key's blocks: a window over a table with one row per block.
-4. The running value is computed inside ``(key, block)`` partitions and
-   combined with the prefix of the blocks before it.
-
-The data is shuffled once (for step 4), like the plain window; steps 1 and 3
-read only the key, order and value columns.  Results equal the plain window
-exactly for associative scans (integers; doubles up to summation order).
+The scan splits such *hot* keys into order-contiguous blocks:
+
+1. ``plan_blocks``: ``groupBy(key)`` with map-side partial aggregation finds
+   the keys holding more than ``block_rows`` rows, with their order range.
+   At most ``N / block_rows`` keys qualify; they are fetched to the driver
+   only under a checked bound (then broadcast), else they stay distributed.
+2. ``with_blocks``: each hot key's order range is cut into
+   ``ceil(n / block_rows) * OVERSAMPLE`` equal-width blocks; cold keys form
+   block 0.  The block is a monotone function of the order, so blocks are
+   contiguous runs of the key's rows.
+3. ``blocked_scan``: per-(key, block) totals of the hot keys (hash partial
+   aggregation; first/previous values come from the few rows at block
+   edges) get an exclusive prefix across the key's blocks, a window over a
+   table of one row per block.  The running value is computed inside
+   ``(key, block)`` partitions and combined with that prefix.
+
+The data is shuffled once per chain of scans that share a blocking (the
+window partitioning ``(key, block)`` is reused, the broadcast joins keep it),
+as with a plain window; the extra passes read only the key, order and value
+columns.  Results equal the plain window exactly (integer sums, extrema,
+first/previous values; double sums up to addition order).
 """
 
 from __future__ import annotations
@@ -37,12 +41,14 @@ OVERSAMPLE = 4
 # Largest side table (rows) that is fetched / broadcast; checked by counting.
 MAX_BROADCAST_ROWS = 1_000_000
 
-_BLK = "_sk_blk"
+BLK = "_sk_blk"
 _N = "_sk_n"
 _LO = "_sk_lo"
 _HI = "_sk_hi"
 _NB = "_sk_nb"
 _FB = "_sk_first_blk"
+_OMIN = "_sk_omin"
+_OMAX = "_sk_omax"
 
 
 @dataclass
@@ -50,12 +56,13 @@ class Scan:
     """One running value.
 
     kind: ``sum`` | ``count`` | ``max`` | ``min`` | ``first`` | ``prev``.
+    ``col`` is a column name or Column (None for ``count`` = count rows).
     ``max``/``min`` accept struct columns (whole-record extremum).
     ``prev`` is the previous row's value within the key (``lag 1``).
     """
 
     kind: str
-    col: Column | None
+    col: Column | str | None
     name: str
     _t: str = field(init=False)
     _p: str = field(init=False)
@@ -66,9 +73,19 @@ class Scan:
         self._t = f"_sk_t_{self.name}"
         self._p = f"_sk_p_{self.name}"
 
+    @property
+    def c(self) -> Column | None:
+        return F.col(self.col) if isinstance(self.col, str) else self.col
+
+    def is_edge(self, order0: str) -> bool:
+        """Needs the value at a block edge (not an aggregate of the block)."""
+        if self.kind == "first":
+            return True
+        return self.kind == "prev" and not (isinstance(self.col, str) and self.col == order0)
+
     # -- plain window -------------------------------------------------------
     def plain(self, w_frame: Window, w_order: Window) -> Column:
-        c = self.col
+        c = self.c
         if self.kind == "sum":
             return F.sum(c).over(w_frame)
         if self.kind == "count":
@@ -82,8 +99,9 @@ class Scan:
         return F.lag(c, 1).over(w_order)
 
     # -- blocked ------------------------------------------------------------
-    def block_agg(self, order_struct: Column) -> Column:
-        c = self.col
+    def block_agg(self) -> Column:
+        """Hash-aggregatable block total (edge scans are handled separately)."""
+        c = self.c
         if self.kind == "sum":
             agg = F.sum(c)
         elif self.kind == "count":
@@ -92,12 +110,15 @@ class Scan:
             agg = F.max(c)
         elif self.kind == "min":
             agg = F.min(c)
-        elif self.kind == "first":
-            agg = F.min_by(c, order_struct)
-        else:  # prev: the block's last value
-            agg = F.max_by(c, order_struct)
+        else:  # prev of the first order column: the block's last value is its max
+            agg = F.max(c)
         return agg.alias(self._t)
 
+    def edge_agg(self, order_struct: Column) -> Column:
+        if self.kind == "first":
+            return F.min_by(self.c, order_struct).alias(self._t)
+        return F.max_by(self.c, order_struct).alias(self._t)
+
     def prefix(self, wb_excl: Window) -> Column:
         t = F.col(self._t)
         if self.kind in ("sum", "count"):
@@ -115,16 +136,16 @@ class Scan:
     def combine(self, w_frame: Window, w_order: Window) -> Column:
         local = self.plain(w_frame, w_order)
         p = F.col(self._p)
-        if self.kind in ("sum", "count"):
-            if self.kind == "count":
-                return F.coalesce(p, F.lit(0)) + local
+        if self.kind == "count":
+            return F.coalesce(p, F.lit(0)) + local
+        if self.kind == "sum":
             return F.when(p.isNull(), local).when(local.isNull(), p).otherwise(p + local)
         if self.kind == "max":
             return F.greatest(p, local)
         if self.kind == "min":
             return F.least(p, local)
         if self.kind == "first":
-            # Cold keys and a hot key's first block have no prefix row / flag.
+            # Cold keys and a hot key's first block have no earlier block.
             return F.when(F.coalesce(F.col(_FB), F.lit(True)), local).otherwise(p)
         first_in_block = F.row_number().over(w_order) == 1
         return F.when(first_in_block, p).otherwise(local)
@@ -145,48 +166,46 @@ def _order_numeric(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join on ``keys`` treating null = null (as window partitions do)."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Join on ``keys`` treating null = null (as window partitions do), plus
+    plain equality on the ``extra`` columns; the right side's copies are dropped."""
     renamed = right
     for i, k in enumerate(keys):
         renamed = renamed.withColumnRenamed(k, f"_sk_k{i}")
-    cond = [left[k].eqNullSafe(renamed[f"_sk_k{i}"]) for i, k in enumerate(keys)]
-    extra = [c for c in renamed.columns if c.startswith("_sk_blk")]
     for c in extra:
-        cond.append(left[c] == renamed[c])
+        renamed = renamed.withColumnRenamed(c, f"_sk_x_{c}")
+    cond = [left[k].eqNullSafe(renamed[f"_sk_k{i}"]) for i, k in enumerate(keys)]
+    cond += [left[c] == renamed[f"_sk_x_{c}"] for c in extra]
     joined = left.join(renamed, cond, how)
-    for c in extra:
-        joined = joined.drop(renamed[c])
-    return joined.drop(*[f"_sk_k{i}" for i in range(len(keys))])
+    return joined.drop(*[f"_sk_k{i}" for i in range(len(keys))], *[f"_sk_x_{c}" for c in extra])
 
 
-def keyed_scan(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    scans: list[Scan],
-    *,
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
-) -> DataFrame:
-    """``df`` plus one column per scan: the running value up to and including
-    each row, within its key, in ``order`` (a total order within the key).
+@dataclass
+class Blocking:
+    """How a frame's keys are split: ``hot`` is None when no key is hot (or
+    the order cannot be blocked), then every scan is the plain window."""
 
-    ``block_rows=None`` forces the plain window (one partition per key).
-    """
-    keys = list(keys)
-    order = list(order)
+    keys: list[str]
+    order: list[str]
+    hot: DataFrame | None = None
+    n_blocks: int = 0
+
+    @property
+    def partition_cols(self) -> list[str]:
+        return [*self.keys, BLK] if self.hot is not None else list(self.keys)
+
+
+def plan_blocks(df: DataFrame, keys, order, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> Blocking:
+    """Find the hot keys of ``df`` (one small aggregation job)."""
+    keys, order = list(keys), list(order)
     if not keys:
-        raise ValueError("keyed_scan needs at least one key column")
-    w_frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_order = Window.partitionBy(*keys).orderBy(*order)
-    plain = df.select("*", *[s.plain(w_frame, w_order).alias(s.name) for s in scans])
+        raise ValueError("a keyed scan needs at least one key column")
+    blocking = Blocking(keys, order)
     if block_rows is None or df.isStreaming:
-        return plain
+        return blocking
     onum = _order_numeric(df, order[0])
     if onum is None:
-        return plain
-
-    # 1. hot keys with their order range (partial aggregation, bounded output)
+        return blocking
     stats = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias(_N), F.min(onum).alias(_LO), F.max(onum).alias(_HI))
@@ -195,38 +214,85 @@ def keyed_scan(
     )
     hot_rows = stats.limit(MAX_BROADCAST_ROWS + 1).collect()
     if not hot_rows:
-        return plain
+        return blocking
     if len(hot_rows) <= MAX_BROADCAST_ROWS:
-        hot = F.broadcast(df.sparkSession.createDataFrame(hot_rows, stats.schema))
-        n_blocks = sum(r[_NB] for r in hot_rows)
+        blocking.hot = F.broadcast(df.sparkSession.createDataFrame(hot_rows, stats.schema))
+        blocking.n_blocks = sum(r[_NB] for r in hot_rows)
     else:  # too many hot keys to ship: keep them distributed
-        hot = stats
-        n_blocks = MAX_BROADCAST_ROWS + 1
+        blocking.hot = stats
+        blocking.n_blocks = MAX_BROADCAST_ROWS + 1
+    return blocking
+
 
-    # 2. block of every row: cold keys -> 0, hot keys -> equal-width order slices
+def with_blocks(df: DataFrame, blocking: Blocking) -> DataFrame:
+    """``df`` plus the block column (and ``_sk_n``, non-null on hot keys)."""
+    if blocking.hot is None:
+        return df
+    onum = _order_numeric(df, blocking.order[0])
     span = F.col(_HI) - F.col(_LO) + F.lit(1.0)
     raw = F.floor((onum - F.col(_LO)) / span * F.col(_NB)).cast("long")
     blk = F.when(F.col(_N).isNull(), F.lit(0).cast("long")).otherwise(
         F.least(F.greatest(raw, F.lit(0).cast("long")), F.col(_NB) - 1)
     )
-    tagged = _null_safe_join(df, hot, keys, "left").withColumn(_BLK, blk)
-    hot_flag = F.col(_N).isNotNull()
-    base = tagged.drop(_LO, _HI, _NB)
-
-    # 3. per-(key, block) totals of hot keys and their exclusive prefix
-    order_struct = F.struct(*[F.col(o) for o in order])
-    totals = base.where(hot_flag).groupBy(*keys, _BLK).agg(*[s.block_agg(order_struct) for s in scans])
-    wb = Window.partitionBy(*keys).orderBy(_BLK)
-    wb_excl = wb.rowsBetween(Window.unboundedPreceding, -1)
-    prefix = totals.select(
-        *keys, _BLK, (F.row_number().over(wb) == 1).alias(_FB), *[s.prefix(wb_excl) for s in scans]
+    tagged = null_safe_join(df, blocking.hot, blocking.keys, "left").withColumn(BLK, blk)
+    return tagged.drop(_LO, _HI, _NB)
+
+
+def _maybe_broadcast(df: DataFrame, blocking: Blocking) -> DataFrame:
+    return F.broadcast(df) if blocking.n_blocks <= MAX_BROADCAST_ROWS else df
+
+
+def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFrame:
+    """Scans over a frame prepared by ``with_blocks`` (keeps the helper columns,
+    so further scans with the same blocking reuse the partitioning)."""
+    keys, order = blocking.keys, blocking.order
+    parts = blocking.partition_cols
+    w_frame = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_order = Window.partitionBy(*parts).orderBy(*order)
+    if blocking.hot is None:
+        return df.select("*", *[s.plain(w_frame, w_order).alias(s.name) for s in scans])
+
+    hot_rows = df.where(F.col(_N).isNotNull())
+    o0 = order[0]
+    direct = [s for s in scans if not s.is_edge(o0)]
+    edge = [s for s in scans if s.is_edge(o0)]
+    totals = hot_rows.groupBy(*keys, BLK).agg(
+        F.min(o0).alias(_OMIN), F.max(o0).alias(_OMAX), *[s.block_agg() for s in direct]
     )
-    if n_blocks <= MAX_BROADCAST_ROWS:
-        prefix = F.broadcast(prefix)
-
-    # 4. local running value per (key, block) + prefix of earlier blocks
-    joined = _null_safe_join(base, prefix, keys, "left")
-    wl_frame = Window.partitionBy(*keys, _BLK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wl_order = Window.partitionBy(*keys, _BLK).orderBy(*order)
-    out = joined.select(*df.columns, *[s.combine(wl_frame, wl_order).alias(s.name) for s in scans])
+    if edge:
+        # Values at block edges: only rows holding the block's min/max of the
+        # first order column are aggregated with the (sort-based) *_by forms.
+        bounds = _maybe_broadcast(totals.select(*keys, BLK, _OMIN, _OMAX), blocking)
+        edge_rows = null_safe_join(hot_rows, bounds, keys, "inner", extra=(BLK,)).where(
+            (F.col(o0) == F.col(_OMIN)) | (F.col(o0) == F.col(_OMAX))
+        )
+        order_struct = F.struct(*[F.col(o) for o in order])
+        edge_totals = edge_rows.groupBy(*keys, BLK).agg(*[s.edge_agg(order_struct) for s in edge])
+        totals = null_safe_join(totals, _maybe_broadcast(edge_totals, blocking), keys, "left", extra=(BLK,))
+    wb = Window.partitionBy(*keys).orderBy(BLK)
+    wb_excl = wb.rowsBetween(Window.unboundedPreceding, -1)
+    prefix = totals.select(*keys, BLK, (F.row_number().over(wb) == 1).alias(_FB), *[s.prefix(wb_excl) for s in scans])
+    joined = null_safe_join(df, _maybe_broadcast(prefix, blocking), keys, "left", extra=(BLK,))
+    out = joined.select(*df.columns, *[s.combine(w_frame, w_order).alias(s.name) for s in scans])
     return out
+
+
+def drop_blocks(df: DataFrame) -> DataFrame:
+    return df.drop(BLK, _N)
+
+
+def keyed_scan(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    scans: list[Scan],
+    *,
+    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+) -> DataFrame:
+    """``df`` plus one column per scan: the running value up to and including
+    each row, within its key, in ``order`` (a total order within the key).
+
+    ``block_rows=None`` forces the plain window (one partition per key).
+    """
+    blocking = plan_blocks(df, keys, order, block_rows)
+    return drop_blocks(blocked_scan(with_blocks(df, blocking), blocking, scans))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamkit.functions.time import interval_micros
-from streamkit.operators.scan import DEFAULT_BLOCK_ROWS, Scan, keyed_scan
+from streamkit.operators.scan import DEFAULT_BLOCK_ROWS, Scan, blocked_scan, drop_blocks, keyed_scan, plan_blocks, with_blocks
 
 
 @dataclass
@@ -197,17 +197,20 @@ def session_window(
 
     Output: key columns, ``session_start``, ``session_end`` (last row + gap),
     one column per agg.  Built from two keyed scans (predecessor, then latest
-    start) so a hot key is split across tasks, then an ordinary aggregation.
+    start) over one blocking, so a hot key is split across tasks and the rows
+    are shuffled once; then an ordinary aggregation.
     """
     keys = _keys(key)
     gap_us = interval_micros(gap)
     order = [time_col, *tiebreak]
-    with_prev = keyed_scan(df, keys, order, [Scan("prev", F.col(time_col), "_prev")], block_rows=block_rows)
+    # Both scans share one blocking, hence one shuffle on (key, block).
+    blocking = plan_blocks(df, keys, order, block_rows)
+    with_prev = blocked_scan(with_blocks(df, blocking), blocking, [Scan("prev", time_col, "_prev")])
     diff = F.expr(f"timestampdiff(MICROSECOND, `_prev`, `{time_col}`)")
     starts = with_prev.withColumn(
         "_start_mark", F.when(F.col("_prev").isNull() | (diff > F.lit(gap_us)), F.col(time_col))
     ).drop("_prev")
-    sess = keyed_scan(starts, keys, order, [Scan("max", F.col("_start_mark"), "_sess")], block_rows=block_rows)
+    sess = drop_blocks(blocked_scan(starts, blocking, [Scan("max", "_start_mark", "_sess")]))
     out = sess.groupBy(*keys, F.col("_sess").alias("session_start")).agg(
         F.max(time_col).alias("_last"), *[a.direct() for a in aggs]
     )
