@@ -124,7 +124,9 @@ def time_window(
         raise ValueError("more than 1000 windows per row; use a coarser slide")
     size_s, slide_s = f"{size_us} microseconds", f"{slide_us} microseconds"
 
-    if slide_us == size_us or not panes:
+    # Streams use the single native window aggregation: one stateful operator,
+    # so watermark lateness applies once (see streamkit.streaming).
+    if slide_us == size_us or not panes or df.isStreaming:
         w = F.window(time_col, size_s, slide_s) if slide_us != size_us else F.window(time_col, size_s)
         out = df.groupBy(*keys, w.alias("_w")).agg(*[a.direct() for a in aggs])
         return out.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
@@ -203,6 +205,11 @@ def session_window(
     keys = _keys(key)
     gap_us = interval_micros(gap)
     order = [time_col, *tiebreak]
+    if df.isStreaming:
+        sw = F.session_window(time_col, f"{gap_us} microseconds")
+        out = df.groupBy(*keys, sw.alias("_s")).agg(*[a.direct() for a in aggs])
+        return out.select(*keys, F.col("_s.start").alias("session_start"), F.col("_s.end").alias("session_end"),
+                          *[a.name for a in aggs])
     # Both scans share one blocking, hence one shuffle on (key, block).
     blocking = plan_blocks(df, keys, order, block_rows)
     with_prev = blocked_scan(with_blocks(df, blocking), blocking, [Scan("prev", time_col, "_prev")])

@@ -211,3 +211,23 @@ FROM (SELECT c_custkey,
                          lambda a, b: a * b) AS total
       FROM customer)""",
 }
+
+# Streaming: windows closed by the final watermark (max event time - 1 h,
+# tracked in milliseconds) are the ones emitted in append mode.
+_WM = "(SELECT (epoch_ms(max(ts)) - 3600000) * 1000 FROM events)"
+
+ORACLE.update({
+    "stream_tumbling_sum": f"""
+SELECT * FROM ({ORACLE['tumbling_sum']}) WHERE epoch_us(window_end) <= {_WM}""",
+    "stream_sliding_count": f"""WITH {EVENTS}, r AS ({_sliding_rows('events_c', 'event_type', 2 * US_HOUR, US_HOUR)})
+SELECT event_type, {_win_cols(US_HOUR, 2 * US_HOUR)}, count(*) AS n
+FROM r GROUP BY event_type, k HAVING k * {US_HOUR} + {2 * US_HOUR} <= {_WM}""",
+    "stream_session_by_user": f"""
+SELECT * FROM ({ORACLE['session_by_user']}) WHERE epoch_us(session_end) <= {_WM}""",
+    "stream_rolling_sum": f"""WITH {EVENTS}
+SELECT event_id, user_id, cents,
+       CAST(sum(cents) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS running_cents
+FROM events_c""",
+    "stream_count_tumbling": ORACLE["count_tumbling"],
+})

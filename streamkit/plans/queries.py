@@ -32,7 +32,7 @@ from streamkit.operators.routing import connect, first_match_selector, select_ou
 from streamkit.operators.transform import flat_map, word_count
 from streamkit.operators.windows import Agg, count_window, session_window, time_window
 from streamkit.sources.collection import generate_sequence
-from streamkit.sources.tables import load_table
+from streamkit.sources.tables import ensure_parallelism, load_table
 
 # Hot-key block size for the registered keyed scans.  The fixture tables are
 # small, so this is set low enough that the two-valued keys (each ~half the
@@ -90,7 +90,8 @@ def token_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_count_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5: split every whole text on single whitespace characters; count words."""
-    return word_count(load_table(spark, sf_dir, "documents"), "text")
+    docs = ensure_parallelism(load_table(spark, sf_dir, "documents").select("text"))
+    return word_count(docs, "text")
 
 
 def parse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,7 +287,7 @@ def global_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: documents arriving one per second; words counted in 5 s windows every 1 s."""
-    docs = load_table(spark, sf_dir, "documents")
+    docs = ensure_parallelism(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
     words = docs.select(
         F.expr("timestampadd(SECOND, doc_id, TIMESTAMP_NTZ'1970-01-01 00:00:00')").alias("ts"),
         F.explode(java_split(F.col("text"))).alias("word"),
@@ -376,3 +377,7 @@ QUERIES = {
     "session_by_type": session_by_type,
     "compound_growth": compound_growth_q,
 }
+
+from streamkit.plans.streams import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)

@@ -32,6 +32,9 @@ def from_collection(spark: SparkSession, rows: Iterable, schema=None, element_ty
     travel through the driver once, then Spark distributes them.
     """
     rows = list(rows)
+    scalar = bool(rows) and not isinstance(rows[0], (tuple, list, dict)) and not hasattr(rows[0], "asDict")
+    if schema is not None and scalar:
+        rows = [(r,) for r in rows]
     if schema is None:
         vtype = _value_type(element_type if element_type is not None else type(rows[0]) if rows else str)
         schema = T.StructType([T.StructField("value", vtype, True)])

@@ -1,0 +1,37 @@
+from pyspark.sql import functions as F
+
+from streamkit.sources import from_collection, from_elements, from_iterator, generate_sequence, read_text_file, read_file
+from streamkit.sources.external import kafka_options
+from tests.conftest import LINES
+
+
+def test_collection_forms(spark):
+    assert [r.value for r in from_collection(spark, ["A", "B", "C"]).collect()] == ["A", "B", "C"]
+    longs = from_iterator(spark, iter([100, 200, 300, 400]), int)
+    assert longs.schema["value"].dataType.simpleString() == "bigint"
+    assert [r.value for r in longs.collect()] == [100, 200, 300, 400]
+    assert [r.value for r in from_elements(spark, str, "A", "B", "C").collect()] == ["A", "B", "C"]
+    ints = from_collection(spark, [1, 2, 3, 4], schema="value int")
+    assert [r.value for r in ints.collect()] == [1, 2, 3, 4]
+
+
+def test_generate_sequence_inclusive(spark):
+    seq = generate_sequence(spark, 1, 10)
+    assert sorted(r.value for r in seq.collect()) == list(range(1, 11))
+    assert generate_sequence(spark, 5, 4).count() == 0
+    doubled = seq.select((F.col("value") * 2).alias("v"))
+    assert sorted(r.v for r in doubled.collect()) == list(range(2, 21, 2))
+    keep = seq.select((F.col("value") != 1).alias("keep")).collect()
+    assert sum(not r.keep for r in keep) == 1 and sum(r.keep for r in keep) == 9
+
+
+def test_read_text_in_order(spark, lines_file):
+    df = read_text_file(spark, lines_file)
+    rows = df.orderBy("file_path", "file_block_start", "line_id").collect()
+    assert [r.value for r in rows] == LINES
+    assert read_file(spark, lines_file).count() == 24
+
+
+def test_kafka_option_mapping():
+    opts = kafka_options("test", {"bootstrap.servers": "h:9092", "zookeeper.connect": "z:2181", "group.id": "g"})
+    assert opts == {"subscribe": "test", "kafka.bootstrap.servers": "h:9092", "kafka.group.id": "g"}
