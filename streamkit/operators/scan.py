@@ -254,21 +254,37 @@ def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFr
 
     hot_rows = df.where(F.col(_N).isNotNull())
     o0 = order[0]
-    direct = [s for s in scans if not s.is_edge(o0)]
-    edge = [s for s in scans if s.is_edge(o0)]
+    # Struct extrema (whole-record max/min): hash-aggregate the leading field,
+    # pick the record among the few rows that hold it.
+    leads = {s.name: _struct_lead(df, s) for s in scans if s.kind in ("max", "min")}
+    leads = {k: v for k, v in leads.items() if v is not None}
+    direct = [s for s in scans if not s.is_edge(o0) and s.name not in leads]
+    picked = [s for s in scans if s.is_edge(o0) or s.name in leads]
+    lead_aggs = [(F.max if s.kind == "max" else F.min)(leads[s.name]).alias(f"_sk_e_{s.name}")
+                 for s in scans if s.name in leads]
     totals = hot_rows.groupBy(*keys, BLK).agg(
-        F.min(o0).alias(_OMIN), F.max(o0).alias(_OMAX), *[s.block_agg() for s in direct]
+        F.min(o0).alias(_OMIN), F.max(o0).alias(_OMAX), *[s.block_agg() for s in direct], *lead_aggs
     )
-    if edge:
-        # Values at block edges: only rows holding the block's min/max of the
-        # first order column are aggregated with the (sort-based) *_by forms.
-        bounds = _maybe_broadcast(totals.select(*keys, BLK, _OMIN, _OMAX), blocking)
-        edge_rows = null_safe_join(hot_rows, bounds, keys, "inner", extra=(BLK,)).where(
-            (F.col(o0) == F.col(_OMIN)) | (F.col(o0) == F.col(_OMAX))
-        )
+    if picked:
+        # One pass over the hot rows keeps only candidates: rows at a block
+        # edge of the first order column, or holding a block's extreme lead
+        # field.  Only those few rows reach the sort-based *_by aggregates.
+        bounds = _maybe_broadcast(totals.select(*keys, BLK, _OMIN, _OMAX, *[f"_sk_e_{n}" for n in leads]), blocking)
+        cond = (F.col(o0) == F.col(_OMIN)) | (F.col(o0) == F.col(_OMAX))
+        for n, lead in leads.items():
+            cond = cond | (lead == F.col(f"_sk_e_{n}"))
+        cand = null_safe_join(hot_rows, bounds, keys, "inner", extra=(BLK,)).where(cond)
         order_struct = F.struct(*[F.col(o) for o in order])
-        edge_totals = edge_rows.groupBy(*keys, BLK).agg(*[s.edge_agg(order_struct) for s in edge])
-        totals = null_safe_join(totals, _maybe_broadcast(edge_totals, blocking), keys, "left", extra=(BLK,))
+        aggs = []
+        for sc in picked:
+            if sc.name in leads:
+                holds = F.when(leads[sc.name] == F.col(f"_sk_e_{sc.name}"), sc.c)
+                aggs.append((F.max if sc.kind == "max" else F.min)(holds).alias(sc._t))
+            else:
+                aggs.append(sc.edge_agg(order_struct))
+        picked_totals = cand.groupBy(*keys, BLK).agg(*aggs)
+        totals = null_safe_join(totals.drop(*[f"_sk_e_{n}" for n in leads]),
+                                _maybe_broadcast(picked_totals, blocking), keys, "left", extra=(BLK,))
     wb = Window.partitionBy(*keys).orderBy(BLK)
     wb_excl = wb.rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(*keys, BLK, (F.row_number().over(wb) == 1).alias(_FB), *[s.prefix(wb_excl) for s in scans])
@@ -277,6 +293,14 @@ def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFr
     return out
 
 
+def _struct_lead(df: DataFrame, scan: Scan) -> Column | None:
+    """The leading field of a struct-valued scan column (None for scalars)."""
+    dtype = df.select(scan.c.alias("_sk_probe")).schema["_sk_probe"].dataType
+    if isinstance(dtype, T.StructType) and dtype.fields:
+        return scan.c.getField(dtype.fields[0].name)
+    return None
+
+
 def drop_blocks(df: DataFrame) -> DataFrame:
     return df.drop(BLK, _N)
 
