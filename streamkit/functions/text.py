@@ -66,3 +66,9 @@ def parse_key_int(col, sep: str = " ", strict: bool = True, int_type: str = "int
     raw = token_at(arr, 1, strict)
     num = raw.cast(int_type) if strict else raw.try_cast(int_type)
     return key, num
+
+
+def random_int(bound: int, seed: int | None = None) -> Column:
+    """A pseudo-random int in ``[0, bound)`` per row (seeded: reproducible for
+    a given partitioning)."""
+    return F.floor(F.rand(seed) * bound).cast("int")

@@ -231,7 +231,8 @@ def with_blocks(df: DataFrame, blocking: Blocking) -> DataFrame:
     onum = _order_numeric(df, blocking.order[0])
     span = F.col(_HI) - F.col(_LO) + F.lit(1.0)
     raw = F.floor((onum - F.col(_LO)) / span * F.col(_NB)).cast("long")
-    blk = F.when(F.col(_N).isNull(), F.lit(0).cast("long")).otherwise(
+    # Null orders sort first: they belong to block 0.
+    blk = F.when(F.col(_N).isNull() | onum.isNull(), F.lit(0).cast("long")).otherwise(
         F.least(F.greatest(raw, F.lit(0).cast("long")), F.col(_NB) - 1)
     )
     tagged = null_safe_join(df, blocking.hot, blocking.keys, "left").withColumn(BLK, blk)
@@ -270,7 +271,7 @@ def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFr
         # edge of the first order column, or holding a block's extreme lead
         # field.  Only those few rows reach the sort-based *_by aggregates.
         bounds = _maybe_broadcast(totals.select(*keys, BLK, _OMIN, _OMAX, *[f"_sk_e_{n}" for n in leads]), blocking)
-        cond = (F.col(o0) == F.col(_OMIN)) | (F.col(o0) == F.col(_OMAX))
+        cond = F.col(o0).isNull() | (F.col(o0) == F.col(_OMIN)) | (F.col(o0) == F.col(_OMAX))
         for n, lead in leads.items():
             cond = cond | (lead == F.col(f"_sk_e_{n}"))
         cand = null_safe_join(hot_rows, bounds, keys, "inner", extra=(BLK,)).where(cond)

@@ -1,0 +1,49 @@
+"""Whole programs (L1-L3) as functions over any line source.
+
+Each takes a DataFrame of lines (a batch table, a file or socket stream, a
+Kafka stream) and returns the result DataFrame; the caller picks the sink.
+``time_col=None`` means processing time (the micro-batch clock).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from streamkit.functions.growth import compound_growth
+from streamkit.functions.text import tokens
+from streamkit.operators.windows import Agg, time_window
+from streamkit.streaming.event_time import processing_time
+
+
+def _with_time(lines: DataFrame, time_col: str | None) -> tuple[DataFrame, str]:
+    if time_col is not None:
+        return lines, time_col
+    return lines.withColumn("_proc_time", processing_time()), "_proc_time"
+
+
+def windowed_word_count(lines: DataFrame, text_col: str = "value", time_col: str | None = None,
+                        size="5 seconds", slide="1 second") -> DataFrame:
+    """L1: split lines on single whitespace characters, count each word per
+    sliding window.  Output ``word, window_start, window_end, count``."""
+    timed, t = _with_time(lines, time_col)
+    words = timed.select(F.col(t).alias("ts"), F.explode(tokens(F.col(text_col))).alias("word"))
+    return time_window(words, "word", "ts", size, [Agg("count", None, "count")], slide=slide)
+
+
+def concat_pipeline(lines: DataFrame, text_col: str = "value", time_col: str | None = None,
+                    order: tuple[str, ...] = (), size="5 seconds", slide="1 second") -> DataFrame:
+    """L2: pair each string with its length; one global sliding window
+    concatenates the strings in arrival order (time, then ``order``) and sums
+    the lengths.  Output ``window_start, window_end, concat, total_len``."""
+    timed, t = _with_time(lines, time_col)
+    pairs = timed.select(F.col(t).alias("ts"), *order, F.col(text_col).alias("s"), F.length(text_col).alias("len"))
+    return time_window(pairs, None, "ts", size,
+                       [Agg("concat", F.col("s"), "concat", order=("ts", *order)), Agg("sum", F.col("len"), "total_len")],
+                       slide=slide)
+
+
+def growth_table(df: DataFrame, balance_col: str, rate: float = 0.004, periods: int = 36) -> DataFrame:
+    """L3: every balance grown ``periods`` times; total and per-period share."""
+    total = compound_growth(balance_col, rate, periods)
+    return df.withColumn("total", total).withColumn("per_period", F.col("total") / F.lit(periods))

@@ -1,0 +1,47 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from streamkit.functions import random_int
+from streamkit.plans.pipelines import concat_pipeline, growth_table, windowed_word_count
+from streamkit.streaming import line_stream, replay_lines, run_available
+
+
+def test_word_count_pipeline_event_time(spark):
+    t = dt.datetime(2024, 1, 1, 0, 0, 0)
+    df = spark.createDataFrame([("a b a", t), ("b", t + dt.timedelta(seconds=3))], "value string, ts timestamp_ntz")
+    out = windowed_word_count(df, time_col="ts").collect()
+    counts = {(r.word, r.window_start): r["count"] for r in out}
+    assert counts[("a", t - dt.timedelta(seconds=4))] == 2
+    assert counts[("b", t - dt.timedelta(seconds=1))] == 2
+    assert counts[("b", t + dt.timedelta(seconds=1))] == 1
+    assert len(out) == 13  # a: 5 windows; b: t-4 .. t+3 = 8 windows
+
+
+def test_word_count_pipeline_processing_time_stream(spark, tmp_path):
+    src = line_stream(spark, replay_lines(["to be or", "not to be"], str(tmp_path / "in")), per_batch=2)
+    out = windowed_word_count(src)
+    batches = run_available(out, "proc_time_wc", output_mode="update")
+    totals = {}
+    for _, rows in batches:
+        for r in rows:
+            totals[(r.word, r.window_start)] = r["count"]
+    per_word = {}
+    for (w, _), c in totals.items():
+        per_word[w] = max(per_word.get(w, 0), c)
+    assert per_word == {"to": 2, "be": 2, "or": 1, "not": 1}
+
+
+def test_concat_pipeline(spark):
+    t = dt.datetime(1970, 1, 1, 0, 0, 1)
+    df = spark.createDataFrame([(1, "ab", t), (2, "c", t + dt.timedelta(seconds=1))], "seq long, value string, ts timestamp_ntz")
+    out = {r.window_start: (r.concat, r.total_len) for r in concat_pipeline(df, time_col="ts", order=("seq",)).collect()}
+    assert out[t - dt.timedelta(seconds=3)] == ("abc", 3)
+
+
+def test_growth_table_and_random(spark):
+    df = spark.createDataFrame([(150000.0,)], "bal double")
+    row = growth_table(df, "bal").first()
+    assert row.total == 173182.86507551113 and row.per_period == 4810.63514098642
+    vals = [r.v for r in spark.range(200).select(random_int(10, seed=3).alias("v")).collect()]
+    assert min(vals) >= 0 and max(vals) <= 9 and len(set(vals)) > 5
