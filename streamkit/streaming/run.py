@@ -31,9 +31,11 @@ def start_query(
     return writer.start()
 
 
-def run_available(df: DataFrame, name: str, output_mode: str = "append") -> list[tuple[int, list[Row]]]:
+def run_available(df: DataFrame, name: str, output_mode: str = "append", progress: list | None = None
+                  ) -> list[tuple[int, list[Row]]]:
     """Process everything available now and return ``(batch_id, rows)`` per
-    micro-batch.  For tests and small replays only: rows come to the driver."""
+    micro-batch.  For tests and small replays only: rows come to the driver.
+    ``progress`` (a list) receives the query's progress reports."""
     batches: list[tuple[int, list[Row]]] = []
 
     def capture(batch: DataFrame, batch_id: int):
@@ -43,4 +45,16 @@ def run_available(df: DataFrame, name: str, output_mode: str = "append") -> list
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    if progress is not None:
+        progress.extend(query.recentProgress)
     return batches
+
+
+def rows_dropped_by_watermark(progress: list) -> int:
+    """Late rows dropped by the stateful operators over all reported batches."""
+    total = 0
+    for report in progress:
+        for op in report.get("stateOperators", []) if isinstance(report, dict) else report.stateOperators:
+            value = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            total += value or 0
+    return total

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from streamkit.functions.time import epoch_millis_to_ts
 from streamkit.operators import Agg, session_window, time_window
 from streamkit.streaming import (
-    assign_event_time, count_window_stream, line_stream, replay_lines, rolling_stream, run_available, watermark_conf,
+    assign_event_time, count_window_stream, line_stream, replay_lines, rolling_stream, rows_dropped_by_watermark,
+    run_available, watermark_conf,
 )
 
 
@@ -34,8 +35,13 @@ def _emitted(batches, col="value"):
 def test_tumbling_event_time_drops_late(spark, tmp_path, strict_late):
     ev = _event_lines(spark, tmp_path, [1000, 2000, 12999, 13000, 7000, 8000, 23000, 17000, 18000, 34000], "3 seconds")
     out = time_window(ev, "value", "ts", "10 seconds", [Agg("count", None, "n")])
-    batches = run_available(out, "tumbling_late")
+    progress = []
+    batches = run_available(out, "tumbling_late", progress=progress)
     assert _emitted(batches) == [1000, 2000, 12999, 13000, 23000]
+    assert rows_dropped_by_watermark(progress) == 4  # 7000, 8000, 17000, 18000
+    # W[0,10) fires in the batch after 13000 moved the watermark to 10 s (the one reading 7000).
+    first = min(b for b, rows in batches if rows)
+    assert sorted(int(r.value) for b, rows in batches if b == first for r in rows) == [1000, 2000]
 
 
 def test_session_event_time(spark, tmp_path):
