@@ -48,11 +48,19 @@ def epoch_millis_to_ts(col, sep: str = " ") -> Column:
 
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+_EPOCH_UTC = "TIMESTAMP'1970-01-01 00:00:00Z'"
 
 
-def ntz_micros(col) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP_NTZ column (zone-free)."""
-    name = col if isinstance(col, str) else None
-    if name is None:
-        raise TypeError("ntz_micros takes a column name")
-    return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, `{name}`)")
+def ntz_micros(name: str) -> Column:
+    """Microseconds since the epoch of a TIMESTAMP_NTZ column, independent of
+    the session time zone: NTZ - NTZ is an exact interval, added to a UTC
+    instant.  (``timestampdiff``/casts go through the session zone, which is
+    not monotone across a daylight-saving gap.)"""
+    return F.expr(f"unix_micros({_EPOCH_UTC} + (`{name}` - {_EPOCH_NTZ}))")
+
+
+def micros_between(earlier: str, later: str, ntz: bool) -> Column:
+    """``later - earlier`` in microseconds, zone-free for both timestamp types."""
+    if ntz:
+        return F.expr(f"unix_micros({_EPOCH_UTC} + (`{later}` - `{earlier}`))")
+    return F.unix_micros(F.col(later)) - F.unix_micros(F.col(earlier))

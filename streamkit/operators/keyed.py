@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamkit.functions.time import ntz_micros
 from streamkit.operators.scan import DEFAULT_BLOCK_ROWS, Scan, keyed_scan
 
 KeySpec = str | int | Column | Callable[[DataFrame], Column]
@@ -135,7 +136,7 @@ def rolling_extreme(
 def _negate(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return -F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
+        return -ntz_micros(name)
     if isinstance(dtype, T.TimestampType):
         return -F.unix_micros(F.col(name))
     if isinstance(dtype, T.NumericType):
@@ -188,7 +189,8 @@ def rolling_map_in_pandas(
     import pandas as pd
 
     prepared = df.repartition(key).sortWithinPartitions(key, order)
-    out_schema = T.StructType(df.schema.fields + [T.StructField(name, T._parse_datatype_string(result_type), True)])
+    out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+                           + [f"`{name}` {result_type}"])
 
     def walk(batches):
         cur_key, acc, started = None, initial, False

@@ -36,6 +36,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamkit.functions.time import ntz_micros
+
 DEFAULT_BLOCK_ROWS = 1_000_000
 OVERSAMPLE = 4
 # Largest side table (rows) that is fetched / broadcast; checked by counting.
@@ -158,7 +160,7 @@ def _order_numeric(df: DataFrame, name: str) -> Column | None:
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)):
         return c.cast("double")
     if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)").cast("double")
+        return ntz_micros(name).cast("double")
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c).cast("double")
     if isinstance(dtype, T.DateType):

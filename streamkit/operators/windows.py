@@ -22,8 +22,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from streamkit.functions.time import interval_micros
+from streamkit.functions.time import interval_micros, micros_between
 from streamkit.operators.scan import DEFAULT_BLOCK_ROWS, Scan, blocked_scan, drop_blocks, keyed_scan, plan_blocks, with_blocks
 
 
@@ -213,7 +214,7 @@ def session_window(
     # Both scans share one blocking, hence one shuffle on (key, block).
     blocking = plan_blocks(df, keys, order, block_rows)
     with_prev = blocked_scan(with_blocks(df, blocking), blocking, [Scan("prev", time_col, "_prev")])
-    diff = F.expr(f"timestampdiff(MICROSECOND, `_prev`, `{time_col}`)")
+    diff = micros_between("_prev", time_col, isinstance(df.schema[time_col].dataType, T.TimestampNTZType))
     starts = with_prev.withColumn(
         "_start_mark", F.when(F.col("_prev").isNull() | (diff > F.lit(gap_us)), F.col(time_col))
     ).drop("_prev")

@@ -67,3 +67,28 @@ def test_panes_equal_native_sliding(spark, seed, size_slide):
     panes = time_window(df, "key", "ts", aggs=aggs, **kw).collect()
     native = time_window(df, "key", "ts", aggs=aggs, panes=False, **kw).collect()
     assert sorted(panes) == sorted(native)
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    """NTZ arithmetic must be zone-free: a daylight-saving gap in the session
+    zone must not reorder rows or change gaps."""
+    base = dt.datetime(2024, 3, 10, 1, 0, 0)
+    rows = [("k", base + dt.timedelta(minutes=15 * i), i) for i in range(12)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, v long")
+
+    def run():
+        s = session_window(df, "key", "ts", "20 minutes", [Agg("count", None, "n")], block_rows=2).collect()
+        from streamkit.operators import Scan, keyed_scan
+        r = keyed_scan(df, ["key"], ["ts"], [Scan("sum", "v", "run"), Scan("prev", "ts", "p")], block_rows=2)
+        return sorted(s), sorted(r.collect())
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        in_ny = run()
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        in_utc = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert in_ny == in_utc
+    assert len(in_utc[0]) == 1 and in_utc[0][0].n == 12
