@@ -64,3 +64,15 @@ def micros_between(earlier: str, later: str, ntz: bool) -> Column:
     if ntz:
         return F.expr(f"unix_micros({_EPOCH_UTC} + (`{later}` - `{earlier}`))")
     return F.unix_micros(F.col(later)) - F.unix_micros(F.col(earlier))
+
+
+def ntz_to_instant(name: str) -> Column:
+    """TIMESTAMP_NTZ → TIMESTAMP reading the wall clock as UTC (zone-free;
+    watermarks need TIMESTAMP)."""
+    return F.timestamp_micros(ntz_micros(name))
+
+
+def instant_to_ntz(name: str) -> Column:
+    """TIMESTAMP → TIMESTAMP_NTZ with the UTC wall clock (inverse of
+    ``ntz_to_instant``, zone-free)."""
+    return F.expr(f"timestampadd(MICROSECOND, unix_micros(`{name}`), {_EPOCH_NTZ})")

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamkit.functions.time import instant_to_ntz
 from streamkit.operators.windows import Agg, session_window, time_window
 from streamkit.session import checkpoint_dir
 from streamkit.streaming.event_time import assign_event_time
@@ -54,7 +55,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
-        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        df = df.withColumn(c, instant_to_ntz(c))
     return df
 
 

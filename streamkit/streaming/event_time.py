@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamkit.functions.time import to_interval
+from streamkit.functions.time import ntz_to_instant, to_interval
 
 
 def processing_time() -> Column:
@@ -31,7 +31,9 @@ def assign_event_time(df: DataFrame, ts: Column | str, delay, name: str = "ts")
     c = F.col(ts) if isinstance(ts, str) else ts
     out = df.withColumn(name, c)
     if isinstance(out.schema[name].dataType, T.TimestampNTZType):
-        out = out.withColumn(name, F.col(name).cast("timestamp"))
+        # Zone-free: the wall clock read as UTC, so windows align the same way
+        # in every session time zone.
+        out = out.withColumn(name, ntz_to_instant(name))
     return out.withWatermark(name, to_interval(delay))
 
 

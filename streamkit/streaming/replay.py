@@ -13,7 +13,10 @@ import time
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import types as T
+
+from streamkit.functions.time import ntz_to_instant
 
 
 def replay_lines(lines: Iterable[str], directory: str) -> str:
@@ -42,6 +45,6 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     df = reader.parquet(sf_dir)
-    if "ts" in df.columns:
-        df = df.withColumn("ts", F.col("ts").cast("timestamp"))
+    if "ts" in df.columns and isinstance(df.schema["ts"].dataType, T.TimestampNTZType):
+        df = df.withColumn("ts", ntz_to_instant("ts"))
     return df
