@@ -11,10 +11,13 @@ The scan splits such *hot* keys into order-contiguous blocks:
    the keys holding more than ``block_rows`` rows, with their order range.
    At most ``N / block_rows`` keys qualify; they are fetched to the driver
    only under a checked bound (then broadcast), else they stay distributed.
-2. ``with_blocks``: each hot key's order range is cut into
-   ``ceil(n / block_rows) * OVERSAMPLE`` equal-width blocks; cold keys form
-   block 0.  The block is a monotone function of the order, so blocks are
-   contiguous runs of the key's rows.
+2. ``with_blocks``: each hot key's order range is cut at approximate
+   quantiles (``percentile_approx`` over the hot keys only, up to 4096 per
+   key), each quantile segment refined into equal-width pieces, for about
+   ``ceil(n / block_rows) * OVERSAMPLE`` blocks per key of about equal row
+   counts; a row's block is found by binary search of the cut points
+   (``Bucketizer``).  Cold keys form block 0.  The block is a monotone
+   function of the order, so blocks are contiguous runs of the key's rows.
 3. ``blocked_scan``: per-(key, block) totals of the hot keys (hash partial
    aggregation; first/previous values come from the few rows at block
    edges) get an exclusive prefix across the key's blocks, a window over a
@@ -51,6 +54,16 @@ _NB = "_sk_nb"
 _FB = "_sk_first_blk"
 _OMIN = "_sk_omin"
 _OMAX = "_sk_omax"
+_Q = "_sk_q"
+_IDX = "_sk_idx"
+_X = "_sk_x"
+_RAW = "_sk_raw"
+# Approximate quantiles per hot key (capped so all cut points together stay
+# under MAX_SPLITS), the sketch accuracy, and the cut-point budget shipped
+# with the tasks (doubles; ~8 MB at the cap).
+MAX_QUANTILES = 4096
+QUANTILE_ACCURACY = 10_000
+MAX_SPLITS = 1_000_000
 
 
 @dataclass
@@ -191,6 +204,7 @@ class Blocking:
     order: list[str]
     hot: DataFrame | None = None
     n_blocks: int = 0
+    splits: list | None = None
 
     @property
     def partition_cols(self) -> list[str]:
@@ -198,7 +212,8 @@ class Blocking:
 
 
 def plan_blocks(df: DataFrame, keys, order, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> Blocking:
-    """Find the hot keys of ``df`` (one small aggregation job)."""
+    """Find the hot keys of ``df`` and where to cut them (two small jobs:
+    per-key counts, then approximate quantiles of the hot keys' order)."""
     keys, order = list(keys), list(order)
     if not keys:
         raise ValueError("a keyed scan needs at least one key column")
@@ -212,33 +227,89 @@ def plan_blocks(df: DataFrame, keys, order, block_rows: int | None = DEFAULT_BLO
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias(_N), F.min(onum).alias(_LO), F.max(onum).alias(_HI))
         .where(F.col(_N) > block_rows)
-        .withColumn(_NB, (F.ceil(F.col(_N) / F.lit(block_rows)) * OVERSAMPLE).cast("long"))
     )
     hot_rows = stats.limit(MAX_BROADCAST_ROWS + 1).collect()
     if not hot_rows:
         return blocking
-    if len(hot_rows) <= MAX_BROADCAST_ROWS:
-        blocking.hot = F.broadcast(df.sparkSession.createDataFrame(hot_rows, stats.schema))
-        blocking.n_blocks = sum(r[_NB] for r in hot_rows)
-    else:  # too many hot keys to ship: keep them distributed
-        blocking.hot = stats
+    n_blocks = sum(_blocks_for(r[_N], block_rows) for r in hot_rows)
+    per_key = max(2, min(MAX_QUANTILES, max(_blocks_for(r[_N], block_rows) for r in hot_rows),
+                         MAX_SPLITS // (2 * len(hot_rows))))
+    if len(hot_rows) > MAX_BROADCAST_ROWS or n_blocks + per_key * len(hot_rows) > MAX_SPLITS:
+        # Too many hot keys to ship their cut points: equal-width blocks over
+        # each key's order range, the key table kept distributed.
+        nb = (F.ceil(F.col(_N) / F.lit(block_rows)) * OVERSAMPLE).cast("long")
+        blocking.hot = stats.withColumn(_NB, nb)
         blocking.n_blocks = MAX_BROADCAST_ROWS + 1
+        return blocking
+
+    spark = df.sparkSession
+    hot_keys = spark.createDataFrame(hot_rows, stats.schema)
+    probs = [i / per_key for i in range(1, per_key)]
+    cuts = (
+        null_safe_join(df.select(*keys, onum.alias("_sk_o")), F.broadcast(hot_keys.select(*keys)), keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx("_sk_o", probs, QUANTILE_ACCURACY).alias(_Q))
+    )
+    hot = null_safe_join(hot_keys, F.broadcast(cuts), keys, "left").collect()
+    # Key i's order is mapped into [i, i+1); its cut points are the quantiles,
+    # each quantile segment further cut into equal-width pieces so that the
+    # key gets about ceil(n / block_rows) * OVERSAMPLE blocks.
+    splits = [float("-inf")]
+    rows = []
+    for i, r in enumerate(hot):
+        lo, hi, n = r[_LO], r[_HI], r[_N]
+        span = hi - lo + 1.0
+        want = _blocks_for(n, block_rows)
+        qs = [q for q in (r[_Q] or []) if q is not None]
+        segments = min(want, len(qs) + 1)
+        # every (per_key / segments)-th quantile: segments of about n / segments rows
+        picked = [qs[round(j * (len(qs) + 1) / segments) - 1] for j in range(1, segments)]
+        edges = sorted({lo, *picked, hi})
+        pieces = max(1, -(-want // max(1, len(edges) - 1)))
+        for a, b in zip(edges, edges[1:] + [hi + 1.0]):
+            for j in range(pieces):
+                x = i + (a + (b - a) * j / pieces - lo) / span
+                if x > splits[-1]:
+                    splits.append(x)
+        rows.append((*[r[k] for k in keys], r[_N], lo, hi, i))
+    splits.append(float("inf"))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema.fields if f.name in keys]
+                       + [f"{_N} bigint", f"{_LO} double", f"{_HI} double", f"{_IDX} bigint"])
+    blocking.hot = F.broadcast(spark.createDataFrame(rows, schema))
+    blocking.splits = splits
+    blocking.n_blocks = len(splits)
     return blocking
 
 
+def _blocks_for(n: int, block_rows: int) -> int:
+    return -(-n // block_rows) * OVERSAMPLE
+
+
 def with_blocks(df: DataFrame, blocking: Blocking) -> DataFrame:
     """``df`` plus the block column (and ``_sk_n``, non-null on hot keys)."""
     if blocking.hot is None:
         return df
     onum = _order_numeric(df, blocking.order[0])
-    span = F.col(_HI) - F.col(_LO) + F.lit(1.0)
-    raw = F.floor((onum - F.col(_LO)) / span * F.col(_NB)).cast("long")
-    # Null orders sort first: they belong to block 0.
-    blk = F.when(F.col(_N).isNull() | onum.isNull(), F.lit(0).cast("long")).otherwise(
-        F.least(F.greatest(raw, F.lit(0).cast("long")), F.col(_NB) - 1)
-    )
-    tagged = null_safe_join(df, blocking.hot, blocking.keys, "left").withColumn(BLK, blk)
-    return tagged.drop(_LO, _HI, _NB)
+    zero = F.lit(0).cast("long")
+    tagged = null_safe_join(df, blocking.hot, blocking.keys, "left")
+    if blocking.splits:
+        from pyspark.ml.feature import Bucketizer
+
+        # Binary search of the cut points (a compiled JVM function).  Null
+        # orders sort first: they go to the key's first block.
+        x = F.col(_IDX) + F.coalesce((onum - F.col(_LO)) / (F.col(_HI) - F.col(_LO) + F.lit(1.0)), F.lit(0.0))
+        tagged = tagged.withColumn(_X, F.when(F.col(_N).isNotNull(), x).otherwise(F.lit(float("nan"))))
+        bucketizer = Bucketizer(splits=blocking.splits, inputCol=_X, outputCol=_RAW, handleInvalid="keep")
+        tagged = bucketizer.transform(tagged)
+        blk = F.when(F.col(_N).isNull(), zero).otherwise(F.col(_RAW).cast("long") + 1)
+    else:
+        span = F.col(_HI) - F.col(_LO) + F.lit(1.0)
+        raw = F.floor((onum - F.col(_LO)) / span * F.col(_NB)).cast("long")
+        # Null orders sort first: they belong to block 0.
+        blk = F.when(F.col(_N).isNull() | onum.isNull(), zero).otherwise(
+            F.least(F.greatest(raw, zero), F.col(_NB) - 1))
+    tagged = tagged.withColumn(BLK, blk)
+    return tagged.drop(*[c for c in (_LO, _HI, _NB, _IDX, _X, _RAW) if c in tagged.columns])
 
 
 def _maybe_broadcast(df: DataFrame, blocking: Blocking) -> DataFrame:
