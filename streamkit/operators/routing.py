@@ -79,3 +79,22 @@ class Connected:
 
 def connect(first: DataFrame, second: DataFrame) -> Connected:
     return Connected(first, second)
+
+
+def write_split(split_df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append"):
+    """Write every routed output in one pass: one partition per output name
+    (a row tagged with several names is written to each).  Batch frames are
+    written at once; streaming frames get a ``foreachBatch`` writer to start."""
+    tagged = split_df.withColumn("output", F.explode(F.col(OUTPUTS))).drop(OUTPUTS)
+    if tagged.isStreaming:
+        def each_batch(batch: DataFrame, _batch_id: int):
+            batch.write.mode("append").partitionBy("output").format(fmt).save(path)
+
+        return tagged.writeStream.foreachBatch(each_batch)
+    tagged.write.mode(mode).partitionBy("output").format(fmt).save(path)
+    return None
+
+
+def read_output(spark, path: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """One routed output back (partition pruning reads only its files)."""
+    return spark.read.format(fmt).load(path).where(F.col("output") == name).drop("output")

@@ -59,3 +59,30 @@ def test_co_flat_map(spark, lines_df):
     firsts = sorted(r.v1 for r in out if r.side == 1)
     assert firsts == sorted(line.split(" ")[0].upper() for line in LINES)
     assert [r.v2 for r in out if r.side == 2] == [2] * 24
+
+
+def test_write_split_one_pass(spark, lines_df, tmp_path):
+    from streamkit.operators import read_output, write_split
+
+    path = str(tmp_path / "routed")
+    write_split(_routed(lines_df), path)
+    r = read_output(spark, path, "RRRR")
+    assert sorted(x.token for x in r.collect()) == sorted(R_WORDS)
+    assert read_output(spark, path, "JJJJ").count() == 8
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(output" in plan and "= RRRR)]" in plan
+
+
+def test_split_on_stream(spark, tmp_path):
+    from streamkit.operators import read_output, write_split
+    from streamkit.streaming import line_stream, replay_lines
+    from streamkit.session import streaming_checkpoint
+
+    src = line_stream(spark, replay_lines(["Java", "Redis", "Hive"], str(tmp_path / "in")))
+    sel = first_match_selector([(F.col("value").contains("J"), "JJJJ"), (F.col("value").contains("R"), "RRRR")], "****")
+    path = str(tmp_path / "out")
+    q = (write_split(split(src, sel), path).option("checkpointLocation", streaming_checkpoint(spark, "split_stream"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [r.value for r in read_output(spark, path, "RRRR").collect()] == ["Redis"]
+    assert [r.value for r in read_output(spark, path, "****").collect()] == ["Hive"]
