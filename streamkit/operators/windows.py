@@ -172,6 +172,8 @@ def count_window(
             .where(F.col("_n") == size)
         )
         return out.select(*keys, ((F.col("_g") + 1) * size).alias("window_end_count"), *[a.name for a in aggs])
+    if -(-size // slide) > MAX_COPIES_PER_ROW:
+        return _count_window_by_prefix(ranked, keys, size, slide, aggs)
     # Row r belongs to the firings e = r .. r+size-1 with e % slide == 0; a
     # firing happens only if the key reaches e rows (its group holds row e).
     first_end = F.ceil(F.col("_rn") / slide) * slide
@@ -186,6 +188,35 @@ def count_window(
     return out.select(*keys, F.col("_e").alias("window_end_count"), *[a.name for a in aggs])
 
 
+# Beyond this many windows per row, sliding count windows switch from copying
+# rows into windows to differences of running sums.
+MAX_COPIES_PER_ROW = 64
+
+
+def _count_window_by_prefix(ranked: DataFrame, keys: list[str], size: int, slide: int, aggs) -> DataFrame:
+    """Sliding count windows with many windows per row: the window ending at
+    rank e is ``S(e) - S(e - size)`` of the key's running sums, the earlier
+    sum found by an equi-join on the unique (key, rank).  Only invertible
+    aggregates (sum, count, fold) qualify."""
+    if any(a.kind not in ("sum", "count", "fold") for a in aggs):
+        raise ValueError("windows this long relative to their slide support sum, count and fold only")
+    order = ["_rn"]
+    runs = [Scan("sum" if a.kind != "count" else "count", a.col, f"_S_{a.name}") for a in aggs]
+    blocking = plan_blocks(ranked, keys, order, DEFAULT_BLOCK_ROWS)
+    summed = drop_blocks(blocked_scan(with_blocks(ranked, blocking), blocking, runs))
+    firing = summed.where(F.col("_rn") % slide == 0)
+    earlier = summed.select(*[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_rn") + size).alias("_e"),
+                            *[F.col(f"_S_{a.name}").alias(f"_P_{a.name}") for a in aggs])
+    cond = [firing[k].eqNullSafe(earlier[f"_k_{k}"]) for k in keys] + [firing["_rn"] == earlier["_e"]]
+    joined = firing.join(earlier, cond, "left")
+    outs = []
+    for a in aggs:
+        cur, prev = F.col(f"_S_{a.name}"), F.coalesce(F.col(f"_P_{a.name}"), F.lit(0))
+        val = cur - prev
+        outs.append((F.lit(a.initial) + val if a.kind == "fold" else val).alias(a.name))
+    return joined.select(*keys, F.col("_rn").alias("window_end_count"), *outs)
+
+
 def session_window(
     df: DataFrame,
     key: str | Sequence[str],

@@ -92,3 +92,20 @@ def test_results_do_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert in_ny == in_utc
     assert len(in_utc[0]) == 1 and in_utc[0][0].n == 12
+
+
+def test_long_count_windows_use_prefix_differences(spark):
+    import streamkit.operators.windows as W
+
+    rows = [(i, i % 3, i * 7 % 11) for i in range(1, 400)]
+    df = spark.createDataFrame(rows, "seq long, key long, n long")
+    aggs = [Agg("sum", F.col("n"), "s"), Agg("count", None, "c")]
+    explode_path = count_window(df, "key", "seq", 100, aggs, slide=3).collect()
+    old = W.MAX_COPIES_PER_ROW
+    try:
+        W.MAX_COPIES_PER_ROW = 1
+        prefix_path = count_window(df, "key", "seq", 100, aggs, slide=3).collect()
+    finally:
+        W.MAX_COPIES_PER_ROW = old
+    assert sorted(explode_path) == sorted(prefix_path)
+    assert len(prefix_path) > 100
