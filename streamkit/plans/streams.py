@@ -26,21 +26,32 @@ from streamkit.streaming.stateful import count_window_stream, rolling_stream
 WATERMARK_DELAY = "1 hour"
 
 
-def drain_to_table(df: DataFrame, name: str) -> DataFrame:
-    """Run a streaming frame over everything available and read back its output."""
+def drain_to_table(df: DataFrame, name: str, state_partitions: int | None = None) -> DataFrame:
+    """Run a streaming frame over everything available and read back its output.
+
+    The stream's state is split into ``state_partitions`` (default: the
+    cluster's default parallelism) -- fixed when a streaming query first
+    starts, so it is set for this query only and restored afterwards.
+    """
     spark = df.sparkSession
     run = f"{name}-{uuid.uuid4().hex[:12]}"
     base = checkpoint_dir(spark)
     out = os.path.join(base, "stream-results", run)
-    query = (
-        df.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", os.path.join(base, "streams", run))
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        query = (
+            df.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", os.path.join(base, "streams", run))
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     if query.exception() is not None:
         raise query.exception()
     return spark.read.parquet(out)
