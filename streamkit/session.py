@@ -61,3 +61,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def streaming_checkpoint(spark: SparkSession, query_name: str) -> str:
     """Per-query streaming checkpoint location under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", query_name)
+
+
+def cluster_conf(total_cores: int, large_state: bool = True) -> dict[str, str]:
+    """Settings for a large cluster (pass as ``extra_conf`` to ``build_session``
+    or to ``spark-submit --conf``).
+
+    * shuffle partitions ~3x the cores; AQE coalesces small ones and splits
+      skewed join partitions at run time;
+    * 256 MB scan splits (the parquet reader splits by row group);
+    * streaming state in RocksDB (off-heap, spills to local disk) with
+      changelog checkpointing, so state larger than memory is fine and
+      checkpoints upload only the changes.
+    """
+    conf = {
+        "spark.sql.shuffle.partitions": str(3 * total_cores),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+    if large_state:
+        conf.update({
+            "spark.sql.streaming.stateStore.providerClass":
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        })
+    return conf
