@@ -106,29 +106,27 @@ def count_window_stream(
         T.StructField("n", T.LongType(), False),
         T.StructField("recent", T.ArrayType(T.LongType()), False),
     ])
-    keep = size if slide is not None else size - 1
-
     def step(key_tuple, pdfs, state):
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable")
-        n, recent = state.get if state.exists else (0, [])
-        recent = list(recent)
-        ends, sums = [], []
-        for v in pdf[value].tolist():
-            n += 1
-            recent.append(int(v))
-            if slide is None:
-                if n % size == 0:
-                    ends.append(n)
-                    sums.append(sum(recent[-size:]))
-                    recent = []
-            else:
-                recent = recent[-size:]
-                if n % slide == 0:
-                    ends.append(n)
-                    sums.append(sum(recent))
-        state.update((n, recent[-keep:] if keep else []))
-        if ends:
-            yield pd.DataFrame({key: [key_tuple[0]] * len(ends), "window_end_count": ends, name: sums})
+        n0, recent = state.get if state.exists else (0, [])
+        new = pdf[value].to_numpy(dtype=np.int64)
+        # ``recent`` holds the values still needed: the current incomplete
+        # group (tumbling) or the last ``size`` values (sliding).
+        vals = np.concatenate([np.asarray(recent, dtype=np.int64), new])
+        sums = np.concatenate([[0], np.cumsum(vals)])
+        ranks = n0 + np.arange(1, len(new) + 1)
+        step_ = size if slide is None else slide
+        fire = np.nonzero(ranks % step_ == 0)[0]
+        pos = len(recent) + fire  # index in vals of each firing row
+        window = sums[pos + 1] - sums[np.maximum(pos + 1 - size, 0)]
+        n = n0 + len(new)
+        if slide is None:
+            keep = vals[len(vals) - (n % size):] if n % size else vals[:0]
+        else:
+            keep = vals[-size:]
+        state.update((int(n), keep.tolist()))
+        if len(fire):
+            yield pd.DataFrame({key: [key_tuple[0]] * len(fire), "window_end_count": ranks[fire], name: window})
 
     return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
                                                   GroupStateTimeout.NoTimeout)

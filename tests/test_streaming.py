@@ -79,3 +79,21 @@ def test_count_windows_stream(spark, tmp_path):
     assert [r.sum for _, rs in run_available(sliding, "cw_slide") for r in rs] == [3, 10, 20]
     tumbling = count_window_stream(parsed, "k", "n", "n", 5)
     assert [r.sum for _, rs in run_available(tumbling, "cw_tumble") for r in rs] == [15]
+
+
+@pytest.mark.parametrize("slide", [None, 2, 3])
+def test_count_window_stream_equals_batch(spark, tmp_path, slide):
+    import random
+
+    from streamkit.operators import count_window
+
+    rng = random.Random(slide or 0)
+    rows = [(rng.choice("abc"), i, rng.randrange(100)) for i in range(1, 60)]
+    src = line_stream(spark, replay_lines([f"{k} {i} {v}" for k, i, v in rows], str(tmp_path / "in")), per_batch=7)
+    parts = F.split("value", " ")
+    parsed = src.select(parts[0].alias("k"), parts[1].cast("long").alias("seq"), parts[2].cast("long").alias("v"))
+    streamed = count_window_stream(parsed, "k", "seq", "v", 5, slide=slide, name="s")
+    got = sorted((r.k, r.window_end_count, r.s) for _, rs in run_available(streamed, f"cw_eq_{slide}") for r in rs)
+    batch_df = spark.createDataFrame(rows, "k string, seq long, v long")
+    want = count_window(batch_df, "k", "seq", 5, [Agg("sum", F.col("v"), "s")], slide=slide, block_rows=None)
+    assert got == sorted((r.k, r.window_end_count, r.s) for r in want.collect())
