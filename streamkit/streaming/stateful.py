@@ -1,4 +1,4 @@
-"""Per-record stateful stream operators: rolling aggregates (R1-R5) and count
+"""Per-record stateful stream operators: rolling aggregates (R1-R6) and count
 windows (W6, W7) via ``applyInPandasWithState``.
 
 State per key is a small accumulator (plus, for sliding count windows, the
@@ -20,6 +20,11 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 _KINDS = {"sum", "count", "max", "min", "fold"}
 
 
+def _py(x):
+    """numpy scalar → Python scalar (state tuples take plain values)."""
+    return x.item() if hasattr(x, "item") else x
+
+
 def rolling_stream(
     df: DataFrame,
     key: str,
@@ -130,3 +135,100 @@ def count_window_stream(
 
     return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
                                                   GroupStateTimeout.NoTimeout)
+
+
+def rolling_extreme_by_stream(
+    df: DataFrame,
+    key: str,
+    order: str,
+    field: str,
+    record: Sequence[str],
+    kind: str = "max",
+    prefix: str = "best_",
+) -> DataFrame:
+    """R5 on a stream: per input row, the record (``record`` columns) holding
+    the key's running max/min of ``field``; the earliest record wins ties."""
+    if kind not in ("max", "min"):
+        raise ValueError("kind is 'max' or 'min'")
+    fields = {f.name: f for f in df.schema.fields}
+    best_fields = [T.StructField(f"{prefix}{c}", fields[c].dataType, True) for c in record]
+    out_schema = T.StructType(list(df.schema.fields) + best_fields)
+    state_schema = T.StructType([T.StructField("v", fields[field].dataType, True)]
+                                + [T.StructField(f"r_{c}", fields[c].dataType, True) for c in record])
+    better = np.greater if kind == "max" else np.less
+    cols = [f.name for f in df.schema.fields]
+
+    def step(_key, pdfs, state):
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
+        v = pdf[field].to_numpy()
+        prior = state.get if state.exists else None
+        # best value *before* each row (state first), then strict improvements only
+        acc = np.maximum.accumulate if kind == "max" else np.minimum.accumulate
+        seed = [prior[0]] if prior is not None else []
+        run = acc(np.concatenate([seed, v])) if len(seed) else acc(v)
+        before = run[:-1] if len(seed) else np.concatenate([[np.nan], run[:-1]])
+        is_new = better(v, before) | (np.isnan(before) if before.dtype.kind == "f" else False)
+        if prior is None:
+            is_new[0] = True
+        idx = np.maximum.accumulate(np.where(is_new, np.arange(len(v)), -1))
+        out = pdf.copy()
+        for i, c in enumerate(record):
+            taken = pdf[c].to_numpy(dtype=object)[np.maximum(idx, 0)]
+            if prior is not None:
+                taken = np.where(idx < 0, prior[1 + i], taken)
+            out[f"{prefix}{c}"] = taken
+        last = idx[-1]
+        if last >= 0:
+            state.update((_py(pdf[field].iloc[last]), *[_py(pdf[c].iloc[last]) for c in record]))
+        yield out[cols + [f"{prefix}{c}" for c in record]]
+
+    return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
+                                                  GroupStateTimeout.NoTimeout)
+
+
+def rolling_reduce_stream(
+    df: DataFrame,
+    key: str,
+    order: str,
+    value: str,
+    field: str,
+    label,
+    step=None,
+    initial=None,
+) -> DataFrame:
+    """R2 / R6 on a stream: one output row per input row.
+
+    Without ``step``: a summing reduce; the key's first record passes through
+    unchanged, later ones carry ``label(key)`` in ``field`` and the running
+    sum in ``value``.  With ``step``: ``value`` becomes ``acc = step(acc, v)``
+    from ``initial`` (an arbitrary Python fold, row by row)."""
+    fields = {f.name: f for f in df.schema.fields}
+    out_schema = df.schema
+    acc_type = fields[value].dataType
+    state_schema = T.StructType([T.StructField("acc", acc_type, True), T.StructField("n", T.LongType(), False)])
+    cols = [f.name for f in df.schema.fields]
+
+    def fold(_key, pdfs, state):
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
+        acc, n = state.get if state.exists else (initial, 0)
+        if step is None:
+            base = acc if acc is not None else 0
+            run = base + np.cumsum(pdf[value].to_numpy())
+            out = pdf.copy()
+            out[value] = run
+            first = (n + np.arange(len(pdf))) == 0
+            out[field] = np.where(first, pdf[field].to_numpy(dtype=object), label(_key[0]))
+            new_acc = run[-1].item()
+        else:
+            results = []
+            for v in pdf[value].tolist():
+                acc = step(acc, v)
+                results.append(acc)
+            out = pdf.copy()
+            out[value] = results
+            new_acc = acc
+        state.update((new_acc, n + len(pdf)))
+        yield out[cols]
+
+    return df.groupBy(key).applyInPandasWithState(fold, out_schema, state_schema, "append",
+                                                  GroupStateTimeout.NoTimeout)

@@ -97,3 +97,41 @@ def test_count_window_stream_equals_batch(spark, tmp_path, slide):
     batch_df = spark.createDataFrame(rows, "k string, seq long, v long")
     want = count_window(batch_df, "k", "seq", 5, [Agg("sum", F.col("v"), "s")], slide=slide, block_rows=None)
     assert got == sorted((r.k, r.window_end_count, r.s) for r in want.collect())
+
+
+def _keyed_lines(spark, tmp_path, rows, per_batch):
+    lines = [f"{k} {i} {v} {t}" for k, i, v, t in rows]
+    src = line_stream(spark, replay_lines(lines, str(tmp_path / "in")), per_batch=per_batch)
+    p = F.split("value", " ")
+    return src.select(p[0].alias("k"), p[1].cast("long").alias("seq"), p[2].cast("long").alias("v"), p[3].alias("t"))
+
+
+def test_rolling_max_by_stream_matches_batch(spark, tmp_path):
+    import random
+
+    from streamkit.operators import rolling_extreme_by
+    from streamkit.streaming import rolling_extreme_by_stream
+
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), i, rng.randrange(10), f"t{i}") for i in range(1, 40)]
+    for kind in ("max", "min"):
+        streamed = rolling_extreme_by_stream(_keyed_lines(spark, tmp_path / kind, rows, 6), "k", "seq", "v", ["t", "v"],
+                                             kind)
+        got = sorted((r.seq, r.best_t, r.best_v) for _, rs in run_available(streamed, f"rmb_{kind}") for r in rs)
+        batch = spark.createDataFrame(rows, "k string, seq long, v long, t string")
+        want = rolling_extreme_by(batch, "k", "seq", "v", ["t", "v"], kind, prefix="best_", block_rows=None)
+        assert got == sorted((r.seq, r.best_t, r.best_v) for r in want.collect())
+
+
+def test_rolling_reduce_and_python_fold_stream(spark, tmp_path):
+    from streamkit.streaming import rolling_reduce_stream
+
+    rows = [("a", 1, 1, "JAVA"), ("a", 2, 1, "JVM"), ("b", 3, 1, "MYSQL"), ("a", 4, 1, "JUC"), ("b", 5, 1, "NIO")]
+    src = _keyed_lines(spark, tmp_path / "r", rows, 2)
+    out = rolling_reduce_stream(src, "k", "seq", "v", "t", label=lambda k: "J" if k == "a" else "N")
+    got = sorted((r.seq, r.t, r.v) for _, rs in run_available(out, "rreduce") for r in rs)
+    assert got == [(1, "JAVA", 1), (2, "J", 2), (3, "MYSQL", 1), (4, "J", 3), (5, "N", 2)]
+    src = _keyed_lines(spark, tmp_path / "f", rows, 2)
+    out = rolling_reduce_stream(src, "k", "seq", "v", "t", label=None, step=lambda acc, v: acc * 2 + v, initial=0)
+    got = sorted((r.seq, r.v) for _, rs in run_available(out, "rfold") for r in rs)
+    assert got == [(1, 1), (2, 3), (3, 1), (4, 7), (5, 3)]
