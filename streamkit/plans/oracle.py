@@ -230,4 +230,11 @@ SELECT event_id, user_id, cents,
             AS BIGINT) AS running_cents
 FROM events_c""",
     "stream_count_tumbling": ORACLE["count_tumbling"],
+    "stream_count_sliding": ORACLE["count_sliding"],
+    "stream_rolling_maxby": f"""WITH {EVENTS},
+b AS (SELECT event_id, user_id,
+             max({{'v': value, 'o': -event_id, 'id': event_id, 't': event_type}})
+               OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best
+      FROM events_c)
+SELECT event_id, user_id, best.id AS best_event_id, best.t AS best_event_type, best.v AS best_value FROM b""",
 })

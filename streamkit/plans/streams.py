@@ -21,7 +21,7 @@ from streamkit.operators.windows import Agg, session_window, time_window
 from streamkit.session import checkpoint_dir
 from streamkit.streaming.event_time import assign_event_time
 from streamkit.streaming.replay import table_stream
-from streamkit.streaming.stateful import count_window_stream, rolling_stream
+from streamkit.streaming.stateful import count_window_stream, rolling_extreme_by_stream, rolling_stream
 
 WATERMARK_DELAY = "1 hour"
 
@@ -106,7 +106,25 @@ def stream_count_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain_to_table(out, "stream_count_tumbling")
 
 
+def stream_rolling_maxby(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 on a stream: per event, the user's record with the highest value so far."""
+    ev = table_stream(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    out = rolling_extreme_by_stream(ev, "user_id", "event_id", "value", ["event_id", "event_type", "value"], "max")
+    return drain_to_table(out, "stream_rolling_maxby").select(
+        "event_id", "user_id", "best_event_id", "best_event_type", "best_value")
+
+
+def stream_count_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 on a stream: per user, after every 2nd event, the cents of the last <= 5."""
+    ev = table_stream(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    out = count_window_stream(ev, "user_id", "event_id", "cents", 5, slide=2, name="cents")
+    return drain_to_table(out, "stream_count_sliding")
+
+
 STREAM_QUERIES = {
+    "stream_rolling_maxby": stream_rolling_maxby,
+    "stream_count_sliding": stream_count_sliding,
     "stream_tumbling_sum": stream_tumbling_sum,
     "stream_sliding_count": stream_sliding_count,
     "stream_session_by_user": stream_session_by_user,
