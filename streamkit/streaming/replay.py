@@ -13,7 +13,6 @@ import time
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
 from pyspark.sql import types as T
 
 from streamkit.functions.time import ntz_to_instant

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from streamkit.functions import random_int
 from streamkit.plans.pipelines import concat_pipeline, growth_table, windowed_word_count
