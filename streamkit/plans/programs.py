@@ -31,7 +31,7 @@ def windowed_word_count(lines: DataFrame, text_col: str = "value", time_col: str
     return time_window(words, "word", "ts", size, [Agg("count", None, "count")], slide=slide)
 
 
-def concat_pipeline(lines: DataFrame, text_col: str = "value", time_col: str | None = None,
+def concat_windows(lines: DataFrame, text_col: str = "value", time_col: str | None = None,
                     order: tuple[str, ...] = (), size="5 seconds", slide="1 second") -> DataFrame:
     """L2: pair each string with its length; one global sliding window
     concatenates the strings in arrival order (time, then ``order``) and sums

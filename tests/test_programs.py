@@ -2,11 +2,11 @@ import datetime as dt
 
 
 from streamkit.functions import random_int
-from streamkit.plans.pipelines import concat_pipeline, growth_table, windowed_word_count
+from streamkit.plans.programs import concat_windows, growth_table, windowed_word_count
 from streamkit.streaming import line_stream, replay_lines, run_available
 
 
-def test_word_count_pipeline_event_time(spark):
+def test_word_count_program_event_time(spark):
     t = dt.datetime(2024, 1, 1, 0, 0, 0)
     df = spark.createDataFrame([("a b a", t), ("b", t + dt.timedelta(seconds=3))], "value string, ts timestamp_ntz")
     out = windowed_word_count(df, time_col="ts").collect()
@@ -17,7 +17,7 @@ def test_word_count_pipeline_event_time(spark):
     assert len(out) == 13  # a: 5 windows; b: t-4 .. t+3 = 8 windows
 
 
-def test_word_count_pipeline_processing_time_stream(spark, tmp_path):
+def test_word_count_program_processing_time_stream(spark, tmp_path):
     src = line_stream(spark, replay_lines(["to be or", "not to be"], str(tmp_path / "in")), per_batch=2)
     out = windowed_word_count(src)
     batches = run_available(out, "proc_time_wc", output_mode="update")
@@ -31,10 +31,10 @@ def test_word_count_pipeline_processing_time_stream(spark, tmp_path):
     assert per_word == {"to": 2, "be": 2, "or": 1, "not": 1}
 
 
-def test_concat_pipeline(spark):
+def test_concat_windows(spark):
     t = dt.datetime(1970, 1, 1, 0, 0, 1)
     df = spark.createDataFrame([(1, "ab", t), (2, "c", t + dt.timedelta(seconds=1))], "seq long, value string, ts timestamp_ntz")
-    out = {r.window_start: (r.concat, r.total_len) for r in concat_pipeline(df, time_col="ts", order=("seq",)).collect()}
+    out = {r.window_start: (r.concat, r.total_len) for r in concat_windows(df, time_col="ts", order=("seq",)).collect()}
     assert out[t - dt.timedelta(seconds=3)] == ("abc", 3)
 
 
