@@ -84,11 +84,13 @@ def connect(first: DataFrame, second: DataFrame) -> Connected:
 def write_split(split_df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append"):
     """Write every routed output in one pass: one partition per output name
     (a row tagged with several names is written to each).  Batch frames are
-    written at once; streaming frames get a ``foreachBatch`` writer to start."""
+    written at once; streaming frames get a ``foreachBatch`` writer to start,
+    writing each micro-batch to its own ``batch=<id>`` folder with overwrite,
+    so a retried micro-batch replaces its output instead of duplicating it."""
     tagged = split_df.withColumn("output", F.explode(F.col(OUTPUTS))).drop(OUTPUTS)
     if tagged.isStreaming:
-        def each_batch(batch: DataFrame, _batch_id: int):
-            batch.write.mode("append").partitionBy("output").format(fmt).save(path)
+        def each_batch(batch: DataFrame, batch_id: int):
+            batch.write.mode("overwrite").partitionBy("output").format(fmt).save(f"{path}/batch={batch_id}")
 
         return tagged.writeStream.foreachBatch(each_batch)
     tagged.write.mode(mode).partitionBy("output").format(fmt).save(path)
@@ -97,4 +99,5 @@ def write_split(split_df: DataFrame, path: str, fmt: str = "parquet", mode: str
 
 def read_output(spark, path: str, name: str, fmt: str = "parquet") -> DataFrame:
     """One routed output back (partition pruning reads only its files)."""
-    return spark.read.format(fmt).load(path).where(F.col("output") == name).drop("output")
+    df = spark.read.format(fmt).load(path)
+    return df.where(F.col("output") == name).drop("output", *(["batch"] if "batch" in df.columns else []))
