@@ -72,3 +72,18 @@ def random_int(bound: int, seed: int | None = None) -> Column:
     """A pseudo-random int in ``[0, bound)`` per row (seeded: reproducible for
     a given partitioning)."""
     return F.floor(F.rand(seed) * bound).cast("int")
+
+
+# Fixed value: line terminators of a text file (CR LF, CR, LF).
+LINE_BREAK = r"\r\n|\r|\n"
+
+
+def text_lines(col) -> Column:
+    """Lines of a text, as a line-oriented file reader yields them: split at
+    CR LF, CR or LF; a final terminator adds no empty line; an empty text
+    has no lines."""
+    c = _col(col)
+    parts = F.split(c, LINE_BREAK, -1)
+    ends_with_break = c.rlike(f"(?:{LINE_BREAK})\\z")
+    trimmed = F.when(ends_with_break, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return F.when(c.isNull(), F.lit(None)).when(c == "", F.array().cast("array<string>")).otherwise(trimmed)

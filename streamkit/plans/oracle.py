@@ -80,6 +80,18 @@ SELECT event_id, split_part(line, ' ', 1) AS key, CAST(split_part(line, ' ', 2)
 FROM (SELECT event_id, concat_ws(' ', event_type, CAST(cents AS VARCHAR)) AS line FROM events_c)""",
     "pair_length": "SELECT doc_id, CAST(length(text) AS INTEGER) AS len FROM documents",
     "csv_sink_format": "SELECT p_partkey, concat_ws('----', lower(p_name), upper(p_name)) AS line FROM part",
+    "document_lines": """
+WITH l AS (
+  SELECT doc_id,
+         CASE WHEN text = '' THEN CAST([] AS VARCHAR[])
+              WHEN regexp_matches(text, '(\r\n|\r|\n)$')
+                THEN list_slice(string_split_regex(text, '\r\n|\r|\n'), 1, -2)
+              ELSE string_split_regex(text, '\r\n|\r|\n') END AS arr
+  FROM documents
+)
+SELECT doc_id, CAST(unnest(generate_series(0, len(arr) - 1)) AS INTEGER) AS line_no, unnest(arr) AS line FROM l""",
+    "text_roundtrip": "SELECT p_name AS value FROM part",
+    "delimited_roundtrip": "SELECT concat_ws('----', lower(p_name), upper(p_name)) AS value FROM part",
     "key_by_letter": f"""WITH {_part_tokens('upper', 'upper')}
 SELECT p_partkey, pos, token, contains(token, 'L') AS key FROM part_tokens""",
     "rolling_sum": f"""WITH {EVENTS}

@@ -15,11 +15,14 @@ Adaptations of the reference's inputs to the tables:
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamkit.functions.growth import compound_growth
-from streamkit.functions.text import cased_tokens, java_split, parse_key_int
+from streamkit.functions.text import cased_tokens, java_split, parse_key_int, text_lines
 from streamkit.operators.keyed import (
     key_by,
     rolling_extreme,
@@ -31,7 +34,10 @@ from streamkit.operators.keyed import (
 from streamkit.operators.routing import connect, first_match_selector, select_outputs, split, union
 from streamkit.operators.transform import flat_map, word_count
 from streamkit.operators.windows import Agg, count_window, session_window, time_window
+from streamkit.session import checkpoint_dir
+from streamkit.sinks.files import write_delimited, write_text
 from streamkit.sources.collection import generate_sequence
+from streamkit.sources.text import read_file, read_text_file
 from streamkit.sources.tables import ensure_parallelism, load_table
 
 # Hot-key block size for the registered keyed scans.  The fixture tables are
@@ -115,6 +121,33 @@ def csv_sink_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", line.alias("line"))
 
 
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/S4 line semantics on whole texts: each document split into its lines."""
+    docs = load_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.posexplode(text_lines(F.col("text"))).alias("line_no", "line"))
+
+
+def _sink_dir(spark, name: str) -> str:
+    return os.path.join(checkpoint_dir(spark), "sink-results", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 + S4: part names written by the text sink (one element per line,
+    refusing an existing target), then read back line by line."""
+    path = _sink_dir(spark, "text")
+    write_text(load_table(spark, sf_dir, "part").select(F.col("p_name").alias("value")), path)
+    return read_text_file(spark, path, with_order=False)
+
+
+def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O4 + S3: ``lower----UPPER`` records, each followed by a blank line, read
+    back through the explicit text input format with the same separator."""
+    path = _sink_dir(spark, "delimited")
+    part = load_table(spark, sf_dir, "part")
+    write_delimited(part, path, [F.lower("p_name"), F.upper("p_name")], row_delim="\n\n", field_delim="----")
+    return read_file(spark, path, line_sep="\n\n").select("value")
+
+
 # -- keying and rolling aggregates -------------------------------------------
 
 def key_by_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,6 +380,9 @@ QUERIES = {
     "parse_pairs": parse_pairs,
     "pair_length": pair_length,
     "csv_sink_format": csv_sink_format,
+    "document_lines": document_lines,
+    "text_roundtrip": text_roundtrip,
+    "delimited_roundtrip": delimited_roundtrip,
     "key_by_letter": key_by_letter,
     "rolling_sum": rolling_sum_q,
     "rolling_reduce": rolling_reduce_q,

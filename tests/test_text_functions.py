@@ -53,3 +53,15 @@ def test_interval_parsing():
     assert interval_micros(1000) == 1_000_000
     with pytest.raises(ValueError):
         interval_micros("soon")
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [("", []), ("a", ["a"]), ("a\nb", ["a", "b"]), ("a\nb\n", ["a", "b"]), ("a\r\nb\rc", ["a", "b", "c"]),
+     ("\n", [""]), ("a\n\nb", ["a", "", "b"])],
+)
+def test_text_lines(spark, text, expected):
+    from streamkit.functions import text_lines
+
+    row = spark.createDataFrame([(text,)], "v string").select(text_lines("v").alias("l")).first()
+    assert row.l == expected
