@@ -208,7 +208,9 @@ class Blocking:
 
     @property
     def partition_cols(self) -> list[str]:
-        return [*self.keys, BLK] if self.hot is not None else list(self.keys)
+        # ``_sk_n`` depends on the key alone, so it does not change the groups;
+        # it lets a filter on hot keys be pushed below the window.
+        return [*self.keys, BLK, _N] if self.hot is not None else list(self.keys)
 
 
 def plan_blocks(df: DataFrame, keys, order, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> Blocking:
