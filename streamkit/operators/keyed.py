@@ -1,8 +1,9 @@
 """Keying and rolling (per-record) keyed aggregates: K1-K3, R1-R6.
 
 A rolling aggregate emits one row per input row: the aggregate of the key's
-rows up to and including it, in an explicit order.  All of them run on
-``keyed_scan`` and so split hot keys across tasks.
+rows up to and including it, in an explicit order.  On bounded frames they
+run on ``keyed_scan`` and so split hot keys across tasks; on streaming
+frames they run the stateful twins in ``streamkit.streaming.stateful``.
 """
 
 from __future__ import annotations
@@ -48,6 +49,20 @@ def _names(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _single(x: str | Sequence[str], what: str) -> str:
+    names = _names(x)
+    if len(names) != 1:
+        raise ValueError(f"on a stream the {what} is one column")
+    return names[0]
+
+
+def _stream():
+    # imported lazily: the streaming twins live in streamkit.streaming
+    from streamkit.streaming import stateful
+
+    return stateful
+
+
 def _carry_first(scans: list[Scan], carry: Sequence[str]) -> list[Scan]:
     return scans + [Scan("first", F.col(c), f"_first_{c}") for c in carry]
 
@@ -70,6 +85,9 @@ def rolling_sum(
     """Running sum of ``value``.  ``carry`` fields take the key's first
     record's value (the non-aggregated fields of the running record)."""
     name = name or value
+    if df.isStreaming:
+        out = _stream().rolling_stream(df, _single(key, "key"), _single(order, "order"), value, "sum", "_run", carry)
+        return out.drop(value).withColumnRenamed("_run", name) if name == value else out.withColumnRenamed("_run", name)
     scans = _carry_first([Scan("sum", F.col(value), "_run")], carry)
     out = keyed_scan(df, _names(key), _names(order), scans, block_rows=block_rows)
     out = out.drop(value).withColumnRenamed("_run", name) if name == value else out.withColumnRenamed("_run", name)
@@ -87,6 +105,10 @@ def rolling_fold(
 ) -> DataFrame:
     """``initial + v1 + ... + vi`` per row (a fold whose step adds)."""
     v = F.col(value) if isinstance(value, str) else value
+    if df.isStreaming:
+        out = _stream().rolling_stream(df.withColumn("_fold_v", v), _single(key, "key"), _single(order, "order"),
+                                       "_fold_v", "fold", name, initial=initial)
+        return out.drop("_fold_v")
     out = keyed_scan(df.withColumn("_fold_v", v), _names(key), _names(order), [Scan("sum", F.col("_fold_v"), "_run")],
                      block_rows=block_rows)
     return out.withColumn(name, F.lit(initial) + F.col("_run")).drop("_run", "_fold_v")
@@ -103,6 +125,10 @@ def rolling_reduce(
 ) -> DataFrame:
     """R2: a summing reduce whose output record replaces ``field`` with
     ``label``; the key's first record passes through unchanged."""
+    if df.isStreaming:
+        out = _stream().rolling_reduce_stream(df.withColumn("_label", label), _single(key, "key"),
+                                              _single(order, "order"), value, field, None, label_col="_label")
+        return out.drop("_label")
     scans = [Scan("sum", F.col(value), "_run"), Scan("count", None, "_rn")]
     out = keyed_scan(df, _names(key), _names(order), scans, block_rows=block_rows)
     first = F.col("_rn") == 1
@@ -127,6 +153,9 @@ def rolling_extreme(
     if kind not in ("max", "min"):
         raise ValueError("kind is 'max' or 'min'")
     name = name or field
+    if df.isStreaming:
+        out = _stream().rolling_stream(df, _single(key, "key"), _single(order, "order"), field, kind, "_ext", carry)
+        return (out.drop(field) if name == field else out).withColumnRenamed("_ext", name)
     scans = _carry_first([Scan(kind, F.col(field), "_ext")], carry)
     out = keyed_scan(df, _names(key), _names(order), scans, block_rows=block_rows)
     out = (out.drop(field) if name == field else out).withColumnRenamed("_ext", name)
@@ -156,6 +185,9 @@ def rolling_extreme_by(
 ) -> DataFrame:
     """The whole record (``record`` columns) holding the running max/min of
     ``field``; on ties the earliest record wins."""
+    if df.isStreaming:
+        return _stream().rolling_extreme_by_stream(df, _single(key, "key"), _single(order, "order"), field,
+                                                   list(record), kind, prefix)
     order = _names(order)
     if kind == "max":
         tie = [_negate(df, o) for o in order]

@@ -195,13 +195,15 @@ def rolling_reduce_stream(
     label,
     step=None,
     initial=None,
+    label_col: str | None = None,
 ) -> DataFrame:
     """R2 / R6 on a stream: one output row per input row.
 
     Without ``step``: a summing reduce; the key's first record passes through
-    unchanged, later ones carry ``label(key)`` in ``field`` and the running
-    sum in ``value``.  With ``step``: ``value`` becomes ``acc = step(acc, v)``
-    from ``initial`` (an arbitrary Python fold, row by row)."""
+    unchanged, later ones carry ``label(key)`` (or the row's ``label_col``) in
+    ``field`` and the running sum in ``value``.  With ``step``: ``value``
+    becomes ``acc = step(acc, v)`` from ``initial`` (an arbitrary Python
+    fold, row by row)."""
     fields = {f.name: f for f in df.schema.fields}
     out_schema = df.schema
     acc_type = fields[value].dataType
@@ -217,7 +219,8 @@ def rolling_reduce_stream(
             out = pdf.copy()
             out[value] = run
             first = (n + np.arange(len(pdf))) == 0
-            out[field] = np.where(first, pdf[field].to_numpy(dtype=object), label(_key[0]))
+            later = pdf[label_col].to_numpy(dtype=object) if label_col else label(_key[0])
+            out[field] = np.where(first, pdf[field].to_numpy(dtype=object), later)
             new_acc = run[-1].item()
         else:
             results = []
