@@ -242,6 +242,9 @@ SELECT event_id, user_id, cents,
             AS BIGINT) AS running_cents
 FROM events_c""",
     "stream_count_tumbling": ORACLE["count_tumbling"],
+    "stream_windowed_word_count": f"""
+SELECT * FROM ({ORACLE['windowed_word_count']})
+WHERE epoch_us(window_end) <= (SELECT (max(doc_id) - 5) * 1000000 FROM documents)""",
     "stream_count_sliding": ORACLE["count_sliding"],
     "stream_rolling_maxby": f"""WITH {EVENTS},
 b AS (SELECT event_id, user_id,

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamkit.functions.time import instant_to_ntz
+from streamkit.plans.programs import windowed_word_count as word_count_windows
 from streamkit.operators.windows import Agg, session_window, time_window
 from streamkit.session import checkpoint_dir
 from streamkit.streaming.event_time import assign_event_time
@@ -122,7 +123,18 @@ def stream_count_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain_to_table(out, "stream_count_sliding")
 
 
+def stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 on a stream: documents arriving one per second (event time
+    ``doc_id`` s, watermark 5 s), words counted in 5 s windows every 1 s."""
+    docs = table_stream(spark, sf_dir, "documents").select(
+        F.timestamp_seconds(F.col("doc_id")).alias("ts"), "text")
+    timed = assign_event_time(docs, "ts", "5 seconds")
+    out = word_count_windows(timed, text_col="text", time_col="ts")
+    return _ntz(drain_to_table(out, "stream_windowed_word_count"), "window_start", "window_end")
+
+
 STREAM_QUERIES = {
+    "stream_windowed_word_count": stream_windowed_word_count,
     "stream_rolling_maxby": stream_rolling_maxby,
     "stream_count_sliding": stream_count_sliding,
     "stream_tumbling_sum": stream_tumbling_sum,
