@@ -148,8 +148,9 @@ class Scan:
             agg = F.last(t, ignorenulls=False)
         return agg.over(wb_excl).alias(self._p)
 
-    def combine(self, w_frame: Window, w_order: Window) -> Column:
-        local = self.plain(w_frame, w_order)
+    def combine(self, local: Column, first_in_block: Column) -> Column:
+        """The final running value from this row's in-block value ``local``
+        (computed once, as a column) and the prefix of the earlier blocks."""
         p = F.col(self._p)
         if self.kind == "count":
             return F.coalesce(p, F.lit(0)) + local
@@ -162,7 +163,6 @@ class Scan:
         if self.kind == "first":
             # Cold keys and a hot key's first block have no earlier block.
             return F.when(F.coalesce(F.col(_FB), F.lit(True)), local).otherwise(p)
-        first_in_block = F.row_number().over(w_order) == 1
         return F.when(first_in_block, p).otherwise(local)
 
 
@@ -365,8 +365,13 @@ def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFr
     wb_excl = wb.rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(*keys, BLK, (F.row_number().over(wb) == 1).alias(_FB), *[s.prefix(wb_excl) for s in scans])
     joined = null_safe_join(df, _maybe_broadcast(prefix, blocking), keys, "left", extra=(BLK,))
-    out = joined.select(*df.columns, *[s.combine(w_frame, w_order).alias(s.name) for s in scans])
-    return out
+    # In-block values first (one window expression each), then the combine.
+    local = joined.select(
+        "*", *[s.plain(w_frame, w_order).alias(f"_sk_l_{s.name}") for s in scans],
+        (F.row_number().over(w_order) == 1).alias("_sk_first_row"),
+    )
+    return local.select(*df.columns, *[s.combine(F.col(f"_sk_l_{s.name}"), F.col("_sk_first_row")).alias(s.name)
+                                       for s in scans])
 
 
 def _struct_lead(df: DataFrame, scan: Scan) -> Column | None:
