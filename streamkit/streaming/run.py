@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row
@@ -17,10 +18,12 @@ def start_query(
     trigger: dict | None = None,
     options: dict[str, str] | None = None,
     foreach_batch: Callable[[DataFrame, int], None] | None = None,
+    checkpoint_name: str | None = None,
 ):
-    """Start ``df`` with a checkpoint under the shared checkpoint folder."""
+    """Start ``df`` with a checkpoint under the shared checkpoint folder.
+    A restarted query with the same name resumes from its checkpoint."""
     writer = df.writeStream.queryName(name).outputMode(output_mode)
-    writer = writer.option("checkpointLocation", streaming_checkpoint(df.sparkSession, name))
+    writer = writer.option("checkpointLocation", streaming_checkpoint(df.sparkSession, checkpoint_name or name))
     if foreach_batch is not None:
         writer = writer.foreachBatch(foreach_batch)
     else:
@@ -41,7 +44,8 @@ def run_available(df: DataFrame, name: str, output_mode: str = "append", progres
     def capture(batch: DataFrame, batch_id: int):
         batches.append((batch_id, batch.collect()))
 
-    query = start_query(df, name, output_mode, foreach_batch=capture)
+    # a fresh checkpoint per run: a replay always starts from the beginning
+    query = start_query(df, name, output_mode, foreach_batch=capture, checkpoint_name=f"{name}-{uuid.uuid4().hex[:12]}")
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
