@@ -3,7 +3,7 @@
 Each function takes ``(spark, sf_dir)`` and returns a DataFrame whose
 columns match the DuckDB oracle in ``streamkit.plans.oracle``.
 
-Adaptations of the reference's inputs to the tables:
+Adaptations of the original programs' inputs to the tables:
 * two-token lines → ``part.p_name`` (e.g. ``small ring``);
 * the word-count socket → ``documents.text``, arriving one document per
   second (``ts = doc_id`` seconds) for the windowed variant;
