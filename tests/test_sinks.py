@@ -77,3 +77,23 @@ def test_socket_sink_with_fake_connection(lines_df, tmp_path):
 
 def test_print_rows(lines_df):
     print_rows(lines_df.select("value"), parallelism=1)
+
+
+def test_print_sinks_on_streams(spark, tmp_path):
+    from streamkit.sinks import print_to_err
+    from streamkit.session import streaming_checkpoint
+    from streamkit.streaming import line_stream, replay_lines
+
+    src = line_stream(spark, replay_lines(["a", "b"], str(tmp_path / "in")), per_batch=2)
+    for name, writer in (("print_out", print_rows(src)), ("print_err", print_to_err(src))):
+        q = writer.option("checkpointLocation", streaming_checkpoint(spark, f"{name}-{tmp_path.name}")) \
+            .trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert q.exception() is None
+
+
+def test_socket_source_newline_only(spark):
+    from streamkit.sources import socket_text_stream
+
+    with pytest.raises(ValueError):
+        socket_text_stream(spark, "localhost", 9, delimiter=";")
