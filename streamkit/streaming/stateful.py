@@ -2,9 +2,14 @@
 windows (W6, W7) via ``applyInPandasWithState``.
 
 State per key is a small accumulator (plus, for sliding count windows, the
-last ``size`` values).  Each micro-batch's rows of a key are sorted by the
-order column before folding; order across micro-batches is arrival order
-(rows arriving in a later batch cannot be moved before earlier ones).
+last ``size`` values).  Within a micro-batch a key's rows reach the state
+function in shuffle order, not in the order column's order, and a stream
+cannot be sorted before a stateful operator; so a key's rows of one
+micro-batch are gathered and sorted before folding.  Memory therefore holds
+one key's rows of one micro-batch: cap micro-batches with the source's rate
+limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).  Across
+micro-batches the order is arrival order: a row arriving in a later batch
+cannot be moved before rows already folded.
 """
 
 from __future__ import annotations
@@ -25,6 +30,13 @@ def _py(x):
     return x.item() if hasattr(x, "item") else x
 
 
+def _batch_rows(pdfs, order: str):
+    """The key's rows of this micro-batch, sorted by ``order`` (one frame)."""
+    frames = [pdf for pdf in pdfs if len(pdf)]
+    if frames:
+        yield pd.concat(frames, ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
+
+
 def rolling_stream(
     df: DataFrame,
     key: str,
@@ -55,35 +67,29 @@ def rolling_stream(
         + [T.StructField(f"first_{c}", fields[c].dataType, True) for c in carry]
     )
     cols = [f.name for f in out_fields]
+    ext = np.maximum.accumulate if kind == "max" else np.minimum.accumulate
 
     def step(_key, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable")
-        if state.exists:
-            acc, n, *firsts = state.get
-        else:
-            acc, n = None, 0
-            firsts = [pdf[c].iloc[0] for c in carry]
-        if kind == "count":
-            run = n + np.arange(1, len(pdf) + 1)
-            new_acc = int(run[-1])
-        else:
-            v = pdf[value].to_numpy()
-            if kind in ("sum", "fold"):
-                base = (acc if acc is not None else (initial if kind == "fold" else 0))
-                run = base + np.cumsum(v)
-            elif kind == "max":
-                run = np.maximum.accumulate(v if acc is None else np.concatenate([[acc], v]))
-                run = run if acc is None else run[1:]
+        acc, n, firsts = (state.get[0], state.get[1], list(state.get[2:])) if state.exists else (None, 0, None)
+        for pdf in _batch_rows(pdfs, order):
+            if firsts is None:
+                firsts = [_py(pdf[c].iloc[0]) for c in carry]
+            if kind == "count":
+                run = n + np.arange(1, len(pdf) + 1)
+            elif kind in ("sum", "fold"):
+                base = acc if acc is not None else (initial if kind == "fold" else 0)
+                run = base + np.cumsum(pdf[value].to_numpy())
             else:
-                run = np.minimum.accumulate(v if acc is None else np.concatenate([[acc], v]))
-                run = run if acc is None else run[1:]
-            new_acc = run[-1].item() if hasattr(run[-1], "item") else run[-1]
-        out = pdf.copy()
-        for c, f in zip(carry, firsts):
-            out[c] = f
-        out[name] = run
-        state.update((new_acc, n + len(pdf), *firsts))
-        yield out[cols + [name]]
+                v = pdf[value].to_numpy()
+                run = ext(v) if acc is None else ext(np.concatenate([[acc], v]))[1:]
+            out = pdf.copy()
+            for c, f in zip(carry, firsts):
+                out[c] = f
+            out[name] = run
+            acc, n = _py(run[-1]), n + len(pdf)
+            yield out[cols + [name]]
+        if firsts is not None:
+            state.update((acc, n, *firsts))
 
     return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
                                                   GroupStateTimeout.NoTimeout)
@@ -111,27 +117,29 @@ def count_window_stream(
         T.StructField("n", T.LongType(), False),
         T.StructField("recent", T.ArrayType(T.LongType()), False),
     ])
+    every = size if slide is None else slide
+
     def step(key_tuple, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable")
-        n0, recent = state.get if state.exists else (0, [])
-        new = pdf[value].to_numpy(dtype=np.int64)
-        # ``recent`` holds the values still needed: the current incomplete
-        # group (tumbling) or the last ``size`` values (sliding).
-        vals = np.concatenate([np.asarray(recent, dtype=np.int64), new])
-        sums = np.concatenate([[0], np.cumsum(vals)])
-        ranks = n0 + np.arange(1, len(new) + 1)
-        step_ = size if slide is None else slide
-        fire = np.nonzero(ranks % step_ == 0)[0]
-        pos = len(recent) + fire  # index in vals of each firing row
-        window = sums[pos + 1] - sums[np.maximum(pos + 1 - size, 0)]
-        n = n0 + len(new)
-        if slide is None:
-            keep = vals[len(vals) - (n % size):] if n % size else vals[:0]
-        else:
-            keep = vals[-size:]
-        state.update((int(n), keep.tolist()))
-        if len(fire):
-            yield pd.DataFrame({key: [key_tuple[0]] * len(fire), "window_end_count": ranks[fire], name: window})
+        n, recent = state.get if state.exists else (0, [])
+        recent = np.asarray(recent, dtype=np.int64)
+        for pdf in _batch_rows(pdfs, order):
+            # ``recent`` holds the values still needed: the current incomplete
+            # group (tumbling) or the last ``size`` values (sliding).
+            new = pdf[value].to_numpy(dtype=np.int64)
+            vals = np.concatenate([recent, new])
+            sums = np.concatenate([[0], np.cumsum(vals)])
+            ranks = n + np.arange(1, len(new) + 1)
+            fire = np.nonzero(ranks % every == 0)[0]
+            pos = len(recent) + fire  # index in vals of each firing row
+            window = sums[pos + 1] - sums[np.maximum(pos + 1 - size, 0)]
+            n += len(new)
+            if slide is None:
+                recent = vals[len(vals) - (n % size):] if n % size else vals[:0]
+            else:
+                recent = vals[-size:]
+            if len(fire):
+                yield pd.DataFrame({key: [key_tuple[0]] * len(fire), "window_end_count": ranks[fire], name: window})
+        state.update((int(n), recent.tolist()))
 
     return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
                                                   GroupStateTimeout.NoTimeout)
@@ -156,31 +164,33 @@ def rolling_extreme_by_stream(
     state_schema = T.StructType([T.StructField("v", fields[field].dataType, True)]
                                 + [T.StructField(f"r_{c}", fields[c].dataType, True) for c in record])
     better = np.greater if kind == "max" else np.less
+    acc = np.maximum.accumulate if kind == "max" else np.minimum.accumulate
     cols = [f.name for f in df.schema.fields]
 
     def step(_key, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
-        v = pdf[field].to_numpy()
-        prior = state.get if state.exists else None
-        # best value *before* each row (state first), then strict improvements only
-        acc = np.maximum.accumulate if kind == "max" else np.minimum.accumulate
-        seed = [prior[0]] if prior is not None else []
-        run = acc(np.concatenate([seed, v])) if len(seed) else acc(v)
-        before = run[:-1] if len(seed) else np.concatenate([[np.nan], run[:-1]])
-        is_new = better(v, before) | (np.isnan(before) if before.dtype.kind == "f" else False)
-        if prior is None:
-            is_new[0] = True
-        idx = np.maximum.accumulate(np.where(is_new, np.arange(len(v)), -1))
-        out = pdf.copy()
-        for i, c in enumerate(record):
-            taken = pdf[c].to_numpy(dtype=object)[np.maximum(idx, 0)]
-            if prior is not None:
-                taken = np.where(idx < 0, prior[1 + i], taken)
-            out[f"{prefix}{c}"] = taken
-        last = idx[-1]
-        if last >= 0:
-            state.update((_py(pdf[field].iloc[last]), *[_py(pdf[c].iloc[last]) for c in record]))
-        yield out[cols + [f"{prefix}{c}" for c in record]]
+        best = tuple(state.get) if state.exists else None  # (value, *record)
+        for pdf in _batch_rows(pdfs, order):
+            v = pdf[field].to_numpy()
+            if best is None:
+                before = np.concatenate([[v[0]], acc(v)[:-1]])
+                is_new = better(v, before)
+                is_new[0] = True
+            else:
+                before = acc(np.concatenate([[best[0]], v]))[:-1]
+                is_new = better(v, before)
+            # index of the last strict improvement up to each row (-1: the state's record)
+            idx = np.maximum.accumulate(np.where(is_new, np.arange(len(v)), -1))
+            out = pdf.copy()
+            for i, c in enumerate(record):
+                taken = pdf[c].to_numpy(dtype=object)[np.maximum(idx, 0)]
+                if best is not None:
+                    taken = np.where(idx < 0, best[1 + i], taken)
+                out[f"{prefix}{c}"] = taken
+            if idx[-1] >= 0:
+                best = (_py(pdf[field].iloc[idx[-1]]), *[_py(pdf[c].iloc[idx[-1]]) for c in record])
+            yield out[cols + [f"{prefix}{c}" for c in record]]
+        if best is not None:
+            state.update(best)
 
     return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
                                                   GroupStateTimeout.NoTimeout)
@@ -205,33 +215,30 @@ def rolling_reduce_stream(
     becomes ``acc = step(acc, v)`` from ``initial`` (an arbitrary Python
     fold, row by row)."""
     fields = {f.name: f for f in df.schema.fields}
-    out_schema = df.schema
     acc_type = fields[value].dataType
     state_schema = T.StructType([T.StructField("acc", acc_type, True), T.StructField("n", T.LongType(), False)])
     cols = [f.name for f in df.schema.fields]
 
-    def fold(_key, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
+    def fold(key_tuple, pdfs, state):
         acc, n = state.get if state.exists else (initial, 0)
-        if step is None:
-            base = acc if acc is not None else 0
-            run = base + np.cumsum(pdf[value].to_numpy())
-            out = pdf.copy()
-            out[value] = run
-            first = (n + np.arange(len(pdf))) == 0
-            later = pdf[label_col].to_numpy(dtype=object) if label_col else label(_key[0])
-            out[field] = np.where(first, pdf[field].to_numpy(dtype=object), later)
-            new_acc = run[-1].item()
-        else:
-            results = []
-            for v in pdf[value].tolist():
-                acc = step(acc, v)
-                results.append(acc)
+        for pdf in _batch_rows(pdfs, order):
             out = pdf.copy()
-            out[value] = results
-            new_acc = acc
-        state.update((new_acc, n + len(pdf)))
-        yield out[cols]
-
-    return df.groupBy(key).applyInPandasWithState(fold, out_schema, state_schema, "append",
+            if step is None:
+                run = (acc if acc is not None else 0) + np.cumsum(pdf[value].to_numpy())
+                first = (n + np.arange(len(pdf))) == 0
+                later = pdf[label_col].to_numpy(dtype=object) if label_col else label(key_tuple[0])
+                out[value] = run
+                out[field] = np.where(first, pdf[field].to_numpy(dtype=object), later)
+                acc = _py(run[-1])
+            else:
+                results = []
+                for v in pdf[value].tolist():
+                    acc = step(acc, v)
+                    results.append(acc)
+                out[value] = results
+            n += len(pdf)
+            yield out[cols]
+        state.update((acc, n))
+
+    return df.groupBy(key).applyInPandasWithState(fold, df.schema, state_schema, "append",
                                                   GroupStateTimeout.NoTimeout)
