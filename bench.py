@@ -43,25 +43,30 @@ def main():
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = build_session(f"local[{cpus}]", "streamkit-bench", shuffle_partitions=cpus,
                           extra_conf={"spark.driver.memory": "16g"})
-    timings = {}
+    timings, errors = {}, {}
     for name in names:
         def once():
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        once()  # warm-up: JIT, file listing, broadcast of small side tables
-        timings[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        try:
+            once()  # warm-up: JIT, file listing, broadcast of small side tables
+            timings[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        except Exception as exc:  # noqa: BLE001 - report and go on with the other queries
+            timings[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "total_median_sec",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(v for v in timings.values() if v is not None), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "runs": runs,
         "spark": spark.version,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
