@@ -98,6 +98,11 @@ SELECT p_partkey, pos, token, contains(token, 'L') AS key FROM part_tokens""",
 SELECT event_id, has_c,
        first_value(event_type) {ROLL} AS event_type,
        CAST(sum(cents) {ROLL} AS BIGINT) AS cents
+FROM events_c""",
+    "rolling_sum_global": f"""WITH {EVENTS}
+SELECT event_id, cents, 1 AS key,
+       CAST(sum(cents) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+         AS running_cents
 FROM events_c""",
     "rolling_reduce": f"""WITH {EVENTS}
 SELECT event_id, has_c,

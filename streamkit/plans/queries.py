@@ -162,6 +162,13 @@ def rolling_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling_sum(ev, "has_c", "event_id", "cents", carry=["event_type"], block_rows=SKEW_BLOCK_ROWS)
 
 
+def rolling_sum_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + R1: a constant key (one global group holding every row, the
+    extreme hot key) with a running sum of cents in event order."""
+    ev = key_by(_events(spark, sf_dir).select("event_id", "cents"), F.lit(1), "key")
+    return rolling_sum(ev, "key", "event_id", "cents", name="running_cents", block_rows=SKEW_BLOCK_ROWS)
+
+
 def rolling_reduce_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: summing reduce; later records are labelled 'c' / 'n' by key."""
     ev = _events(spark, sf_dir).select("event_id", "has_c", "event_type", "cents")
@@ -385,6 +392,7 @@ QUERIES = {
     "delimited_roundtrip": delimited_roundtrip,
     "key_by_letter": key_by_letter,
     "rolling_sum": rolling_sum_q,
+    "rolling_sum_global": rolling_sum_global,
     "rolling_reduce": rolling_reduce_q,
     "rolling_fold": rolling_fold_q,
     "rolling_max": rolling_max_q,
