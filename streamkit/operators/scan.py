@@ -205,29 +205,34 @@ class Blocking:
     hot: DataFrame | None = None
     n_blocks: int = 0
     splits: list | None = None
+    global_stats: tuple | None = None  # keys=[]: (n, lo, hi, 0) of the one group
+    global_nb: int | None = None  # keys=[] without cut points: equal-width block count
+
+    @property
+    def blocked(self) -> bool:
+        return self.hot is not None or self.global_stats is not None
 
     @property
     def partition_cols(self) -> list[str]:
         # ``_sk_n`` depends on the key alone, so it does not change the groups;
         # it lets a filter on hot keys be pushed below the window.
-        return [*self.keys, BLK, _N] if self.hot is not None else list(self.keys)
+        return [*self.keys, BLK, _N] if self.blocked else list(self.keys)
 
 
 def plan_blocks(df: DataFrame, keys, order, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> Blocking:
     """Find the hot keys of ``df`` and where to cut them (two small jobs:
     per-key counts, then approximate quantiles of the hot keys' order)."""
     keys, order = list(keys), list(order)
-    if not keys:
-        raise ValueError("a keyed scan needs at least one key column")
     blocking = Blocking(keys, order)
     if block_rows is None or df.isStreaming:
         return blocking
     onum = _order_numeric(df, order[0])
     if onum is None:
         return blocking
+    # keys=[] is one global group (a constant key): a plain global aggregate
+    grouped = df.groupBy(*keys) if keys else df.groupBy()
     stats = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(_N), F.min(onum).alias(_LO), F.max(onum).alias(_HI))
+        grouped.agg(F.count(F.lit(1)).alias(_N), F.min(onum).alias(_LO), F.max(onum).alias(_HI))
         .where(F.col(_N) > block_rows)
     )
     hot_rows = stats.limit(MAX_BROADCAST_ROWS + 1).collect()
@@ -239,6 +244,12 @@ def plan_blocks(df: DataFrame, keys, order, block_rows: int | None = DEFAULT_BLO
     if len(hot_rows) > MAX_BROADCAST_ROWS or n_blocks + per_key * len(hot_rows) > MAX_SPLITS:
         # Too many hot keys to ship their cut points: equal-width blocks over
         # each key's order range, the key table kept distributed.
+        if not keys:
+            r = hot_rows[0]
+            blocking.global_stats = (r[_N], r[_LO], r[_HI], 0)
+            blocking.global_nb = _blocks_for(r[_N], block_rows)
+            blocking.n_blocks = blocking.global_nb
+            return blocking
         nb = (F.ceil(F.col(_N) / F.lit(block_rows)) * OVERSAMPLE).cast("long")
         blocking.hot = stats.withColumn(_NB, nb)
         blocking.n_blocks = MAX_BROADCAST_ROWS + 1
@@ -247,12 +258,18 @@ def plan_blocks(df: DataFrame, keys, order, block_rows: int | None = DEFAULT_BLO
     spark = df.sparkSession
     hot_keys = spark.createDataFrame(hot_rows, stats.schema)
     probs = [i / per_key for i in range(1, per_key)]
-    cuts = (
-        null_safe_join(df.select(*keys, onum.alias("_sk_o")), F.broadcast(hot_keys.select(*keys)), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx("_sk_o", probs, QUANTILE_ACCURACY).alias(_Q))
-    )
-    hot = null_safe_join(hot_keys, F.broadcast(cuts), keys, "left").collect()
+    sketch = F.percentile_approx("_sk_o", probs, QUANTILE_ACCURACY).alias(_Q)
+    if keys:
+        cuts = (
+            null_safe_join(df.select(*keys, onum.alias("_sk_o")), F.broadcast(hot_keys.select(*keys)), keys,
+                           "left_semi")
+            .groupBy(*keys)
+            .agg(sketch)
+        )
+        hot = null_safe_join(hot_keys, F.broadcast(cuts), keys, "left").collect()
+    else:
+        q = df.select(onum.alias("_sk_o")).agg(sketch).first()[_Q]
+        hot = [{**hot_rows[0].asDict(), _Q: q}]
     # Key i's order is mapped into [i, i+1); its cut points are the quantiles,
     # each quantile segment further cut into equal-width pieces so that the
     # key gets about ceil(n / block_rows) * OVERSAMPLE blocks.
@@ -277,7 +294,8 @@ def plan_blocks(df: DataFrame, keys, order, block_rows: int | None = DEFAULT_BLO
     splits.append(float("inf"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema.fields if f.name in keys]
                        + [f"{_N} bigint", f"{_LO} double", f"{_HI} double", f"{_IDX} bigint"])
-    blocking.hot = F.broadcast(spark.createDataFrame(rows, schema))
+    blocking.hot = F.broadcast(spark.createDataFrame(rows, schema)) if keys else None
+    blocking.global_stats = rows[0] if not keys else None
     blocking.splits = splits
     blocking.n_blocks = len(splits)
     return blocking
@@ -289,13 +307,20 @@ def _blocks_for(n: int, block_rows: int) -> int:
 
 def with_blocks(df: DataFrame, blocking: Blocking) -> DataFrame:
     """``df`` plus the block column (and ``_sk_n``, non-null on hot keys)."""
-    if blocking.hot is None:
+    if not blocking.blocked:
         return df
     onum = _order_numeric(df, blocking.order[0])
     zero = F.lit(0).cast("long")
-    tagged = null_safe_join(df, blocking.hot, blocking.keys, "left")
+    if blocking.global_stats is not None:
+        # one global group: its statistics are constants, no join needed
+        n, lo, hi, idx = blocking.global_stats
+        tagged = df.select("*", F.lit(n).cast("long").alias(_N), F.lit(lo).cast("double").alias(_LO),
+                           F.lit(hi).cast("double").alias(_HI), F.lit(idx).cast("long").alias(_IDX),
+                           F.lit(blocking.global_nb or 0).cast("long").alias(_NB))
+    else:
+        tagged = null_safe_join(df, blocking.hot, blocking.keys, "left")
     if blocking.splits:
-        from pyspark.ml.feature import Bucketizer
+        from pyspark.ml.feature import Bucketizer  # noqa: PLC0415
 
         # Binary search of the cut points (a compiled JVM function).  Null
         # orders sort first: they go to the key's first block.
@@ -325,7 +350,7 @@ def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFr
     parts = blocking.partition_cols
     w_frame = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_order = Window.partitionBy(*parts).orderBy(*order)
-    if blocking.hot is None:
+    if not blocking.blocked:
         return df.select("*", *[s.plain(w_frame, w_order).alias(s.name) for s in scans])
 
     hot_rows = df.where(F.col(_N).isNotNull())
@@ -361,7 +386,8 @@ def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFr
         picked_totals = cand.groupBy(*keys, BLK).agg(*aggs)
         totals = null_safe_join(totals.drop(*[f"_sk_e_{n}" for n in leads]),
                                 _maybe_broadcast(picked_totals, blocking), keys, "left", extra=(BLK,))
-    wb = Window.partitionBy(*keys).orderBy(BLK)
+    # the prefix runs over one row per block (per key)
+    wb = (Window.partitionBy(*keys) if keys else Window).orderBy(BLK)
     wb_excl = wb.rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(*keys, BLK, (F.row_number().over(wb) == 1).alias(_FB), *[s.prefix(wb_excl) for s in scans])
     joined = null_safe_join(df, _maybe_broadcast(prefix, blocking), keys, "left", extra=(BLK,))

@@ -164,9 +164,11 @@ def rolling_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rolling_sum_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 + R1: a constant key (one global group holding every row, the
-    extreme hot key) with a running sum of cents in event order."""
-    ev = key_by(_events(spark, sf_dir).select("event_id", "cents"), F.lit(1), "key")
-    return rolling_sum(ev, "key", "event_id", "cents", name="running_cents", block_rows=SKEW_BLOCK_ROWS)
+    extreme hot key) with a running sum of cents in event order.  A constant
+    key is no key: the scan runs over one group, split into blocks."""
+    ev = _events(spark, sf_dir).select("event_id", "cents")
+    out = rolling_sum(ev, [], "event_id", "cents", name="running_cents", block_rows=SKEW_BLOCK_ROWS)
+    return key_by(out, F.lit(1), "key")
 
 
 def rolling_reduce_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,3 +126,26 @@ def test_bursty_hot_key_blocks_stay_balanced(spark):
     a = keyed_scan(df, ["key"], ["seq"], scans(), block_rows=2_000)
     b = keyed_scan(df, ["key"], ["seq"], scans(), block_rows=None)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_global_group_scan_has_no_joins_on_keys(spark):
+    """keys=[]: one group holding every row (a constant key) -- split into
+    blocks all the same, attached without any join."""
+    import streamkit.operators.scan as sc
+
+    df = spark.range(3_000).select(((F.col("id") * 7919) % 3_001).alias("seq"), (F.col("id") % 13).alias("v"),
+                                   F.concat(F.lit("t"), F.col("id").cast("string")).alias("t"))
+    scans = lambda: [Scan("sum", "v", "s"), Scan("first", "t", "f"), Scan("prev", "t", "p")]
+    blocked = keyed_scan(df, [], ["seq"], scans(), block_rows=200)
+    plain = keyed_scan(df, [], ["seq"], scans(), block_rows=None)
+    assert blocked.exceptAll(plain).count() == 0 and plain.exceptAll(blocked).count() == 0
+    blocked.write.format("noop").mode("overwrite").save()
+    plan = blocked._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    old = sc.MAX_SPLITS
+    try:  # the equal-width fallback, too
+        sc.MAX_SPLITS = 10
+        fallback = keyed_scan(df, [], ["seq"], scans(), block_rows=200)
+        assert fallback.exceptAll(plain).count() == 0
+    finally:
+        sc.MAX_SPLITS = old
