@@ -99,3 +99,17 @@ def test_rolling_max_by_matches_original(spark, rows):
         if k not in best or v > rows[best[k]][1]:  # only a strictly greater value replaces the record
             best[k] = i
         assert got[i] == best[k]
+
+
+def test_global_count_windows_and_sessions(spark):
+    """key=None: one group over all rows (blocked all the same)."""
+    values = [(i * 37) % 101 for i in range(1, 300)]
+    df = spark.createDataFrame([(i, v, T0 + dt.timedelta(seconds=(i * i) % 977)) for i, v in enumerate(values, 1)],
+                               "seq long, v long, ts timestamp_ntz")
+    got = sorted((r.window_end_count, r.s) for r in
+                 count_window(df, None, "seq", 7, [Agg("sum", F.col("v"), "s")], slide=3, block_rows=40).collect())
+    assert got == count_windows_like_the_original(values, 7, 3)
+    out = session_window(df, None, "ts", "4 seconds", [Agg("count", None, "n")], tiebreak=("seq",), block_rows=40)
+    got = sorted((int((r.session_start - T0).total_seconds()), int((r.session_end - T0).total_seconds()), r.n)
+                 for r in out.collect())
+    assert got == sessions_like_the_original([(i * i) % 977 for i in range(1, 300)], 4)
