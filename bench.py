@@ -9,6 +9,7 @@ runs.  Prints one JSON line.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import statistics
@@ -50,6 +51,10 @@ def main():
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
+        # between queries (untimed): drop the previous query's objects so the
+        # JVM frees its heap and the context cleaner removes its shuffle files
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
         try:
             once()  # warm-up: JIT, file listing, broadcast of small side tables
             timings[name] = round(statistics.median(once() for _ in range(runs)), 3)
