@@ -186,3 +186,15 @@ def test_stateful_operators_across_arrow_chunks(spark, tmp_path):
             assert got == want, name
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_connect_co_map_on_streams(spark, tmp_path):
+    from streamkit.operators import connect
+
+    words = line_stream(spark, replay_lines(["Spring", "Redis"], str(tmp_path / "w")))
+    nums = line_stream(spark, replay_lines(["1", "2", "3"], str(tmp_path / "n")))
+    nums = nums.select(F.col("value").cast("int").alias("i"))
+    out = connect(words, nums).co_map(lambda d: F.lower(d["value"]), lambda d: d["i"] * 10)
+    rows = [r for _, rs in run_available(out, "co_map_stream") for r in rs]
+    assert sorted(r.v1 for r in rows if r.side == 1) == ["redis", "spring"]
+    assert sorted(r.v2 for r in rows if r.side == 2) == [10, 20, 30]
