@@ -164,12 +164,16 @@ def count_window(
     keys = _keys(key)
     orders = [order] if isinstance(order, str) else list(order)
     if df.isStreaming:
-        if len(keys) != 1 or len(orders) != 1 or len(aggs) != 1 or aggs[0].kind != "sum":
-            raise ValueError("count windows on a stream take one key, one order column and one sum")
+        if len(keys) != 1 or len(orders) != 1 or len(aggs) != 1 or aggs[0].kind not in (
+                "sum", "count", "fold", "max", "min"):
+            raise ValueError("count windows on a stream take one key, one order column and one "
+                             "sum / count / fold / max / min")
         from streamkit.streaming.stateful import count_window_stream
 
-        staged = df.withColumn("_cw_v", aggs[0].col)
-        return count_window_stream(staged, keys[0], orders[0], "_cw_v", size, slide, name=aggs[0].name)
+        agg = aggs[0]
+        staged = df.withColumn("_cw_v", agg.col if agg.col is not None else F.lit(1))
+        return count_window_stream(staged, keys[0], orders[0], "_cw_v", size, slide, name=agg.name, kind=agg.kind,
+                                   initial=agg.initial)
     ranked = keyed_scan(df, keys, orders, [Scan("count", None, "_rn")], block_rows=block_rows)
     if slide is None:
         grp = F.floor((F.col("_rn") - 1) / size).cast("long")

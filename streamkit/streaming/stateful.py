@@ -103,35 +103,52 @@ def count_window_stream(
     size: int,
     slide: int | None = None,
     name: str = "sum",
+    kind: str = "sum",
+    initial: float | int = 0,
 ) -> DataFrame:
     """Count windows per key on a stream: tumbling (``slide`` None) emits the
-    sum of every ``size`` consecutive values; sliding emits, after every
-    ``slide``-th value, the sum of the last ``<= size`` values."""
+    aggregate of every ``size`` consecutive values; sliding emits, after every
+    ``slide``-th value, the aggregate of the last ``<= size`` values.
+    ``kind``: ``sum`` | ``count`` | ``fold`` (``initial + sum``) | ``max`` | ``min``."""
+    if kind not in ("sum", "count", "fold", "max", "min"):
+        raise ValueError("kind is one of sum, count, fold, max, min")
     key_type = df.schema[key].dataType
+    vtype = df.schema[value].dataType
+    fractional = isinstance(vtype, (T.FloatType, T.DoubleType, T.DecimalType))
+    buf_type = T.DoubleType() if fractional else T.LongType()
+    out_type = T.LongType() if kind == "count" else buf_type
     out_schema = T.StructType([
         T.StructField(key, key_type, True),
         T.StructField("window_end_count", T.LongType(), False),
-        T.StructField(name, T.LongType(), True),
+        T.StructField(name, out_type, True),
     ])
     state_schema = T.StructType([
         T.StructField("n", T.LongType(), False),
-        T.StructField("recent", T.ArrayType(T.LongType()), False),
+        T.StructField("recent", T.ArrayType(buf_type), False),
     ])
     every = size if slide is None else slide
+    np_type = np.float64 if fractional else np.int64
 
     def step(key_tuple, pdfs, state):
         n, recent = state.get if state.exists else (0, [])
-        recent = np.asarray(recent, dtype=np.int64)
+        recent = np.asarray(recent, dtype=np_type)
         for pdf in _batch_rows(pdfs, order):
             # ``recent`` holds the values still needed: the current incomplete
             # group (tumbling) or the last ``size`` values (sliding).
-            new = pdf[value].to_numpy(dtype=np.int64)
+            new = pdf[value].to_numpy(dtype=np_type)
             vals = np.concatenate([recent, new])
-            sums = np.concatenate([[0], np.cumsum(vals)])
             ranks = n + np.arange(1, len(new) + 1)
             fire = np.nonzero(ranks % every == 0)[0]
             pos = len(recent) + fire  # index in vals of each firing row
-            window = sums[pos + 1] - sums[np.maximum(pos + 1 - size, 0)]
+            start = np.maximum(pos + 1 - size, 0)
+            if kind in ("sum", "fold"):
+                sums = np.concatenate([[0], np.cumsum(vals)])
+                window = sums[pos + 1] - sums[start] + (initial if kind == "fold" else 0)
+            elif kind == "count":
+                window = np.minimum(ranks[fire], size)
+            else:
+                pick = np.max if kind == "max" else np.min
+                window = np.array([pick(vals[a:b + 1]) for a, b in zip(start, pos)], dtype=np_type)
             n += len(new)
             if slide is None:
                 recent = vals[len(vals) - (n % size):] if n % size else vals[:0]

@@ -198,3 +198,26 @@ def test_connect_co_map_on_streams(spark, tmp_path):
     rows = [r for _, rs in run_available(out, "co_map_stream") for r in rs]
     assert sorted(r.v1 for r in rows if r.side == 1) == ["redis", "spring"]
     assert sorted(r.v2 for r in rows if r.side == 2) == [10, 20, 30]
+
+
+@pytest.mark.parametrize("kind", ["count", "fold", "max", "min"])
+def test_count_window_stream_kinds(spark, tmp_path, kind):
+    import random
+
+    from streamkit.operators import count_window
+
+    rng = random.Random(11)
+    rows = [(rng.choice("ab"), i, rng.randrange(50)) for i in range(1, 40)]
+    src = line_stream(spark, replay_lines([f"{k} {i} {v}" for k, i, v in rows], str(tmp_path / "in")), per_batch=6)
+    p = F.split("value", " ")
+    parsed = src.select(p[0].alias("k"), p[1].cast("long").alias("seq"), p[2].cast("long").alias("v"))
+    from streamkit.operators import Agg as A
+
+    agg = A(kind, None if kind == "count" else F.col("v"), "x", initial=100)
+    for slide in (None, 2):
+        streamed = count_window(parsed, "k", "seq", 5, [agg], slide=slide)
+        got = sorted((r.k, r.window_end_count, r.x) for _, rs in run_available(streamed, f"cwk_{kind}_{slide}")
+                     for r in rs)
+        batch = spark.createDataFrame(rows, "k string, seq long, v long")
+        want = count_window(batch, "k", "seq", 5, [agg], slide=slide, block_rows=None)
+        assert got == sorted((r.k, r.window_end_count, r.x) for r in want.collect()), (kind, slide)
