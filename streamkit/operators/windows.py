@@ -1,4 +1,8 @@
-"""Keyed windows in batch form: W1-W7, W9-W11.
+"""Keyed windows: W1-W11.
+
+Bounded frames get the plans below; streaming frames get Spark's native
+watermarked window / session aggregation, and count windows the stateful
+twin in ``streamkit.streaming.stateful``.
 
 Time windows are epoch-aligned ``[start, end)`` like ``F.window``.
 
