@@ -50,12 +50,28 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
-def row_key(*cols: str) -> Column:
-    """A 128-bit key of a row's values as two longs in a struct: null ids and
-    ids that carry several texts keep rows of their own; a row stored twice is
-    one row."""
-    packed = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-    return F.struct(F.xxhash64(packed).alias("a"), F.xxhash64(packed, F.lit(1)).alias("b"))
+def fingerprint(*cols: str | Column) -> tuple[Column, Column]:
+    """``fa, fb``: 128 bits of a stored row's values.  Null ids, and ids that
+    carry several texts, keep rows of their own; a row stored twice has one."""
+    return F.xxhash64(*cols).alias("fa"), F.xxhash64(F.lit(1), *cols).alias("fb")
+
+
+#: Bits of ``may_hold``'s table: 2**25 bits are 4 MB, whatever the data's size.
+FILTER_BITS = 1 << 25
+
+
+def may_hold(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose hashed long ``key`` may be in ``wanted``:
+    drops most others before a join moves their texts, and no wanted one.  The
+    broadcast table is a bitmap of fixed size; when the wanted keys fill it,
+    rows pass and only the saving is lost."""
+    chunk = 32768
+    at = F.pmod(F.col(key), F.lit(FILTER_BITS))
+    bits = (wanted.select(at.alias("at")).groupBy((F.col("at") / chunk).cast("int").alias("_chunk"))
+            .agg(F.bitmap_construct_agg(F.col("at") % chunk).alias("_bits")))
+    here = df.withColumn("_at", at).withColumn("_chunk", (F.col("_at") / chunk).cast("int"))
+    byte = F.conv(F.hex(F.expr(f"substring(_bits, cast(_at % {chunk} div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return here.join(F.broadcast(bits), "_chunk").where(byte.bitwiseAND(F.pow(F.lit(2), F.col("_at") % 8).cast("int")) != 0).select(*df.columns)
 
 
 def map_texts(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema: str) -> DataFrame:

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamkit.llm.common import map_texts, read_table, text_rows
+from streamkit.llm.common import map_texts, read_table, stage_table, text_rows
 
 
 @dataclass(frozen=True)
@@ -106,7 +106,8 @@ def findings(addressed: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] =
     found = (ledger.where(F.size("spans") > 0).where(F.col("rule").isin([r.version for r in rules]))
              .groupBy("blob").agg(F.collect_set(F.struct("rule", "spans")).alias("by_rule")))
     one = lambda x: F.transform(x["spans"], lambda s: F.struct(s["start"].alias("start"), rank[x["rule"]].alias("rank"), kind[rank[x["rule"]]].alias("kind"), s["end"].alias("end")))
-    found = found.select("blob", F.array_sort(F.flatten(F.transform("by_rule", one))).alias("found"))
+    # a table of its own, so that a blob with very many versions can be split in the join
+    found = stage_table(found.select("blob", F.array_sort(F.flatten(F.transform("by_rule", one))).alias("found")), "findings")
     none = F.expr("cast(array() as array<struct<start:bigint,rank:int,kind:string,end:bigint>>)")
     return addressed.select("version_id", "blob").join(found, "blob", "left").select("version_id", "blob", F.coalesce("found", none).alias("found"))
 
