@@ -60,18 +60,34 @@ def fingerprint(*cols: str | Column) -> tuple[Column, Column]:
 FILTER_BITS = 1 << 25
 
 
-def may_hold(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose hashed long ``key`` may be in ``wanted``:
-    drops most others before a join moves their texts, and no wanted one.  The
-    broadcast table is a bitmap of fixed size; when the wanted keys fill it,
-    rows pass and only the saving is lost."""
+def mark_held(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``df`` with ``maybe``: whether its hashed long ``key`` may be among the
+    keys of ``wanted``.  False is certain, so rows that are not marked need
+    not move to a join.  The broadcast table is a bitmap of fixed size; when
+    the wanted keys fill it, all rows are marked and only the saving is lost."""
     chunk = 32768
     at = F.pmod(F.col(key), F.lit(FILTER_BITS))
     bits = (wanted.select(at.alias("at")).groupBy((F.col("at") / chunk).cast("int").alias("_chunk"))
             .agg(F.bitmap_construct_agg(F.col("at") % chunk).alias("_bits")))
     here = df.withColumn("_at", at).withColumn("_chunk", (F.col("_at") / chunk).cast("int"))
     byte = F.conv(F.hex(F.expr(f"substring(_bits, cast(_at % {chunk} div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    return here.join(F.broadcast(bits), "_chunk").where(byte.bitwiseAND(F.pow(F.lit(2), F.col("_at") % 8).cast("int")) != 0).select(*df.columns)
+    hit = byte.bitwiseAND(F.pow(F.lit(2), F.col("_at") % 8).cast("int")) != 0
+    return here.join(F.broadcast(bits), "_chunk", "left").select(*df.columns, F.coalesce(hit, F.lit(False)).alias("maybe"))
+
+
+def may_hold(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` that ``mark_held`` marks."""
+    return mark_held(df, key, wanted).where("maybe").select(*df.columns)
+
+
+def left_join_held(df: DataFrame, found: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """``df`` left joined with ``found`` on ``keys``; only rows whose hashed
+    long key ``by`` may be found move.  ``found`` should be a stage table."""
+    marked = mark_held(df, by, found)
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema if f.name not in keys]
+    names = [*df.columns, *(c for c in found.columns if c not in keys)]
+    moved = marked.where("maybe").join(found, keys, "left").select(*names)
+    return moved.unionByName(marked.where("not maybe").select(*df.columns, *rest))
 
 
 def map_texts(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema: str) -> DataFrame:

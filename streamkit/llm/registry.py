@@ -14,11 +14,12 @@ from streamkit.llm.partitions import op3_learned_partitions
 from streamkit.llm.secrets import op1_secret_scan
 from streamkit.llm.suffixes import op5_suffix_dedup
 from streamkit.llm.toxicity import op6_toxicity
+from streamkit.llm.transcripts import op9_transcript_roles
 from streamkit.llm.transducer import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_byte_bpe, op3_learned_partitions, op4_best_fit_packing, op5_suffix_dedup,
-                            op6_toxicity, op7_impact_search, op8_jaccard_join, op10_token_counts)
+                            op6_toxicity, op7_impact_search, op8_jaccard_join, op9_transcript_roles, op10_token_counts)
 }
 
 ORACLE: dict[str, str] = {}

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamkit.llm.common import fingerprint, id_type, map_texts, may_hold, read_table, stage_table, text_rows
+from streamkit.llm.common import fingerprint, id_type, left_join_held, map_texts, may_hold, read_table, stage_table, text_rows
 
 #: Bytes of a repeated string, bytes of the hashed strings in it.
 LENGTH, GRAM = 400, 32
@@ -280,7 +280,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             .withColumn("salt", F.pmod(F.xxhash64("row", "first"), F.col("salts"))))
     spans = settled.unionByName(compared(docs, owned, todo))
     spans = spans.groupBy("row").agg(F.collect_list(F.struct(F.col("first").alias("begin"), (F.col("last") + LENGTH).alias("end"))).alias("spans"))
-    return owned.select("row", "fa", "fb").join(spans, "row").select("fa", "fb", "spans").dropDuplicates(["fa", "fb"])
+    return stage_table(owned.select("row", "fa", "fb").join(spans, "row").select("fa", "fb", "spans").dropDuplicates(["fa", "fb"]), "spans")
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -298,7 +298,7 @@ def removed(docs: DataFrame) -> DataFrame:
     removed runs and the remaining bytes."""
     rows = text_rows(docs)
     spans = repeated_spans(docs)
-    both = rows.select(*fingerprint("doc_id", "text"), "doc_id", "text").join(spans, ["fa", "fb"], "left").select("doc_id", "text", "spans")
+    both = left_join_held(rows.select(*fingerprint("doc_id", "text"), "doc_id", "text"), spans, ["fa", "fb"], "fa").select("doc_id", "text", "spans")
 
     def make():
         def cut(rows: dict) -> dict:
