@@ -37,10 +37,26 @@ CAPACITY, SEPARATOR, SHARD = 4096, 1, 40_000
 KEPT, KEPT_CHARS = 1_000_000, 48
 
 
+def settled_characters() -> str:
+    """A character class of the code points below U+10000 that Unicode 3.2
+    already had: libraries of different age agree on what they are."""
+    old = unicodedata.ucd_3_2_0
+    known = [old.category(chr(i)) not in ("Cn", "Cs", "Co") for i in range(0x10000)] + [False]
+    out, first = [], None
+    for i, k in enumerate(known):
+        if k and first is None:
+            first = i
+        elif not k and first is not None:
+            out.append(f"\\u{first:04x}-\\u{i - 1:04x}")
+            first = None
+    return "".join(out)
+
+
 class WordTokenizer:
     """Ids of a word-level BPE tokenizer whose words are encoded apart:
     distinct words are encoded by the library and kept.  Texts that hold one
-    of its special strings go through the library whole."""
+    of its special strings, or a character that is new to some version of
+    Unicode, go through the library whole."""
 
     def __init__(self, path: str):
         import json
@@ -54,6 +70,7 @@ class WordTokenizer:
         if steps != ["NFC", "Replace", "Lowercase"]:
             raise ValueError(f"a normaliser of {steps} is not known here")
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.new_character = regex.compile(f"[^{settled_characters()}]").search
         self.special = [x["content"] for x in spec["added_tokens"]]
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -68,7 +85,7 @@ class WordTokenizer:
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or not text.isascii() and self.new_character(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self.kept) > KEPT:
             self.kept.clear()

@@ -22,4 +22,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op6_toxicity, op7_impact_search, op8_jaccard_join, op9_transcript_roles, op10_token_counts)
 }
 
-ORACLE: dict[str, str] = {}
+#: DuckDB SQL where it can express the operator.
+ORACLE: dict[str, str] = {
+    "op7_impact_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}

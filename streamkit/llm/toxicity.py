@@ -17,9 +17,8 @@ in turn, and returned with the evidence.
 The label of a document, its language, its source and its id are no inputs of
 a score.  The model is bounded by these parameters, so it may travel with the
 tasks.  Defined results: a null or empty text, and one without any term, gets
-the rate of such examples; without labelled examples of both classes every
-score is the rate of the one there is (0 without labels); null labels count as
-no label, and a document that is labelled several times has its largest label;
+the rate of such examples; without labelled examples of both classes nothing
+is learnt and every score is 0; null labels count as no label, and a document that is labelled several times has its largest label;
 a row stored twice returns twice; further columns play no part.
 """
 
@@ -165,7 +164,7 @@ class Index:
         self.idf, self.default = idf, 0.0
         mass = np.array([weight[int(y)] for y in labels])
         bare = np.array([not c for c in counts], bool)
-        if len(labels):
+        if 0 < labels.sum() < len(labels):
             rate = float((mass * labels).sum() / mass.sum())
             self.default = float(((mass * labels)[bare].sum() + rate) / (mass[bare].sum() + 1))
         keep = [i for i in np.flatnonzero(~bare)]
@@ -181,7 +180,7 @@ class Index:
         self.example = np.array([e for p in postings for e, _ in p], int)
         self.value = np.array([v for p in postings for _, v in p])
         edges = np.arange(self.blocks + 1) * BLOCK
-        self.cut = np.array([lo + np.searchsorted(self.example[lo:hi], edges) for lo, hi in zip(self.at, self.at[1:])], int).reshape(len(idf), -1)
+        self.cut = np.array([lo + np.searchsorted(self.example[lo:hi], edges) for lo, hi in zip(self.at, self.at[1:])], int).reshape(len(idf), self.blocks + 1)
         self.most = np.zeros((len(idf), self.blocks))
         for t, p in enumerate(postings):
             for e, v in p:

@@ -1,0 +1,98 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from streamkit.llm import suffixes as S
+
+
+def brute(texts):
+    data = [(t or "").encode() for t in texts]
+    seen: dict[bytes, int] = {}
+    for b in data:
+        for i in range(len(b) - S.LENGTH + 1):
+            w = hashlib.blake2b(b[i:i + S.LENGTH], digest_size=12).digest()
+            seen[w] = seen.get(w, 0) + 1
+    out = []
+    for b in data:
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - S.LENGTH + 1):
+            if seen[hashlib.blake2b(b[i:i + S.LENGTH], digest_size=12).digest()] > 1:
+                gone[i:i + S.LENGTH] = True
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone])
+        out.append((len(b), int(gone.sum()), len(S.runs(gone)), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def query(spark, path):
+    return sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.op5_suffix_dedup(spark, path).collect())
+
+
+def want(rows):
+    return sorted((i is None, i or 0, *b) for (i, _), b in zip(rows, brute([t for _, t in rows])))
+
+
+@pytest.mark.parametrize("stretches", [4096, 3])
+def test_query_equals_brute_force(spark, monkeypatch, stretches):
+    """Also with hot owner hashes dealt over many blocks."""
+    monkeypatch.setattr(S, "STRETCHES", stretches)
+    path = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
+    assert query(spark, path) == want(docs)
+
+
+def test_edges(spark, as_table, odd_docs, no_docs):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    passage = word(399)
+    exact = word(500)
+    rows = [(1, "x" * 3000), (2, "ab" * 700), (3, word(100) + exact + word(30)), (4, exact), (5, word(20) + exact[:420]), (6, passage + "1"), (7, passage + "2"),
+            (8, exact + exact), (9, None), (9, ""), (None, exact[:450]), (10, "same row " * 60), (10, "same row " * 60), (11, "\x00" * 800), (12, "🙂" * 300)]
+    path = as_table(spark.createDataFrame(rows, "doc_id long, text string"), "documents")
+    assert query(spark, path) == want(rows)
+    odd = [(r.doc_id, r.text if r.doc_id != 4 else r.text[:2000]) for r in odd_docs.collect()]
+    path = as_table(spark.createDataFrame(odd, "doc_id long, text string"), "documents", "odd")
+    assert query(spark, path) == want(odd)
+    assert query(spark, as_table(no_docs, "documents", "none")) == []
+
+
+def test_owners_cover_all_windows():
+    data = np.frombuffer(random.Random(1).randbytes(5000) + b"\x00" * 900, np.uint8)
+    keys, first, last = S.owners(data)
+    assert first[0] == 0 and last[-1] == len(data) - S.LENGTH and (first[1:] == last[:-1] + 1).all()
+
+
+def test_owners_across_steps(monkeypatch):
+    """Equal windows have equal owners however a long text is stepped through."""
+    data = np.frombuffer(random.Random(2).randbytes(3000) * 2, np.uint8)
+
+    def by_window():
+        keys, first, last = S.owners(data)
+        return np.repeat(keys, last - first + 1)
+
+    whole = by_window()
+    assert (whole[:2601] == whole[3000:5601]).all()
+    monkeypatch.setattr(S, "STEP", 1 << 10)
+    assert len(by_window()) == len(whole)
+
+
+def test_two_stage_order():
+    """The array equals plainly sorted suffixes, up to ties in the depth."""
+    rng = random.Random(3)
+    for trial in range(20):
+        data = bytes(rng.choice(b"ab" if trial % 2 else b"abcd") for _ in range(600)) + bytes([S.END])
+        t = np.frombuffer(data, np.uint8)
+        is_s = np.array([data[i:] < data[i + 1:] + b"\xff" for i in range(len(data))])
+        needed = np.arange(len(data)) < len(data) - 1 - 20
+        needed[len(data) - 21:] = False
+        upto = np.flatnonzero(is_s[len(data) - 22:])[0] + len(data) - 22
+        needed = np.arange(len(t)) <= upto
+        order = S.suffix_array(data, needed, is_s, 50)
+        got = [data[i:i + 50] for i in order]
+        assert got == sorted(got) and sorted(order.tolist()) == np.flatnonzero(needed).tolist()
+        common = S.common_prefixes(data, order[order <= len(data) - 50], 50)
+        kept = [i for i in order.tolist() if i <= len(data) - 50]
+        for a, b, n in zip(kept, kept[1:], common.tolist()):
+            x, y = data[a:a + 50], data[b:b + 50]
+            assert n == next((i for i in range(50) if x[i] != y[i]), 50)
