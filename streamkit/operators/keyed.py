@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamkit.functions.time import ntz_micros
-from streamkit.operators.scan import DEFAULT_BLOCK_ROWS, Scan, keyed_scan
+from streamkit.operators.scan import Scan, keyed_scan
 
 KeySpec = str | int | Column | Callable[[DataFrame], Column]
 
@@ -45,6 +45,23 @@ def key_by(df: DataFrame, key: KeySpec, name: str = "key") -> DataFrame:
     return df.withColumn(name, resolve_key(df, key))
 
 
+def resolve_keys(df: DataFrame, key, name: str = "key") -> tuple[DataFrame, list[str], list[str]]:
+    """(frame, key column names, those of them that were added): every key
+    form, alone or in a list.  Names and positions stand for their columns; a
+    Column or selector is attached as ``name`` (``name_2`` and so on)."""
+    forms = list(key) if isinstance(key, (list, tuple)) else [] if key is None else [key]
+    names, added = [], []
+    for form in forms:
+        if isinstance(form, (str, int)) and not isinstance(form, bool):
+            names.append(form if isinstance(form, str) else df.columns[form])
+            continue
+        new = name if not added else f"{name}_{len(added) + 1}"
+        df = df.withColumn(new, resolve_key(df, form))
+        names.append(new)
+        added.append(new)
+    return df, names, added
+
+
 def _names(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
@@ -75,89 +92,94 @@ def _apply_carry(out: DataFrame, carry: Sequence[str]) -> DataFrame:
 
 def rolling_sum(
     df: DataFrame,
-    key: str | Sequence[str],
+    key: KeySpec | Sequence[KeySpec],
     order: str | Sequence[str],
     value: str,
     name: str | None = None,
     carry: Sequence[str] = (),
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Running sum of ``value``.  ``carry`` fields take the key's first
     record's value (the non-aggregated fields of the running record)."""
     name = name or value
+    df, key, added = resolve_keys(df, key, "_key")
     if df.isStreaming:
         out = _stream().rolling_stream(df, _single(key, "key"), _single(order, "order"), value, "sum", "_run", carry)
+        out = out.drop(*added)
         return out.drop(value).withColumnRenamed("_run", name) if name == value else out.withColumnRenamed("_run", name)
     scans = _carry_first([Scan("sum", F.col(value), "_run")], carry)
-    out = keyed_scan(df, _names(key), _names(order), scans, block_rows=block_rows)
+    out = keyed_scan(df, key, _names(order), scans, blocks=blocks).drop(*added)
     out = out.drop(value).withColumnRenamed("_run", name) if name == value else out.withColumnRenamed("_run", name)
     return _apply_carry(out, carry)
 
 
 def rolling_fold(
     df: DataFrame,
-    key: str | Sequence[str],
+    key: KeySpec | Sequence[KeySpec],
     order: str | Sequence[str],
     value: Column | str,
     initial,
     name: str = "fold",
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """``initial + v1 + ... + vi`` per row (a fold whose step adds)."""
     v = F.col(value) if isinstance(value, str) else value
+    df, key, added = resolve_keys(df, key, "_key")
     if df.isStreaming:
         out = _stream().rolling_stream(df.withColumn("_fold_v", v), _single(key, "key"), _single(order, "order"),
                                        "_fold_v", "fold", name, initial=initial)
-        return out.drop("_fold_v")
-    out = keyed_scan(df.withColumn("_fold_v", v), _names(key), _names(order), [Scan("sum", F.col("_fold_v"), "_run")],
-                     block_rows=block_rows)
-    return out.withColumn(name, F.lit(initial) + F.col("_run")).drop("_run", "_fold_v")
+        return out.drop("_fold_v", *added)
+    out = keyed_scan(df.withColumn("_fold_v", v), key, _names(order), [Scan("sum", F.col("_fold_v"), "_run")], blocks=blocks)
+    total = F.coalesce(F.col("_run"), F.lit(0).cast(out.schema["_run"].dataType))
+    return out.withColumn(name, F.lit(initial) + total).drop("_run", "_fold_v", *added)
 
 
 def rolling_reduce(
     df: DataFrame,
-    key: str | Sequence[str],
+    key: KeySpec | Sequence[KeySpec],
     order: str | Sequence[str],
     value: str,
     field: str,
     label: Column,
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """R2: a summing reduce whose output record replaces ``field`` with
     ``label``; the key's first record passes through unchanged."""
+    df, key, added = resolve_keys(df, key, "_key")
     if df.isStreaming:
         out = _stream().rolling_reduce_stream(df.withColumn("_label", label), _single(key, "key"),
                                               _single(order, "order"), value, field, None, label_col="_label")
-        return out.drop("_label")
+        return out.drop("_label", *added)
     scans = [Scan("sum", F.col(value), "_run"), Scan("count", None, "_rn")]
-    out = keyed_scan(df, _names(key), _names(order), scans, block_rows=block_rows)
+    out = keyed_scan(df, key, _names(order), scans, blocks=blocks)
     first = F.col("_rn") == 1
     return (
         out.withColumn(field, F.when(first, F.col(field)).otherwise(label))
         .withColumn(value, F.col("_run"))
-        .drop("_run", "_rn")
+        .drop("_run", "_rn", *added)
     )
 
 
 def rolling_extreme(
     df: DataFrame,
-    key: str | Sequence[str],
+    key: KeySpec | Sequence[KeySpec],
     order: str | Sequence[str],
     field: str,
     kind: str = "max",
     name: str | None = None,
     carry: Sequence[str] = (),
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Running max/min of ``field``; ``carry`` fields stay the first record's."""
     if kind not in ("max", "min"):
         raise ValueError("kind is 'max' or 'min'")
     name = name or field
+    df, key, added = resolve_keys(df, key, "_key")
     if df.isStreaming:
-        out = _stream().rolling_stream(df, _single(key, "key"), _single(order, "order"), field, kind, "_ext", carry)
+        out = _stream().rolling_stream(df, _single(key, "key"), _single(order, "order"), field, kind, "_ext", carry).drop(*added)
         return (out.drop(field) if name == field else out).withColumnRenamed("_ext", name)
     scans = _carry_first([Scan(kind, F.col(field), "_ext")], carry)
-    out = keyed_scan(df, _names(key), _names(order), scans, block_rows=block_rows)
+    out = keyed_scan(df, key, _names(order), scans, blocks=blocks).drop(*added)
     out = (out.drop(field) if name == field else out).withColumnRenamed("_ext", name)
     return _apply_carry(out, carry)
 
@@ -175,19 +197,22 @@ def _negate(df: DataFrame, name: str) -> Column:
 
 def rolling_extreme_by(
     df: DataFrame,
-    key: str | Sequence[str],
+    key: KeySpec | Sequence[KeySpec],
     order: str | Sequence[str],
     field: str,
     record: Sequence[str],
     kind: str = "max",
     prefix: str = "",
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """The whole record (``record`` columns) holding the running max/min of
-    ``field``; on ties the earliest record wins."""
+    ``field``; on ties the earliest record wins.  Records whose ``field`` is
+    null are never the extreme."""
+    columns = df.columns
+    df, key, added = resolve_keys(df, key, "_key")
     if df.isStreaming:
         return _stream().rolling_extreme_by_stream(df, _single(key, "key"), _single(order, "order"), field,
-                                                   list(record), kind, prefix)
+                                                   list(record), kind, prefix).drop(*added)
     order = _names(order)
     if kind == "max":
         tie = [_negate(df, o) for o in order]
@@ -195,44 +220,73 @@ def rolling_extreme_by(
         tie = [F.col(o) for o in order]
     else:
         raise ValueError("kind is 'max' or 'min'")
-    rec = F.struct(F.col(field).alias("_v"), *[t.alias(f"_o{i}") for i, t in enumerate(tie)],
-                   *[F.col(c) for c in record])
-    out = keyed_scan(df, _names(key), order, [Scan(kind, rec, "_best")], block_rows=block_rows)
-    return out.select(*df.columns, *[F.col(f"_best.{c}").alias(f"{prefix}{c}") for c in record])
+    rec = F.when(F.col(field).isNotNull(), F.struct(F.col(field).alias("_v"), *[t.alias(f"_o{i}") for i, t in enumerate(tie)],
+                                                    *[F.col(c) for c in record]))
+    out = keyed_scan(df, key, order, [Scan(kind, rec, "_best")], blocks=blocks)
+    return out.select(*columns, *[F.col(f"_best.{c}").alias(f"{prefix}{c}") for c in record])
+
+
+def fold_groups(df: DataFrame, groups: Sequence[str], order: Sequence[str], step: Callable, schema: str,
+                initial=None, every: bool = True) -> DataFrame:
+    """An arbitrary Python step over each group's records in order.
+
+    ``acc = step(acc, record)`` with records as dicts of exact Python values;
+    ``acc`` starts as a copy of ``initial``, or as the group's first record
+    where ``initial`` is None (a reduce).  The result rows are the groups'
+    columns and the fields of ``acc`` named in ``schema``: after every record
+    (``every``), or once per group.
+
+    Only for steps that no built-in aggregate expresses.  Spark partitions
+    and sorts by group and marks each group's first and last row (null groups
+    are a group); the tasks walk their rows in Arrow batches and hold one
+    accumulator, so a group of any size passes, but one task passes it.
+    """
+    import copy
+
+    import pyarrow as pa
+    from pyspark.sql import Window
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    groups, order = list(groups), list(order)
+    by = Window.partitionBy(*groups).orderBy(*[F.col(o) for o in order])
+    marked = df.select("*", (F.row_number().over(by) == 1).alias("_first"), F.lead(F.lit(1)).over(by).isNull().alias("_last"))
+    fields = T.StructType([df.schema[g] for g in groups] + T.StructType.fromDDL(schema).fields)
+    arrow = to_arrow_schema(fields)
+
+    def walk(batches):
+        acc = None
+        for batch in batches:
+            out = []
+            for record in batch.to_pylist():
+                first, last = record.pop("_first"), record.pop("_last")
+                if first:
+                    acc = copy.deepcopy(initial)
+                acc = dict(record) if first and initial is None else step(acc, record)
+                if every or last:
+                    out.append({**{g: record[g] for g in groups}, **copy.deepcopy({n: acc[n] for n in arrow.names if n not in groups})})
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    return marked.mapInArrow(walk, fields)
 
 
 def rolling_map_in_pandas(
     df: DataFrame,
-    key: str,
-    order: str,
+    key: KeySpec,
+    order: str | Sequence[str],
     step: Callable,
     initial,
     value: str,
     name: str,
     result_type: str,
 ) -> DataFrame:
-    """A rolling fold with an arbitrary Python step ``acc = step(acc, v)``.
+    """A rolling fold with an arbitrary Python step ``acc = step(acc, v)``
+    over one column; every row keeps its columns and gains ``name``."""
+    columns = df.columns
+    df, key, added = resolve_keys(df, key, "_key")
+    kept = [c for c in df.columns if c not in key]
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + [f"`{name}` {result_type}"])
 
-    Only for steps no built-in aggregate expresses.  Rows are hash-partitioned
-    by key and sorted within partitions; ``mapInPandas`` then walks each
-    partition once, carrying ``(key, acc)`` across Arrow batches, so memory is
-    bounded by one batch whatever the group size.
-    """
-    import pandas as pd
-
-    prepared = df.repartition(key).sortWithinPartitions(key, order)
-    out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
-                           + [f"`{name}` {result_type}"])
+    def one(acc, record):
+        return {**{c: record[c] for c in kept}, name: step(acc[name], record[value])}
 
-    def walk(batches):
-        cur_key, acc, started = None, initial, False
-        for pdf in batches:
-            results = []
-            for k, v in zip(pdf[key].tolist(), pdf[value].tolist()):
-                if not started or k != cur_key:
-                    cur_key, acc, started = k, initial, True
-                acc = step(acc, v)
-                results.append(acc)
-            yield pdf.assign(**{name: pd.Series(results, index=pdf.index)})
-
-    return prepared.mapInPandas(walk, out_schema)
+    return fold_groups(df, key, _names(order), one, schema, initial={name: initial}).select(*columns, name)

@@ -3,36 +3,34 @@
 A per-key running value (running sum, count, extremum, first value, previous
 row) is a window function ``partitionBy(key).orderBy(order)``.  That puts every
 row of a key into one task: with a key holding a third of all rows, one task
-sorts a third of the data.
-
-The scan splits such *hot* keys into order-contiguous blocks:
-
-1. ``plan_blocks``: ``groupBy(key)`` with map-side partial aggregation finds
-   the keys holding more than ``block_rows`` rows, with their order range.
-   At most ``N / block_rows`` keys qualify; they are fetched to the driver
-   only under a checked bound (then broadcast), else they stay distributed.
-2. ``with_blocks``: each hot key's order range is cut at approximate
-   quantiles (``percentile_approx`` over the hot keys only, up to 4096 per
-   key), each quantile segment refined into equal-width pieces, for about
-   ``ceil(n / block_rows) * OVERSAMPLE`` blocks per key of about equal row
-   counts; a row's block is found by binary search of the cut points
-   (``Bucketizer``).  Cold keys form block 0.  The block is a monotone
-   function of the order, so blocks are contiguous runs of the key's rows.
-3. ``blocked_scan``: per-(key, block) totals of the hot keys (hash partial
-   aggregation; first/previous values come from the few rows at block
-   edges) get an exclusive prefix across the key's blocks, a window over a
-   table of one row per block.  The running value is computed inside
-   ``(key, block)`` partitions and combined with that prefix.
-
-The data is shuffled once per chain of scans that share a blocking (the
-window partitioning ``(key, block)`` is reused, the broadcast joins keep it),
-as with a plain window; the extra passes read only the key, order and value
-columns.  Results equal the plain window exactly (integer sums, extrema,
-first/previous values; double sums up to addition order).
+sorts a third of the data.  The scan instead cuts the *order* into blocks, the
+same for every key:
+
+1. ``plan_blocks`` takes approximate quantiles of the first order column that
+   is not constant, over all rows, one per shuffle partition.  A value that
+   holds several quantiles by itself gets a block of its own, which is cut
+   further by the quantiles of the next order column.  Any order column will
+   do: numbers and times by their value, strings by the bytes after the prefix
+   that all of them share.  The cut points are a list of doubles, a few per
+   shuffle partition.
+2. ``with_blocks`` finds each row's block by binary search.  The block is a
+   monotone function of the order, so the rows of a key in one block are a
+   contiguous run of the key, and a key with all rows fills all partitions.
+3. ``blocked_scan`` computes the running value inside (key, block), and adds
+   the exclusive prefix over the key's earlier blocks, a window over a table of
+   one row per key and block.
+
+There is one path for all keys and sizes, so an answer does not depend on how
+many rows a key has.  The rows are shuffled once, on (key, block); the totals
+are aggregated per task before they move; nothing is broadcast by hint.  Nulls
+are what they are for Spark's window functions: sums and extrema skip them,
+null orders come first, null keys are a key.  Sums of doubles may differ from
+a plain window in the last digits, as the blocks are added up separately.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,29 +39,11 @@ from pyspark.sql import types as T
 
 from streamkit.functions.time import ntz_micros
 
-DEFAULT_BLOCK_ROWS = 1_000_000
-OVERSAMPLE = 4
-# Largest side table (rows) that is fetched / broadcast; checked by counting.
-MAX_BROADCAST_ROWS = 1_000_000
-
+KEY = "_sk_key"
 BLK = "_sk_blk"
-_N = "_sk_n"
-_LO = "_sk_lo"
-_HI = "_sk_hi"
-_NB = "_sk_nb"
-_FB = "_sk_first_blk"
-_OMIN = "_sk_omin"
-_OMAX = "_sk_omax"
-_Q = "_sk_q"
-_IDX = "_sk_idx"
-_X = "_sk_x"
-_RAW = "_sk_raw"
-# Approximate quantiles per hot key (capped so all cut points together stay
-# under MAX_SPLITS), the sketch accuracy, and the cut-point budget shipped
-# with the tasks (doubles; ~8 MB at the cap).
-MAX_QUANTILES = 4096
-QUANTILE_ACCURACY = 10_000
-MAX_SPLITS = 1_000_000
+#: Bytes of a string that its position among the cut points is found by (exact in a double).
+STRING_BYTES = 6
+_SUB = 1 << 20
 
 
 @dataclass
@@ -81,96 +61,57 @@ class Scan:
     name: str
     _t: str = field(init=False)
     _p: str = field(init=False)
+    _l: str = field(init=False)
 
     def __post_init__(self):
         if self.kind not in {"sum", "count", "max", "min", "first", "prev"}:
             raise ValueError(f"unknown scan kind {self.kind!r}")
-        self._t = f"_sk_t_{self.name}"
-        self._p = f"_sk_p_{self.name}"
+        self._t, self._p, self._l = (f"_sk_{x}_{self.name}" for x in "tpl")
 
     @property
-    def c(self) -> Column | None:
+    def c(self) -> Column:
+        if self.col is None:
+            return F.lit(1)
         return F.col(self.col) if isinstance(self.col, str) else self.col
 
-    def is_edge(self, order0: str) -> bool:
-        """Needs the value at a block edge (not an aggregate of the block)."""
-        if self.kind == "first":
-            return True
-        return self.kind == "prev" and not (isinstance(self.col, str) and self.col == order0)
-
-    # -- plain window -------------------------------------------------------
-    def plain(self, w_frame: Window, w_order: Window) -> Column:
-        c = self.c
-        if self.kind == "sum":
-            return F.sum(c).over(w_frame)
-        if self.kind == "count":
-            return F.count(c if c is not None else F.lit(1)).over(w_frame)
-        if self.kind == "max":
-            return F.max(c).over(w_frame)
-        if self.kind == "min":
-            return F.min(c).over(w_frame)
+    def local(self, w_frame: Window, w_order: Window) -> Column:
+        """The running value inside a block."""
+        if self.kind == "prev":
+            return F.lag(self.c, 1).over(w_order)
         if self.kind == "first":
-            return F.first(c, ignorenulls=False).over(w_frame)
-        return F.lag(c, 1).over(w_order)
+            return F.first(self.c, ignorenulls=False).over(w_frame)
+        return getattr(F, self.kind)(self.c).over(w_frame)
 
-    # -- blocked ------------------------------------------------------------
-    def block_agg(self) -> Column:
-        """Hash-aggregatable block total (edge scans are handled separately)."""
-        c = self.c
-        if self.kind == "sum":
-            agg = F.sum(c)
-        elif self.kind == "count":
-            agg = F.count(c if c is not None else F.lit(1))
-        elif self.kind == "max":
-            agg = F.max(c)
-        elif self.kind == "min":
-            agg = F.min(c)
-        else:  # prev of the first order column: the block's last value is its max
-            agg = F.max(c)
-        return agg.alias(self._t)
-
-    def edge_agg(self, order_struct: Column) -> Column:
+    def total(self, order: Column) -> Column:
+        """What a block hands to the later ones."""
         if self.kind == "first":
-            return F.min_by(self.c, order_struct).alias(self._t)
-        return F.max_by(self.c, order_struct).alias(self._t)
+            return F.min_by(F.struct(self.c.alias("v")), order)["v"].alias(self._t)
+        if self.kind == "prev":
+            return F.max_by(F.struct(self.c.alias("v")), order)["v"].alias(self._t)
+        return getattr(F, self.kind)(self.c).alias(self._t)
 
-    def prefix(self, wb_excl: Window) -> Column:
+    def prefix(self, earlier: Window) -> Column:
         t = F.col(self._t)
-        if self.kind in ("sum", "count"):
-            agg = F.sum(t)
-        elif self.kind == "max":
-            agg = F.max(t)
-        elif self.kind == "min":
-            agg = F.min(t)
-        elif self.kind == "first":
-            agg = F.first(t, ignorenulls=False)
-        else:
-            agg = F.last(t, ignorenulls=False)
-        return agg.over(wb_excl).alias(self._p)
+        agg = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "first": F.first, "prev": F.last}[self.kind]
+        return agg(t).over(earlier).alias(self._p)
 
-    def combine(self, local: Column, first_in_block: Column) -> Column:
-        """The final running value from this row's in-block value ``local``
-        (computed once, as a column) and the prefix of the earlier blocks."""
-        p = F.col(self._p)
+    def combine(self, first_block: Column, first_row: Column) -> Column:
+        p, local = F.col(self._p), F.col(self._l)
         if self.kind == "count":
             return F.coalesce(p, F.lit(0)) + local
         if self.kind == "sum":
             return F.when(p.isNull(), local).when(local.isNull(), p).otherwise(p + local)
-        if self.kind == "max":
-            return F.greatest(p, local)
-        if self.kind == "min":
-            return F.least(p, local)
+        if self.kind in ("max", "min"):
+            return (F.greatest if self.kind == "max" else F.least)(p, local)
         if self.kind == "first":
-            # Cold keys and a hot key's first block have no earlier block.
-            return F.when(F.coalesce(F.col(_FB), F.lit(True)), local).otherwise(p)
-        return F.when(first_in_block, p).otherwise(local)
+            return F.when(first_block, local).otherwise(p)
+        return F.when(first_row, p).otherwise(local)
 
 
-def _order_numeric(df: DataFrame, name: str) -> Column | None:
-    """A monotone numeric image of the first order column, or None."""
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)):
+def _number(df: DataFrame, name: str) -> Column | None:
+    """A monotone double image of a number or time column, else None."""
+    dtype, c = df.schema[name].dataType, F.col(name)
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
         return c.cast("double")
     if isinstance(dtype, T.TimestampNTZType):
         return ntz_micros(name).cast("double")
@@ -181,249 +122,152 @@ def _order_numeric(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Join on ``keys`` treating null = null (as window partitions do), plus
-    plain equality on the ``extra`` columns; the right side's copies are dropped."""
-    renamed = right
-    for i, k in enumerate(keys):
-        renamed = renamed.withColumnRenamed(k, f"_sk_k{i}")
-    for c in extra:
-        renamed = renamed.withColumnRenamed(c, f"_sk_x_{c}")
-    cond = [left[k].eqNullSafe(renamed[f"_sk_k{i}"]) for i, k in enumerate(keys)]
-    cond += [left[c] == renamed[f"_sk_x_{c}"] for c in extra]
-    joined = left.join(renamed, cond, how)
-    return joined.drop(*[f"_sk_k{i}" for i in range(len(keys))], *[f"_sk_x_{c}" for c in extra])
+def _images(df: DataFrame, order: list[str]) -> list[tuple[str, Column]]:
+    """(name, monotone double image) of the leading order columns that have
+    one, leaving out those that hold a single value."""
+    text = [o for o in order if isinstance(df.schema[o].dataType, (T.StringType, T.BinaryType))]
+    bounds = {}
+    if text:
+        as_bytes = lambda o: F.col(o).cast("binary")
+        row = df.agg(*[f(as_bytes(o)).alias(f"{n}{i}") for i, o in enumerate(text) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        bounds = {o: (bytes(row[f"lo{i}"] or b""), bytes(row[f"hi{i}"] or b"")) for i, o in enumerate(text)}
+    out = []
+    for o in order:
+        if o in bounds:
+            lo, hi = bounds[o]
+            if lo == hi:  # constant: the next column decides
+                continue
+            shared = next((i for i, (a, b) in enumerate(zip(lo, hi)) if a != b), min(len(lo), len(hi)))
+            part = F.hex(F.substring(F.col(o).cast("binary"), shared + 1, STRING_BYTES))
+            image = F.conv(F.rpad(part, 2 * STRING_BYTES, "0"), 16, 10).cast("double")
+            out.append((o, F.when(F.col(o).isNotNull(), image)))
+        elif (image := _number(df, o)) is not None:
+            out.append((o, image))
+        else:
+            break  # no image: what follows it cannot cut
+    return out
 
 
 @dataclass
 class Blocking:
-    """How a frame's keys are split: ``hot`` is None when no key is hot (or
-    the order cannot be blocked), then every scan is the plain window."""
+    """Cut points: ``splits`` of the first image; for values that fill whole
+    blocks, ``inner`` splits of the next image mapped into [i, i + 1)."""
 
     keys: list[str]
     order: list[str]
-    hot: DataFrame | None = None
-    n_blocks: int = 0
-    splits: list | None = None
-    global_stats: tuple | None = None  # keys=[]: (n, lo, hi, 0) of the one group
-    global_nb: int | None = None  # keys=[] without cut points: equal-width block count
+    image: Column | None = None
+    splits: list[float] = field(default_factory=list)
+    next_image: Column | None = None
+    full: dict[float, tuple[int, float, float]] = field(default_factory=dict)
+    inner: list[float] = field(default_factory=list)
 
     @property
     def blocked(self) -> bool:
-        return self.hot is not None or self.global_stats is not None
+        return len(self.splits) > 2
 
     @property
-    def partition_cols(self) -> list[str]:
-        # ``_sk_n`` depends on the key alone, so it does not change the groups;
-        # it lets a filter on hot keys be pushed below the window.
-        return [*self.keys, BLK, _N] if self.blocked else list(self.keys)
-
-
-def plan_blocks(df: DataFrame, keys, order, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> Blocking:
-    """Find the hot keys of ``df`` and where to cut them (two small jobs:
-    per-key counts, then approximate quantiles of the hot keys' order)."""
-    keys, order = list(keys), list(order)
-    blocking = Blocking(keys, order)
-    if block_rows is None or df.isStreaming:
-        return blocking
-    onum = _order_numeric(df, order[0])
-    if onum is None:
-        return blocking
-    # keys=[] is one global group (a constant key): a plain global aggregate
-    grouped = df.groupBy(*keys) if keys else df.groupBy()
-    stats = (
-        grouped.agg(F.count(F.lit(1)).alias(_N), F.min(onum).alias(_LO), F.max(onum).alias(_HI))
-        .where(F.col(_N) > block_rows)
-    )
-    hot_rows = stats.limit(MAX_BROADCAST_ROWS + 1).collect()
-    if not hot_rows:
-        return blocking
-    n_blocks = sum(_blocks_for(r[_N], block_rows) for r in hot_rows)
-    per_key = max(2, min(MAX_QUANTILES, max(_blocks_for(r[_N], block_rows) for r in hot_rows),
-                         MAX_SPLITS // (2 * len(hot_rows))))
-    if len(hot_rows) > MAX_BROADCAST_ROWS or n_blocks + per_key * len(hot_rows) > MAX_SPLITS:
-        # Too many hot keys to ship their cut points: equal-width blocks over
-        # each key's order range, the key table kept distributed.
-        if not keys:
-            r = hot_rows[0]
-            blocking.global_stats = (r[_N], r[_LO], r[_HI], 0)
-            blocking.global_nb = _blocks_for(r[_N], block_rows)
-            blocking.n_blocks = blocking.global_nb
-            return blocking
-        nb = (F.ceil(F.col(_N) / F.lit(block_rows)) * OVERSAMPLE).cast("long")
-        blocking.hot = stats.withColumn(_NB, nb)
-        blocking.n_blocks = MAX_BROADCAST_ROWS + 1
-        return blocking
-
-    spark = df.sparkSession
-    hot_keys = spark.createDataFrame(hot_rows, stats.schema)
-    probs = [i / per_key for i in range(1, per_key)]
-    sketch = F.percentile_approx("_sk_o", probs, QUANTILE_ACCURACY).alias(_Q)
-    if keys:
-        cuts = (
-            null_safe_join(df.select(*keys, onum.alias("_sk_o")), F.broadcast(hot_keys.select(*keys)), keys,
-                           "left_semi")
-            .groupBy(*keys)
-            .agg(sketch)
-        )
-        hot = null_safe_join(hot_keys, F.broadcast(cuts), keys, "left").collect()
-    else:
-        q = df.select(onum.alias("_sk_o")).agg(sketch).first()[_Q]
-        hot = [{**hot_rows[0].asDict(), _Q: q}]
-    # Key i's order is mapped into [i, i+1); its cut points are the quantiles,
-    # each quantile segment further cut into equal-width pieces so that the
-    # key gets about ceil(n / block_rows) * OVERSAMPLE blocks.
-    splits = [float("-inf")]
-    rows = []
-    for i, r in enumerate(hot):
-        lo, hi, n = r[_LO], r[_HI], r[_N]
-        span = hi - lo + 1.0
-        want = _blocks_for(n, block_rows)
-        qs = [q for q in (r[_Q] or []) if q is not None]
-        segments = min(want, len(qs) + 1)
-        # every (per_key / segments)-th quantile: segments of about n / segments rows
-        picked = [qs[round(j * (len(qs) + 1) / segments) - 1] for j in range(1, segments)]
-        edges = sorted({lo, *picked, hi})
-        pieces = max(1, -(-want // max(1, len(edges) - 1)))
-        for a, b in zip(edges, edges[1:] + [hi + 1.0]):
-            for j in range(pieces):
-                x = i + (a + (b - a) * j / pieces - lo) / span
-                if x > splits[-1]:
-                    splits.append(x)
-        rows.append((*[r[k] for k in keys], r[_N], lo, hi, i))
-    splits.append(float("inf"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema.fields if f.name in keys]
-                       + [f"{_N} bigint", f"{_LO} double", f"{_HI} double", f"{_IDX} bigint"])
-    blocking.hot = F.broadcast(spark.createDataFrame(rows, schema)) if keys else None
-    blocking.global_stats = rows[0] if not keys else None
-    blocking.splits = splits
-    blocking.n_blocks = len(splits)
-    return blocking
-
-
-def _blocks_for(n: int, block_rows: int) -> int:
-    return -(-n // block_rows) * OVERSAMPLE
+    def n_blocks(self) -> int:
+        return max(1, len(self.splits) - 1 + len(self.inner))
+
+
+def _finite(values) -> list[float]:
+    return [v for v in values or [] if v is not None and math.isfinite(v)]
+
+
+def plan_blocks(df: DataFrame, keys, order, blocks: int | None = None) -> Blocking:
+    """Cut points for about ``blocks`` blocks (default: one per shuffle
+    partition; 1 gives the plain window)."""
+    out = Blocking(list(keys), list(order))
+    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if blocks < 2 or df.isStreaming:
+        return out
+    images = _images(df, out.order)
+    probs, accuracy = [i / blocks for i in range(1, blocks)], max(10_000, 20 * blocks)
+    for at, (name, image) in enumerate(images):
+        cuts = _finite(df.select(image.alias("x")).agg(F.percentile_approx("x", probs, accuracy)).first()[0])
+        full = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+        if len(full) == 1 and full[0] == cuts[0] == cuts[-1] and at + 1 < len(images):
+            lo, hi = df.agg(F.min(name), F.max(name)).first()
+            if lo == hi:
+                continue
+        edges = sorted({*cuts, *full, *(math.nextafter(v, math.inf) for v in full)})
+        out.image, out.splits = image, [-math.inf, *edges, math.inf]
+        if full and at + 1 < len(images):
+            _cut_full(df, out, name, full, images[at + 1][1], cuts, accuracy)
+        return out
+    return out
+
+
+def _cut_full(df: DataFrame, out: Blocking, name: str, full: list[float], image: Column, cuts: list[float], accuracy: int) -> None:
+    """Cuts the blocks of the values in ``full`` (each a single value of
+    column ``name``) by the next order column."""
+    share = max(cuts.count(v) for v in full) + 1
+    probs = [i / share for i in range(1, share)]
+    rows = (df.select(out.image.alias("v"), F.col(name).alias("whole"), image.alias("x")).where(F.col("v").isin(full)).groupBy("v")
+            .agg(F.min("whole").alias("a"), F.max("whole").alias("b"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.percentile_approx("x", probs, accuracy).alias("q")))
+    inner = []
+    for r in sorted(rows.collect(), key=lambda r: r["v"]):  # one row per full block
+        q = sorted(set(_finite(r["q"])))
+        if r["a"] != r["b"] or not q or not _finite([r["lo"], r["hi"]]) or r["lo"] == r["hi"]:
+            continue
+        i = len(out.full)
+        out.full[r["v"]] = (i, r["lo"], r["hi"] - r["lo"])
+        inner += [float(i), *(i + (x - r["lo"]) / (r["hi"] - r["lo"]) / 2 for x in q)]
+    if inner:
+        out.next_image, out.inner = image, [-math.inf, *sorted(set(inner)), math.inf]
+
+
+def _bucket(df: DataFrame, x: Column, splits: list[float], name: str) -> DataFrame:
+    """Column ``name``: the number of the splits' interval that holds ``x``
+    from 1 on; null is 0, NaN the last."""
+    from pyspark.ml.feature import Bucketizer  # noqa: PLC0415  (a compiled binary search)
+
+    df = df.withColumn("_sk_x", F.coalesce(x, F.lit(float("nan"))))
+    df = Bucketizer(splits=splits, inputCol="_sk_x", outputCol="_sk_raw", handleInvalid="keep").transform(df)
+    return df.withColumn(name, F.when(x.isNull(), F.lit(0)).otherwise(F.col("_sk_raw") + 1).cast("long")).drop("_sk_x", "_sk_raw")
 
 
 def with_blocks(df: DataFrame, blocking: Blocking) -> DataFrame:
-    """``df`` plus the block column (and ``_sk_n``, non-null on hot keys)."""
+    """``df`` with the key as one struct (so null keys compare equal) and the
+    block."""
+    key = F.struct(*[F.col(k) for k in blocking.keys]) if blocking.keys else F.struct(F.lit(0).alias("all"))
+    out = df.withColumn(KEY, key)
     if not blocking.blocked:
-        return df
-    onum = _order_numeric(df, blocking.order[0])
-    zero = F.lit(0).cast("long")
-    if blocking.global_stats is not None:
-        # one global group: its statistics are constants, no join needed
-        n, lo, hi, idx = blocking.global_stats
-        tagged = df.select("*", F.lit(n).cast("long").alias(_N), F.lit(lo).cast("double").alias(_LO),
-                           F.lit(hi).cast("double").alias(_HI), F.lit(idx).cast("long").alias(_IDX),
-                           F.lit(blocking.global_nb or 0).cast("long").alias(_NB))
-    else:
-        tagged = null_safe_join(df, blocking.hot, blocking.keys, "left")
-    if blocking.splits:
-        from pyspark.ml.feature import Bucketizer  # noqa: PLC0415
-
-        # Binary search of the cut points (a compiled JVM function).  Null
-        # orders sort first: they go to the key's first block.
-        x = F.col(_IDX) + F.coalesce((onum - F.col(_LO)) / (F.col(_HI) - F.col(_LO) + F.lit(1.0)), F.lit(0.0))
-        tagged = tagged.withColumn(_X, F.when(F.col(_N).isNotNull(), x).otherwise(F.lit(float("nan"))))
-        bucketizer = Bucketizer(splits=blocking.splits, inputCol=_X, outputCol=_RAW, handleInvalid="keep")
-        tagged = bucketizer.transform(tagged)
-        blk = F.when(F.col(_N).isNull(), zero).otherwise(F.col(_RAW).cast("long") + 1)
-    else:
-        span = F.col(_HI) - F.col(_LO) + F.lit(1.0)
-        raw = F.floor((onum - F.col(_LO)) / span * F.col(_NB)).cast("long")
-        # Null orders sort first: they belong to block 0.
-        blk = F.when(F.col(_N).isNull() | onum.isNull(), zero).otherwise(
-            F.least(F.greatest(raw, zero), F.col(_NB) - 1))
-    tagged = tagged.withColumn(BLK, blk)
-    return tagged.drop(*[c for c in (_LO, _HI, _NB, _IDX, _X, _RAW) if c in tagged.columns])
-
-
-def _maybe_broadcast(df: DataFrame, blocking: Blocking) -> DataFrame:
-    return F.broadcast(df) if blocking.n_blocks <= MAX_BROADCAST_ROWS else df
+        return out.withColumn(BLK, F.lit(0).cast("long"))
+    out = _bucket(out, blocking.image, blocking.splits, "_sk_b0")
+    if not blocking.full:
+        return out.withColumnRenamed("_sk_b0", BLK)
+    table = {v: F.create_map(*[F.lit(x) for val, row in blocking.full.items() for x in (val, float(row[v]))]) for v in range(3)}
+    place = [table[v][blocking.image] for v in range(3)]
+    x = F.when(place[0].isNotNull(), place[0] + F.coalesce((blocking.next_image - place[1]) / place[2] / 2, F.lit(0.0)))
+    out = _bucket(out, x, blocking.inner, "_sk_b1")
+    return out.withColumn(BLK, F.col("_sk_b0") * _SUB + F.col("_sk_b1")).drop("_sk_b0", "_sk_b1")
 
 
 def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFrame:
-    """Scans over a frame prepared by ``with_blocks`` (keeps the helper columns,
-    so further scans with the same blocking reuse the partitioning)."""
-    keys, order = blocking.keys, blocking.order
-    parts = blocking.partition_cols
-    w_frame = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_order = Window.partitionBy(*parts).orderBy(*order)
+    """Scans over a frame prepared by ``with_blocks`` (keeps the helper columns)."""
+    order = [F.col(o) for o in blocking.order]
+    w_order = Window.partitionBy(KEY, BLK).orderBy(*order)
+    w_frame = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = df.select("*", *[s.local(w_frame, w_order).alias(s._l) for s in scans], (F.row_number().over(w_order) == 1).alias("_sk_first_row"))
+    names = [c for c in df.columns]
     if not blocking.blocked:
-        return df.select("*", *[s.plain(w_frame, w_order).alias(s.name) for s in scans])
-
-    hot_rows = df.where(F.col(_N).isNotNull())
-    o0 = order[0]
-    # Struct extrema (whole-record max/min): hash-aggregate the leading field,
-    # pick the record among the few rows that hold it.
-    leads = {s.name: _struct_lead(df, s) for s in scans if s.kind in ("max", "min")}
-    leads = {k: v for k, v in leads.items() if v is not None}
-    direct = [s for s in scans if not s.is_edge(o0) and s.name not in leads]
-    picked = [s for s in scans if s.is_edge(o0) or s.name in leads]
-    lead_aggs = [(F.max if s.kind == "max" else F.min)(leads[s.name]).alias(f"_sk_e_{s.name}")
-                 for s in scans if s.name in leads]
-    totals = hot_rows.groupBy(*keys, BLK).agg(
-        F.min(o0).alias(_OMIN), F.max(o0).alias(_OMAX), *[s.block_agg() for s in direct], *lead_aggs
-    )
-    if picked:
-        # One pass over the hot rows keeps only candidates: rows at a block
-        # edge of the first order column, or holding a block's extreme lead
-        # field.  Only those few rows reach the sort-based *_by aggregates.
-        bounds = _maybe_broadcast(totals.select(*keys, BLK, _OMIN, _OMAX, *[f"_sk_e_{n}" for n in leads]), blocking)
-        cond = F.col(o0).isNull() | (F.col(o0) == F.col(_OMIN)) | (F.col(o0) == F.col(_OMAX))
-        for n, lead in leads.items():
-            cond = cond | (lead == F.col(f"_sk_e_{n}"))
-        cand = null_safe_join(hot_rows, bounds, keys, "inner", extra=(BLK,)).where(cond)
-        order_struct = F.struct(*[F.col(o) for o in order])
-        aggs = []
-        for sc in picked:
-            if sc.name in leads:
-                holds = F.when(leads[sc.name] == F.col(f"_sk_e_{sc.name}"), sc.c)
-                aggs.append((F.max if sc.kind == "max" else F.min)(holds).alias(sc._t))
-            else:
-                aggs.append(sc.edge_agg(order_struct))
-        picked_totals = cand.groupBy(*keys, BLK).agg(*aggs)
-        totals = null_safe_join(totals.drop(*[f"_sk_e_{n}" for n in leads]),
-                                _maybe_broadcast(picked_totals, blocking), keys, "left", extra=(BLK,))
-    # the prefix runs over one row per block (per key)
-    wb = (Window.partitionBy(*keys) if keys else Window).orderBy(BLK)
-    wb_excl = wb.rowsBetween(Window.unboundedPreceding, -1)
-    prefix = totals.select(*keys, BLK, (F.row_number().over(wb) == 1).alias(_FB), *[s.prefix(wb_excl) for s in scans])
-    joined = null_safe_join(df, _maybe_broadcast(prefix, blocking), keys, "left", extra=(BLK,))
-    # In-block values first (one window expression each), then the combine.
-    local = joined.select(
-        "*", *[s.plain(w_frame, w_order).alias(f"_sk_l_{s.name}") for s in scans],
-        (F.row_number().over(w_order) == 1).alias("_sk_first_row"),
-    )
-    return local.select(*df.columns, *[s.combine(F.col(f"_sk_l_{s.name}"), F.col("_sk_first_row")).alias(s.name)
-                                       for s in scans])
-
-
-def _struct_lead(df: DataFrame, scan: Scan) -> Column | None:
-    """The leading field of a struct-valued scan column (None for scalars)."""
-    dtype = df.select(scan.c.alias("_sk_probe")).schema["_sk_probe"].dataType
-    if isinstance(dtype, T.StructType) and dtype.fields:
-        return scan.c.getField(dtype.fields[0].name)
-    return None
+        return local.select(*names, *[F.col(s._l).alias(s.name) for s in scans])
+    totals = df.groupBy(KEY, BLK).agg(F.count(F.lit(1)).alias("_sk_n"), *[s.total(F.struct(*order)) for s in scans])
+    by_key = Window.partitionBy(KEY).orderBy(BLK)
+    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    prefix = totals.select(KEY, BLK, (F.row_number().over(by_key) == 1).alias("_sk_first_blk"), *[s.prefix(earlier) for s in scans])
+    both = local.join(prefix, [KEY, BLK])
+    return both.select(*names, *[s.combine(F.col("_sk_first_blk"), F.col("_sk_first_row")).alias(s.name) for s in scans])
 
 
 def drop_blocks(df: DataFrame) -> DataFrame:
-    return df.drop(BLK, _N)
+    return df.drop(KEY, BLK)
 
 
-def keyed_scan(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    scans: list[Scan],
-    *,
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
-) -> DataFrame:
+def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Scan], *, blocks: int | None = None) -> DataFrame:
     """``df`` plus one column per scan: the running value up to and including
     each row, within its key, in ``order`` (a total order within the key).
-
-    ``block_rows=None`` forces the plain window (one partition per key).
-    """
-    blocking = plan_blocks(df, keys, order, block_rows)
+    ``blocks=1`` is the plain window."""
+    blocking = plan_blocks(df, keys, order, blocks)
     return drop_blocks(blocked_scan(with_blocks(df, blocking), blocking, scans))

@@ -21,23 +21,26 @@ its merge.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamkit.functions.time import interval_micros, micros_between
-from streamkit.operators.scan import DEFAULT_BLOCK_ROWS, Scan, blocked_scan, drop_blocks, keyed_scan, plan_blocks, with_blocks
+from streamkit.functions.time import instant_to_ntz, interval_micros, micros_between, ntz_micros
+from streamkit.operators.keyed import KeySpec, fold_groups, resolve_keys
+from streamkit.operators.scan import BLK, KEY, Scan, keyed_scan, plan_blocks, with_blocks
 
 
 @dataclass
 class Agg:
     """A window aggregate.
 
-    kind: ``sum`` | ``count`` | ``max`` | ``min`` | ``concat`` | ``fold``.
-    ``max``/``min`` over a struct give the whole record (max_by / min_by).
+    kind: ``sum`` | ``count`` | ``max`` | ``min`` | ``max_by`` | ``min_by`` |
+    ``concat`` | ``fold``.  ``max_by`` / ``min_by`` give ``col`` (a struct is a
+    whole record) of the row with the extreme ``by``; the first in ``order``
+    (numbers) wins ties, and rows whose ``by`` is null are never the extreme.
     ``concat`` joins ``col`` strings in ``order`` (list of column names)
     with ``sep``.  ``fold`` is ``initial + sum(col)``.
     """
@@ -48,66 +51,72 @@ class Agg:
     order: Sequence[str] = ()
     sep: str = ""
     initial: object = 0
+    by: Column | None = None
 
-    def direct(self) -> Column:
-        c = self.col
-        if self.kind == "sum":
-            return F.sum(c).alias(self.name)
+    def raw(self, c: Column | None, order: list[Column]) -> Column:
+        """The plain aggregate of ``c`` (also a window function)."""
+        if self.kind in ("sum", "fold"):
+            return F.sum(c)
         if self.kind == "count":
-            return F.count(c if c is not None else F.lit(1)).alias(self.name)
-        if self.kind == "max":
-            return F.max(c).alias(self.name)
-        if self.kind == "min":
-            return F.min(c).alias(self.name)
-        if self.kind == "fold":
-            return (F.lit(self.initial) + F.sum(c)).alias(self.name)
+            return F.count(c if c is not None else F.lit(1))
+        if self.kind in ("max", "max_by"):
+            return F.max(c)
+        if self.kind in ("min", "min_by"):
+            return F.min(c)
         if self.kind == "concat":
-            return _ordered_concat(c, [F.col(o) for o in self.order], self.sep).alias(self.name)
+            return F.collect_list(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], c.alias("_v")))
         raise ValueError(f"unknown aggregate kind {self.kind!r}")
 
-    def partial(self) -> Column:
-        p = f"_pp_{self.name}"
-        c = self.col
-        if self.kind in ("sum", "fold"):
-            return F.sum(c).alias(p)
-        if self.kind == "count":
-            return F.count(c if c is not None else F.lit(1)).alias(p)
-        if self.kind == "max":
-            return F.max(c).alias(p)
-        if self.kind == "min":
-            return F.min(c).alias(p)
+    @property
+    def input(self) -> Column | None:
+        """What is aggregated: for ``max_by`` / ``min_by`` the record behind
+        its measure and the order that breaks ties, null where the measure is."""
+        if self.kind not in ("max_by", "min_by"):
+            return self.col
+        ties = [(-F.col(o) if self.kind == "max_by" else F.col(o)).alias(f"_o{i}") for i, o in enumerate(self.order)]
+        return F.when(self.by.isNotNull(), F.struct(self.by.alias("_by"), *ties, self.col.alias("_r")))
+
+    def finish(self, x: Column) -> Column:
+        if self.kind == "fold":
+            return F.lit(self.initial) + F.coalesce(x, F.lit(0))
         if self.kind == "concat":
-            return _ordered_concat(c, [F.col(o) for o in self.order], self.sep).alias(p)
-        raise ValueError(f"unknown aggregate kind {self.kind!r}")
+            return F.array_join(F.transform(F.array_sort(x), lambda v: v["_v"]), self.sep)
+        return x["_r"] if self.kind in ("max_by", "min_by") else x
+
+    def direct(self) -> Column:
+        return self.finish(self.raw(self.input, [F.col(o) for o in self.order])).alias(self.name)
 
-    def merge(self, pane_order: Column) -> Column:
+    def over(self, window: Window) -> Column:
+        return self.finish(self.raw(self.input, [F.col(o) for o in self.order]).over(window)).alias(self.name)
+
+    def partial(self) -> Column:
+        """What panes and local sessions hand on."""
+        x = self.raw(self.input, [F.col(o) for o in self.order])
+        return (self.finish(x) if self.kind == "concat" else x).alias(f"_pp_{self.name}")
+
+    def merge(self, part_order: Column) -> Column:
         p = F.col(f"_pp_{self.name}")
-        if self.kind in ("sum", "count"):
+        if self.kind == "count":
             return F.sum(p).alias(self.name)
-        if self.kind == "fold":
-            return (F.lit(self.initial) + F.sum(p)).alias(self.name)
-        if self.kind == "max":
-            return F.max(p).alias(self.name)
-        if self.kind == "min":
-            return F.min(p).alias(self.name)
-        return _ordered_concat(p, [pane_order], self.sep).alias(self.name)
+        return self.finish(self.raw(p, [part_order])).alias(self.name)
 
 
-def _ordered_concat(value: Column, order: list[Column], sep: str) -> Column:
-    """Strings of a group joined in ``order``: sorted (order..., value) structs."""
-    items = F.collect_list(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], value.alias("_v")))
-    return F.array_join(F.transform(F.array_sort(items), lambda x: x["_v"]), sep)
+def _micros(df: DataFrame, name: str) -> Column:
+    return ntz_micros(name) if isinstance(df.schema[name].dataType, T.TimestampNTZType) else F.unix_micros(F.col(name))
 
 
-def _keys(key) -> list[str]:
-    if key is None:
-        return []
-    return [key] if isinstance(key, str) else list(key)
+def _times(df: DataFrame, ntz: bool, **micros: Column) -> DataFrame:
+    """Time columns from microseconds, of the input's timestamp type."""
+    for name, m in micros.items():
+        df = df.withColumn(name, F.timestamp_micros(m))
+        if ntz:
+            df = df.withColumn(name, instant_to_ntz(name))
+    return df
 
 
 def time_window(
     df: DataFrame,
-    key: str | Sequence[str] | None,
+    key: KeySpec | Sequence[KeySpec] | None,
     time_col: str,
     size,
     aggs: Sequence[Agg],
@@ -120,41 +129,75 @@ def time_window(
     ``key=None`` is the global window (one group per window; partial
     aggregation keeps it parallel up to the final merge).
     """
-    keys = _keys(key)
+    df, keys, _ = resolve_keys(df, key)
     size_us = interval_micros(size)
     slide_us = interval_micros(slide) if slide is not None else size_us
-    if slide_us > size_us:
-        raise ValueError("slide larger than size leaves gaps; not supported")
-    if size_us // slide_us > 1000:
-        raise ValueError("more than 1000 windows per row; use a coarser slide")
-    size_s, slide_s = f"{size_us} microseconds", f"{slide_us} microseconds"
-
-    # Streams use the single native window aggregation: one stateful operator,
-    # so watermark lateness applies once (see streamkit.streaming).
-    if slide_us == size_us or not panes or df.isStreaming:
-        w = F.window(time_col, size_s, slide_s) if slide_us != size_us else F.window(time_col, size_s)
+    if df.isStreaming:
+        # One native window aggregation: a single stateful operator, so
+        # watermark lateness applies once (see streamkit.streaming).
+        if slide_us > size_us:
+            raise ValueError("on a stream the slide may not exceed the size")
+        w = F.window(time_col, f"{size_us} microseconds", f"{slide_us} microseconds")
         out = df.groupBy(*keys, w.alias("_w")).agg(*[a.direct() for a in aggs])
         return out.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                           *[a.name for a in aggs])
-
-    pane_us = math.gcd(size_us, slide_us)
-    pane = F.window(time_col, f"{pane_us} microseconds")
-    partials = df.groupBy(*keys, pane.start.alias("_pane")).agg(*[a.partial() for a in aggs])
-    # A window contains a whole pane iff it contains the pane's start.
-    win = F.window("_pane", size_s, slide_s)
-    out = partials.groupBy(*keys, win.alias("_w")).agg(*[a.merge(F.col("_pane")) for a in aggs])
-    return out.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                      *[a.name for a in aggs])
+    # Windows are numbered: window k covers [k slide, k slide + size).  A row,
+    # or a pane, is in windows ceil((t + 1 - size) / slide) .. floor(t / slide).
+    ntz = isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
+    at = df.where(F.col(time_col).isNotNull()).withColumn("_at", _micros(df, time_col))
+    by_pane = panes and slide_us < size_us
+    if by_pane:
+        pane_us = math.gcd(size_us, slide_us)
+        at = at.withColumn("_at", _floor(F.col("_at"), pane_us) * pane_us)
+        at = at.groupBy(*keys, "_at").agg(*[a.partial() for a in aggs])
+    last = _floor(F.col("_at"), slide_us)
+    first = _floor(F.col("_at") - size_us, slide_us) + 1
+    if slide_us == size_us:
+        at = at.withColumn("_k", last)
+    else:
+        at = at.where(first <= last).withColumn("_k", F.explode(F.sequence(first, last)))
+    out = at.groupBy(*keys, "_k").agg(*[a.merge(F.col("_at")) if by_pane else a.direct() for a in aggs])
+    out = _times(out, ntz, window_start=F.col("_k") * slide_us, window_end=F.col("_k") * slide_us + size_us)
+    return out.select(*keys, "window_start", "window_end", *[a.name for a in aggs])
+
+
+def _floor(micros: Column, unit: int) -> Column:
+    """Floor division of a long, exact also for negative values."""
+    return ((micros - F.pmod(micros, F.lit(unit).cast("long"))) / unit).cast("long")
+
+
+def time_window_fold(df: DataFrame, key, time_col: str, size, order: Sequence[str], step: Callable, schema: str, initial=None) -> DataFrame:
+    """W4 in general: an arbitrary Python reduce (``initial`` None: the first
+    record starts it) or fold over the records of each tumbling window, in
+    ``order``.  See ``fold_groups``."""
+    columns = df.columns
+    df, keys, _ = resolve_keys(df, key)
+    size_us, ntz = interval_micros(size), isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
+    at = df.where(F.col(time_col).isNotNull()).withColumn("_k", _floor(_micros(df, time_col), size_us))
+    out = fold_groups(at.select(*dict.fromkeys([*keys, *columns]), "_k"), [*keys, "_k"], order, step, schema, initial, every=False)
+    out = _times(out, ntz, window_start=F.col("_k") * size_us, window_end=(F.col("_k") + 1) * size_us)
+    return out.drop("_k")
+
+
+def count_window_fold(df: DataFrame, key, order: Sequence[str], size: int, step: Callable, schema: str, initial=None) -> DataFrame:
+    """W6 in general: the same over every ``size`` consecutive records of a
+    key; an incomplete last group is never emitted."""
+    df, keys, _ = resolve_keys(df, key)
+    ranked = keyed_scan(df, keys, list(order), [Scan("count", None, "_rn")])
+    grouped = ranked.withColumn("window_end_count", (F.floor((F.col("_rn") - 1) / size) + 1) * size)
+    whole = Window.partitionBy(*keys, "window_end_count")
+    full = grouped.withColumn("_n", F.count(F.lit(1)).over(whole)).where(F.col("_n") == size).drop("_n", "_rn")
+    return fold_groups(full, [*keys, "window_end_count"], order, step, schema, initial, every=False)
 
 
 def count_window(
     df: DataFrame,
-    key: str | Sequence[str],
+    key: KeySpec | Sequence[KeySpec],
     order: str | Sequence[str],
     size: int,
     aggs: Sequence[Agg],
     slide: int | None = None,
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Count windows per key.
 
@@ -165,7 +208,7 @@ def count_window(
     Output: key columns, ``window_end_count`` (rank of the firing row within
     the key), one column per agg.
     """
-    keys = _keys(key)
+    df, keys, _ = resolve_keys(df, key)
     orders = [order] if isinstance(order, str) else list(order)
     if df.isStreaming:
         if len(keys) != 1 or len(orders) != 1 or len(aggs) != 1 or aggs[0].kind not in (
@@ -178,7 +221,7 @@ def count_window(
         staged = df.withColumn("_cw_v", agg.col if agg.col is not None else F.lit(1))
         return count_window_stream(staged, keys[0], orders[0], "_cw_v", size, slide, name=agg.name, kind=agg.kind,
                                    initial=agg.initial)
-    ranked = keyed_scan(df, keys, orders, [Scan("count", None, "_rn")], block_rows=block_rows)
+    ranked = keyed_scan(df, keys, orders, [Scan("count", None, "_rn")], blocks=blocks)
     if slide is None:
         grp = F.floor((F.col("_rn") - 1) / size).cast("long")
         out = (
@@ -187,69 +230,44 @@ def count_window(
             .where(F.col("_n") == size)
         )
         return out.select(*keys, ((F.col("_g") + 1) * size).alias("window_end_count"), *[a.name for a in aggs])
-    if -(-size // slide) > MAX_COPIES_PER_ROW:
-        return _count_window_by_prefix(ranked, keys, size, slide, aggs)
-    # Row r belongs to the firings e = r .. r+size-1 with e % slide == 0; a
-    # firing happens only if the key reaches e rows (its group holds row e).
-    first_end = F.ceil(F.col("_rn") / slide) * slide
-    last_end = F.floor((F.col("_rn") + size - 1) / slide) * slide
-    ends = F.sequence(first_end.cast("long"), last_end.cast("long"), F.lit(slide).cast("long"))
-    exploded = ranked.where(first_end <= last_end).withColumn("_e", F.explode(ends))
-    out = (
-        exploded.groupBy(*keys, "_e")
-        .agg(F.max("_rn").alias("_last"), *[a.direct() for a in aggs])
-        .where(F.col("_last") == F.col("_e"))
-    )
-    return out.select(*keys, F.col("_e").alias("window_end_count"), *[a.name for a in aggs])
-
-
-# Beyond this many windows per row, sliding count windows switch from copying
-# rows into windows to differences of running sums.
-MAX_COPIES_PER_ROW = 64
-
-
-def _count_window_by_prefix(ranked: DataFrame, keys: list[str], size: int, slide: int, aggs) -> DataFrame:
-    """Sliding count windows with many windows per row: the window ending at
-    rank e is ``S(e) - S(e - size)`` of the key's running sums, the earlier
-    sum found by an equi-join on the unique (key, rank).  Only invertible
-    aggregates (sum, count, fold) qualify."""
-    if any(a.kind not in ("sum", "count", "fold") for a in aggs):
-        raise ValueError("windows this long relative to their slide support sum, count and fold only")
-    order = ["_rn"]
-    runs = [Scan("sum" if a.kind != "count" else "count", a.col, f"_S_{a.name}") for a in aggs]
-    blocking = plan_blocks(ranked, keys, order, DEFAULT_BLOCK_ROWS)
-    summed = drop_blocks(blocked_scan(with_blocks(ranked, blocking), blocking, runs))
-    firing = summed.where(F.col("_rn") % slide == 0)
-    earlier = summed.select(*[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_rn") + size).alias("_e"),
-                            *[F.col(f"_S_{a.name}").alias(f"_P_{a.name}") for a in aggs])
-    cond = [firing[k].eqNullSafe(earlier[f"_k_{k}"]) for k in keys] + [firing["_rn"] == earlier["_e"]]
-    joined = firing.join(earlier, cond, "left")
-    outs = []
-    for a in aggs:
-        cur, prev = F.col(f"_S_{a.name}"), F.coalesce(F.col(f"_P_{a.name}"), F.lit(0))
-        val = cur - prev
-        outs.append((F.lit(a.initial) + val if a.kind == "fold" else val).alias(a.name))
-    return joined.select(*keys, F.col("_rn").alias("window_end_count"), *outs)
+    # Stretches of the key's rows, each with the size - 1 rows before it: the
+    # windows are frames over a stretch, whatever the aggregate, and a row is
+    # copied once at most.
+    stretch = max(8 * size, STRETCH)
+    own = F.floor((F.col("_rn") - 1) / stretch).cast("long")
+    after = F.when(F.pmod(F.col("_rn") - 1, F.lit(stretch).cast("long")) >= stretch - (size - 1), F.array(own, own + 1)).otherwise(F.array(own))
+    copied = ranked.withColumn("_own", own).withColumn("_stretch", F.explode(after))
+    frame = Window.partitionBy(*keys, "_stretch").orderBy("_rn").rowsBetween(-(size - 1), Window.currentRow)
+    out = copied.select(*keys, "_rn", "_own", "_stretch", *[a.over(frame) for a in aggs])
+    return (out.where((F.col("_own") == F.col("_stretch")) & (F.col("_rn") % slide == 0))
+            .select(*keys, F.col("_rn").alias("window_end_count"), *[a.name for a in aggs]))
+
+
+#: The least rows of a key that sliding count windows keep together.
+STRETCH = 4096
 
 
 def session_window(
     df: DataFrame,
-    key: str | Sequence[str],
+    key: KeySpec | Sequence[KeySpec],
     time_col: str,
     gap,
     aggs: Sequence[Agg],
     tiebreak: Sequence[str] = (),
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Sessions per key (W10): a row starts a new session when it follows the
     key's previous row by more than ``gap`` (a gap of exactly ``gap`` merges).
 
     Output: key columns, ``session_start``, ``session_end`` (last row + gap),
-    one column per agg.  Built from two keyed scans (predecessor, then latest
-    start) over one blocking, so a hot key is split across tasks and the rows
-    are shuffled once; then an ordinary aggregation.
+    one column per agg.  Rows without a time are in no session.
+
+    A key's rows are cut into blocks (see ``streamkit.operators.scan``) and
+    shuffled once.  Each block is aggregated to its local sessions; only the
+    first and last of a block can go on in a neighbour, so only those, two per
+    key and block at most, are merged along the key.
     """
-    keys = _keys(key)
+    df, keys, _ = resolve_keys(df, key)
     gap_us = interval_micros(gap)
     order = [time_col, *tiebreak]
     if df.isStreaming:
@@ -257,16 +275,22 @@ def session_window(
         out = df.groupBy(*keys, sw.alias("_s")).agg(*[a.direct() for a in aggs])
         return out.select(*keys, F.col("_s.start").alias("session_start"), F.col("_s.end").alias("session_end"),
                           *[a.name for a in aggs])
-    # Both scans share one blocking, hence one shuffle on (key, block).
-    blocking = plan_blocks(df, keys, order, block_rows)
-    with_prev = blocked_scan(with_blocks(df, blocking), blocking, [Scan("prev", time_col, "_prev")])
-    diff = micros_between("_prev", time_col, isinstance(df.schema[time_col].dataType, T.TimestampNTZType))
-    starts = with_prev.withColumn(
-        "_start_mark", F.when(F.col("_prev").isNull() | (diff > F.lit(gap_us)), F.col(time_col))
-    ).drop("_prev")
-    sess = drop_blocks(blocked_scan(starts, blocking, [Scan("max", "_start_mark", "_sess")]))
-    out = sess.groupBy(*keys, F.col("_sess").alias("session_start")).agg(
-        F.max(time_col).alias("_last"), *[a.direct() for a in aggs]
-    )
-    end = F.col("_last") + F.expr(f"make_dt_interval(0, 0, 0, {gap_us / 1_000_000:.6f})")
-    return out.select(*keys, "session_start", end.alias("session_end"), *[a.name for a in aggs])
+    ntz = isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
+    df = df.where(F.col(time_col).isNotNull())
+    rows = with_blocks(df, plan_blocks(df, keys, order, blocks)).withColumn("_at", _micros(df, time_col))
+    inside = Window.partitionBy(KEY, BLK).orderBy(*[F.col(o) for o in order])
+    before = F.lag("_at").over(inside)
+    rows = rows.withColumn("_new", F.when(before.isNull() | (F.col("_at") - before > gap_us), F.col("_at")))
+    rows = rows.withColumn("_from", F.max("_new").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    local = rows.groupBy(KEY, BLK, "_from").agg(F.max("_at").alias("_to"), *[a.partial() for a in aggs])
+    block = Window.partitionBy(KEY, BLK)
+    local = local.withColumn("_edge", (F.col("_from") == F.min("_from").over(block)) | (F.col("_from") == F.max("_from").over(block)))
+    along = Window.partitionBy(KEY).orderBy("_from", BLK)
+    edges = local.where("_edge").withColumn("_before", F.max("_to").over(along.rowsBetween(Window.unboundedPreceding, -1)))
+    edges = edges.withColumn("_new", F.when(F.col("_before").isNull() | (F.col("_from") - F.col("_before") > gap_us), F.col("_from")))
+    edges = edges.withColumn("_session", F.max("_new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    whole = local.where("not _edge").withColumn("_session", F.col("_from")).select(KEY, BLK, "_session", "_from", "_to", *[f"_pp_{a.name}" for a in aggs])
+    every = whole.unionByName(edges.select(*whole.columns))
+    out = every.groupBy(KEY, "_session").agg(F.max("_to").alias("_to"), *[a.merge(F.struct("_from", BLK)) for a in aggs])
+    out = _times(out, ntz, session_start=F.col("_session"), session_end=F.col("_to") + gap_us)
+    return out.select(*[F.col(KEY)[k].alias(k) for k in keys], "session_start", "session_end", *[a.name for a in aggs])

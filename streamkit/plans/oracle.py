@@ -91,7 +91,8 @@ WITH l AS (
 )
 SELECT doc_id, CAST(unnest(generate_series(0, len(arr) - 1)) AS INTEGER) AS line_no, unnest(arr) AS line FROM l""",
     "text_roundtrip": "SELECT p_name AS value FROM part",
-    "delimited_roundtrip": "SELECT concat_ws('----', lower(p_name), upper(p_name)) AS value FROM part",
+    "delimited_roundtrip": """
+SELECT lower(p_name) || '----' || CASE WHEN p_size % 3 > 0 THEN CAST(p_size AS VARCHAR) ELSE '' END || '----' || upper(p_name) AS value FROM part""",
     "key_by_letter": f"""WITH {_part_tokens('upper', 'upper')}
 SELECT p_partkey, pos, token, contains(token, 'L') AS key FROM part_tokens""",
     "rolling_sum": f"""WITH {EVENTS}
@@ -229,27 +230,68 @@ FROM (SELECT c_custkey,
       FROM customer)""",
 }
 
-# Streaming: windows closed by the final watermark (max event time - 1 h,
-# tracked in milliseconds) are the ones emitted in append mode.
-_WM = "(SELECT (epoch_ms(max(ts)) - 3600000) * 1000 FROM events)"
+NULLABLE = f"""{EVENTS},
+n AS (SELECT event_id, ts, user_id, has_c, event_type,
+             CASE WHEN event_id % 7 > 0 THEN value END AS value, CASE WHEN event_id % 7 > 0 THEN cents END AS cents FROM events_c)"""
+_STEP = "lambda a, b: (a * 3 + b) % 1000003"
 
 ORACLE.update({
-    "stream_tumbling_sum": f"""
-SELECT * FROM ({ORACLE['tumbling_sum']}) WHERE epoch_us(window_end) <= {_WM}""",
+    "rolling_minby_nullable": f"""WITH {NULLABLE},
+b AS (SELECT event_id, has_c, min({{'v': value, 'id': event_id}}) FILTER (WHERE value IS NOT NULL) {ROLL} AS best FROM n)
+SELECT event_id, has_c, coalesce(best.id, -1) AS best_event_id, coalesce(best.v, -1) AS best_value FROM b""",
+    "rolling_sum_null_order": f"""WITH {NULLABLE}, s AS (SELECT *, CASE WHEN event_id % 3 > 0 THEN event_id // 50 END AS slot FROM n)
+SELECT event_id, has_c,
+       CAST(coalesce(sum(cents) OVER (PARTITION BY has_c ORDER BY slot NULLS FIRST, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS BIGINT) AS running_cents
+FROM s""",
+    "rolling_sum_lines": f"""WITH d AS ({ORACLE['document_lines']}), p AS (SELECT 'file:///texts/' || doc_id || '.txt' AS path, line_no, line FROM d)
+SELECT path, line_no,
+       CAST(sum(length(line)) OVER (PARTITION BY contains(line, 'q') ORDER BY path, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running
+FROM p""",
+    "rolling_sum_by_position": f"""WITH {EVENTS}
+SELECT event_type, event_id, cents,
+       CAST(sum(cents) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_cents
+FROM events_c""",
+    "rolling_python_fold": f"""WITH {NULLABLE}, u AS (SELECT *, CASE WHEN user_id % 5 > 0 THEN CAST(user_id AS BIGINT) END AS "user" FROM n),
+l AS (SELECT "user", event_id, event_type,
+             list(coalesce(cents, 0)) OVER (PARTITION BY "user" ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM u)
+SELECT coalesce("user", -1) AS user_id, event_id, CAST(list_reduce(list_concat([CAST(7 AS BIGINT)], c), {_STEP}) AS BIGINT) AS weight, event_type AS last_type FROM l""",
+    "tumbling_python_reduce": f"""WITH {EVENTS},
+l AS (SELECT event_type, {_tumbling(6 * US_HOUR)[0]} AS window_start, {_tumbling(6 * US_HOUR)[1]} AS window_end,
+             list(cents ORDER BY ts, event_id) AS c, list(event_id ORDER BY ts, event_id) AS ids FROM events_c GROUP BY ALL)
+SELECT event_type, window_start, window_end, ids[1] AS event_id, CAST(list_reduce(c, {_STEP}) AS BIGINT) AS weight FROM l""",
+    "tumbling_minby": f"""WITH {EVENTS},
+b AS (SELECT event_type, {_tumbling(6 * US_HOUR)[0]} AS window_start, {_tumbling(6 * US_HOUR)[1]} AS window_end,
+             min({{'v': value, 'id': event_id}}) AS best
+      FROM events_c GROUP BY ALL)
+SELECT event_type, window_start, window_end, best.id AS best_event_id, best.v AS best_value FROM b""",
+    "sliding_minute_steps": f"""WITH {EVENTS}, r AS ({_sliding_rows('events_c', 'event_type, value', 48 * US_HOUR, 30 * US_MIN)})
+SELECT event_type, {_win_cols(30 * US_MIN, 48 * US_HOUR)}, count(*) AS n, max(value) AS max_value FROM r GROUP BY event_type, k""",
+    "count_sliding_long": f"""WITH {EVENTS}
+SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS window_end_count,
+       sum(round(value * 4) / 4) OVER w AS sum_value, max(value) OVER w AS max_value
+FROM events_c WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""",
+})
+
+# Streaming: the input is bounded, so every window closes and the results are
+# those of the batch queries.
+ORACLE.update({
+    "stream_tumbling_sum": ORACLE["tumbling_sum"],
+    "stream_tumbling_max": ORACLE["tumbling_max"],
+    "stream_tumbling_fold": ORACLE["tumbling_fold"],
     "stream_sliding_count": f"""WITH {EVENTS}, r AS ({_sliding_rows('events_c', 'event_type', 2 * US_HOUR, US_HOUR)})
-SELECT event_type, {_win_cols(US_HOUR, 2 * US_HOUR)}, count(*) AS n
-FROM r GROUP BY event_type, k HAVING k * {US_HOUR} + {2 * US_HOUR} <= {_WM}""",
-    "stream_session_by_user": f"""
-SELECT * FROM ({ORACLE['session_by_user']}) WHERE epoch_us(session_end) <= {_WM}""",
+SELECT event_type, {_win_cols(US_HOUR, 2 * US_HOUR)}, count(*) AS n FROM r GROUP BY event_type, k""",
+    "stream_global_concat": ORACLE["global_concat"],
+    "stream_session_by_user": ORACLE["session_by_user"],
     "stream_rolling_sum": f"""WITH {EVENTS}
 SELECT event_id, user_id, cents,
        CAST(sum(cents) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
             AS BIGINT) AS running_cents
 FROM events_c""",
+    "stream_rolling_reduce": ORACLE["rolling_reduce"],
+    "stream_rolling_fold": ORACLE["rolling_fold"],
+    "stream_rolling_max": ORACLE["rolling_max"],
     "stream_count_tumbling": ORACLE["count_tumbling"],
-    "stream_windowed_word_count": f"""
-SELECT * FROM ({ORACLE['windowed_word_count']})
-WHERE epoch_us(window_end) <= (SELECT (max(doc_id) - 5) * 1000000 FROM documents)""",
+    "stream_windowed_word_count": ORACLE["windowed_word_count"],
     "stream_count_sliding": ORACLE["count_sliding"],
     "stream_rolling_maxby": f"""WITH {EVENTS},
 b AS (SELECT event_id, user_id,
@@ -257,4 +299,13 @@ b AS (SELECT event_id, user_id,
                OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best
       FROM events_c)
 SELECT event_id, user_id, best.id AS best_event_id, best.t AS best_event_type, best.v AS best_value FROM b""",
+    # the watermark is replayed: a row is late when its window ends no later
+    # than the latest time of the batches before, less 6 h
+    "stream_epoch_lines_late": f"""WITH {EVENTS},
+e AS (SELECT *, event_id % 7 AS batch, epoch_ms(ts) AS tms, epoch_ms(ts) // 3600000 AS k FROM events_c),
+m AS (SELECT batch, max(max(tms)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 6 * 3600000 AS mark FROM e GROUP BY batch)
+SELECT user_id, make_timestamp(k * {US_HOUR}) AS window_start, make_timestamp((k + 1) * {US_HOUR}) AS window_end,
+       CAST(sum(cents) AS BIGINT) AS cents, count(*) AS n
+FROM e JOIN m USING (batch) WHERE mark IS NULL OR (k + 1) * 3600000 > mark
+GROUP BY user_id, k""",
 })

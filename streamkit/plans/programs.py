@@ -35,7 +35,12 @@ def concat_windows(lines: DataFrame, text_col: str = "value", time_col: str | No
                     order: tuple[str, ...] = (), size="5 seconds", slide="1 second") -> DataFrame:
     """L2: pair each string with its length; one global sliding window
     concatenates the strings in arrival order (time, then ``order``) and sums
-    the lengths.  Output ``window_start, window_end, concat, total_len``."""
+    the lengths.  ``order`` (arrival: partition and offset, or a sequence
+    number) is needed, as equal times say nothing about it.  One window's
+    strings end up in one cell, as the result asks.  Output ``window_start,
+    window_end, concat, total_len``."""
+    if not order:
+        raise ValueError("give the columns that hold the order of arrival")
     timed, t = _with_time(lines, time_col)
     pairs = timed.select(F.col(t).alias("ts"), *order, F.col(text_col).alias("s"), F.length(text_col).alias("len"))
     return time_window(pairs, None, "ts", size,

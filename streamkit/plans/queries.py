@@ -33,20 +33,14 @@ from streamkit.operators.keyed import (
 )
 from streamkit.operators.routing import connect, first_match_selector, select_outputs, split, union
 from streamkit.operators.transform import flat_map, word_count
-from streamkit.operators.windows import Agg, count_window, session_window, time_window
+from streamkit.operators.windows import Agg, count_window, count_window_fold, session_window, time_window, time_window_fold
+from streamkit.plans.programs import windowed_word_count as word_count_windows
 from streamkit.session import checkpoint_dir
 from streamkit.sinks.files import write_delimited, write_text
 from streamkit.sources.collection import generate_sequence
 from streamkit.sources.text import read_file, read_text_file
 from streamkit.sources.tables import ensure_parallelism, load_table
 
-# Hot-key block size for the registered keyed scans.  The fixture tables are
-# small, so this is set low enough that the two-valued keys (each ~half the
-# rows) take the same split-into-blocks path a third-of-all-rows key takes at
-# full scale; the oracle then checks that path.
-SKEW_BLOCK_ROWS = 2_000
-
-
 def _events(spark, sf_dir) -> DataFrame:
     ev = load_table(spark, sf_dir, "events")
     return ev.select(
@@ -140,11 +134,12 @@ def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O4 + S3: ``lower----UPPER`` records, each followed by a blank line, read
-    back through the explicit text input format with the same separator."""
+    """O4 + S3: ``lower----size----UPPER`` records, the size null in every third,
+    each followed by a blank line, read back through the explicit text input
+    format with the same separator."""
     path = _sink_dir(spark, "delimited")
     part = load_table(spark, sf_dir, "part")
-    write_delimited(part, path, [F.lower("p_name"), F.upper("p_name")], row_delim="\n\n", field_delim="----")
+    write_delimited(part, path, [F.lower("p_name"), F.when(F.col("p_size") % 3 > 0, F.col("p_size")), F.upper("p_name")], row_delim="\n\n", field_delim="----")
     return read_file(spark, path, line_sep="\n\n").select("value")
 
 
@@ -159,7 +154,7 @@ def key_by_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rolling_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running sum of cents per key; event_type stays the first record's."""
     ev = _events(spark, sf_dir).select("event_id", "has_c", "event_type", "cents")
-    return rolling_sum(ev, "has_c", "event_id", "cents", carry=["event_type"], block_rows=SKEW_BLOCK_ROWS)
+    return rolling_sum(ev, "has_c", "event_id", "cents", carry=["event_type"])
 
 
 def rolling_sum_global(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +162,7 @@ def rolling_sum_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     extreme hot key) with a running sum of cents in event order.  A constant
     key is no key: the scan runs over one group, split into blocks."""
     ev = _events(spark, sf_dir).select("event_id", "cents")
-    out = rolling_sum(ev, [], "event_id", "cents", name="running_cents", block_rows=SKEW_BLOCK_ROWS)
+    out = rolling_sum(ev, [], "event_id", "cents", name="running_cents")
     return key_by(out, F.lit(1), "key")
 
 
@@ -175,32 +170,32 @@ def rolling_reduce_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: summing reduce; later records are labelled 'c' / 'n' by key."""
     ev = _events(spark, sf_dir).select("event_id", "has_c", "event_type", "cents")
     label = F.when(F.col("has_c"), F.lit("c")).otherwise(F.lit("n"))
-    return rolling_reduce(ev, "has_c", "event_id", "cents", "event_type", label, block_rows=SKEW_BLOCK_ROWS)
+    return rolling_reduce(ev, "has_c", "event_id", "cents", "event_type", label)
 
 
 def rolling_fold_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fold from 100 adding 1 per record: 101, 102, ... per key."""
     ev = _events(spark, sf_dir).select("event_id", "has_c")
-    return rolling_fold(ev, "has_c", "event_id", F.lit(1), 100, name="fold", block_rows=SKEW_BLOCK_ROWS)
+    return rolling_fold(ev, "has_c", "event_id", F.lit(1), 100, name="fold")
 
 
 def rolling_max_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running max of value; event_type stays the first record's."""
     ev = _events(spark, sf_dir).select("event_id", "has_c", "event_type", "value")
-    return rolling_extreme(ev, "has_c", "event_id", "value", "max", carry=["event_type"], block_rows=SKEW_BLOCK_ROWS)
+    return rolling_extreme(ev, "has_c", "event_id", "value", "max", carry=["event_type"])
 
 
 def rolling_min_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4 mirror: running min of value."""
     ev = _events(spark, sf_dir).select("event_id", "has_c", "event_type", "value")
-    return rolling_extreme(ev, "has_c", "event_id", "value", "min", carry=["event_type"], block_rows=SKEW_BLOCK_ROWS)
+    return rolling_extreme(ev, "has_c", "event_id", "value", "min", carry=["event_type"])
 
 
 def rolling_maxby_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole record of the running max value; earliest wins ties."""
     ev = _events(spark, sf_dir).select("event_id", "has_c", "event_type", "value")
     out = rolling_extreme_by(ev, "has_c", "event_id", "value", ["event_id", "event_type", "value"], "max",
-                             prefix="best_", block_rows=SKEW_BLOCK_ROWS)
+                             prefix="best_")
     return out.select("event_id", "has_c", "best_event_id", "best_event_type", "best_value")
 
 
@@ -208,10 +203,73 @@ def rolling_minby_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R5 mirror: whole record of the running min value."""
     ev = _events(spark, sf_dir).select("event_id", "has_c", "event_type", "value")
     out = rolling_extreme_by(ev, "has_c", "event_id", "value", ["event_id", "event_type", "value"], "min",
-                             prefix="best_", block_rows=SKEW_BLOCK_ROWS)
+                             prefix="best_")
     return out.select("event_id", "has_c", "best_event_id", "best_event_type", "best_value")
 
 
+def _nullable(spark, sf_dir) -> DataFrame:
+    """Events whose value is null in every 7th row."""
+    ev = _events(spark, sf_dir).select("event_id", "has_c", "event_type", "value", "cents")
+    gone = F.col("event_id") % 7 == 0
+    return ev.withColumns({c: F.when(~gone, F.col(c)) for c in ("value", "cents")})
+
+
+def rolling_minby_nullable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 with nulls: records without a value are never the extreme."""
+    out = rolling_extreme_by(_nullable(spark, sf_dir), "has_c", "event_id", "value", ["event_id", "value"], "min", prefix="best_")
+    return out.select("event_id", "has_c", F.coalesce("best_event_id", F.lit(-1)).alias("best_event_id"), F.coalesce("best_value", F.lit(-1.0)).alias("best_value"))
+
+
+def rolling_sum_null_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 over an order with nulls (first) and ties (the next column decides)."""
+    ev = _nullable(spark, sf_dir).withColumn("slot", F.when(F.col("event_id") % 3 > 0, F.floor(F.col("event_id") / 50)))
+    out = rolling_sum(ev.select("event_id", "has_c", "slot", "cents"), "has_c", ["slot", "event_id"], "cents", name="running_cents")
+    return out.select("event_id", "has_c", F.coalesce("running_cents", F.lit(-1)).alias("running_cents"))
+
+
+def rolling_sum_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original's own case: lines in the order of a string and a line
+    number, keyed by a contained letter, running sum of their lengths."""
+    lines = document_lines(spark, sf_dir).select(F.concat(F.lit("file:///texts/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), "line_no", "line")
+    out = rolling_sum(lines.withColumn("n", F.length("line").cast("long")), lambda d: d["line"].contains("q"), ["path", "line_no"], "n", name="running")
+    return out.select("path", "line_no", "running")
+
+
+def rolling_sum_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the key given by its position."""
+    ev = _events(spark, sf_dir).select("event_type", "event_id", "cents")
+    return rolling_sum(ev, 0, "event_id", "cents", name="running_cents")
+
+
+def _weigh(acc: dict, record: dict) -> dict:
+    """A step whose order matters."""
+    return {**acc, "weight": (acc["weight"] * 3 + (record["cents"] or 0)) % 1_000_003, "last_type": record["event_type"]}
+
+
+def rolling_python_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Python step over whole records from a start value, keyed by
+    a nullable long (null users are a key)."""
+    from streamkit.operators.keyed import fold_groups
+
+    ev = _nullable(spark, sf_dir).join(_events(spark, sf_dir).select("event_id", "user_id"), "event_id")
+    ev = ev.withColumn("user", F.when(F.col("user_id") % 5 > 0, F.col("user_id").cast("long")))
+
+    def step(acc, record):
+        return {**_weigh(acc, record), "event_id": record["event_id"]}
+
+    out = fold_groups(ev.select("user", "event_id", "event_type", "cents"), ["user"], ["event_id"], step,
+                      "event_id long, weight long, last_type string", initial={"weight": 7})
+    return out.select(F.coalesce("user", F.lit(-1)).alias("user_id"), "event_id", "weight", "last_type")
+
+
+def tumbling_python_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Python reduce over the records of each 6 h window and type,
+    the first record as accumulator."""
+    ev = _events(spark, sf_dir).select("event_type", "ts", "event_id", "cents", F.col("cents").alias("weight"))
+    step = lambda acc, r: {**acc, "weight": (acc["weight"] * 3 + r["cents"]) % 1_000_003}
+    return time_window_fold(ev, "event_type", "ts", "6 hours", ["ts", "event_id"], step, "event_id long, weight long")
+
+
 # -- multi-stream ---------------------------------------------------------------
 
 def union_self(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,19 +344,29 @@ def tumbling_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _best(kind: str) -> Agg:
-    rec = F.struct(F.col("value").alias("v"),
-                   (-F.col("event_id") if kind == "max" else F.col("event_id")).alias("o"),
-                   F.col("event_id").alias("id"))
-    return Agg(kind, rec, "_best")
+    record = F.struct(F.col("event_id").alias("id"), F.col("value").alias("v"))
+    return Agg(kind, record, "_best", order=("event_id",), by=F.col("value"))
 
 
 def tumbling_maxby(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W3 by-form: per event type, 6 h tumbling, the record with the max value."""
-    out = time_window(_events(spark, sf_dir), "event_type", "ts", "6 hours", [_best("max")])
+    out = time_window(_events(spark, sf_dir), "event_type", "ts", "6 hours", [_best("max_by")])
     return out.select("event_type", "window_start", "window_end",
                       F.col("_best.id").alias("best_event_id"), F.col("_best.v").alias("best_value"))
 
 
+def tumbling_minby(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 by-form: per event type, 6 h tumbling, the record with the min value."""
+    out = time_window(_events(spark, sf_dir), "event_type", "ts", "6 hours", [_best("min_by")])
+    return out.select("event_type", "window_start", "window_end",
+                      F.col("_best.id").alias("best_event_id"), F.col("_best.v").alias("best_value"))
+
+
+def sliding_minute_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 with many windows per row: per event type, 2 days every 30 min."""
+    return time_window(_events(spark, sf_dir), "event_type", "ts", "2 days", [Agg("count", None, "n"), Agg("max", F.col("value"), "max_value")], slide="30 minutes")
+
+
 def sliding_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user 1 h windows every 20 min, sum of cents and count."""
     return time_window(_events(spark, sf_dir), "user_id", "ts", "1 hour",
@@ -330,45 +398,48 @@ def global_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: documents arriving one per second; words counted in 5 s windows every 1 s."""
     docs = ensure_parallelism(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    words = docs.select(
-        F.expr("timestampadd(SECOND, doc_id, TIMESTAMP_NTZ'1970-01-01 00:00:00')").alias("ts"),
-        F.explode(java_split(F.col("text"))).alias("word"),
-    )
-    return time_window(words, "word", "ts", "5 seconds", [Agg("count", None, "count")], slide="1 second")
+    ts = F.expr("timestampadd(SECOND, doc_id, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+    return word_count_windows(docs.select(ts.alias("ts"), "text"), text_col="text", time_col="ts")
 
 
 # -- count windows and sessions ----------------------------------------------------
 
 def count_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user, every 5 consecutive events: sum of cents (incomplete tail dropped)."""
-    return count_window(_events(spark, sf_dir), "user_id", "event_id", 5, [Agg("sum", F.col("cents"), "cents")],
-                        block_rows=SKEW_BLOCK_ROWS)
+    return count_window(_events(spark, sf_dir), "user_id", "event_id", 5, [Agg("sum", F.col("cents"), "cents")])
 
 
 def count_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user, after every 2nd event, the sum over its last <= 5 events."""
     return count_window(_events(spark, sf_dir), "user_id", "event_id", 5, [Agg("sum", F.col("cents"), "cents")],
-                        slide=2, block_rows=SKEW_BLOCK_ROWS)
+                        slide=2)
 
 
 def count_sliding_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W7 on hot keys: per event type, every 2 events, sum over the last <= 5."""
     return count_window(_events(spark, sf_dir), "event_type", "event_id", 5, [Agg("sum", F.col("cents"), "cents")],
-                        slide=2, block_rows=SKEW_BLOCK_ROWS)
+                        slide=2)
+
+
+def count_sliding_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 with long windows: per event type, after every event the last <= 100:
+    sum of a double (exact quarters), and max."""
+    quarters = F.round(F.col("value") * 4) / 4
+    return count_window(_events(spark, sf_dir), "event_type", "event_id", 100, [Agg("sum", quarters, "sum_value"), Agg("max", F.col("value"), "max_value")], slide=1)
 
 
 def session_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user sessions with a 6 h gap: count and cents."""
     return session_window(_events(spark, sf_dir), "user_id", "ts", "6 hours",
                           [Agg("count", None, "n"), Agg("sum", F.col("cents"), "cents")],
-                          tiebreak=("event_id",), block_rows=SKEW_BLOCK_ROWS)
+                          tiebreak=("event_id",))
 
 
 def session_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W10 on hot keys: per event type, sessions with a 10 min gap."""
     return session_window(_events(spark, sf_dir), "event_type", "ts", "10 minutes",
                           [Agg("count", None, "n"), Agg("sum", F.col("cents"), "cents")],
-                          tiebreak=("event_id",), block_rows=SKEW_BLOCK_ROWS)
+                          tiebreak=("event_id",))
 
 
 # -- whole programs ---------------------------------------------------------------
@@ -401,6 +472,12 @@ QUERIES = {
     "rolling_min": rolling_min_q,
     "rolling_maxby": rolling_maxby_q,
     "rolling_minby": rolling_minby_q,
+    "rolling_minby_nullable": rolling_minby_nullable,
+    "rolling_sum_null_order": rolling_sum_null_order,
+    "rolling_sum_lines": rolling_sum_lines,
+    "rolling_sum_by_position": rolling_sum_by_position,
+    "rolling_python_fold": rolling_python_fold,
+    "tumbling_python_reduce": tumbling_python_reduce,
     "union_self": union_self,
     "split_tags": split_tags,
     "split_select": split_select,
@@ -411,7 +488,9 @@ QUERIES = {
     "tumbling_max": tumbling_max,
     "tumbling_fold": tumbling_fold,
     "tumbling_maxby": tumbling_maxby,
+    "tumbling_minby": tumbling_minby,
     "sliding_sum": sliding_sum,
+    "sliding_minute_steps": sliding_minute_steps,
     "sliding_nondividing": sliding_nondividing,
     "sliding_max_by_type": sliding_max_by_type,
     "global_concat": global_concat,
@@ -419,6 +498,7 @@ QUERIES = {
     "count_tumbling": count_tumbling,
     "count_sliding": count_sliding,
     "count_sliding_by_type": count_sliding_by_type,
+    "count_sliding_long": count_sliding_long,
     "session_by_user": session_by_user,
     "session_by_type": session_by_type,
     "compound_growth": compound_growth_q,

@@ -1,68 +1,89 @@
 """Registered streaming queries.
 
-Each streams a driver table through Structured Streaming (watermarked
+Each streams a whole driver table through Structured Streaming (watermarked
 window / session aggregation in append mode, or a per-record stateful
 operator), drains it with an ``availableNow`` trigger into a parquet table
-under the shared checkpoint folder, and returns that table.  In append
-mode only windows closed by the final watermark (max event time - delay)
-are emitted; the oracles select exactly those.
+under the shared checkpoint folder, and returns that table.  The input is
+bounded, so all windows close at its end (``ClosingStream``) and the results
+are those of the batch queries.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamkit.functions.time import instant_to_ntz
-from streamkit.plans.programs import windowed_word_count as word_count_windows
+from streamkit.functions.time import epoch_millis_to_ts, instant_to_ntz, ntz_micros
+from streamkit.operators.keyed import rolling_extreme, rolling_fold, rolling_reduce
 from streamkit.operators.windows import Agg, session_window, time_window
-from streamkit.session import checkpoint_dir
-from streamkit.streaming.event_time import assign_event_time
-from streamkit.streaming.replay import table_stream
+from streamkit.plans.programs import concat_windows
+from streamkit.plans.programs import windowed_word_count as word_count_windows
+from streamkit.session import checkpoint_dir, ship_package
+from streamkit.sources.tables import load_table
+from streamkit.streaming.event_time import assign_event_time, watermark_conf
+from streamkit.streaming.replay import ClosingStream, table_stream
 from streamkit.streaming.stateful import count_window_stream, rolling_extreme_by_stream, rolling_stream
 
 WATERMARK_DELAY = "1 hour"
+#: Micro-batches of the query with late rows.
+LATE_BATCHES = 7
 
 
-def drain_to_table(df: DataFrame, name: str, state_partitions: int | None = None) -> DataFrame:
-    """Run a streaming frame over everything available and read back its output.
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of its own for one query: a stream's state is split into as
+    many parts as there are shuffle partitions when it first starts, and other
+    queries keep their setting."""
+    ship_package(spark)
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    return own
 
-    The stream's state is split into ``state_partitions`` (default: the
-    cluster's default parallelism) -- fixed when a streaming query first
-    starts, so it is set for this query only and restored afterwards.
-    """
+
+def drain_to_table(df: DataFrame, name: str, between: list[Callable[[], None]] = ()) -> DataFrame:
+    """Run a streaming frame over everything available and read back its
+    output; then once more after each of the calls in ``between``."""
     spark = df.sparkSession
     run = f"{name}-{uuid.uuid4().hex[:12]}"
     base = checkpoint_dir(spark)
     out = os.path.join(base, "stream-results", run)
-    parts = state_partitions or spark.sparkContext.defaultParallelism
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    try:
-        query = (
-            df.writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", os.path.join(base, "streams", run))
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
+    writer = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", os.path.join(base, "streams", run))
+              .outputMode("append").trigger(availableNow=True))
+    for call in [None, *between]:
+        if call:
+            call()
+        query = writer.start()
         query.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-    if query.exception() is not None:
-        raise query.exception()
-    return spark.read.parquet(out)
+        if query.exception() is not None:
+            raise query.exception()
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def _folder(spark: SparkSession, kind: str) -> str:
+    return os.path.join(checkpoint_dir(spark), "stream-inputs", f"{kind}-{uuid.uuid4().hex[:12]}")
+
+
+def _closing(spark: SparkSession, sf_dir: str, table: str, time_col: str = "ts") -> ClosingStream:
+    own = stream_session(spark)
+    return ClosingStream(table_stream(own, sf_dir, table), _folder(own, f"{table}-end"), time_col)
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table_stream(spark, sf_dir, "events")
-    ev = ev.select("event_id", "ts", "user_id", "event_type",
-                   F.round(F.col("value") * 100).cast("long").alias("cents"))
-    return assign_event_time(ev, "ts", WATERMARK_DELAY)
+def _cents(ev: DataFrame) -> DataFrame:
+    return ev.withColumn("cents", F.round(F.col("value") * 100).cast("long")).withColumn("has_c", F.col("event_type").contains("c"))
+
+
+def _events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
+    """The events with their watermark, and the call that closes them."""
+    source = _closing(spark, sf_dir, "events")
+    return assign_event_time(_cents(source.frame), "ts", WATERMARK_DELAY), [source.close]
+
+
+def _event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cents(table_stream(stream_session(spark), sf_dir, "events"))
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -71,75 +92,130 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
+def _windows(spark: SparkSession, sf_dir: str, name: str, aggs: list[Agg], key: str | None = "user_id", size: str = "1 hour", slide: str | None = None) -> DataFrame:
+    events, close = _events(spark, sf_dir)
+    out = time_window(events, key, "ts", size, aggs, slide=slide)
+    return _ntz(drain_to_table(out, name, close), "window_start", "window_end")
+
+
 def stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + E2/E3 on a stream: per-user 1 h event-time windows, watermark 1 h."""
-    out = time_window(_event_stream(spark, sf_dir), "user_id", "ts", "1 hour", [Agg("sum", F.col("cents"), "cents")])
-    return _ntz(drain_to_table(out, "stream_tumbling_sum"), "window_start", "window_end")
+    return _windows(spark, sf_dir, "stream_tumbling_sum", [Agg("sum", F.col("cents"), "cents")])
+
+
+def stream_tumbling_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 on a stream: per-user 1 h max value."""
+    return _windows(spark, sf_dir, "stream_tumbling_max", [Agg("max", F.col("value"), "max_value")])
+
+
+def stream_tumbling_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 on a stream: per-user 1 h fold from 100 adding 1 per record."""
+    return _windows(spark, sf_dir, "stream_tumbling_fold", [Agg("fold", F.lit(1), "fold", initial=100)])
 
 
 def stream_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 on a stream: per event type, 2 h windows every 1 h."""
-    out = time_window(_event_stream(spark, sf_dir), "event_type", "ts", "2 hours", [Agg("count", None, "n")],
-                      slide="1 hour")
-    return _ntz(drain_to_table(out, "stream_sliding_count"), "window_start", "window_end")
+    return _windows(spark, sf_dir, "stream_sliding_count", [Agg("count", F.col("event_id"), "n")], "event_type", "2 hours", "1 hour")
+
+
+def stream_global_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 on a stream: per 6 h window every 3 h, the event types joined in
+    arrival order (time, then event id) and the sum of their lengths."""
+    events, close = _events(spark, sf_dir)
+    out = concat_windows(events, text_col="event_type", time_col="ts", order=("event_id",), size="6 hours", slide="3 hours")
+    return _ntz(drain_to_table(out, "stream_global_concat", close), "window_start", "window_end")
 
 
 def stream_session_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W10 on a stream: per-user sessions, gap 6 h, watermark 1 h."""
-    out = session_window(_event_stream(spark, sf_dir), "user_id", "ts", "6 hours",
-                         [Agg("count", None, "n"), Agg("sum", F.col("cents"), "cents")])
-    return _ntz(drain_to_table(out, "stream_session_by_user"), "session_start", "session_end")
+    events, close = _events(spark, sf_dir)
+    out = session_window(events, "user_id", "ts", "6 hours", [Agg("count", None, "n"), Agg("sum", F.col("cents"), "cents")])
+    return _ntz(drain_to_table(out, "stream_session_by_user", close), "session_start", "session_end")
 
 
 def stream_rolling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1 on a stream: running sum of cents per user, one row per event."""
-    ev = table_stream(spark, sf_dir, "events").select(
-        "event_id", "user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
-    out = rolling_stream(ev, "user_id", "event_id", "cents", "sum", name="running_cents")
-    return drain_to_table(out, "stream_rolling_sum")
+    ev = _event_rows(spark, sf_dir).select("event_id", "user_id", "cents")
+    return drain_to_table(rolling_stream(ev, "user_id", "event_id", "cents", "sum", name="running_cents"), "stream_rolling_sum")
+
+
+def stream_rolling_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 on a stream: summing reduce; later records are labelled by key."""
+    ev = _event_rows(spark, sf_dir).select("event_id", "has_c", "event_type", "cents")
+    label = F.when(F.col("has_c"), F.lit("c")).otherwise(F.lit("n"))
+    return drain_to_table(rolling_reduce(ev, "has_c", "event_id", "cents", "event_type", label), "stream_rolling_reduce")
+
+
+def stream_rolling_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 on a stream: fold from 100 adding 1 per record."""
+    ev = _event_rows(spark, sf_dir).select("event_id", "has_c")
+    return drain_to_table(rolling_fold(ev, "has_c", "event_id", F.lit(1), 100, name="fold"), "stream_rolling_fold")
+
+
+def stream_rolling_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 on a stream: running max of value; event_type stays the first record's."""
+    ev = _event_rows(spark, sf_dir).select("event_id", "has_c", "event_type", "value")
+    return drain_to_table(rolling_extreme(ev, "has_c", "event_id", "value", "max", carry=["event_type"]), "stream_rolling_max")
 
 
 def stream_count_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W6 on a stream: per user, every 5 events, the sum of their cents."""
-    ev = table_stream(spark, sf_dir, "events").select(
-        "event_id", "user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
-    out = count_window_stream(ev, "user_id", "event_id", "cents", 5, name="cents")
-    return drain_to_table(out, "stream_count_tumbling")
+    ev = _event_rows(spark, sf_dir).select("event_id", "user_id", "cents")
+    return drain_to_table(count_window_stream(ev, "user_id", "event_id", "cents", 5, name="cents"), "stream_count_tumbling")
 
 
 def stream_rolling_maxby(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R5 on a stream: per event, the user's record with the highest value so far."""
-    ev = table_stream(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    ev = _event_rows(spark, sf_dir).select("event_id", "user_id", "event_type", "value")
     out = rolling_extreme_by_stream(ev, "user_id", "event_id", "value", ["event_id", "event_type", "value"], "max")
-    return drain_to_table(out, "stream_rolling_maxby").select(
-        "event_id", "user_id", "best_event_id", "best_event_type", "best_value")
+    return drain_to_table(out, "stream_rolling_maxby").select("event_id", "user_id", "best_event_id", "best_event_type", "best_value")
 
 
 def stream_count_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W7 on a stream: per user, after every 2nd event, the cents of the last <= 5."""
-    ev = table_stream(spark, sf_dir, "events").select(
-        "event_id", "user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
-    out = count_window_stream(ev, "user_id", "event_id", "cents", 5, slide=2, name="cents")
-    return drain_to_table(out, "stream_count_sliding")
+    ev = _event_rows(spark, sf_dir).select("event_id", "user_id", "cents")
+    return drain_to_table(count_window_stream(ev, "user_id", "event_id", "cents", 5, slide=2, name="cents"), "stream_count_sliding")
 
 
 def stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 on a stream: documents arriving one per second (event time
     ``doc_id`` s, watermark 5 s), words counted in 5 s windows every 1 s."""
-    docs = table_stream(spark, sf_dir, "documents").select(
-        F.timestamp_seconds(F.col("doc_id")).alias("ts"), "text")
-    timed = assign_event_time(docs, "ts", "5 seconds")
-    out = word_count_windows(timed, text_col="text", time_col="ts")
-    return _ntz(drain_to_table(out, "stream_windowed_word_count"), "window_start", "window_end")
-
-
-STREAM_QUERIES = {
-    "stream_windowed_word_count": stream_windowed_word_count,
-    "stream_rolling_maxby": stream_rolling_maxby,
-    "stream_count_sliding": stream_count_sliding,
-    "stream_tumbling_sum": stream_tumbling_sum,
-    "stream_sliding_count": stream_sliding_count,
-    "stream_session_by_user": stream_session_by_user,
-    "stream_rolling_sum": stream_rolling_sum,
-    "stream_count_tumbling": stream_count_tumbling,
-}
+    source = _closing(spark, sf_dir, "documents", "doc_id")
+    docs = source.frame.select(F.timestamp_seconds(F.col("doc_id")).alias("ts"), "text")
+    out = word_count_windows(assign_event_time(docs, "ts", "5 seconds"), text_col="text", time_col="ts")
+    return _ntz(drain_to_table(out, "stream_windowed_word_count", [source.close]), "window_start", "window_end")
+
+
+def stream_epoch_lines_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines whose first token is epoch milliseconds arrive in
+    several micro-batches of shuffled times (``event_id`` modulo the number of
+    batches); rows whose 1 h window the watermark (6 h behind) has closed are
+    dropped.  Each batch is written as text files, however many, and read by a
+    run of its own."""
+    own = stream_session(spark)
+    for k, v in watermark_conf().items():
+        own.conf.set(k, v)
+    events = load_table(own, sf_dir, "events")
+    at = F.floor(ntz_micros("ts") / 1000).cast("long")
+    lines = events.select((F.col("event_id") % LATE_BATCHES).alias("batch"),
+                          F.concat_ws(" ", at.cast("string"), F.col("user_id").cast("string"), F.round(F.col("value") * 100).cast("long").cast("string")).alias("value"))
+    folder = _folder(own, "lines")
+
+    def arrive(batch: int):
+        return lambda: lines.where(F.col("batch") == batch).select("value").write.mode("append").text(folder)
+
+    arrive(0)()
+    source = own.readStream.text(folder)
+    token = F.split("value", " ")
+    timed = source.select(epoch_millis_to_ts("value").alias("ts"), token[1].cast("long").alias("user_id"), token[2].cast("long").alias("cents"))
+    out = time_window(assign_event_time(timed, "ts", "6 hours"), "user_id", "ts", "1 hour", [Agg("sum", F.col("cents"), "cents"), Agg("count", None, "n")])
+    end = own.range(1).select(F.concat_ws(" ", F.unix_millis(F.lit("9999-01-01 00:00:00").cast("timestamp")).cast("string"), F.lit("0"), F.lit("0")).alias("value"))
+    rest = [*(arrive(b) for b in range(1, LATE_BATCHES)), lambda: end.write.mode("append").text(folder)]
+    return _ntz(drain_to_table(out, "stream_epoch_lines_late", rest), "window_start", "window_end")
+
+
+STREAM_QUERIES = {f.__name__: f for f in (
+    stream_windowed_word_count, stream_rolling_maxby, stream_count_sliding, stream_tumbling_sum, stream_tumbling_max, stream_tumbling_fold,
+    stream_sliding_count, stream_global_concat, stream_session_by_user, stream_rolling_sum, stream_rolling_reduce, stream_rolling_fold,
+    stream_rolling_max, stream_count_tumbling, stream_epoch_lines_late,
+)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -41,23 +42,53 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is unset (local tests) is a private folder created
-    and registered; on a cluster the configured shared folder is used as is.
+    Streams, stage tables and sinks keep their files there, so on a cluster it
+    must be set to a folder that driver and executors share.  Only a local
+    master, where one machine runs everything, may leave it unset; a temporary
+    folder then serves the application.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
-        path = tempfile.mkdtemp(prefix="streamkit-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+        path = _OWN.get(context.applicationId) or _OWN.setdefault(context.applicationId, tempfile.mkdtemp(prefix="streamkit-ckpt-"))
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+#: Checkpoint folders of local applications, by application id.
+_OWN: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that
+    their Python workers can import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="streamkit-ship-"), "streamkit.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def streaming_checkpoint(spark: SparkSession, query_name: str) -> str:
     """Per-query streaming checkpoint location under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", query_name)

@@ -3,7 +3,7 @@
 ``OutputFormat`` is the lifecycle a custom sink implements: ``configure``
 once, then per task ``open(task_number, num_tasks)``, ``write_record`` per
 row and ``close``.  It runs inside the tasks (``foreachPartition`` in batch,
-a ``foreach`` writer in streaming), so it scales with the data.
+the same for each micro-batch in streaming), so it scales with the data.
 """
 
 from __future__ import annotations
@@ -29,32 +29,12 @@ class OutputFormat:
         pass
 
 
-class _ForeachWriter:
-    """Adapter: Spark's streaming foreach writer protocol → OutputFormat."""
-
-    def __init__(self, fmt_factory: Callable[[], OutputFormat], conf: dict, num_tasks: int):
-        self.fmt_factory, self.conf, self.num_tasks = fmt_factory, conf, num_tasks
-        self.fmt = None
-
-    def open(self, partition_id, epoch_id):
-        self.fmt = self.fmt_factory()
-        self.fmt.configure(self.conf)
-        self.fmt.open(partition_id, self.num_tasks)
-        return True
-
-    def process(self, row):
-        self.fmt.write_record(row)
-
-    def close(self, error):
-        if self.fmt is not None:
-            self.fmt.close()
-
-
 def write_using_output_format(df: DataFrame, fmt_factory: Callable[[], OutputFormat], conf: dict | None = None):
-    """Write every row through a fresh ``OutputFormat`` per task."""
+    """Write every row through a fresh ``OutputFormat`` per task; on a stream
+    per task of each micro-batch, with that batch's number of tasks."""
     conf = dict(conf or {})
     if df.isStreaming:
-        return df.writeStream.foreach(_ForeachWriter(fmt_factory, conf, 0))
+        return df.writeStream.foreachBatch(lambda batch, _id: write_using_output_format(batch, fmt_factory, conf))
     num_tasks = df.rdd.getNumPartitions()
 
     def run(rows):
@@ -96,7 +76,7 @@ class _SocketFormat(OutputFormat):
 
 
 def _utf8_value(row) -> bytes:
-    return str(row[0]).encode("utf-8")
+    return ("" if row[0] is None else str(row[0])).encode("utf-8")
 
 
 def write_to_socket(df: DataFrame, connect: Callable, serialize: Callable = _utf8_value):

@@ -12,10 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _joined(cols: Sequence[Column], sep: str) -> Column:
+    """Fields as text; a null field is empty, so that the others keep their place."""
+    return F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]).alias("value")
+
+
 def _one_string(df: DataFrame) -> DataFrame:
+    """Each element as a string; a null string is an empty line."""
     if len(df.columns) == 1 and df.schema.fields[0].dataType.simpleString() == "string":
-        return df
-    return df.select(F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns]).alias("value"))
+        return df.select(_joined([F.col(f"`{df.columns[0]}`")], ""))
+    return df.select(_joined([F.col(f"`{c}`") for c in df.columns], ","))
 
 
 def write_text(df: DataFrame, path: str, mode: str = "error", single_file: bool = False, line_sep: str = "\n"):
@@ -32,8 +38,7 @@ def write_text(df: DataFrame, path: str, mode: str = "error", single_file: bool
 def delimited_lines(df: DataFrame, cols: Sequence[str | Column] | None = None, field_delim: str = ",") -> DataFrame:
     """Fields joined by ``field_delim`` as written (no quoting), column ``value``."""
     cols = cols if cols is not None else df.columns
-    return df.select(F.concat_ws(field_delim, *[(F.col(c) if isinstance(c, str) else c).cast("string")
-                                                for c in cols]).alias("value"))
+    return df.select(_joined([F.col(c) if isinstance(c, str) else c for c in cols], field_delim))
 
 
 def write_delimited(df: DataFrame, path: str, cols: Sequence[str | Column] | None = None, mode: str = "overwrite",

@@ -12,6 +12,7 @@ import sys
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _printer(stream_name: str, prefix: bool):
@@ -20,15 +21,17 @@ def _printer(stream_name: str, prefix: bool):
         ctx = TaskContext.get()
         tag = f"{ctx.partitionId() + 1}> " if prefix and ctx is not None else ""
         for row in rows:
-            out.write(f"{tag}{_render(row)}\n")
+            out.write(f"{tag}{row.value}\n")
         out.flush()
 
     return emit
 
 
-def _render(row) -> str:
-    values = list(row)
-    return str(values[0]) if len(values) == 1 else "(" + ",".join(str(v) for v in values) + ")"
+def rendered(df: DataFrame) -> DataFrame:
+    """Each row as the text that is printed: a value as Spark casts it to a
+    string (``true``, ``null``), several as ``(a,b)``; column ``value``."""
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")) for c in df.columns]
+    return df.select((parts[0] if len(parts) == 1 else F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")"))).alias("value"))
 
 
 def print_rows(df: DataFrame, parallelism: int | None = None, stream: str = "stdout"):
@@ -37,7 +40,7 @@ def print_rows(df: DataFrame, parallelism: int | None = None, stream: str = "std
         return df.writeStream.format("console").option("truncate", "false")
     out = df.coalesce(parallelism) if parallelism else df
     prefix = (parallelism or out.rdd.getNumPartitions()) > 1
-    out.foreachPartition(_printer(stream, prefix))
+    rendered(out).foreachPartition(_printer(stream, prefix))
     return None
 
 
@@ -45,7 +48,7 @@ def print_to_err(df: DataFrame, parallelism: int | None = None):
     """Print every row to standard error."""
     if df.isStreaming:
         def each_batch(batch, _batch_id):
-            batch.foreachPartition(_printer("stderr", True))
+            rendered(batch).foreachPartition(_printer("stderr", True))
 
         return df.writeStream.foreachBatch(each_batch)
     return print_rows(df, parallelism, "stderr")

@@ -33,7 +33,8 @@ def kafka_options(topic: str, properties: dict[str, str]) -> dict[str, str]:
 
 
 def kafka_source(spark: SparkSession, topic: str, properties: dict[str, str], streaming: bool = True) -> DataFrame:
-    """String values of ``topic`` as column ``value`` (plus ``timestamp``)."""
+    """String values of ``topic`` as column ``value``, with ``timestamp`` and
+    the order of arrival, ``partition`` and ``offset``."""
     reader = spark.readStream if streaming else spark.read
     df = reader.format("kafka").options(**kafka_options(topic, properties)).load()
-    return df.select(F.col("value").cast("string").alias("value"), "timestamp")
+    return df.select(F.col("value").cast("string").alias("value"), "timestamp", "partition", "offset")

@@ -3,7 +3,8 @@
 ``replay_lines`` writes one file per record so that a file stream with
 ``maxFilesPerTrigger=1`` delivers exactly one record per micro-batch, in
 order: the deterministic stand-in for a socket fed by hand.
-``table_stream`` streams a parquet table of a scale-factor directory.
+``table_stream`` streams a parquet table of a scale-factor directory;
+``ClosingStream`` makes all windows of such a bounded stream close.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import time
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamkit.functions.time import ntz_to_instant
@@ -36,14 +38,54 @@ def line_stream(spark: SparkSession, directory: str, per_batch: int = 1) -> Data
     return spark.readStream.format("text").option("maxFilesPerTrigger", str(per_batch)).load(directory)
 
 
+#: Bytes of a table in one micro-batch, unless a number of files is given.
+BATCH_BYTES = str(1 << 30)
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A table as a stream; ``ts`` columns become TIMESTAMP (watermarks need it)."""
+    """A table, one file or a folder of part files, as a stream with a rate
+    limit; ``ts`` columns become TIMESTAMP (watermarks need it)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    df = reader.parquet(sf_dir)
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema)
+    reader = reader.option("maxFilesPerTrigger", str(max_files)) if max_files else reader.option("maxBytesPerTrigger", BATCH_BYTES)
+    if any(f.rstrip("/").endswith(f"/{name}.parquet") for f in table.inputFiles()[:1]):
+        df = reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    else:
+        df = reader.parquet(path)
+    return with_instants(df)
+
+
+def with_instants(df: DataFrame) -> DataFrame:
     if "ts" in df.columns and isinstance(df.schema["ts"].dataType, T.TimestampNTZType):
         df = df.withColumn("ts", ntz_to_instant("ts"))
     return df
+
+
+#: A time after all others: the event time of a closing row.
+END = "9999-01-01 00:00:00"
+
+
+class ClosingStream:
+    """A bounded stream whose windows all close.
+
+    In append mode the last windows of a bounded input stay open, since no
+    later row moves the watermark.  ``frame`` is the stream united with a
+    second source under the shared folder, empty until ``close`` writes one
+    row there whose event time is after all others and whose other columns are
+    null.  When a query has read everything, ``close`` it and run it again: the
+    watermark passes every real window, and the closing row's own window
+    never closes."""
+
+    def __init__(self, stream: DataFrame, folder: str, time_col: str = "ts"):
+        self.folder, self.time_col, self.schema = folder, time_col, stream.schema
+        self.spark = stream.sparkSession
+        self.spark.createDataFrame([], self.schema).write.parquet(folder)
+        self.frame = stream.unionByName(self.spark.readStream.schema(self.schema).parquet(folder))
+
+    def close(self) -> None:
+        end = F.lit(END).cast("timestamp")
+        kind = self.schema[self.time_col].dataType
+        end = (F.unix_seconds(end) if isinstance(kind, T.NumericType) else end).cast(kind)
+        row = self.spark.range(1).select(*[(end if f.name == self.time_col else F.lit(None).cast(f.dataType)).alias(f.name) for f in self.schema.fields])
+        row.write.mode("append").parquet(self.folder)

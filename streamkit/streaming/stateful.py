@@ -2,39 +2,86 @@
 windows (W6, W7) via ``applyInPandasWithState``.
 
 State per key is a small accumulator (plus, for sliding count windows, the
-last ``size`` values).  Within a micro-batch a key's rows reach the state
-function in shuffle order, not in the order column's order, and a stream
-cannot be sorted before a stateful operator; so a key's rows of one
-micro-batch are gathered and sorted before folding.  Memory therefore holds
-one key's rows of one micro-batch: cap micro-batches with the source's rate
-limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).  Across
-micro-batches the order is arrival order: a row arriving in a later batch
-cannot be moved before rows already folded.
+last ``size`` values).  Rows travel as structs, so Python sees the exact values
+(64-bit integers next to nulls, decimals, times), and the results follow the
+batch operators: the same types, nulls skipped by sums and extrema, null
+orders first.  Within a micro-batch a key's rows reach the state function in
+shuffle order and a stream cannot be sorted before a stateful operator; so a
+key's rows of one micro-batch are gathered and sorted before folding.  Memory
+therefore holds one key's rows of one micro-batch, which the source's rate
+limit bounds (``table_stream`` sets one).  Across micro-batches the order is
+arrival order: a row arriving in a later batch cannot be moved before rows
+already folded.  One key is one task per micro-batch; a bounded table is
+better served by the batch operators, which split hot keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import copy
+from collections.abc import Callable, Sequence
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-_KINDS = {"sum", "count", "max", "min", "fold"}
+_KINDS = ("sum", "count", "max", "min", "fold")
 
 
-def _py(x):
-    """numpy scalar → Python scalar (state tuples take plain values)."""
-    return x.item() if hasattr(x, "item") else x
+def result_type(df: DataFrame, value: Column) -> T.DataType:
+    """The type that the batch operator gives ``value`` (an aggregate)."""
+    empty = df.sparkSession.createDataFrame([], df.schema)
+    return empty.agg(value.alias("x")).schema["x"].dataType
 
 
-def _batch_rows(pdfs, order: str):
-    """The key's rows of this micro-batch, sorted by ``order`` (one frame)."""
-    frames = [pdf for pdf in pdfs if len(pdf)]
-    if frames:
-        yield pd.concat(frames, ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
+def _add(acc, v):
+    return v if acc is None else acc if v is None else acc + v
+
+
+def _larger(acc, v):
+    return v if acc is None else acc if v is None or not v > acc else v
+
+
+def _smaller(acc, v):
+    return v if acc is None else acc if v is None or not v < acc else v
+
+
+def _stepper(kind: str) -> tuple[Callable, object]:
+    if kind == "count":
+        return lambda acc, v: acc + (v is not None), 0
+    return {"sum": _add, "fold": _add, "max": _larger, "min": _smaller}[kind], None
+
+
+def _folded(acc, initial):
+    """``initial + sum``; the sum's type decides."""
+    return initial if acc is None else type(acc)(str(initial)) + acc if type(acc).__name__ == "Decimal" else initial + acc
+
+
+def _stateful(df: DataFrame, key: str, order: str, out: T.StructType, state: T.StructType, fold: Callable) -> DataFrame:
+    """``fold(key value, rows, state tuple or None)`` gives (result rows,
+    new state tuple); rows are dicts in order, result rows tuples of ``out``."""
+    packed = df.select(F.col(key).alias("_key"), F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
+    types = {f.name: f.dataType for f in out.fields}
+
+    def frame(rows: list) -> pd.DataFrame:
+        columns = {}
+        for i, (name, kind) in enumerate(types.items()):
+            values = [r[i] for r in rows]
+            columns[name] = pd.Series(values, dtype=object) if not isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else pd.Series(pd.to_datetime(values))
+        return pd.DataFrame(columns)
+
+    def step(key_tuple, pdfs, held):
+        rows = [r.asDict() if hasattr(r, "asDict") else dict(r) for pdf in pdfs for r in pdf["_row"]]
+        if not rows:
+            return
+        rows.sort(key=lambda r: (r[order] is not None, r[order] if r[order] is not None else 0))
+        results, after = fold(key_tuple[0], rows, tuple(held.get) if held.exists else None)
+        held.update(after)
+        if results:
+            yield frame(results)
+
+    return packed.groupBy("_key").applyInPandasWithState(step, out, state, "append", GroupStateTimeout.NoTimeout)
 
 
 def rolling_stream(
@@ -52,47 +99,25 @@ def rolling_stream(
     if kind not in _KINDS:
         raise ValueError(f"kind must be one of {sorted(_KINDS)}")
     fields = {f.name: f for f in df.schema.fields}
-    if kind == "count":
-        acc_type = T.LongType()
-    elif kind in ("max", "min"):
-        acc_type = fields[value].dataType
-    elif isinstance(fields[value].dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-        acc_type = T.DoubleType()
-    else:
-        acc_type = T.LongType()
-    out_fields = [f for f in df.schema.fields if f.name not in carry] + [fields[c] for c in carry]
-    out_schema = T.StructType(out_fields + [T.StructField(name, acc_type, True)])
-    state_schema = T.StructType(
-        [T.StructField("acc", acc_type, True), T.StructField("n", T.LongType(), False)]
-        + [T.StructField(f"first_{c}", fields[c].dataType, True) for c in carry]
-    )
-    cols = [f.name for f in out_fields]
-    ext = np.maximum.accumulate if kind == "max" else np.minimum.accumulate
-
-    def step(_key, pdfs, state):
-        acc, n, firsts = (state.get[0], state.get[1], list(state.get[2:])) if state.exists else (None, 0, None)
-        for pdf in _batch_rows(pdfs, order):
-            if firsts is None:
-                firsts = [_py(pdf[c].iloc[0]) for c in carry]
-            if kind == "count":
-                run = n + np.arange(1, len(pdf) + 1)
-            elif kind in ("sum", "fold"):
-                base = acc if acc is not None else (initial if kind == "fold" else 0)
-                run = base + np.cumsum(pdf[value].to_numpy())
-            else:
-                v = pdf[value].to_numpy()
-                run = ext(v) if acc is None else ext(np.concatenate([[acc], v]))[1:]
-            out = pdf.copy()
-            for c, f in zip(carry, firsts):
-                out[c] = f
-            out[name] = run
-            acc, n = _py(run[-1]), n + len(pdf)
-            yield out[cols + [name]]
-        if firsts is not None:
-            state.update((acc, n, *firsts))
-
-    return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                  GroupStateTimeout.NoTimeout)
+    v = F.col(value) if value is not None else F.lit(1)
+    kinds = {"sum": F.sum, "fold": F.sum, "count": F.count, "max": F.max, "min": F.min}
+    acc_type = result_type(df, kinds[kind](v))
+    out_type = result_type(df, F.lit(initial) + F.sum(v)) if kind == "fold" else acc_type
+    cols = [c for c in df.columns if c not in carry] + list(carry)
+    out = T.StructType([fields[c] for c in cols] + [T.StructField(name, out_type, True)])
+    state = T.StructType([T.StructField("acc", acc_type, True)] + [T.StructField(f"first_{c}", fields[c].dataType, True) for c in carry])
+    step, start = _stepper(kind)
+
+    def fold(_key, rows, held):
+        acc, firsts = (held[0], held[1:]) if held else (start, tuple(rows[0][c] for c in carry))
+        results = []
+        for r in rows:
+            acc = step(acc, r[value] if value is not None else 1)
+            shown = _folded(acc, initial) if kind == "fold" else acc
+            results.append((*(r[c] for c in cols[:len(cols) - len(firsts)]), *firsts, shown))
+        return results, (acc, *firsts)
+
+    return _stateful(df, key, order, out, state, fold)
 
 
 def count_window_stream(
@@ -110,56 +135,31 @@ def count_window_stream(
     aggregate of every ``size`` consecutive values; sliding emits, after every
     ``slide``-th value, the aggregate of the last ``<= size`` values.
     ``kind``: ``sum`` | ``count`` | ``fold`` (``initial + sum``) | ``max`` | ``min``."""
-    if kind not in ("sum", "count", "fold", "max", "min"):
+    if kind not in _KINDS:
         raise ValueError("kind is one of sum, count, fold, max, min")
-    key_type = df.schema[key].dataType
-    vtype = df.schema[value].dataType
-    fractional = isinstance(vtype, (T.FloatType, T.DoubleType, T.DecimalType))
-    buf_type = T.DoubleType() if fractional else T.LongType()
-    out_type = T.LongType() if kind == "count" else buf_type
-    out_schema = T.StructType([
-        T.StructField(key, key_type, True),
-        T.StructField("window_end_count", T.LongType(), False),
-        T.StructField(name, out_type, True),
-    ])
-    state_schema = T.StructType([
-        T.StructField("n", T.LongType(), False),
-        T.StructField("recent", T.ArrayType(buf_type), False),
-    ])
-    every = size if slide is None else slide
-    np_type = np.float64 if fractional else np.int64
-
-    def step(key_tuple, pdfs, state):
-        n, recent = state.get if state.exists else (0, [])
-        recent = np.asarray(recent, dtype=np_type)
-        for pdf in _batch_rows(pdfs, order):
-            # ``recent`` holds the values still needed: the current incomplete
-            # group (tumbling) or the last ``size`` values (sliding).
-            new = pdf[value].to_numpy(dtype=np_type)
-            vals = np.concatenate([recent, new])
-            ranks = n + np.arange(1, len(new) + 1)
-            fire = np.nonzero(ranks % every == 0)[0]
-            pos = len(recent) + fire  # index in vals of each firing row
-            start = np.maximum(pos + 1 - size, 0)
-            if kind in ("sum", "fold"):
-                sums = np.concatenate([[0], np.cumsum(vals)])
-                window = sums[pos + 1] - sums[start] + (initial if kind == "fold" else 0)
-            elif kind == "count":
-                window = np.minimum(ranks[fire], size)
-            else:
-                pick = np.max if kind == "max" else np.min
-                window = np.array([pick(vals[a:b + 1]) for a, b in zip(start, pos)], dtype=np_type)
-            n += len(new)
-            if slide is None:
-                recent = vals[len(vals) - (n % size):] if n % size else vals[:0]
-            else:
-                recent = vals[-size:]
-            if len(fire):
-                yield pd.DataFrame({key: [key_tuple[0]] * len(fire), "window_end_count": ranks[fire], name: window})
-        state.update((int(n), recent.tolist()))
-
-    return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                  GroupStateTimeout.NoTimeout)
+    kinds = {"sum": F.sum(value), "fold": F.lit(initial) + F.sum(value), "count": F.count(value), "max": F.max(value), "min": F.min(value)}
+    out = T.StructType([T.StructField(key, df.schema[key].dataType, True), T.StructField("window_end_count", T.LongType(), False),
+                        T.StructField(name, result_type(df, kinds[kind]), True)])
+    state = T.StructType([T.StructField("n", T.LongType(), False), T.StructField("recent", T.ArrayType(df.schema[value].dataType, True), False)])
+    every = slide or size
+    step, start = _stepper(kind)
+
+    def fold(key_value, rows, held):
+        n, recent = (held[0], list(held[1])) if held else (0, [])
+        results = []
+        for r in rows:
+            n += 1
+            recent = [*recent[-(size - 1):], r[value]] if size > 1 else [r[value]]
+            if n % every == 0:
+                acc = start
+                for v in recent:  # each window's own values, so no error is carried on
+                    acc = step(acc, v)
+                results.append((key_value, n, _folded(acc, initial) if kind == "fold" else acc))
+                if slide is None:
+                    recent = []
+        return results, (n, recent)
+
+    return _stateful(df, key, order, out, state, fold)
 
 
 def rolling_extreme_by_stream(
@@ -172,45 +172,26 @@ def rolling_extreme_by_stream(
     prefix: str = "best_",
 ) -> DataFrame:
     """R5 on a stream: per input row, the record (``record`` columns) holding
-    the key's running max/min of ``field``; the earliest record wins ties."""
+    the key's running max/min of ``field``; the earliest record wins ties, and
+    records whose ``field`` is null are never the extreme."""
     if kind not in ("max", "min"):
         raise ValueError("kind is 'max' or 'min'")
     fields = {f.name: f for f in df.schema.fields}
-    best_fields = [T.StructField(f"{prefix}{c}", fields[c].dataType, True) for c in record]
-    out_schema = T.StructType(list(df.schema.fields) + best_fields)
-    state_schema = T.StructType([T.StructField("v", fields[field].dataType, True)]
-                                + [T.StructField(f"r_{c}", fields[c].dataType, True) for c in record])
-    better = np.greater if kind == "max" else np.less
-    acc = np.maximum.accumulate if kind == "max" else np.minimum.accumulate
-    cols = [f.name for f in df.schema.fields]
-
-    def step(_key, pdfs, state):
-        best = tuple(state.get) if state.exists else None  # (value, *record)
-        for pdf in _batch_rows(pdfs, order):
-            v = pdf[field].to_numpy()
-            if best is None:
-                before = np.concatenate([[v[0]], acc(v)[:-1]])
-                is_new = better(v, before)
-                is_new[0] = True
-            else:
-                before = acc(np.concatenate([[best[0]], v]))[:-1]
-                is_new = better(v, before)
-            # index of the last strict improvement up to each row (-1: the state's record)
-            idx = np.maximum.accumulate(np.where(is_new, np.arange(len(v)), -1))
-            out = pdf.copy()
-            for i, c in enumerate(record):
-                taken = pdf[c].to_numpy(dtype=object)[np.maximum(idx, 0)]
-                if best is not None:
-                    taken = np.where(idx < 0, best[1 + i], taken)
-                out[f"{prefix}{c}"] = taken
-            if idx[-1] >= 0:
-                best = (_py(pdf[field].iloc[idx[-1]]), *[_py(pdf[c].iloc[idx[-1]]) for c in record])
-            yield out[cols + [f"{prefix}{c}" for c in record]]
-        if best is not None:
-            state.update(best)
-
-    return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                  GroupStateTimeout.NoTimeout)
+    out = T.StructType(list(df.schema.fields) + [T.StructField(f"{prefix}{c}", fields[c].dataType, True) for c in record])
+    state = T.StructType([T.StructField("v", fields[field].dataType, True)] + [T.StructField(f"r_{c}", fields[c].dataType, True) for c in record])
+    cols = df.columns
+
+    def fold(_key, rows, held):
+        best = held or (None,) * (1 + len(record))
+        results = []
+        for r in rows:
+            v = r[field]
+            if v is not None and (best[0] is None or (v > best[0] if kind == "max" else v < best[0])):
+                best = (v, *(r[c] for c in record))
+            results.append((*(r[c] for c in cols), *best[1:]))
+        return results, best
+
+    return _stateful(df, key, order, out, state, fold)
 
 
 def rolling_reduce_stream(
@@ -229,33 +210,23 @@ def rolling_reduce_stream(
     Without ``step``: a summing reduce; the key's first record passes through
     unchanged, later ones carry ``label(key)`` (or the row's ``label_col``) in
     ``field`` and the running sum in ``value``.  With ``step``: ``value``
-    becomes ``acc = step(acc, v)`` from ``initial`` (an arbitrary Python
-    fold, row by row)."""
-    fields = {f.name: f for f in df.schema.fields}
-    acc_type = fields[value].dataType
-    state_schema = T.StructType([T.StructField("acc", acc_type, True), T.StructField("n", T.LongType(), False)])
-    cols = [f.name for f in df.schema.fields]
-
-    def fold(key_tuple, pdfs, state):
-        acc, n = state.get if state.exists else (initial, 0)
-        for pdf in _batch_rows(pdfs, order):
-            out = pdf.copy()
-            if step is None:
-                run = (acc if acc is not None else 0) + np.cumsum(pdf[value].to_numpy())
-                first = (n + np.arange(len(pdf))) == 0
-                later = pdf[label_col].to_numpy(dtype=object) if label_col else label(key_tuple[0])
-                out[value] = run
-                out[field] = np.where(first, pdf[field].to_numpy(dtype=object), later)
-                acc = _py(run[-1])
-            else:
-                results = []
-                for v in pdf[value].tolist():
-                    acc = step(acc, v)
-                    results.append(acc)
-                out[value] = results
-            n += len(pdf)
-            yield out[cols]
-        state.update((acc, n))
-
-    return df.groupBy(key).applyInPandasWithState(fold, df.schema, state_schema, "append",
-                                                  GroupStateTimeout.NoTimeout)
+    becomes ``acc = step(acc, v)`` from a copy of ``initial`` (an arbitrary
+    Python fold, row by row)."""
+    acc_type = df.schema[value].dataType if step is not None else result_type(df, F.sum(value))
+    out = T.StructType([T.StructField(value, acc_type, True) if f.name == value else f for f in df.schema.fields])
+    state = T.StructType([T.StructField("acc", acc_type, True), T.StructField("n", T.LongType(), False)])
+    cols = df.columns
+
+    def fold(key_value, rows, held):
+        acc, n = held or (copy.deepcopy(initial), 0)
+        results = []
+        for r in rows:
+            n += 1
+            acc = _add(acc, r[value]) if step is None else step(acc, r[value])
+            change = {value: acc}
+            if step is None and n > 1:
+                change[field] = r[label_col] if label_col else label(key_value)
+            results.append(tuple((r | change)[c] for c in cols))
+        return results, (acc, n)
+
+    return _stateful(df, key, order, out, state, fold)

@@ -50,7 +50,7 @@ def test_stream_equals_batch(spark, tmp_path_factory, seed, shape):
             return time_window(df, "key", "ts", "1 minute", aggs)
         if shape == "sliding":
             return time_window(df, "key", "ts", "2 minutes", aggs, slide="30 seconds")
-        return session_window(df, "key", "ts", "20 seconds", aggs, block_rows=10)
+        return session_window(df, "key", "ts", "20 seconds", aggs, blocks=10)
 
     streamed = build(assign_event_time(_stream(spark, directory), "ts", "5 seconds"))
     got = sorted(tuple(r) for _, rs in run_available(streamed, f"bes_{shape}_{seed}") for r in rs if r.key != SENTINEL_KEY)

@@ -55,7 +55,7 @@ def count_windows_like_the_original(values, size, slide):
 def test_count_windows_match_original(spark, rows, size, slide):
     df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(rows)], "seq long, k long, v long")
     got = sorted((r.k, r.window_end_count, r.s) for r in
-                 count_window(df, "k", "seq", size, [Agg("sum", F.col("v"), "s")], slide=slide, block_rows=5).collect())
+                 count_window(df, "k", "seq", size, [Agg("sum", F.col("v"), "s")], slide=slide, blocks=5).collect())
     want = []
     for k in {k for k, _ in rows}:
         want += [(k, n, s) for n, s in count_windows_like_the_original([v for kk, v in rows if kk == k], size, slide)]
@@ -79,7 +79,7 @@ def sessions_like_the_original(times, gap):
 def test_sessions_match_original(spark, rows, gap):
     df = spark.createDataFrame([(i, k, T0 + dt.timedelta(seconds=s)) for i, (k, s) in enumerate(rows)],
                                "id long, k long, ts timestamp_ntz")
-    out = session_window(df, "k", "ts", f"{gap} seconds", [Agg("count", None, "n")], tiebreak=("id",), block_rows=7)
+    out = session_window(df, "k", "ts", f"{gap} seconds", [Agg("count", None, "n")], tiebreak=("id",), blocks=7)
     got = sorted((r.k, int((r.session_start - T0).total_seconds()), int((r.session_end - T0).total_seconds()), r.n)
                  for r in out.collect())
     want = []
@@ -92,7 +92,7 @@ def test_sessions_match_original(spark, rows, gap):
 @given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 5)), min_size=1, max_size=60))
 def test_rolling_max_by_matches_original(spark, rows):
     df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(rows)], "seq long, k long, v long")
-    out = rolling_extreme_by(df, "k", "seq", "v", ["seq"], "max", prefix="best_", block_rows=4)
+    out = rolling_extreme_by(df, "k", "seq", "v", ["seq"], "max", prefix="best_", blocks=4)
     got = {r.seq: r.best_seq for r in out.collect()}
     best = {}
     for i, (k, v) in enumerate(rows):
@@ -107,9 +107,9 @@ def test_global_count_windows_and_sessions(spark):
     df = spark.createDataFrame([(i, v, T0 + dt.timedelta(seconds=(i * i) % 977)) for i, v in enumerate(values, 1)],
                                "seq long, v long, ts timestamp_ntz")
     got = sorted((r.window_end_count, r.s) for r in
-                 count_window(df, None, "seq", 7, [Agg("sum", F.col("v"), "s")], slide=3, block_rows=40).collect())
+                 count_window(df, None, "seq", 7, [Agg("sum", F.col("v"), "s")], slide=3, blocks=40).collect())
     assert got == count_windows_like_the_original(values, 7, 3)
-    out = session_window(df, None, "ts", "4 seconds", [Agg("count", None, "n")], tiebreak=("seq",), block_rows=40)
+    out = session_window(df, None, "ts", "4 seconds", [Agg("count", None, "n")], tiebreak=("seq",), blocks=40)
     got = sorted((int((r.session_start - T0).total_seconds()), int((r.session_end - T0).total_seconds()), r.n)
                  for r in out.collect())
     assert got == sessions_like_the_original([(i * i) % 977 for i in range(1, 300)], 4)

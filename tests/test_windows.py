@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -15,20 +17,20 @@ def _ms(ms):
 
 def test_count_windows_fixture(spark):
     df = spark.createDataFrame([(i, "a", i) for i in range(1, 8)], "seq long, key string, n long")
-    for block_rows in (None, 2):
-        tumbling = count_window(df, "key", "seq", 5, [Agg("sum", F.col("n"), "n")], block_rows=block_rows).collect()
+    for blocks in (1, 2):
+        tumbling = count_window(df, "key", "seq", 5, [Agg("sum", F.col("n"), "n")], blocks=blocks).collect()
         assert [(r.window_end_count, r.n) for r in tumbling] == [(5, 15)]
         sliding = count_window(df, "key", "seq", 5, [Agg("sum", F.col("n"), "n")], slide=2,
-                               block_rows=block_rows).orderBy("window_end_count").collect()
+                               blocks=blocks).orderBy("window_end_count").collect()
         assert [r.n for r in sliding] == [3, 10, 20]
 
 
 def test_session_boundaries(spark):
     rows = [("a", 0), ("a", 5000), ("a", 10001), ("b", 0), ("b", 4999)]
     df = spark.createDataFrame([(k, _ms(ms)) for k, ms in rows], "key string, ts timestamp_ntz")
-    for block_rows in (None, 1):
+    for blocks in (1, 3):
         out = session_window(df, "key", "ts", "5 seconds", [Agg("count", None, "n")],
-                             block_rows=block_rows).orderBy("key", "session_start").collect()
+                             blocks=blocks).orderBy("key", "session_start").collect()
         got = [(r.key, r.session_start, r.session_end, r.n) for r in out]
         assert got == [("a", _ms(0), _ms(10000), 2), ("a", _ms(10001), _ms(15001), 1), ("b", _ms(0), _ms(9999), 2)]
 
@@ -37,7 +39,7 @@ def test_session_matches_builtin(spark):
     rng = random.Random(7)
     rows = [(rng.randrange(3), _ms(rng.randrange(0, 200_000))) for _ in range(300)]
     df = spark.createDataFrame(rows, "key long, ts timestamp_ntz").withColumn("id", F.monotonically_increasing_id())
-    ours = session_window(df, "key", "ts", "7 seconds", [Agg("count", None, "n")], tiebreak=("id",), block_rows=20)
+    ours = session_window(df, "key", "ts", "7 seconds", [Agg("count", None, "n")], tiebreak=("id",), blocks=20)
     builtin = df.groupBy("key", F.session_window("ts", "7 seconds").alias("s")).agg(F.count("*").alias("n")).select(
         "key", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n")
     assert sorted(ours.collect()) == sorted(builtin.collect())
@@ -77,9 +79,9 @@ def test_results_do_not_depend_on_session_zone(spark):
     df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, v long")
 
     def run():
-        s = session_window(df, "key", "ts", "20 minutes", [Agg("count", None, "n")], block_rows=2).collect()
+        s = session_window(df, "key", "ts", "20 minutes", [Agg("count", None, "n")], blocks=2).collect()
         from streamkit.operators import Scan, keyed_scan
-        r = keyed_scan(df, ["key"], ["ts"], [Scan("sum", "v", "run"), Scan("prev", "ts", "p")], block_rows=2)
+        r = keyed_scan(df, ["key"], ["ts"], [Scan("sum", "v", "run"), Scan("prev", "ts", "p")], blocks=2)
         return sorted(s), sorted(r.collect())
 
     old = spark.conf.get("spark.sql.session.timeZone")
@@ -94,18 +96,86 @@ def test_results_do_not_depend_on_session_zone(spark):
     assert len(in_utc[0]) == 1 and in_utc[0][0].n == 12
 
 
-def test_long_count_windows_use_prefix_differences(spark):
+def _frames(spark, n=400, seed=4):
+    import random
+
+    rng = random.Random(seed)
+    rows = [(i, rng.choice("ab"), rng.choice([None, rng.random() * 10 ** rng.randrange(-3, 17)]), f"t{i}") for i in range(n)]
+    return rows, spark.createDataFrame(rows, "seq long, key string, v double, t string")
+
+
+@pytest.mark.parametrize("size,slide", [(100, 1), (5, 2), (70, 3), (3, 7)])
+def test_long_sliding_count_windows_for_every_aggregate(spark, monkeypatch, size, slide):
+    """Each window's own rows are aggregated, however many windows a row is in."""
     import streamkit.operators.windows as W
 
-    rows = [(i, i % 3, i * 7 % 11) for i in range(1, 400)]
-    df = spark.createDataFrame(rows, "seq long, key long, n long")
-    aggs = [Agg("sum", F.col("n"), "s"), Agg("count", None, "c")]
-    explode_path = count_window(df, "key", "seq", 100, aggs, slide=3).collect()
-    old = W.MAX_COPIES_PER_ROW
-    try:
-        W.MAX_COPIES_PER_ROW = 1
-        prefix_path = count_window(df, "key", "seq", 100, aggs, slide=3).collect()
-    finally:
-        W.MAX_COPIES_PER_ROW = old
-    assert sorted(explode_path) == sorted(prefix_path)
-    assert len(prefix_path) > 100
+    rows, df = _frames(spark)
+    monkeypatch.setattr(W, "STRETCH", 1)  # stretches of 8 sizes, so that rows are copied
+    aggs = [Agg("sum", F.col("v"), "s"), Agg("max", F.col("v"), "m"), Agg("count", F.col("v"), "n"), Agg("concat", F.col("t"), "c", order=("seq",)),
+            Agg("min_by", F.col("t"), "b", order=("seq",), by=F.col("v"))]
+    got = {(r.key, r.window_end_count): (r.s, r.m, r.n, r.c, r.b) for r in count_window(df, "key", "seq", size, aggs, slide=slide).collect()}
+    want = {}
+    for k in "ab":
+        mine = [r for r in rows if r[1] == k]
+        for e in range(slide, len(mine) + 1, slide):
+            w = mine[max(0, e - size):e]
+            v = [r[2] for r in w if r[2] is not None]
+            best = min((r for r in w if r[2] is not None), key=lambda r: (r[2], r[0]), default=None)
+            want[k, e] = (v, max(v, default=None), len(v), "".join(r[3] for r in w), best and best[3])
+    assert set(got) == set(want)
+    for at, (v, *rest) in want.items():
+        assert list(got[at][1:]) == rest
+        assert got[at][0] is None if not v else got[at][0] == pytest.approx(sum(v), rel=1e-12)
+
+
+def test_time_windows_without_limits(spark):
+    """Thousands of windows per row, gaps between windows, times before 1970,
+    rows without a time."""
+    df = spark.createDataFrame([(1, "1969-12-31 23:59:59.5"), (2, "1970-01-01 00:00:10"), (3, None)], "v long, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    out = time_window(df, None, "ts", "2 hours", [Agg("sum", F.col("v"), "s")], slide="1 second")
+    assert out.count() == 7211 and out.where("s = 3").count() == 7189
+    out = time_window(df, None, "ts", "2 seconds", [Agg("sum", F.col("v"), "s")], slide="5 seconds").collect()
+    assert [(str(r.window_start), r.s) for r in out] == [("1970-01-01 00:00:10", 2)]
+    out = time_window(df, None, "ts", "1 second", [Agg("count", None, "n")]).orderBy("window_start").collect()
+    assert [str(r.window_start) for r in out] == ["1969-12-31 23:59:59", "1970-01-01 00:00:10"]
+
+
+def test_sessions_leave_out_rows_without_a_time(spark):
+    df = spark.createDataFrame([(None, "a"), ("2020-01-01 00:00:00", "a"), ("2020-01-01 00:00:05", "a")], "ts string, k string").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = session_window(df, "k", "ts", "10 seconds", [Agg("count", None, "n")]).collect()
+    assert [r.n for r in out] == [2]
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 5, 60])
+def test_sessions_however_they_are_cut(spark, blocks):
+    import random
+
+    rng, at = random.Random(8), 0
+    rows = []
+    for i in range(300):
+        at += rng.choice([0, 1, 2, 9, 30])
+        rows.append((i, rng.choice(["a", "a", None]), at))
+    df = spark.createDataFrame(rows, "id long, k string, at long").withColumn("ts", F.timestamp_seconds("at"))
+    out = session_window(df, "k", "ts", "5 seconds", [Agg("count", None, "n"), Agg("concat", F.col("id").cast("string"), "ids", order=("ts", "id"), sep=" ")], tiebreak=("id",), blocks=blocks)
+    got = sorted((r.k or "", int(r.session_start.timestamp()), int(r.session_end.timestamp()), r.n, r.ids.replace(" ", ",")) for r in out.collect())
+    want = []
+    for k in ("a", None):
+        mine, cur = [r for r in rows if r[1] == k], []
+        for r in mine + [(None, None, 10 ** 9)]:
+            if cur and r[2] - cur[-1][2] > 5:
+                want.append((k or "", cur[0][2], cur[-1][2] + 5, len(cur), ",".join(str(x[0]) for x in cur)))
+                cur = []
+            cur.append(r)
+    assert [g[:4] for g in got] == [w[:4] for w in sorted(want)]
+
+
+def test_python_reduce_on_windows(spark):
+    from streamkit.operators.windows import count_window_fold, time_window_fold
+
+    rows = [("a", 1, 5), (None, 2, 3), ("a", 3, 7), (None, 4, 4), ("a", 61, 2)]
+    df = spark.createDataFrame(rows, "k string, at long, v long").withColumn("ts", F.timestamp_seconds("at"))
+    step = lambda acc, r: {**acc, "v": acc["v"] * 3 - r["v"]}
+    out = time_window_fold(df, "k", "ts", "1 minute", ["at"], step, "v long").collect()
+    assert sorted((r.k or "", int(r.window_start.timestamp()), r.v) for r in out) == [("", 0, 5), ("a", 0, 8), ("a", 60, 2)]
+    out = count_window_fold(df, 0, ["at"], 2, step, "v long").collect()
+    assert sorted((r.k or "", r.window_end_count, r.v) for r in out) == [("", 2, 5), ("a", 2, 8)]
