@@ -2,7 +2,7 @@
 windows (W6, W7) via ``applyInPandasWithState``.
 
 State per key is a small accumulator (plus, for sliding count windows, the
-last ``size`` values).  Rows travel as structs, so Python sees the exact values
+last ``size`` values).  Rows travel as structs (integers as decimals), so Python sees the exact values
 (64-bit integers next to nulls, decimals, times), and the results follow the
 batch operators: the same types, nulls skipped by sums and extrema, null
 orders first.  Within a micro-batch a key's rows reach the state function in
@@ -61,7 +61,9 @@ def _folded(acc, initial):
 def _stateful(df: DataFrame, key: str, order: str, out: T.StructType, state: T.StructType, fold: Callable) -> DataFrame:
     """``fold(key value, rows, state tuple or None)`` gives (result rows,
     new state tuple); rows are dicts in order, result rows tuples of ``out``."""
-    packed = df.select(F.col(key).alias("_key"), F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
+    # integers travel as decimals: pandas has no exact integers next to nulls
+    whole = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)]
+    packed = df.select(F.col(key).alias("_key"), F.struct(*[(F.col(c).cast("decimal(20,0)") if c in whole else F.col(c)).alias(c) for c in df.columns]).alias("_row"))
     types = {f.name: f.dataType for f in out.fields}
 
     def frame(rows: list) -> pd.DataFrame:
@@ -75,6 +77,9 @@ def _stateful(df: DataFrame, key: str, order: str, out: T.StructType, state: T.S
         rows = [r.asDict() if hasattr(r, "asDict") else dict(r) for pdf in pdfs for r in pdf["_row"]]
         if not rows:
             return
+        for r in rows:
+            for c in whole:
+                r[c] = None if r[c] is None else int(r[c])
         rows.sort(key=lambda r: (r[order] is not None, r[order] if r[order] is not None else 0))
         results, after = fold(key_tuple[0], rows, tuple(held.get) if held.exists else None)
         held.update(after)
