@@ -39,12 +39,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    linked = jaccard.links(docs, k=5, percent=80)
-    stays = linked.where("first").select(F.col("fa").alias("ka"), F.col("fb").alias("kb"))
-    keyed = docs.withColumns(dict(zip(("_fa", "_fb"), fingerprint("doc_id", F.coalesce("text", F.lit(""))))))
-    kept = keyed.join(stays.hint("shuffle_hash"), (F.col("_fa") == F.col("ka")) & (F.col("_fb") == F.col("kb")))
-    # a row stored twice is in one group with itself
-    return kept.dropDuplicates(["_fa", "_fb"]).select(*docs.columns)
+    linked = stage_table(jaccard.links(docs, k=5, percent=80).select("fa", "fb", "first"), "linked")
+    # a row stored twice is in one group with itself: of such rows one may stay
+    goes = linked.groupBy("fa", "fb").agg(F.max("first").alias("one"), F.min("first").alias("all")).where("not all").select("fa", "fb", "one")
+    keyed = docs.withColumns(dict(zip(("fa", "fb"), fingerprint("doc_id", F.coalesce("text", F.lit(""))))))
+    both = left_join_held(keyed, stage_table(goes, "goes"), ["fa", "fb"], "fa")
+    twice = both.where("one").dropDuplicates(["fa", "fb"])
+    return both.where("one is null").unionByName(twice).select(*docs.columns)
 
 
 def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,12 +6,13 @@ most as many bits as the sets' symmetric difference has members.  Sets of
 similarity ``percent`` differ in at most ``D`` members, and ``D`` follows from
 their sizes, so per size band
 
-* the sketch is divided into more than ``D`` parts; some part that is not
-  empty is equal in both sets (pigeonhole), so linked sets share the key of
-  such a part.  A part is a sketch of 2**64 positions of which only the XOR of
-  the set positions' codes is kept.  A set whose non-empty parts are no more
-  than ``D`` also gives the keys of its empty parts;
-* a second sketch of 1,024 bits, kept whole, bounds the difference of a
+* the sketch is divided into more than ``D`` parts, and a set gives the keys of
+  its ``D + 1`` parts with the most members (and of those that tie).  Of these,
+  one is equal in both sets (pigeonhole), and the other set gives its key too:
+  if its least number of members is lower, directly, and else by the same
+  argument from its side.  A part is a sketch of 2**64 positions of which only
+  the XOR of the set positions' codes is kept;
+* a second sketch of 512 bits, kept whole, bounds the difference of a
   candidate pair from below by its Hamming distance;
 * pairs that are left are verified on the sets.
 
@@ -43,7 +44,7 @@ from streamkit.llm.common import fingerprint, id_type, map_texts, may_hold, read
 from streamkit.llm.graph import components
 
 #: Words of the Hamming sketch, ratio of a size band, spare parts.
-SKETCH, BAND, SPARE = 16, 1.4, 1.1
+SKETCH, BAND, SPARE = 8, 1.6, 1.25
 _U = np.uint64
 
 
@@ -96,12 +97,15 @@ def part_keys(h: np.ndarray, percent: int) -> np.ndarray:
             continue
         part = ((h >> _U(32)) * _U(parts)) >> _U(32)  # ascending, as h is sorted
         starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        words, at = np.bitwise_xor.reduceat(mix(h ^ _U(0xA5A5A5A5)), starts), part[starts]
-        salt = mix((_U(band) << _U(40)) + at)
-        keys.append(mix(words ^ salt))
-        if len(at) <= d:
+        at, members = part[starts], np.diff(np.append(starts, n))
+        salt = _U(band) << _U(40)
+        words = mix(np.bitwise_xor.reduceat(mix(h ^ _U(0xA5A5A5A5)), starts) ^ mix(salt + at))
+        if len(at) > d:
+            least = np.partition(members, len(at) - d - 1)[len(at) - d - 1]  # of the D + 1 largest
+            keys.append(words[members >= least])
+        else:  # fewer parts have members: the empty ones are keys as well
             empty = np.setdiff1d(np.arange(parts, dtype=_U), at)
-            keys.append(mix(mix((_U(band) << _U(40)) + empty) + _U(1)))
+            keys += [words, mix(mix(salt + empty) + _U(1))]
     return np.concatenate(keys) if keys else np.empty(0, _U)
 
 
@@ -166,6 +170,20 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where((100 + percent) * both.cast("long") >= percent * (F.size("ha") + F.size("hb"))).select("a", "b"))
 
 
+def sets_of(docs: DataFrame, signs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(row, h): the shingles of the representatives in ``pairs``, from their
+    texts; other texts don't move."""
+    wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    wanted = stage_table(signs.select("row", "fa", "fb").join(wanted, "row", "left_semi"), "wanted")
+    texts = may_hold(docs.select(*fingerprint("doc_id", F.coalesce("text", F.lit(""))), "text"), "fa", wanted)
+    texts = texts.join(wanted.hint("shuffle_hash"), ["fa", "fb"]).select("row", F.coalesce("text", F.lit("")).alias("text"))
+
+    def make():
+        return lambda rows: {"row": rows["row"], "h": [shingles(t, k).view(np.int64) for t in rows["text"]]}
+
+    return stage_table(map_texts(texts, make, "row long, h array<long>"), "sets")
+
+
 def near(a: str, b: str, percent: int) -> Column:
     """Sizes and sketches of two representatives allow a link."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
@@ -181,43 +199,37 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     signs = stage_table(signatures(docs, k, percent), "signatures")
     some = signs.where("n > 0")
     sets = some.groupBy("n", "sa", "sb").agg(F.min("row").alias("rep"))
-    member = stage_table(some.select("row", "n", "sa", "sb").join(sets, ["n", "sa", "sb"]).select("row", "rep"), "members")
-    live = stage_table(live_keys(signs).join(member, "row").select("key", "rep").distinct(), "live-keys")
+    member = stage_table(some.select("row", "n", "sa", "sb").join(sets, ["n", "sa", "sb"]).select("row", "rep", "n"), "members")
+    live = stage_table(live_keys(signs).join(member, "row").select("key", "rep", "n").distinct(), "live-keys")
 
     # round 1: each member of a key with the key's smallest
-    ends = live.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("key", "a")
+    ends = live.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("a"), F.max("rep").alias("z")).where("a.rep < z").select("key", F.col("a.rep").alias("a"), F.col("a.n").alias("na"))
+    sized = (F.least("n", "na") * 100 >= F.greatest("n", "na") * percent) & (F.col("rep") != F.col("a"))
     info = signs.select(F.col("row").alias("rep"), "n", "sketch")
-    star = live.join(ends, "key").where(F.col("rep") != F.col("a")).select("a", F.col("rep").alias("b")).distinct()
+    star = live.join(ends, "key").where(sized).select("a", F.col("rep").alias("b")).distinct()
     star = (star.join(info.select(F.col("rep").alias("a"), F.struct("n", "sketch").alias("x")), "a")
             .join(info.select(F.col("rep").alias("b"), F.struct("n", "sketch").alias("y")), "b").where(near("x", "y", percent)).select("a", "b"))
 
-    # the sets of all representatives that share a key with another
-    wanted = live.join(ends.select("key"), "key", "left_semi").select(F.col("rep").alias("row")).distinct()
-    wanted = stage_table(signs.select("row", "fa", "fb").join(wanted, "row", "left_semi"), "wanted")
-    texts = may_hold(docs.select(*fingerprint("doc_id", F.coalesce("text", F.lit(""))), "text"), "fa", wanted)
-    texts = texts.join(wanted.hint("shuffle_hash"), ["fa", "fb"]).select("row", F.coalesce("text", F.lit("")).alias("text"))
-
-    def make():
-        return lambda rows: {"row": rows["row"], "h": [shingles(t, k).view(np.int64) for t in rows["text"]]}
-
-    held = stage_table(map_texts(texts, make, "row long, h array<long>"), "sets")
-    first = stage_table(verified(star, held, percent), "links")
+    star = stage_table(star, "star")
+    first = stage_table(verified(star, sets_of(docs, signs, star, k), percent), "links")
     roots = components(first)
 
     # round 2: members of a key that are still in several components
-    label = live.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
+    label = live.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("root"))
     label = stage_table(label, "labels")
     open_keys = label.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    rest = label.join(open_keys, "key", "left_semi").join(info, "rep")
+    rest = label.join(open_keys, "key", "left_semi").join(info.select("rep", "sketch"), "rep")
     pair = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.root") != F.col("y.root")) & near("x", "y", percent)
     across = rest.alias("x").join(rest.alias("y"), pair).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    tested = star.withColumn("tested", F.lit(True))
-    second = stage_table(verified(across.join(tested, ["a", "b"], "left_anti"), held, percent), "links")
+    across = stage_table(across.join(star, ["a", "b"], "left_anti"), "across")
+    second = stage_table(verified(across, sets_of(docs, signs, across, k), percent), "links")
     roots = components(first.unionByName(second)) if not second.isEmpty() else roots
 
-    of_rep = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("row", F.coalesce("root", "rep").alias("root"))
+    of_rep = member.select("row", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("row", F.coalesce("root", "rep").alias("root"))
     placed = signs.select("row", "fa", "fb", "doc_id", F.col("n").alias("n_shingles")).join(of_rep, "row", "left").withColumn("root", F.coalesce("root", "row"))
+    # a table of its own, so that a component with very many members can be split in the join
     smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("head"))
+    smallest = stage_table(smallest, "components")
     return (placed.join(smallest, "root")
             .select("row", "fa", "fb", "doc_id", "n_shingles", "component_id", (F.col("row") == F.col("head.row")).alias("first")))
 
