@@ -247,6 +247,9 @@ def fold_groups(df: DataFrame, groups: Sequence[str], order: Sequence[str], step
     from pyspark.sql import Window
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    from streamkit.session import ship_package
+
+    ship_package(df.sparkSession)
     groups, order = list(groups), list(order)
     by = Window.partitionBy(*groups).orderBy(*[F.col(o) for o in order])
     marked = df.select("*", (F.row_number().over(by) == 1).alias("_first"), F.lead(F.lit(1)).over(by).isNull().alias("_last"))

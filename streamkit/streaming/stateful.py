@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from streamkit.session import ship_package
+
 _KINDS = ("sum", "count", "max", "min", "fold")
 
 
@@ -61,6 +63,7 @@ def _folded(acc, initial):
 def _stateful(df: DataFrame, key: str, order: str, out: T.StructType, state: T.StructType, fold: Callable) -> DataFrame:
     """``fold(key value, rows, state tuple or None)`` gives (result rows,
     new state tuple); rows are dicts in order, result rows tuples of ``out``."""
+    ship_package(df.sparkSession)
     # integers travel as decimals: pandas has no exact integers next to nulls
     whole = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)]
     packed = df.select(F.col(key).alias("_key"), F.struct(*[(F.col(c).cast("decimal(20,0)") if c in whole else F.col(c)).alias(c) for c in df.columns]).alias("_row"))
