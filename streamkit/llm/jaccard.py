@@ -85,6 +85,14 @@ def bands(percent: int, least: int = 1 << 31) -> list[tuple[int, int, int]]:
     return out
 
 
+def largest_difference(n: Column, percent: int) -> Column:
+    """``D`` of the band of sets of ``n`` members."""
+    out = F.lit(0)
+    for lo, d, _ in bands(percent):
+        out = F.when(n >= lo, F.lit(d)).otherwise(out)
+    return out
+
+
 def part_keys(h: np.ndarray, percent: int) -> np.ndarray:
     """The keys that a set gives: for its own band, and for the band below
     if its partner may be there."""
@@ -220,7 +228,11 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     open_keys = label.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
     rest = label.join(open_keys, "key", "left_semi").join(info.select("rep", "sketch"), "rep")
     pair = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.root") != F.col("y.root")) & near("x", "y", percent)
-    across = rest.alias("x").join(rest.alias("y"), pair).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    # linked sets share as many keys as the band's D + 1 exceeds their own largest difference
+    n, m = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    need = largest_difference(n, percent) + 1 - F.floor((100 - percent) * (n + m) / (100 + percent))
+    across = (rest.alias("x").join(rest.alias("y"), pair).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), need.alias("need"))
+              .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("need").alias("need")).where("shared >= need").select("a", "b"))
     across = stage_table(across.join(star, ["a", "b"], "left_anti"), "across")
     second = stage_table(verified(across, sets_of(docs, signs, across, k), percent), "links")
     roots = components(first.unionByName(second)) if not second.isEmpty() else roots
