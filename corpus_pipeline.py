@@ -7,9 +7,9 @@ columns of ``documents``.
 1. toxicity            documents that score as toxic go
 2. near_duplicates     one document of each linked group stays (5-word
                        shingles, similarity 0.8 or more)
-3. repeated_bytes      bytes covered by a 400-byte string that also starts
-                       elsewhere go; a character that loses some of its bytes
-                       goes whole
+3. repeated_bytes      bytes covered by a 400-byte string, or by a passage of
+                       over 50 words, that also starts elsewhere go; a
+                       character that loses some of its bytes goes whole
 4. secrets             the found secrets are blanked out in the text
 5. packing             documents are packed into sequences
 """
@@ -23,6 +23,10 @@ from streamkit.llm import jaccard, packing, secrets, suffixes, toxicity
 from streamkit.llm.common import fingerprint, left_join_held, map_texts, read_table, stage_table
 
 
+#: Words of the shortest passage that may not repeat.
+PASSAGE = 51
+
+
 def _schema(docs: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
@@ -51,7 +55,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     keyed = docs.withColumns(dict(zip(("fa", "fb"), fingerprint("doc_id", text))))
-    both = left_join_held(keyed, suffixes.repeated_spans(docs), ["fa", "fb"], "fa").select(*docs.columns, "spans")
+    both = left_join_held(keyed, suffixes.repeated_passages(docs, PASSAGE), ["fa", "fb"], "fa").select(*docs.columns, "spans")
 
     def make():
         def cut(rows: dict) -> dict:

@@ -33,6 +33,8 @@ result; further columns play no part.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -185,20 +187,20 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist()))
 
 
-def places(texts: DataFrame) -> DataFrame:
+def places(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per document of (fa, fb, text): (row, fa, fb, owners),
     ``owners`` holding (key, first and last window, 128 bits of the stretch)."""
-    rows = texts.select(F.monotonically_increasing_id().alias("row"), "fa", "fb", "text").where(F.octet_length("text") >= LENGTH)
+    rows = texts.select(F.monotonically_increasing_id().alias("row"), "fa", "fb", "text").where(F.octet_length("text") >= length)
 
     def make():
         import xxhash
 
         def one(text: str) -> list[dict]:
             data = text.encode()
-            keys, first, last = owners(np.frombuffer(data, np.uint8))
+            keys, first, last = owners(np.frombuffer(data, np.uint8), length)
             found = []
             for k, a, b in zip(keys.view(np.int64).tolist(), first.tolist(), last.tolist()):
-                h = xxhash.xxh3_128_digest(data[a:b + LENGTH])
+                h = xxhash.xxh3_128_digest(data[a:b + length])
                 found.append({"key": k, "first": a, "last": b, "ha": int.from_bytes(h[:8], "little", signed=True), "hb": int.from_bytes(h[8:], "little", signed=True)})
             return found
 
@@ -207,10 +209,10 @@ def places(texts: DataFrame) -> DataFrame:
     return map_texts(rows, make, "row long, fa long, fb long, owners array<struct<key:long,first:long,last:long,ha:long,hb:long>>")
 
 
-def compared(docs: DataFrame, owned: DataFrame, todo: DataFrame) -> DataFrame:
+def compared(docs: DataFrame, owned: DataFrame, todo: DataFrame, length: int = LENGTH) -> DataFrame:
     """Spans (row, begin, end) of the repeated windows of the stretches in
     ``todo``: (key, row, first, last, single, salts, salt)."""
-    size = todo.agg(F.sum(F.col("last") - F.col("first") + LENGTH)).first()[0] or 0
+    size = todo.agg(F.sum(F.col("last") - F.col("first") + length)).first()[0] or 0
     blocks = int(-(-size // BLOCK)) or 1
     todo = todo.withColumn("block", F.pmod(F.xxhash64("key", "salt"), F.lit(blocks)))
     by_row = todo.groupBy("row").agg(F.collect_list(F.struct("block", "key", "salts", "single", "first", "last")).alias("stretches"))
@@ -226,7 +228,7 @@ def compared(docs: DataFrame, owned: DataFrame, todo: DataFrame) -> DataFrame:
                     for x in ("block", "key", "salts", "single", "first"):
                         out[x].append(s[x])
                     out["row"].append(row)
-                    out["stretch"].append(data[s["first"]:s["last"] + LENGTH])
+                    out["stretch"].append(data[s["first"]:s["last"] + length])
             return out
 
         return cut
@@ -238,18 +240,18 @@ def compared(docs: DataFrame, owned: DataFrame, todo: DataFrame) -> DataFrame:
 
         group = group.drop_duplicates(["row", "first"])
         found: list[tuple] = []
-        repeated = repeated_windows(group["stretch"].tolist())
+        repeated = repeated_windows(group["stretch"].tolist(), length)
         for key, salts, single, first, row, stretch, mask in zip(group["key"], group["salts"], group["single"], group["first"], group["row"], group["stretch"], repeated):
             if single:
                 found += [(None, None, None, row, first + a, first + b) for a, b in runs(mask)]
             if salts > 1:  # all distinct windows for the other blocks; open ones with their place
                 for i in np.flatnonzero(~mask if single else np.ones(len(mask), bool)).tolist():
-                    h = xxhash.xxh3_128_digest(stretch[i:i + LENGTH])
+                    h = xxhash.xxh3_128_digest(stretch[i:i + length])
                     found.append((key, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True), row if single else None, first + i, first + i))
                 if single:
                     told = {}
                     for i in np.flatnonzero(mask).tolist():
-                        told[xxhash.xxh3_128_digest(stretch[i:i + LENGTH])] = i
+                        told[xxhash.xxh3_128_digest(stretch[i:i + length])] = i
                     found += [(key, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True), None, first + i, first + i) for h, i in told.items()]
         return pd.DataFrame(found, columns=["key", "wa", "wb", "row", "first", "last"]).astype({x: "Int64" for x in ("key", "wa", "wb", "row", "first", "last")})
 
@@ -263,11 +265,11 @@ def compared(docs: DataFrame, owned: DataFrame, todo: DataFrame) -> DataFrame:
     return here.unionByName(there)
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(fa, fb, spans) of the documents that hold repeated bytes: byte spans
-    (begin, end exclusive), which may overlap."""
+def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(fa, fb, spans) of the documents that hold repeated strings of
+    ``length`` bytes: byte spans (begin, end exclusive), which may overlap."""
     docs = text_rows(docs).select(*fingerprint("doc_id", "text"), "text")
-    owned = stage_table(places(docs), "owners")
+    owned = stage_table(places(docs, length), "owners")
     each = owned.select("row", F.explode("owners").alias("o")).select("row", "o.*")
     distinct = each.groupBy("key", "ha", "hb").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last")).alias("at"))
     several = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
@@ -278,8 +280,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     todo = (kept.where("kinds is not null")
             .select("key", "row", "first", "last", (F.col("n") == 1).alias("single"), salts.alias("salts"))
             .withColumn("salt", F.pmod(F.xxhash64("row", "first"), F.col("salts"))))
-    spans = settled.unionByName(compared(docs, owned, todo))
-    spans = spans.groupBy("row").agg(F.collect_list(F.struct(F.col("first").alias("begin"), (F.col("last") + LENGTH).alias("end"))).alias("spans"))
+    spans = settled.unionByName(compared(docs, owned, todo, length))
+    spans = spans.groupBy("row").agg(F.collect_list(F.struct(F.col("first").alias("begin"), (F.col("last") + length).alias("end"))).alias("spans"))
     return stage_table(owned.select("row", "fa", "fb").join(spans, "row").select("fa", "fb", "spans").dropDuplicates(["fa", "fb"]), "spans")
 
 
@@ -293,6 +295,89 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def strings(spans: list[dict] | None, length: int) -> list[dict]:
+    """The longest spans of which each ``length`` bytes are in one of ``spans``."""
+    out: list[dict] = []
+    for s in sorted(spans or [], key=lambda s: (s["begin"], s["end"])):
+        if out and s["begin"] <= out[-1]["end"] - length + 1:
+            out[-1]["end"] = max(out[-1]["end"], s["end"])
+        else:
+            out.append({"begin": s["begin"], "end": s["end"]})
+    return out
+
+
+def words_within(data: bytes, begin: int, end: int) -> tuple[int, str, list[tuple[int, int]]]:
+    """The characters of ``data`` that have bytes between ``begin`` and
+    ``end``: their first byte, their text, and where in it whole words stand."""
+    inside = lambda i: 0 < i < len(data) and data[i] & 0xC0 == 0x80  # noqa: E731  (within a character)
+    while inside(begin):
+        begin -= 1
+    while inside(end):
+        end += 1
+    text = data[begin:end].decode()
+    words = [m.span() for m in re.finditer(r"\S+", text)]
+    before, after = data[max(0, begin - 4):begin].decode("utf-8", "ignore")[-1:], data[end:end + 4].decode("utf-8", "ignore")[:1]
+    if words and words[0][0] == 0 and before.strip():
+        words = words[1:]
+    if words and words[-1][1] == len(text) and after.strip():
+        words = words[:-1]
+    return begin, text, words
+
+
+def repeated_passages(docs: DataFrame, words: int, length: int = LENGTH) -> DataFrame:
+    """(fa, fb, spans) of the documents that hold repeated strings of
+    ``length`` bytes or of ``words`` whole words, whatever their bytes.
+
+    Any such string has ``least`` bytes (words and blanks of one byte).  Each
+    of its places lies in a string whose every ``least`` bytes repeat; only
+    those are looked at again, by bytes and by words."""
+    least = min(2 * words - 1, length)
+    rows = text_rows(docs).select(*fingerprint("doc_id", "text"), "text")
+    both = left_join_held(rows, repeated_spans(docs, least), ["fa", "fb"], "fa").where("spans is not null")
+
+    def make_strings():
+        def one(rows: dict) -> dict:
+            out: dict[str, list] = {x: [] for x in ("fa", "fb", "at", "text", "words")}
+            for fa, fb, text, spans in zip(rows["fa"], rows["fb"], rows["text"], rows["spans"]):
+                data = text.encode()
+                for s in strings(spans, least):
+                    at, part, whole = words_within(data, s["begin"], s["end"])
+                    if s["end"] - s["begin"] >= length or len(whole) >= words:
+                        for k, v in zip(out, (fa, fb, at, part, [{"a": a, "b": b} for a, b in whole])):
+                            out[k].append(v)
+            return out
+
+        return one
+
+    def make_windows():
+        import xxhash
+
+        def one(rows: dict) -> dict:
+            out: dict[str, list] = {x: [] for x in ("fa", "fb", "begin", "end", "wa", "wb")}
+            for fa, fb, at, text, whole in zip(*(rows[x] for x in ("fa", "fb", "at", "text", "words"))):
+                place, chars = at, 0
+                for first, last in zip(whole, whole[words - 1:]):
+                    place += len(text[chars:first["a"]].encode())
+                    chars = first["a"]
+                    string = text[first["a"]:last["b"]].encode()
+                    h = xxhash.xxh3_128_digest(string)
+                    for k, v in zip(out, (fa, fb, place, place + len(string), int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True))):
+                        out[k].append(v)
+            return out
+
+        return one
+
+    held = stage_table(map_texts(both, make_strings, "fa long, fb long, at long, text string, words array<struct<a:int,b:int>>"), "strings")
+    named = held.select(F.struct("fa", "fb", "at").alias("doc_id"), "text")
+    by_bytes = repeated_spans(named, length).join(named.select("doc_id", *fingerprint("doc_id", "text")), ["fa", "fb"]).select("doc_id", F.explode("spans").alias("s"))
+    by_bytes = by_bytes.select("doc_id.fa", "doc_id.fb", (F.col("doc_id.at") + F.col("s.begin")).alias("begin"), (F.col("doc_id.at") + F.col("s.end")).alias("end"))
+    each = stage_table(map_texts(held, make_windows, "fa long, fb long, begin long, end long, wa long, wb long"), "passages")
+    several = each.groupBy("wa", "wb").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    by_words = each.join(several, ["wa", "wb"], "left_semi").select("fa", "fb", "begin", "end")
+    spans = by_bytes.unionByName(by_words).distinct().groupBy("fa", "fb").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    return stage_table(spans, "spans")
+
+
 def removed(docs: DataFrame) -> DataFrame:
     """Every document: (doc_id, n_bytes, n_spans, kept): the number of
     removed runs and the remaining bytes."""

@@ -72,3 +72,27 @@ def test_odd_rows(spark, odd_docs, no_docs, as_table, name, stage):
         return
     assert out.columns == odd_docs.columns
     assert len(rows) == (odd_docs.count() - 2 if name == "near_duplicates" else odd_docs.count())
+
+
+def test_repeated_passages_of_over_50_words_go(spark):
+    """Also those of far fewer than 400 bytes; 50 words stay, and so does a string that repeats in parts only."""
+    rng = np.random.default_rng(4)
+    words = lambda n, size=6: " ".join("".join(rng.choice(list("abcdefghé"), rng.integers(1, size))) for _ in range(n))
+    least, usual, short = " ".join(rng.choice(list("abcdefgh"), 51)), words(51), words(50)
+    own = [words(80) for _ in range(12)]
+    assert len(least) == 101 and len(usual.encode()) < S.LENGTH
+    rows = {i: f"{own[2 * i]} {p} {own[2 * i + 1]}" for i, p in enumerate((least, least, usual, usual, short, short))}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in C.repeated_bytes_stage(spark, docs, SF).collect()}
+    for i, passage in enumerate((least, least, usual, usual)):
+        assert passage not in got[i] and got[i].startswith(own[2 * i]) and got[i].endswith(own[2 * i + 1])
+    assert got[4] == rows[4] and got[5] == rows[5]
+
+
+def test_words_within():
+    data = "über alles, 字 ok".encode()
+    found = lambda a, b: [x[i:j] for _, x, w in [S.words_within(data, a, b)] for i, j in w]
+    assert found(0, len(data)) == found(1, len(data)) == ["über", "alles,", "字", "ok"]
+    assert found(2, len(data)) == ["alles,", "字", "ok"] and found(0, 4) == found(7, 9) == [] and found(0, 5) == ["über"]
+    assert S.strings([{"begin": 9, "end": 19}, {"begin": 0, "end": 12}, {"begin": 3, "end": 13}, {"begin": 20, "end": 30}], 10) == [
+        {"begin": 0, "end": 13}, {"begin": 9, "end": 19}, {"begin": 20, "end": 30}]
