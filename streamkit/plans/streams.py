@@ -4,8 +4,10 @@ Each streams a whole driver table through Structured Streaming (watermarked
 window / session aggregation in append mode, or a per-record stateful
 operator), drains it with an ``availableNow`` trigger into a parquet table
 under the shared checkpoint folder, and returns that table.  The input is
-bounded, so all windows close at its end (``ClosingStream``) and the results
-are those of the batch queries.
+bounded, so the watermark lags by all the time that it spans, all windows
+close at its end (``ClosingStream``), and the results are those of the batch
+queries in whatever order and micro-batches the rows arrive.  The state holds
+all windows until then.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from streamkit.plans.programs import windowed_word_count as word_count_windows
 from streamkit.session import checkpoint_dir, ship_package
 from streamkit.sources.tables import load_table
 from streamkit.streaming.event_time import assign_event_time, watermark_conf
-from streamkit.streaming.replay import ClosingStream, table_stream
+from streamkit.streaming.replay import ClosingStream, covering_delay, table_stream
 from streamkit.streaming.stateful import count_window_stream, rolling_extreme_by_stream, rolling_stream
 
 WATERMARK_DELAY = "1 hour"
@@ -79,7 +81,8 @@ def _cents(ev: DataFrame) -> DataFrame:
 def _events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
     """The events with their watermark, and the call that closes them."""
     source = _closing(spark, sf_dir, "events")
-    return assign_event_time(_cents(source.frame), "ts", WATERMARK_DELAY), [source.close]
+    delay = covering_delay(spark, sf_dir, "events", least=WATERMARK_DELAY)
+    return assign_event_time(_cents(source.frame), "ts", delay), [source.close]
 
 
 def _event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +102,8 @@ def _windows(spark: SparkSession, sf_dir: str, name: str, aggs: list[Agg], key:
 
 
 def stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 + E2/E3 on a stream: per-user 1 h event-time windows, watermark 1 h."""
+    """W1 + E2/E3 on a stream: per-user 1 h event-time windows, watermark
+    1 h and the table's time span."""
     return _windows(spark, sf_dir, "stream_tumbling_sum", [Agg("sum", F.col("cents"), "cents")])
 
 
@@ -127,7 +131,7 @@ def stream_global_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_session_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W10 on a stream: per-user sessions, gap 6 h, watermark 1 h."""
+    """W10 on a stream: per-user sessions, gap 6 h."""
     events, close = _events(spark, sf_dir)
     out = session_window(events, "user_id", "ts", "6 hours", [Agg("count", None, "n"), Agg("sum", F.col("cents"), "cents")])
     return _ntz(drain_to_table(out, "stream_session_by_user", close), "session_start", "session_end")
@@ -179,10 +183,11 @@ def stream_count_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 on a stream: documents arriving one per second (event time
-    ``doc_id`` s, watermark 5 s), words counted in 5 s windows every 1 s."""
+    ``doc_id`` s, watermark 5 s and the table's time span), words counted in 5 s windows every 1 s."""
     source = _closing(spark, sf_dir, "documents", "doc_id")
     docs = source.frame.select(F.timestamp_seconds(F.col("doc_id")).alias("ts"), "text")
-    out = word_count_windows(assign_event_time(docs, "ts", "5 seconds"), text_col="text", time_col="ts")
+    delay = covering_delay(spark, sf_dir, "documents", "doc_id", "5 seconds")
+    out = word_count_windows(assign_event_time(docs, "ts", delay), text_col="text", time_col="ts")
     return _ntz(drain_to_table(out, "stream_windowed_word_count", [source.close]), "window_start", "window_end")
 
 

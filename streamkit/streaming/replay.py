@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamkit.functions.time import ntz_to_instant
+from streamkit.functions.time import interval_micros, ntz_to_instant
 
 
 def replay_lines(lines: Iterable[str], directory: str) -> str:
@@ -62,6 +62,17 @@ def with_instants(df: DataFrame) -> DataFrame:
     return df
 
 
+def covering_delay(spark: SparkSession, sf_dir: str, name: str, time_col: str = "ts", least: str = "0 seconds") -> int:
+    """A watermark delay in milliseconds, ``least`` added to all the time that
+    a table spans (``time_col`` holds times, or seconds): in whatever order and
+    batches its rows arrive, none is late."""
+    table = with_instants(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    at = F.col(time_col)
+    at = at.cast("decimal(38,6)") * 1000 if isinstance(table.schema[time_col].dataType, T.NumericType) else F.unix_micros(at.cast("timestamp")) / 1000
+    span = table.agg(F.ceil(F.max(at) - F.min(at)).cast("long")).first()[0] or 0
+    return interval_micros(least) // 1000 + span
+
+
 #: A time after all others: the event time of a closing row.
 END = "9999-01-01 00:00:00"
 
