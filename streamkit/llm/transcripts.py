@@ -8,10 +8,12 @@ transitions and observations on a bounded sample of transcripts whose roles
 are known; ``parse`` recovers the most probable states by Viterbi and renders
 the turns in one canonical form.
 
-A conversation is cut into parts of ``TURNS`` turns.  Each part gives a matrix
-of the best score from any state before it to any state at its end; these
-compose in order, so the best path of a long conversation fixes the states at
-the parts' ends, and the parts are decoded on their own between them.
+A conversation is cut into parts of ``TURNS`` turn numbers, and a part whose
+turn numbers repeat into cuts of ``TURNS`` rows, by the row numbers of a blocked
+scan.  Each cut gives a matrix of the best score from any state before it to
+any state at its end; these compose in order, ``FAN`` at a time and level by
+level, so the best path of a long conversation fixes the states at the cuts'
+ends, and the cuts are decoded on their own between them.
 
 Defined results: rows stored twice (same conversation, turn, role and text)
 are one row; rows of one turn are ordered by role, then text, nulls first;
@@ -32,12 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamkit.llm.common import map_texts, read_table, stage_table
+from streamkit.operators.scan import Scan, keyed_scan
 
 ROLES = ("system", "user", "assistant")
 #: Speaker markers by style, in the order of ``ROLES``.
 STYLES = (("System:", "User:", "Assistant:"), ("Instructions:", "Human:", "AI:"), ("### System", "### User", "### Assistant"), ("Context:", "Q:", "A:"))
 #: Turns in a part, transcripts that a model is fitted on.
 TURNS, SAMPLE = 256, 2000
+#: Matrices composed together.
+FAN = 256
 #: A state is 2 * role + (1 inside a turn, 0 at its begin).
 STATES = 2 * len(ROLES)
 CODES = (len(ROLES) + 1) * 2 * 2 * 3
@@ -120,26 +125,29 @@ class Model:
 
 
 def parts(conversations: DataFrame) -> DataFrame:
-    """(conv_id, part, turns): the distinct rows of each part in order.  A
-    group holds the rows of ``TURNS`` turn numbers."""
+    """(conv_id, part, cut, first, turns): the distinct rows of each cut in
+    order, ``TURNS`` at most; ``first`` marks a conversation's first cut."""
     turn = F.coalesce(F.col("turn").cast("long"), F.lit(0))
     rows = conversations.select(F.col("conv_id").cast("string").alias("conv_id"), turn.alias("turn"), F.col("role").cast("string").alias("role"),
                                 F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
-    part = F.floor(F.col("turn") / TURNS).cast("long").alias("part")
-    return rows.groupBy("conv_id", part).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    rows = stage_table(rows.withColumn("part", F.floor(F.col("turn") / TURNS).cast("long")), "rows")
+    least = rows.groupBy("conv_id").agg(F.min("part").alias("p")).select(F.col("conv_id").alias("c"), "p", F.lit(0).cast("long").alias("z"))
+    counted = keyed_scan(rows, ["conv_id", "part"], ["turn", "role", "text"], [Scan("count", None, "n")])
+    cuts = (counted.withColumn("cut", F.floor((F.col("n") - 1) / TURNS).cast("long")).groupBy("conv_id", "part", "cut")
+            .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")))
+    both = cuts.join(least, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")) & (F.col("cut") == F.col("z")), "left")
+    return both.select("conv_id", "part", "cut", F.col("p").isNotNull().alias("first"), "turns")
 
 
 def transcripts(conversations: DataFrame) -> DataFrame:
-    """(conv_id, part, first, lines, states): conversations written as plain
-    transcripts, with the true state of each line that isn't blank (-1 where
-    its role is not one of ``ROLES``)."""
+    """(conv_id, part, cut, first, lines, states): conversations written as
+    plain transcripts, with the true state of each line that isn't blank (-1
+    where its role is not one of ``ROLES``)."""
     rows = parts(conversations)
-    first = rows.groupBy("conv_id").agg(F.min("part").alias("least"))
-    rows = rows.join(first.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left").select("conv_id", "part", "turns", (F.col("part") == F.col("least")).alias("first"))
 
     def make():
         def one(rows: dict) -> dict:
-            out = {x: rows[x] for x in ("conv_id", "part", "first")} | {"lines": [], "states": []}
+            out = {x: rows[x] for x in ("conv_id", "part", "cut", "first")} | {"lines": [], "states": []}
             for name, turns, first in zip(rows["conv_id"], rows["turns"], rows["first"]):
                 lines, states = write(name or "", [(t["turn"], t["role"], t["text"]) for t in turns], first)
                 out["lines"].append(lines)
@@ -148,13 +156,13 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 
         return one
 
-    return map_texts(rows, make, "conv_id string, part long, first boolean, lines array<string>, states array<int>")
+    return map_texts(rows, make, "conv_id string, part long, cut long, first boolean, lines array<string>, states array<int>")
 
 
 def fit(known: DataFrame) -> Model:
-    """Counts, each raised by a half, on ``SAMPLE`` parts at most, by the
+    """Counts, each raised by a half, on ``SAMPLE`` cuts at most, by the
     order of a hash of their ids."""
-    sample = known.orderBy(F.xxhash64("conv_id", "part"), "conv_id", "part").limit(SAMPLE)
+    sample = known.orderBy(F.xxhash64("conv_id", "part"), "conv_id", "part", "cut").limit(SAMPLE)
 
     def make():
         def count(rows: dict) -> dict:
@@ -185,39 +193,73 @@ def fit(known: DataFrame) -> Model:
     return Model(step, see)
 
 
-def parse(written: DataFrame, model: Model) -> DataFrame:
-    """One row per recovered turn, or piece of one that goes on from the part
-    before: (conv_id, part, piece, role, continued, n_lines, text, rendered,
-    states) of (conv_id, part, lines)."""
+def ends(matrices: DataFrame) -> DataFrame:
+    """(c, at, entry, end): the best path's states before and at the end of
+    each of the matrices (conv_id, at, matrix), numbered from 0 within their
+    conversation.  ``FAN`` neighbours at most are composed together, level by
+    level up to one group a conversation; its states are then handed down."""
 
-    def make_matrices():
-        return lambda rows: {x: rows[x] for x in ("conv_id", "part")} | {"matrix": [model.matrix(observe(x)[0]).ravel().tolist() for x in rows["lines"]]}
+    def make_composed():
+        def one(rows: dict) -> dict:
+            out = []
+            for chain in rows["chain"]:
+                whole = np.array(chain[0]["matrix"]).reshape(STATES + 1, -1)
+                for x in chain[1:]:
+                    whole = (whole[:, :, None] + np.array(x["matrix"]).reshape(STATES + 1, -1)[None]).max(axis=1)
+                out.append(whole.ravel().tolist())
+            return {"conv_id": rows["conv_id"], "at": rows["up"], "matrix": out}
+
+        return one
 
     def make_ends():
         def one(rows: dict) -> dict:
-            out: dict[str, list] = {"c": [], "p": [], "entry": [], "end": []}
-            for name, chain in zip(rows["conv_id"], rows["chain"]):
-                score, back = np.where(np.arange(STATES + 1) == STATES, 0.0, -np.inf), []
+            out: dict[str, list] = {"c": [], "at": [], "entry": [], "end": []}
+            for name, chain, entry, end in zip(*(rows[x] for x in ("conv_id", "chain", "entry", "end"))):
+                score, back = np.where(np.arange(STATES + 1) == entry, 0.0, -np.inf), []
                 for x in chain:
                     every = score[:, None] + np.array(x["matrix"]).reshape(STATES + 1, -1)
                     back.append(every.argmax(axis=0))
                     score = every.max(axis=0)
-                at = [int(score.argmax())]
+                path = [int(score.argmax()) if end is None else end]
                 for b in reversed(back):
-                    at.append(int(b[at[-1]]))
-                at.reverse()
-                for x, entry, end in zip(chain, at, at[1:]):
-                    for k, v in zip(("c", "p", "entry", "end"), (name, x["part"], entry, end)):
+                    path.append(int(b[path[-1]]))
+                path.reverse()
+                for x, before, after in zip(chain, path, path[1:]):
+                    for k, v in zip(out, (name, x["at"], before, after)):
                         out[k].append(v)
             return out
 
         return one
 
+    levels, level = [], matrices
+    while True:
+        up = F.floor(F.col("at") / FAN).cast("long").alias("up")
+        groups = stage_table(level.groupBy("conv_id", up).agg(F.array_sort(F.collect_list(F.struct("at", "matrix"))).alias("chain")), "chains")
+        levels.append(groups)
+        if not groups.agg(F.max("up")).first()[0]:
+            break
+        level = map_texts(groups, make_composed, "conv_id string, at long, matrix array<double>")
+    fixed = levels[-1].select("conv_id", "chain", F.lit(STATES).alias("entry"), F.lit(None).cast("int").alias("end"))
+    for groups in [*reversed(levels[:-1]), None]:
+        solved = map_texts(fixed, make_ends, "c string, at long, entry int, end int")
+        if groups is not None:
+            fixed = groups.join(solved, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("at"))).select("conv_id", "chain", "entry", "end")
+    return solved
+
+
+def parse(written: DataFrame, model: Model) -> DataFrame:
+    """One row per recovered turn, or piece of one that goes on from the cut
+    before: (conv_id, part, cut, piece, role, continued, n_lines, text,
+    rendered, states) of (conv_id, part, cut, lines)."""
+
+    def make_matrices():
+        return lambda rows: {x: rows[x] for x in ("conv_id", "part", "cut")} | {"matrix": [model.matrix(observe(x)[0]).ravel().tolist() for x in rows["lines"]]}
+
     def make_turns():
         def one(rows: dict) -> dict:
-            names = ("conv_id", "part", "piece", "role", "continued", "n_lines", "text", "rendered", "states")
+            names = ("conv_id", "part", "cut", "piece", "role", "continued", "n_lines", "text", "rendered", "states")
             out: dict[str, list] = {x: [] for x in names}
-            for name, part, lines, entry, end in zip(*(rows[x] for x in ("conv_id", "part", "lines", "entry", "end"))):
+            for name, part, cut, lines, entry, end in zip(*(rows[x] for x in ("conv_id", "part", "cut", "lines", "entry", "end"))):
                 codes, texts = observe(lines)
                 states = model.path(codes, STATES if entry is None else entry, end)
                 begins = [i for i, s in enumerate(states) if i == 0 or s % 2 == 0]
@@ -225,21 +267,23 @@ def parse(written: DataFrame, model: Model) -> DataFrame:
                     role, on, text = ROLES[states[lo] // 2], states[lo] % 2 == 1, "\n".join(texts[lo:hi])
                     closing = "" if piece == 0 and entry in (None, STATES) else "<|im_end|>\n"
                     rendered = f"\n{text}" if on else f"{closing}<|im_start|>{role}\n{text}"
-                    for k, v in zip(names, (name, part, piece, role, on, hi - lo, text, rendered, states[lo:hi])):
+                    for k, v in zip(names, (name, part, cut, piece, role, on, hi - lo, text, rendered, states[lo:hi])):
                         out[k].append(v)
             return out
 
         return one
 
-    matrices = map_texts(written.select("conv_id", "part", "lines"), make_matrices, "conv_id string, part long, matrix array<double>")
-    chains = matrices.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("part", "matrix"))).alias("chain"))
-    ends = map_texts(chains, make_ends, "c string, p long, entry int, end int")
-    fixed = written.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).select("conv_id", "part", "lines", "entry", "end")
-    return map_texts(fixed, make_turns, "conv_id string, part long, piece int, role string, continued boolean, n_lines int, text string, rendered string, states array<int>")
+    matrices = stage_table(map_texts(written.select("conv_id", "part", "cut", "lines"), make_matrices, "conv_id string, part long, cut long, matrix array<double>"), "matrices")
+    placed = stage_table(keyed_scan(matrices, ["conv_id"], ["part", "cut"], [Scan("count", None, "n")]).withColumn("at", F.col("n") - 1).drop("n"), "placed")
+    solved = ends(placed.select("conv_id", "at", "matrix")).withColumnRenamed("at", "i")
+    known = placed.join(solved, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("at") == F.col("i"))).select("c", F.col("part").alias("p"), F.col("cut").alias("z"), "entry", "end")
+    fixed = written.join(known, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")) & (F.col("cut") == F.col("z")))
+    fixed = fixed.select("conv_id", "part", "cut", "lines", "entry", "end")
+    return map_texts(fixed, make_turns, "conv_id string, part long, cut long, piece int, role string, continued boolean, n_lines int, text string, rendered string, states array<int>")
 
 
 def op9_transcript_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation written as a plain transcript, its roles recovered."""
     table = read_table(spark, sf_dir, "conversations")
     written = stage_table(transcripts(table), "transcripts")
-    return parse(written, fit(written)).select("conv_id", "part", "piece", "role", "continued", "n_lines", "text", "rendered")
+    return parse(written, fit(written)).select("conv_id", "part", "cut", "piece", "role", "continued", "n_lines", "text", "rendered")

@@ -90,3 +90,24 @@ def test_odd_rows(spark, as_table):
     assert {r.conv_id for r in out} == {"1", "2", None, "3", "4"} and all(r.role in T.ROLES for r in out)
     assert sorted(r.part for r in out if r.conv_id == "4") == [-2, 2]
     assert T.op9_transcript_roles(spark, as_table(table.limit(0), "conversations", "none")).count() == 0
+
+
+def test_repeated_turn_numbers_are_cut(spark, monkeypatch):
+    """One conversation that repeats its turn numbers: no group of rows or matrices is larger than its bound, and the path is the best."""
+    model = T.fit(T.transcripts(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")))
+    monkeypatch.setattr(T, "TURNS", 4)
+    monkeypatch.setattr(T, "FAN", 3)
+    rows = [(None, i % 3, ("user", "assistant")[i % 2], f"text {i}?"[:7 + i % 3]) for i in range(120)] + [("a", i, "user", f"t{i}") for i in range(5)]
+    table = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    cuts = T.parts(table).collect()
+    assert sorted(t.text for r in cuts for t in r.turns) == sorted({r[1:] + r[:1]: r[3] for r in rows}.values())
+    assert max(len(r.turns) for r in cuts) == 4 and sum(r.first for r in cuts) == 2
+    written = T.transcripts(table).cache()
+    states, parsed = {}, T.parse(written, model).collect()
+    for r in sorted(parsed, key=lambda r: (r.part, r.cut, r.piece)):
+        states.setdefault(r.conv_id, []).extend(r.states)
+    for name in (None, "a"):
+        codes = [c for r in sorted(written.collect(), key=lambda r: (r.part, r.cut)) if r.conv_id == name for c in T.observe(r.lines)[0]]
+        path = (T.STATES, *states[name])
+        assert len(path) == len(codes) + 1
+        assert np.isclose(sum(model.step[a, b] + model.see[b, c] for a, b, c in zip(path, path[1:], codes)), model.matrix(codes)[T.STATES].max())
