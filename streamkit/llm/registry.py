@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamkit.llm import decontaminate
+from streamkit.llm import decontaminate, divergence
 from streamkit.llm.bpe import op2_byte_bpe
 from streamkit.llm.decontaminate import op11_decontamination
+from streamkit.llm.divergence import op13_divergence_audit
 from streamkit.llm.impacts import op7_impact_search
 from streamkit.llm.jaccard import op8_jaccard_join
 from streamkit.llm.packing import op4_best_fit_packing
@@ -21,12 +22,14 @@ from streamkit.llm.transducer import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_byte_bpe, op3_learned_partitions, op4_best_fit_packing, op5_suffix_dedup,
-                            op6_toxicity, op7_impact_search, op8_jaccard_join, op9_transcript_roles, op10_token_counts, op11_decontamination)
+                            op6_toxicity, op7_impact_search, op8_jaccard_join, op9_transcript_roles, op10_token_counts, op11_decontamination,
+                            op13_divergence_audit)
 }
 
 #: DuckDB SQL where it can express the operator.
 ORACLE: dict[str, str] = {
     "op11_decontamination": decontaminate.ORACLE_SQL,
+    "op13_divergence_audit": divergence.ORACLE_SQL,
     "op7_impact_search": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x
