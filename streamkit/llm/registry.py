@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamkit.llm import decontaminate, divergence
+from streamkit.llm import covertree, decontaminate, divergence
 from streamkit.llm.bpe import op2_byte_bpe
+from streamkit.llm.covertree import op12_hard_negatives
 from streamkit.llm.decontaminate import op11_decontamination
 from streamkit.llm.divergence import op13_divergence_audit
 from streamkit.llm.impacts import op7_impact_search
@@ -23,12 +24,13 @@ from streamkit.llm.transducer import op10_token_counts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_byte_bpe, op3_learned_partitions, op4_best_fit_packing, op5_suffix_dedup,
                             op6_toxicity, op7_impact_search, op8_jaccard_join, op9_transcript_roles, op10_token_counts, op11_decontamination,
-                            op13_divergence_audit)
+                            op12_hard_negatives, op13_divergence_audit)
 }
 
 #: DuckDB SQL where it can express the operator.
 ORACLE: dict[str, str] = {
     "op11_decontamination": decontaminate.ORACLE_SQL,
+    "op12_hard_negatives": covertree.ORACLE_SQL,
     "op13_divergence_audit": divergence.ORACLE_SQL,
     "op7_impact_search": """
         WITH v AS (
