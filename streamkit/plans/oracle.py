@@ -259,6 +259,19 @@ SELECT coalesce("user", -1) AS user_id, event_id, CAST(list_reduce(list_concat([
 l AS (SELECT event_type, {_tumbling(6 * US_HOUR)[0]} AS window_start, {_tumbling(6 * US_HOUR)[1]} AS window_end,
              list(cents ORDER BY ts, event_id) AS c, list(event_id ORDER BY ts, event_id) AS ids FROM events_c GROUP BY ALL)
 SELECT event_type, window_start, window_end, ids[1] AS event_id, CAST(list_reduce(c, {_STEP}) AS BIGINT) AS weight FROM l""",
+    # the closed form of the fold: 3^n (7 + sum of c_i / 3^i), modulo a prime (666669 is 1/3)
+    "rolling_python_monoid": f"""WITH RECURSIVE {NULLABLE},
+r AS (SELECT event_id, has_c, coalesce(cents, 0) AS c, first_value(event_id) {ROLL} AS first_id, row_number() {ROLL} AS rn FROM n),
+pw(i, up, down) AS (SELECT 0::BIGINT, 1::BIGINT, 1::BIGINT UNION ALL SELECT i + 1, up * 3 % 1000003, down * 666669 % 1000003 FROM pw WHERE i < (SELECT max(rn) FROM r)),
+s AS (SELECT event_id, has_c, first_id, up, sum(c * down % 1000003) {ROLL} AS total FROM r JOIN pw ON i = rn)
+SELECT event_id, has_c, first_id, CAST(up * ((7 + total) % 1000003) % 1000003 AS BIGINT) AS weight FROM s""",
+    "sliding_python_monoid": f"""WITH {EVENTS}, r AS ({_sliding_rows('events_c', 'event_id, cents, ts', 12 * US_HOUR, 5 * US_HOUR)}),
+l AS (SELECT {_win_cols(5 * US_HOUR, 12 * US_HOUR)}, list(cents ORDER BY ts, event_id) AS c, first(event_id ORDER BY ts, event_id) AS first_id FROM r GROUP BY k)
+SELECT window_start, window_end, first_id, CAST(list_reduce(list_concat([CAST(0 AS BIGINT)], c), {_STEP}) AS BIGINT) AS weight FROM l""",
+    "count_python_monoid": f"""WITH {EVENTS},
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events_c),
+l AS (SELECT event_type, ((rn - 1) // 50 + 1) * 50 AS window_end_count, list(cents ORDER BY event_id) AS c, min(event_id) AS first_id FROM r GROUP BY ALL HAVING count(*) = 50)
+SELECT event_type, window_end_count, first_id, CAST(list_reduce(list_concat([CAST(0 AS BIGINT)], c), {_STEP}) AS BIGINT) AS weight FROM l""",
     "tumbling_minby": f"""WITH {EVENTS},
 b AS (SELECT event_type, {_tumbling(6 * US_HOUR)[0]} AS window_start, {_tumbling(6 * US_HOUR)[1]} AS window_end,
              min({{'v': value, 'id': event_id}}) AS best
@@ -272,6 +285,8 @@ SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id)
 FROM events_c WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""",
 })
 
+ORACLE["tumbling_python_monoid"] = ORACLE["tumbling_python_reduce"]
+
 # Streaming: the input is bounded, so every window closes and the results are
 # those of the batch queries.
 ORACLE.update({

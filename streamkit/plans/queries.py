@@ -270,6 +270,60 @@ def tumbling_python_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_window_fold(ev, "event_type", "ts", "6 hours", ["ts", "event_id"], step, "event_id long, weight long")
 
 
+def _weigher(initial: int):
+    """The steps of ``_weigh`` as a monoid: each record is a map
+    ``w -> (3 w + cents) mod P``, states are compositions of such maps (whose
+    order matters), and the id of the first record."""
+    from streamkit.operators.monoid import Monoid
+
+    p = 1_000_003
+
+    def add(acc, record):
+        times, plus = acc["times"] * 3 % p, (acc["plus"] * 3 + (record["cents"] or 0)) % p
+        return {"times": times, "plus": plus, "event_id": record["event_id"] if acc["event_id"] is None else acc["event_id"]}
+
+    def merge(a, b):
+        return {"times": a["times"] * b["times"] % p, "plus": (a["plus"] * b["times"] + b["plus"]) % p,
+                "event_id": b["event_id"] if a["event_id"] is None else a["event_id"]}
+
+    return Monoid({"times": 1, "plus": 0, "event_id": None}, add, merge, "times long, plus long, event_id long", "first_id long, weight long",
+                  lambda a: {"first_id": a["event_id"], "weight": (initial * a["times"] + a["plus"]) % p})
+
+
+def rolling_python_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mergeable Python aggregate per record, over two keys (one of
+    them holds about half of all rows), cut into blocks."""
+    from streamkit.operators.monoid import rolling_monoid
+
+    ev = _nullable(spark, sf_dir).select("event_id", "has_c", "cents")
+    return rolling_monoid(ev, "has_c", "event_id", _weigher(7)).select("event_id", "has_c", "first_id", "weight")
+
+
+def tumbling_python_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over the records of each 6 h window and type."""
+    from streamkit.operators.monoid import time_window_monoid
+
+    ev = _events(spark, sf_dir).select("event_type", "ts", "event_id", "cents")
+    out = time_window_monoid(ev, "event_type", "ts", "6 hours", ["ts", "event_id"], _weigher(0))
+    return out.withColumnRenamed("first_id", "event_id")
+
+
+def sliding_python_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over 12 h windows every 5 h (one-hour panes), of all events."""
+    from streamkit.operators.monoid import time_window_monoid
+
+    ev = _events(spark, sf_dir).select("ts", "event_id", "cents")
+    return time_window_monoid(ev, None, "ts", "12 hours", ["ts", "event_id"], _weigher(0), slide="5 hours")
+
+
+def count_python_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over every 50 events of a type."""
+    from streamkit.operators.monoid import count_window_monoid
+
+    ev = _events(spark, sf_dir).select("event_type", "event_id", "cents")
+    return count_window_monoid(ev, "event_type", "event_id", 50, _weigher(0))
+
+
 # -- multi-stream ---------------------------------------------------------------
 
 def union_self(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,6 +532,10 @@ QUERIES = {
     "rolling_sum_by_position": rolling_sum_by_position,
     "rolling_python_fold": rolling_python_fold,
     "tumbling_python_reduce": tumbling_python_reduce,
+    "rolling_python_monoid": rolling_python_monoid,
+    "tumbling_python_monoid": tumbling_python_monoid,
+    "sliding_python_monoid": sliding_python_monoid,
+    "count_python_monoid": count_python_monoid,
     "union_self": union_self,
     "split_tags": split_tags,
     "split_select": split_select,
