@@ -4,6 +4,8 @@ A rolling aggregate emits one row per input row: the aggregate of the key's
 rows up to and including it, in an explicit order.  On bounded frames they
 run on ``keyed_scan`` and so split hot keys across tasks; on streaming
 frames they run the stateful twins in ``streamkit.streaming.stateful``.
+``state`` lets one run on the micro-batches of a stream, one after the other,
+with hot keys split (see ``streamkit.streaming.tables``).
 """
 
 from __future__ import annotations
@@ -98,6 +100,7 @@ def rolling_sum(
     name: str | None = None,
     carry: Sequence[str] = (),
     blocks: int | None = None,
+    state=None,
 ) -> DataFrame:
     """Running sum of ``value``.  ``carry`` fields take the key's first
     record's value (the non-aggregated fields of the running record)."""
@@ -108,7 +111,7 @@ def rolling_sum(
         out = out.drop(*added)
         return out.drop(value).withColumnRenamed("_run", name) if name == value else out.withColumnRenamed("_run", name)
     scans = _carry_first([Scan("sum", F.col(value), "_run")], carry)
-    out = keyed_scan(df, key, _names(order), scans, blocks=blocks).drop(*added)
+    out = keyed_scan(df, key, _names(order), scans, blocks=blocks, state=state).drop(*added)
     out = out.drop(value).withColumnRenamed("_run", name) if name == value else out.withColumnRenamed("_run", name)
     return _apply_carry(out, carry)
 
@@ -121,6 +124,7 @@ def rolling_fold(
     initial,
     name: str = "fold",
     blocks: int | None = None,
+    state=None,
 ) -> DataFrame:
     """``initial + v1 + ... + vi`` per row (a fold whose step adds)."""
     v = F.col(value) if isinstance(value, str) else value
@@ -129,7 +133,7 @@ def rolling_fold(
         out = _stream().rolling_stream(df.withColumn("_fold_v", v), _single(key, "key"), _single(order, "order"),
                                        "_fold_v", "fold", name, initial=initial)
         return out.drop("_fold_v", *added)
-    out = keyed_scan(df.withColumn("_fold_v", v), key, _names(order), [Scan("sum", F.col("_fold_v"), "_run")], blocks=blocks)
+    out = keyed_scan(df.withColumn("_fold_v", v), key, _names(order), [Scan("sum", F.col("_fold_v"), "_run")], blocks=blocks, state=state)
     total = F.coalesce(F.col("_run"), F.lit(0).cast(out.schema["_run"].dataType))
     return out.withColumn(name, F.lit(initial) + total).drop("_run", "_fold_v", *added)
 
@@ -142,6 +146,7 @@ def rolling_reduce(
     field: str,
     label: Column,
     blocks: int | None = None,
+    state=None,
 ) -> DataFrame:
     """R2: a summing reduce whose output record replaces ``field`` with
     ``label``; the key's first record passes through unchanged."""
@@ -151,7 +156,7 @@ def rolling_reduce(
                                               _single(order, "order"), value, field, None, label_col="_label")
         return out.drop("_label", *added)
     scans = [Scan("sum", F.col(value), "_run"), Scan("count", None, "_rn")]
-    out = keyed_scan(df, key, _names(order), scans, blocks=blocks)
+    out = keyed_scan(df, key, _names(order), scans, blocks=blocks, state=state)
     first = F.col("_rn") == 1
     return (
         out.withColumn(field, F.when(first, F.col(field)).otherwise(label))
@@ -169,6 +174,7 @@ def rolling_extreme(
     name: str | None = None,
     carry: Sequence[str] = (),
     blocks: int | None = None,
+    state=None,
 ) -> DataFrame:
     """Running max/min of ``field``; ``carry`` fields stay the first record's."""
     if kind not in ("max", "min"):
@@ -179,7 +185,7 @@ def rolling_extreme(
         out = _stream().rolling_stream(df, _single(key, "key"), _single(order, "order"), field, kind, "_ext", carry).drop(*added)
         return (out.drop(field) if name == field else out).withColumnRenamed("_ext", name)
     scans = _carry_first([Scan(kind, F.col(field), "_ext")], carry)
-    out = keyed_scan(df, key, _names(order), scans, blocks=blocks).drop(*added)
+    out = keyed_scan(df, key, _names(order), scans, blocks=blocks, state=state).drop(*added)
     out = (out.drop(field) if name == field else out).withColumnRenamed("_ext", name)
     return _apply_carry(out, carry)
 
@@ -204,6 +210,7 @@ def rolling_extreme_by(
     kind: str = "max",
     prefix: str = "",
     blocks: int | None = None,
+    state=None,
 ) -> DataFrame:
     """The whole record (``record`` columns) holding the running max/min of
     ``field``; on ties the earliest record wins.  Records whose ``field`` is
@@ -222,7 +229,7 @@ def rolling_extreme_by(
         raise ValueError("kind is 'max' or 'min'")
     rec = F.when(F.col(field).isNotNull(), F.struct(F.col(field).alias("_v"), *[t.alias(f"_o{i}") for i, t in enumerate(tie)],
                                                     *[F.col(c) for c in record]))
-    out = keyed_scan(df, key, order, [Scan(kind, rec, "_best")], blocks=blocks)
+    out = keyed_scan(df, key, order, [Scan(kind, rec, "_best")], blocks=blocks, state=state)
     return out.select(*columns, *[F.col(f"_best.{c}").alias(f"{prefix}{c}") for c in record])
 
 

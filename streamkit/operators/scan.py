@@ -90,6 +90,13 @@ class Scan:
             return F.max_by(F.struct(self.c.alias("v")), order)["v"].alias(self._t)
         return getattr(F, self.kind)(self.c).alias(self._t)
 
+    def merged(self) -> Column:
+        """The totals of all of a key's blocks, as one."""
+        t = F.col(self._t)
+        if self.kind in ("first", "prev"):
+            return (F.min_by if self.kind == "first" else F.max_by)(F.struct(t.alias("v")), F.col(BLK))["v"].alias(self._t)
+        return {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}[self.kind](t).alias(self._t)
+
     def prefix(self, earlier: Window) -> Column:
         t = F.col(self._t)
         agg = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "first": F.first, "prev": F.last}[self.kind]
@@ -244,16 +251,22 @@ def with_blocks(df: DataFrame, blocking: Blocking) -> DataFrame:
     return out.withColumn(BLK, F.col("_sk_b0") * _SUB + F.col("_sk_b1")).drop("_sk_b0", "_sk_b1")
 
 
-def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFrame:
-    """Scans over a frame prepared by ``with_blocks`` (keeps the helper columns)."""
+def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan], state=None) -> DataFrame:
+    """Scans over a frame prepared by ``with_blocks`` (keeps the helper columns).
+
+    ``state`` (a ``streamkit.streaming.tables.StreamState``) goes on from
+    earlier micro-batches: what they left of a key is a block before all others,
+    and what this one leaves is put in its place."""
     order = [F.col(o) for o in blocking.order]
     w_order = Window.partitionBy(KEY, BLK).orderBy(*order)
     w_frame = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.select("*", *[s.local(w_frame, w_order).alias(s._l) for s in scans], (F.row_number().over(w_order) == 1).alias("_sk_first_row"))
     names = [c for c in df.columns]
-    if not blocking.blocked:
+    if not blocking.blocked and state is None:
         return local.select(*names, *[F.col(s._l).alias(s.name) for s in scans])
     totals = df.groupBy(KEY, BLK).agg(F.count(F.lit(1)).alias("_sk_n"), *[s.total(F.struct(*order)) for s in scans])
+    if state is not None:
+        totals = _with_earlier(totals, scans, state.table("scan"))
     by_key = Window.partitionBy(KEY).orderBy(BLK)
     earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(KEY, BLK, (F.row_number().over(by_key) == 1).alias("_sk_first_blk"), *[s.prefix(earlier) for s in scans])
@@ -261,13 +274,27 @@ def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan]) -> DataFr
     return both.select(*names, *[s.combine(F.col("_sk_first_blk"), F.col("_sk_first_row")).alias(s.name) for s in scans])
 
 
+def _with_earlier(totals: DataFrame, scans: list[Scan], table) -> DataFrame:
+    """The block totals and, as block -1, what ``table`` holds of their keys;
+    the merged totals go back into the table."""
+    columns = [s._t for s in scans]
+    before = table.newest()
+    here = totals.select(KEY, F.col(BLK).cast("long").alias(BLK), *columns)
+    if before is not None:
+        here = here.unionByName(before.join(totals.select(KEY).distinct(), KEY, "left_semi").select(KEY, F.lit(-1).cast("long").alias(BLK), *columns))
+    merged = here.groupBy(KEY).agg(*[s.merged() for s in scans])
+    table.put(merged.select(KEY, *[F.col(c).cast(totals.schema[c].dataType).alias(c) for c in columns]))
+    return here
+
+
 def drop_blocks(df: DataFrame) -> DataFrame:
     return df.drop(KEY, BLK)
 
 
-def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Scan], *, blocks: int | None = None) -> DataFrame:
+def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Scan], *, blocks: int | None = None, state=None) -> DataFrame:
     """``df`` plus one column per scan: the running value up to and including
     each row, within its key, in ``order`` (a total order within the key).
-    ``blocks=1`` is the plain window."""
+    ``blocks=1`` is the plain window; ``state`` goes on from earlier
+    micro-batches (see ``blocked_scan``)."""
     blocking = plan_blocks(df, keys, order, blocks)
-    return drop_blocks(blocked_scan(with_blocks(df, blocking), blocking, scans))
+    return drop_blocks(blocked_scan(with_blocks(df, blocking), blocking, scans, state))

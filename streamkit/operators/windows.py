@@ -198,6 +198,7 @@ def count_window(
     aggs: Sequence[Agg],
     slide: int | None = None,
     blocks: int | None = None,
+    state=None,
 ) -> DataFrame:
     """Count windows per key.
 
@@ -207,6 +208,9 @@ def count_window(
 
     Output: key columns, ``window_end_count`` (rank of the firing row within
     the key), one column per agg.
+
+    ``state`` goes on from earlier micro-batches of a stream: a key's rank, and
+    the rows, fewer than ``size``, that later windows still need.
     """
     df, keys, _ = resolve_keys(df, key)
     orders = [order] if isinstance(order, str) else list(order)
@@ -221,7 +225,10 @@ def count_window(
         staged = df.withColumn("_cw_v", agg.col if agg.col is not None else F.lit(1))
         return count_window_stream(staged, keys[0], orders[0], "_cw_v", size, slide, name=agg.name, kind=agg.kind,
                                    initial=agg.initial)
-    ranked = keyed_scan(df, keys, orders, [Scan("count", None, "_rn")], blocks=blocks)
+    ranked = keyed_scan(df, keys, orders, [Scan("count", None, "_rn")], blocks=blocks, state=state)
+    fires = F.col("_rn") % (slide or size) == 0
+    if state is not None:
+        ranked, fires = _with_tails(ranked, keys, size, slide, state.table("tails")), fires & F.col("_new")
     if slide is None:
         grp = F.floor((F.col("_rn") - 1) / size).cast("long")
         out = (
@@ -238,11 +245,29 @@ def count_window(
     after = F.when(F.pmod(F.col("_rn") - 1, F.lit(stretch).cast("long")) >= stretch - (size - 1), F.array(own, own + 1)).otherwise(F.array(own))
     copied = ranked.withColumn("_own", own).withColumn("_stretch", F.explode(after))
     frame = Window.partitionBy(*keys, "_stretch").orderBy("_rn").rowsBetween(-(size - 1), Window.currentRow)
-    out = copied.select(*keys, "_rn", "_own", "_stretch", *[a.over(frame) for a in aggs])
-    return (out.where((F.col("_own") == F.col("_stretch")) & (F.col("_rn") % slide == 0))
+    out = copied.select(*keys, "_rn", "_own", "_stretch", fires.alias("_fires"), *[a.over(frame) for a in aggs])
+    return (out.where((F.col("_own") == F.col("_stretch")) & F.col("_fires"))
             .select(*keys, F.col("_rn").alias("window_end_count"), *[a.name for a in aggs]))
 
 
+def _with_tails(ranked: DataFrame, keys: list[str], size: int, slide: int | None, table) -> DataFrame:
+    """``ranked`` and the rows that earlier micro-batches left of its keys
+    (``_new`` is false), and what this one leaves put in their place."""
+    columns = ranked.columns
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
+    rows = ranked.select(key.alias(KEY), *columns, F.lit(True).alias("_new"))
+    held = table.newest()
+    if held is not None:
+        old = held.join(rows.select(KEY).distinct(), KEY, "left_semi").select(KEY, F.explode("tail").alias("_t"))
+        rows = rows.unionByName(old.select(KEY, *[F.col("_t")[c].alias(c) for c in columns], F.lit(False).alias("_new")))
+    upto = rows.groupBy(KEY).agg(F.max("_rn").alias("_upto"))
+    after = F.col("_upto") - (size - 1) if slide is not None else F.col("_upto") - F.pmod("_upto", F.lit(size).cast("long"))
+    # a key whose rows are all used up keeps an empty tail
+    tail = F.when(F.col("_rn") > after, F.struct(F.col("_rn"), *[F.col(c) for c in columns if c != "_rn"]))
+    table.put(rows.join(upto, KEY).groupBy(KEY).agg(F.array_sort(F.collect_list(tail)).alias("tail")))
+    return rows.drop(KEY)
+
+
 #: The least rows of a key that sliding count windows keep together.
 STRETCH = 4096
 

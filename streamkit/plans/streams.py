@@ -1,10 +1,10 @@
 """Registered streaming queries.
 
 Each streams a whole driver table through Structured Streaming (watermarked
-window / session aggregation in append mode, or a per-record stateful
-operator), drains it with an ``availableNow`` trigger into a parquet table
-under the shared checkpoint folder, and returns that table.  The input is
-bounded, so the watermark lags by all the time that it spans, all windows
+window / session aggregation in append mode, or a per-record operator on
+micro-batches with its state in tables), drains it with an ``availableNow``
+trigger into a parquet table under the shared checkpoint folder, and returns
+that table.  The input of windows is bounded, so the watermark lags by all the time that it spans, all windows
 close at its end (``ClosingStream``), and the results are those of the batch
 queries in whatever order and micro-batches the rows arrive.  The state holds
 all windows until then.
@@ -20,17 +20,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamkit.functions.time import epoch_millis_to_ts, instant_to_ntz, ntz_micros
-from streamkit.operators.keyed import rolling_extreme, rolling_fold, rolling_reduce
-from streamkit.operators.windows import Agg, session_window, time_window
+from streamkit.operators.keyed import rolling_extreme, rolling_extreme_by, rolling_fold, rolling_reduce, rolling_sum
+from streamkit.operators.windows import Agg, count_window, session_window, time_window
 from streamkit.plans.programs import concat_windows
 from streamkit.plans.programs import windowed_word_count as word_count_windows
 from streamkit.session import checkpoint_dir, ship_package
 from streamkit.sources.tables import load_table
 from streamkit.streaming.event_time import assign_event_time, watermark_conf
 from streamkit.streaming.replay import ClosingStream, covering_delay, table_stream
-from streamkit.streaming.stateful import count_window_stream, rolling_extreme_by_stream, rolling_stream
+from streamkit.streaming.tables import KeyedStream, StreamState
 
 WATERMARK_DELAY = "1 hour"
+#: Micro-batches of the per-record queries.
+ARRIVALS = 5
 #: Micro-batches of the query with late rows.
 LATE_BATCHES = 7
 
@@ -85,10 +87,6 @@ def _events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
     return assign_event_time(_cents(source.frame), "ts", delay), [source.close]
 
 
-def _event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cents(table_stream(stream_session(spark), sf_dir, "events"))
-
-
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, instant_to_ntz(c))
@@ -137,48 +135,63 @@ def stream_session_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(drain_to_table(out, "stream_session_by_user", close), "session_start", "session_end")
 
 
+def _arriving(spark: SparkSession, sf_dir: str, name: str, columns: list[str], operator: Callable[[DataFrame, StreamState], DataFrame]) -> DataFrame:
+    """``operator`` over the events, which arrive in the order of their ids in
+    ``ARRIVALS`` micro-batches, with its state in key tables."""
+    own = stream_session(spark)
+    events = _cents(load_table(own, sf_dir, "events")).select(*columns)
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    share = -(-(high - low + 1) // ARRIVALS) if low is not None else 1
+    source, keyed = _folder(own, "events"), KeyedStream(_folder(own, name), operator)
+    for i in range(ARRIVALS if low is not None else 1):
+        part = events if low is None else events.where(F.col("event_id").between(low + i * share, low + (i + 1) * share - 1))
+        part.write.mode("append").parquet(source)
+        keyed.run(own.readStream.schema(events.schema).parquet(source))
+    return keyed.result(own)
+
+
 def stream_rolling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1 on a stream: running sum of cents per user, one row per event."""
-    ev = _event_rows(spark, sf_dir).select("event_id", "user_id", "cents")
-    return drain_to_table(rolling_stream(ev, "user_id", "event_id", "cents", "sum", name="running_cents"), "stream_rolling_sum")
+    return _arriving(spark, sf_dir, "stream_rolling_sum", ["event_id", "user_id", "cents"],
+                     lambda ev, state: rolling_sum(ev, "user_id", "event_id", "cents", name="running_cents", state=state))
 
 
 def stream_rolling_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 on a stream: summing reduce; later records are labelled by key."""
-    ev = _event_rows(spark, sf_dir).select("event_id", "has_c", "event_type", "cents")
     label = F.when(F.col("has_c"), F.lit("c")).otherwise(F.lit("n"))
-    return drain_to_table(rolling_reduce(ev, "has_c", "event_id", "cents", "event_type", label), "stream_rolling_reduce")
+    return _arriving(spark, sf_dir, "stream_rolling_reduce", ["event_id", "has_c", "event_type", "cents"],
+                     lambda ev, state: rolling_reduce(ev, "has_c", "event_id", "cents", "event_type", label, state=state))
 
 
 def stream_rolling_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3 on a stream: fold from 100 adding 1 per record."""
-    ev = _event_rows(spark, sf_dir).select("event_id", "has_c")
-    return drain_to_table(rolling_fold(ev, "has_c", "event_id", F.lit(1), 100, name="fold"), "stream_rolling_fold")
+    return _arriving(spark, sf_dir, "stream_rolling_fold", ["event_id", "has_c"],
+                     lambda ev, state: rolling_fold(ev, "has_c", "event_id", F.lit(1), 100, name="fold", state=state))
 
 
 def stream_rolling_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4 on a stream: running max of value; event_type stays the first record's."""
-    ev = _event_rows(spark, sf_dir).select("event_id", "has_c", "event_type", "value")
-    return drain_to_table(rolling_extreme(ev, "has_c", "event_id", "value", "max", carry=["event_type"]), "stream_rolling_max")
+    return _arriving(spark, sf_dir, "stream_rolling_max", ["event_id", "has_c", "event_type", "value"],
+                     lambda ev, state: rolling_extreme(ev, "has_c", "event_id", "value", "max", carry=["event_type"], state=state))
 
 
 def stream_count_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W6 on a stream: per user, every 5 events, the sum of their cents."""
-    ev = _event_rows(spark, sf_dir).select("event_id", "user_id", "cents")
-    return drain_to_table(count_window_stream(ev, "user_id", "event_id", "cents", 5, name="cents"), "stream_count_tumbling")
+    return _arriving(spark, sf_dir, "stream_count_tumbling", ["event_id", "user_id", "cents"],
+                     lambda ev, state: count_window(ev, "user_id", "event_id", 5, [Agg("sum", F.col("cents"), "cents")], state=state))
 
 
 def stream_rolling_maxby(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R5 on a stream: per event, the user's record with the highest value so far."""
-    ev = _event_rows(spark, sf_dir).select("event_id", "user_id", "event_type", "value")
-    out = rolling_extreme_by_stream(ev, "user_id", "event_id", "value", ["event_id", "event_type", "value"], "max")
-    return drain_to_table(out, "stream_rolling_maxby").select("event_id", "user_id", "best_event_id", "best_event_type", "best_value")
+    out = _arriving(spark, sf_dir, "stream_rolling_maxby", ["event_id", "user_id", "event_type", "value"],
+                    lambda ev, state: rolling_extreme_by(ev, "user_id", "event_id", "value", ["event_id", "event_type", "value"], "max", prefix="best_", state=state))
+    return out.select("event_id", "user_id", "best_event_id", "best_event_type", "best_value")
 
 
 def stream_count_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W7 on a stream: per user, after every 2nd event, the cents of the last <= 5."""
-    ev = _event_rows(spark, sf_dir).select("event_id", "user_id", "cents")
-    return drain_to_table(count_window_stream(ev, "user_id", "event_id", "cents", 5, slide=2, name="cents"), "stream_count_sliding")
+    return _arriving(spark, sf_dir, "stream_count_sliding", ["event_id", "user_id", "cents"],
+                     lambda ev, state: count_window(ev, "user_id", "event_id", 5, [Agg("sum", F.col("cents"), "cents")], slide=2, state=state))
 
 
 def stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
