@@ -39,7 +39,9 @@ SPACE = "▁"
 #: Code points in a chunk, the limit of the report.
 CHUNK, LIMIT = 1 << 16, 4096
 #: Compiled states and whole segments kept per task, the longest segment kept.
-STATES, WORDS, WORD_CHARS = 120_000, 400_000, 32
+STATES, WORDS, WORD_CHARS = 220_000, 300_000, 32
+#: Characters between two looks at the number of states.
+STRIDE = 4096
 
 
 def reference_merge(text: str, score: dict[str, float]) -> list[str]:
@@ -88,11 +90,8 @@ class Transducer:
         self.score = score
         self.prefixes = {p[:i] for p in score for i in range(1, len(p) + 1)}
         self.beside = {p[i:i + 2] for p in score for i in range(len(p) - 1)}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.classes: dict[tuple, str] = {}
-        self.alike: dict[tuple[str, str], str] = {}
-        self.spines: dict[str, list] = {}
-        self.single: dict[str, bool] = {}
+        #: pieces that encode to themselves
+        self.tokens = {p for p in score if len(p) == 1 or len(reference_merge(p, score)) == 1}
         if any(a != SPACE and b == SPACE for a, b in self.beside):
             raise ValueError("a piece holds a space after another character: words are no segments")
         self.words = Words()
@@ -101,6 +100,11 @@ class Transducer:
         self.reset()
 
     def reset(self) -> None:
+        """Everything that was compiled goes; states still in use go on."""
+        self.pairs: dict[tuple[str, str], bool] = {}
+        self.classes: dict[tuple, str] = {}
+        self.alike: dict[tuple[str, str], str] = {}
+        self.spines: dict[str, list] = {}
         self.known: dict[tuple, State] = {}
         self.start = self.state("", ((0, "", 0),))
 
@@ -113,12 +117,6 @@ class Transducer:
             self.known[key] = out
         return out
 
-    def is_token(self, s: str) -> bool:
-        out = self.single.get(s)
-        if out is None:
-            out = self.single[s] = s in self.score and len(reference_merge(s, self.score)) == 1 or len(s) == 1 and s in self.score
-        return out
-
     def may_follow(self, a: str, b: str) -> bool:
         """Whether the text of token ``a`` then ``b`` encodes to these two."""
         if not a or a[-1] + b[0] not in self.beside:
@@ -159,11 +157,11 @@ class Transducer:
         return out
 
     def transition(self, state: State, c: str) -> tuple[State, int]:
-        suffix, places = state.suffix, state.places
+        suffix, places, tokens = state.suffix, state.places, self.tokens
         found = None
         for back, token, count in places:
             s = (suffix[-back:] if back else "") + c
-            if self.is_token(s) and self.may_follow(token, s):
+            if s in tokens and self.may_follow(token, s):
                 found = s, count + 1
         if found is None:  # a character outside the vocabulary: one token per byte
             return self.state("", ((0, "", 0),)), len(c.encode())
@@ -177,13 +175,15 @@ class Transducer:
         return self.state(longest, tuple(sorted(kept))), change
 
     def run(self, text: str, state: State) -> tuple[State, int]:
-        if len(self.known) > STATES and state is self.start:
-            self.reset()
-            state = self.start
         total = 0
-        for c in text:
-            state, change = state[c]
-            total += change
+        for at in range(0, len(text), STRIDE):
+            if len(self.known) > STATES:
+                begun = state is self.start
+                self.reset()
+                state = self.start if begun else self.state(state.suffix, state.places)
+            for c in text[at:at + STRIDE]:
+                state, change = state[c]
+                total += change
         return state, total
 
     def count(self, text: str) -> int:
