@@ -45,7 +45,7 @@ from streamkit.llm.common import fingerprint, id_type, left_join_held, map_texts
 #: Bytes of a repeated string, bytes of the hashed strings in it.
 LENGTH, GRAM = 400, 32
 #: Bytes of stretches in a block on average, stretches of one owner hash in a block.
-BLOCK, STRETCHES = 3 << 20, 4096
+BLOCK, STRETCHES = 2 << 20, 4096
 #: Bytes of a text whose windows are looked at together.
 STEP = 1 << 20
 _U = np.uint64
@@ -63,8 +63,9 @@ CODES = _byte_codes()
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """A mixed 64-bit hash of the ``gram`` bytes (a power of two) from each place."""
-    h, base, n = CODES[data], _U(0xD6E8FEB86659FD93), 1
+    """A mixed 64-bit hash of the ``gram`` bytes, or hashed words (a power of
+    two of them), from each place."""
+    h, base, n = CODES[data] if data.dtype == np.uint8 else data, _U(0xD6E8FEB86659FD93), 1
     with np.errstate(over="ignore"):
         while n < gram:
             h = h[:-n] * base + h[n:]
@@ -102,6 +103,28 @@ def owners(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np
     return np.concatenate(keys), np.concatenate(first), np.concatenate(last)
 
 
+def by_bytes(data: bytes, places: np.ndarray, depth: int) -> np.ndarray:
+    """``places`` in the order of the ``depth`` bytes from them: by eight bytes
+    at a time, of which only those that are tied so far are looked at again."""
+    t = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(depth + 8, np.uint8)])
+    order, place = places.copy(), np.arange(len(places))
+    group = np.zeros(len(places), np.int64)
+    for k in range(0, depth, 8):
+        if not len(place):
+            break
+        p = order[place]
+        word = np.zeros(len(p), _U)
+        for i in range(min(8, depth - k)):
+            word = (word << _U(8)) | t[p + (k + i)]
+        by = np.lexsort((word, group))
+        word, group, order[place] = word[by], group[by], p[by]
+        begin = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]) | (word[1:] != word[:-1]))))
+        sizes = np.diff(np.append(begin, len(place)))
+        tied = np.repeat(sizes > 1, sizes)
+        group, place = np.repeat(begin, sizes)[tied], place[tied]
+    return order
+
+
 def suffix_array(data: bytes, needed: np.ndarray, is_s: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     """The needed places of ``data`` in the order of their first ``depth``
     bytes.  ``is_s`` marks suffixes smaller than their successors; only those
@@ -109,10 +132,7 @@ def suffix_array(data: bytes, needed: np.ndarray, is_s: np.ndarray, depth: int =
     buckets of first bytes upwards meets the successors in order and places
     their predecessors; ``needed`` therefore goes on to a marked place."""
     t = np.frombuffer(data, np.uint8)
-    direct = np.flatnonzero(needed & is_s)
-    window = [data[p:p + depth] for p in direct.tolist()]
-    direct = direct[sorted(range(len(direct)), key=window.__getitem__)]
-    del window
+    direct = by_bytes(data, np.flatnonzero(needed & is_s), depth)
     ends = np.searchsorted(t[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     induced = needed & ~is_s
@@ -239,21 +259,30 @@ def compared(docs: DataFrame, owned: DataFrame, todo: DataFrame, length: int = L
         import xxhash
 
         group = group.drop_duplicates(["row", "first"])
-        found: list[tuple] = []
+        names = ("key", "wa", "wb", "row", "first", "last")
+        told: dict[str, list[np.ndarray]] = {n: [] for n in names}
+        none: dict[str, list[np.ndarray]] = {n: [] for n in names}
+
+        def tell(first: np.ndarray, last: np.ndarray, **known) -> None:
+            for n, v in (known | {"first": first, "last": last}).items():
+                told[n].append(np.broadcast_to(np.int64(0) if v is None else v, len(first)))
+                none[n].append(np.broadcast_to(v is None, len(first)))
+
         repeated = repeated_windows(group["stretch"].tolist(), length)
         for key, salts, single, first, row, stretch, mask in zip(group["key"], group["salts"], group["single"], group["first"], group["row"], group["stretch"], repeated):
-            if single:
-                found += [(None, None, None, row, first + a, first + b) for a, b in runs(mask)]
+            if single and mask.any():
+                spans = first + np.array(runs(mask), np.int64)
+                tell(spans[:, 0], spans[:, 1], key=None, wa=None, wb=None, row=row)
             if salts > 1:  # all distinct windows for the other blocks; open ones with their place
-                for i in np.flatnonzero(~mask if single else np.ones(len(mask), bool)).tolist():
-                    h = xxhash.xxh3_128_digest(stretch[i:i + length])
-                    found.append((key, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True), row if single else None, first + i, first + i))
+                hashes = np.frombuffer(b"".join(xxhash.xxh3_128_digest(stretch[i:i + length]) for i in range(len(mask))), "<i8").reshape(-1, 2)
+                free = np.flatnonzero(~mask if single else np.ones(len(mask), bool))
+                tell(first + free, first + free, key=key, wa=hashes[free, 0], wb=hashes[free, 1], row=row if single else None)
                 if single:
-                    told = {}
-                    for i in np.flatnonzero(mask).tolist():
-                        told[xxhash.xxh3_128_digest(stretch[i:i + length])] = i
-                    found += [(key, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True), None, first + i, first + i) for h, i in told.items()]
-        return pd.DataFrame(found, columns=["key", "wa", "wb", "row", "first", "last"]).astype({x: "Int64" for x in ("key", "wa", "wb", "row", "first", "last")})
+                    taken = np.flatnonzero(mask)
+                    taken = taken[np.unique(hashes[taken], axis=0, return_index=True)[1]]
+                    tell(first + taken, first + taken, key=key, wa=hashes[taken, 0], wb=hashes[taken, 1], row=None)
+        join = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
+        return pd.DataFrame({n: pd.arrays.IntegerArray(join(told[n], np.int64), join(none[n], bool)) for n in names})
 
     result = stage_table(stretches.groupBy("block").applyInPandas(search, "key long, wa long, wb long, row long, first long, last long"), "windows")
     here = result.where("key is null").select("row", "first", "last")
@@ -295,86 +324,113 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def strings(spans: list[dict] | None, length: int) -> list[dict]:
-    """The longest spans of which each ``length`` bytes are in one of ``spans``."""
-    out: list[dict] = []
-    for s in sorted(spans or [], key=lambda s: (s["begin"], s["end"])):
-        if out and s["begin"] <= out[-1]["end"] - length + 1:
-            out[-1]["end"] = max(out[-1]["end"], s["end"])
-        else:
-            out.append({"begin": s["begin"], "end": s["end"]})
-    return out
+#: White space beyond ASCII, as regular expressions know it.
+WIDE_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
+#: Words of the hashed strings that own passages.
+WORDS = 8
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, begin, end) of the words (runs without white space), in bytes."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    blank = _BLANK[data]
+    if WIDE_BLANKS.search(text):
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        wide = [ord(c) for c in set(WIDE_BLANKS.findall(text))]
+        blank = blank | np.repeat(np.isin(codes, wide), 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).astype(np.int8)))
+    begin, end = edge[::2], edge[1::2]
+    if not len(begin):
+        return np.empty(0, _U), begin, end
+    # sums of byte codes times powers of an odd base: equal for equal words
+    word = np.zeros(len(data), np.int64)
+    word[begin] = begin
+    inside = np.arange(len(data)) - np.maximum.accumulate(word)
+    inside[blank] = 0
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(int(inside.max()) + 2, _U(0xD6E8FEB86659FD93)))
+        h = np.add.reduceat(np.where(blank, _U(0), CODES[data] * power[inside]), begin)
+        h ^= h >> _U(29)
+        h *= _U(0xBF58476D1CE4E5B9)
+    return h ^ (h >> _U(32)), begin, end
 
 
-def words_within(data: bytes, begin: int, end: int) -> tuple[int, str, list[tuple[int, int]]]:
-    """The characters of ``data`` that have bytes between ``begin`` and
-    ``end``: their first byte, their text, and where in it whole words stand."""
-    inside = lambda i: 0 < i < len(data) and data[i] & 0xC0 == 0x80  # noqa: E731  (within a character)
-    while inside(begin):
-        begin -= 1
-    while inside(end):
-        end += 1
-    text = data[begin:end].decode()
-    words = [m.span() for m in re.finditer(r"\S+", text)]
-    before, after = data[max(0, begin - 4):begin].decode("utf-8", "ignore")[-1:], data[end:end + 4].decode("utf-8", "ignore")[:1]
-    if words and words[0][0] == 0 and before.strip():
-        words = words[1:]
-    if words and words[-1][1] == len(text) and after.strip():
-        words = words[:-1]
-    return begin, text, words
+def passage_owners(docs: DataFrame, words: int) -> DataFrame:
+    """(row, fa, fb, owners) of the documents (fa, fb, text): as ``places``,
+    but of windows of ``words`` words, owned by the smallest hash of ``WORDS``
+    words in it.  A window's string, with its white space, counts."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "fa", "fb", "text").where(F.octet_length("text") >= 2 * words - 1)
 
+    def make():
+        import xxhash
 
-def repeated_passages(docs: DataFrame, words: int, length: int = LENGTH) -> DataFrame:
-    """(fa, fb, spans) of the documents that hold repeated strings of
-    ``length`` bytes or of ``words`` whole words, whatever their bytes.
+        def one(text: str) -> list[dict]:
+            hashes, begin, end = word_places(text)
+            keys, first, last = owners(hashes, words, WORDS)
+            data, found = text.encode(), []
+            for k, a, b in zip(keys.view(np.int64).tolist(), begin[first].tolist(), end[last + words - 1].tolist()):
+                h = xxhash.xxh3_128_digest(data[a:b])
+                found.append({"key": k, "begin": a, "end": b, "ha": int.from_bytes(h[:8], "little", signed=True), "hb": int.from_bytes(h[8:], "little", signed=True)})
+            return found
 
-    Any such string has ``least`` bytes (words and blanks of one byte).  Each
-    of its places lies in a string whose every ``least`` bytes repeat; only
-    those are looked at again, by bytes and by words."""
-    least = min(2 * words - 1, length)
-    rows = text_rows(docs).select(*fingerprint("doc_id", "text"), "text")
-    both = left_join_held(rows, repeated_spans(docs, least), ["fa", "fb"], "fa").where("spans is not null")
+        return lambda rows: {x: rows[x] for x in ("row", "fa", "fb")} | {"owners": [one(t) for t in rows["text"]]}
 
-    def make_strings():
-        def one(rows: dict) -> dict:
-            out: dict[str, list] = {x: [] for x in ("fa", "fb", "at", "text", "words")}
-            for fa, fb, text, spans in zip(rows["fa"], rows["fb"], rows["text"], rows["spans"]):
-                data = text.encode()
-                for s in strings(spans, least):
-                    at, part, whole = words_within(data, s["begin"], s["end"])
-                    if s["end"] - s["begin"] >= length or len(whole) >= words:
-                        for k, v in zip(out, (fa, fb, at, part, [{"a": a, "b": b} for a, b in whole])):
-                            out[k].append(v)
-            return out
+    return map_texts(rows, make, "row long, fa long, fb long, owners array<struct<key:long,begin:long,end:long,ha:long,hb:long>>")
 
-        return one
 
-    def make_windows():
+def repeated_words(docs: DataFrame, words: int) -> DataFrame:
+    """(row, begin, end) and the table of owners: byte spans of the strings of
+    ``words`` whole words that also start anywhere else, of documents (fa, fb, text).
+
+    As for bytes, equal windows have owners of equal hash at equal offsets.  An owner
+    hash that occurs once is settled; of the others, a stretch that occurs more
+    than once is repeated whole, and the windows of stretches that differ are counted
+    by 128-bit hash.  Only owners whose hash repeats move more than once."""
+    owned = stage_table(passage_owners(docs, words), "passages")
+    each = owned.select("row", F.explode("owners").alias("o")).select("row", "o.*")
+    whole = F.struct("ha", "hb")
+    several = stage_table(each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), (F.min(whole) != F.max(whole)).alias("differ")).where("n > 1").select("key", "differ"), "several")
+    shared = stage_table(may_hold(each, "key", several).join(several, "key"), "shared")
+    kinds = shared.groupBy("key", "ha", "hb").agg(F.count(F.lit(1)).alias("n"), F.max("differ").alias("differ"), F.min(F.struct("row", "begin", "end")).alias("at"))
+    settled = shared.join(kinds.where("n > 1").select("key", "ha", "hb"), ["key", "ha", "hb"], "left_semi").select("row", "begin", "end")
+    todo = kinds.where("differ").select((F.col("n") == 1).alias("single"), "at.*")
+    wanted = stage_table(owned.select("row", "fa", "fb").join(todo.groupBy("row").agg(F.collect_list(F.struct("single", "begin", "end")).alias("stretches")), "row"), "open")
+    texts = may_hold(docs, "fa", wanted).join(wanted.hint("shuffle_hash"), ["fa", "fb"]).select("row", "text", "stretches")
+
+    def make():
         import xxhash
 
-        def one(rows: dict) -> dict:
-            out: dict[str, list] = {x: [] for x in ("fa", "fb", "begin", "end", "wa", "wb")}
-            for fa, fb, at, text, whole in zip(*(rows[x] for x in ("fa", "fb", "at", "text", "words"))):
-                place, chars = at, 0
-                for first, last in zip(whole, whole[words - 1:]):
-                    place += len(text[chars:first["a"]].encode())
-                    chars = first["a"]
-                    string = text[first["a"]:last["b"]].encode()
-                    h = xxhash.xxh3_128_digest(string)
-                    for k, v in zip(out, (fa, fb, place, place + len(string), int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True))):
-                        out[k].append(v)
+        def windows(rows: dict) -> dict:
+            out: dict[str, list] = {x: [] for x in ("row", "single", "begin", "end", "wa", "wb")}
+            for row, text, stretches in zip(rows["row"], rows["text"], rows["stretches"]):
+                data, (_, begin, end) = text.encode(), word_places(text)
+                for single, a, b in {(s["single"], s["begin"], s["end"]) for s in stretches}:
+                    lo, hi = np.searchsorted(begin, a), np.searchsorted(end, b)
+                    for first, last in zip(begin[lo:hi - words + 2].tolist(), end[lo + words - 1:hi + 1].tolist()):
+                        h = xxhash.xxh3_128_digest(data[first:last])
+                        for x, v in zip(out, (row, single, first, last, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True))):
+                            out[x].append(v)
             return out
 
-        return one
+        return windows
+
+    # documents stored twice give their windows twice
+    windows = stage_table(map_texts(texts, make, "row long, single boolean, begin long, end long, wa long, wb long"), "open-windows")
+    places = F.struct("row", "begin")
+    known = windows.groupBy("wa", "wb").agg((F.min(places) != F.max(places)).alias("several")).where("several").select("wa", "wb")
+    there = windows.where("single").join(known, ["wa", "wb"], "left_semi").select("row", "begin", "end")
+    return settled.unionByName(there).join(owned.select("row", "fa", "fb"), "row").select("fa", "fb", "begin", "end")
+
 
-    held = stage_table(map_texts(both, make_strings, "fa long, fb long, at long, text string, words array<struct<a:int,b:int>>"), "strings")
-    named = held.select(F.struct("fa", "fb", "at").alias("doc_id"), "text")
-    by_bytes = repeated_spans(named, length).join(named.select("doc_id", *fingerprint("doc_id", "text")), ["fa", "fb"]).select("doc_id", F.explode("spans").alias("s"))
-    by_bytes = by_bytes.select("doc_id.fa", "doc_id.fb", (F.col("doc_id.at") + F.col("s.begin")).alias("begin"), (F.col("doc_id.at") + F.col("s.end")).alias("end"))
-    each = stage_table(map_texts(held, make_windows, "fa long, fb long, begin long, end long, wa long, wb long"), "passages")
-    several = each.groupBy("wa", "wb").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    by_words = each.join(several, ["wa", "wb"], "left_semi").select("fa", "fb", "begin", "end")
-    spans = by_bytes.unionByName(by_words).distinct().groupBy("fa", "fb").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+def repeated_passages(docs: DataFrame, words: int, length: int = LENGTH) -> DataFrame:
+    """(fa, fb, spans) of the documents that hold repeated strings of
+    ``length`` bytes or of ``words`` whole words, whatever their bytes: two
+    searches, each over owners that lie far apart."""
+    rows = text_rows(docs).select(*fingerprint("doc_id", "text"), "text")
+    by_length = repeated_spans(docs, length).select("fa", "fb", F.explode("spans").alias("s")).select("fa", "fb", "s.*")
+    by_words = repeated_words(rows, words)
+    spans = by_length.unionByName(by_words).distinct().groupBy("fa", "fb").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     return stage_table(spans, "spans")
 
 

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 import public_tokenizers as P
@@ -14,18 +16,25 @@ SF = "/root/testdata/sf0.01"
 
 
 def without_repeats(texts):
-    data, seen = [t.encode() for t in texts], {}
-    for b in data:
-        for i in range(len(b) - S.LENGTH + 1):
-            seen[b[i:i + S.LENGTH]] = seen.get(b[i:i + S.LENGTH], 0) + 1
+    """Bytes of strings of 400 bytes, or of 51 whole words, that also start anywhere else go."""
+    strings, seen = [], {}
+    for t in texts:
+        data, words = t.encode(), [m.span() for m in re.finditer(r"\S+", t)]
+        at = [0, *np.cumsum([len(c.encode()) for c in t]).tolist()]  # bytes before each character
+        passages = [(at[a], at[b]) for (a, _), (_, b) in zip(words, words[C.PASSAGE - 1:])]
+        strings.append((data, [(i, i + S.LENGTH) for i in range(len(data) - S.LENGTH + 1)], passages))
+        for kind in (1, 2):
+            for a, b in strings[-1][kind]:
+                seen[kind, data[a:b]] = seen.get((kind, data[a:b]), 0) + 1
     out = []
-    for b in data:
-        gone = np.zeros(len(b), bool)
-        for i in range(len(b) - S.LENGTH + 1):
-            if seen[b[i:i + S.LENGTH]] > 1:
-                gone[i:i + S.LENGTH] = True
+    for data, *both in strings:
+        gone = np.zeros(len(data), bool)
+        for kind in (1, 2):
+            for a, b in both[kind - 1]:
+                if seen[kind, data[a:b]] > 1:
+                    gone[a:b] = True
         ends = [0, *(x for _, x in ((a, z + 1) for a, z in S.runs(gone)))]
-        parts = [b[a:z] for a, z in zip(ends, [*(a for a, _ in S.runs(gone)), len(b)])]
+        parts = [data[a:z] for a, z in zip(ends, [*(a for a, _ in S.runs(gone)), len(data)])]
         out.append("".join(p.decode("utf-8", "ignore") for p in parts))
     return out
 
@@ -89,10 +98,28 @@ def test_repeated_passages_of_over_50_words_go(spark):
     assert got[4] == rows[4] and got[5] == rows[5]
 
 
-def test_words_within():
-    data = "über alles, 字 ok".encode()
-    found = lambda a, b: [x[i:j] for _, x, w in [S.words_within(data, a, b)] for i, j in w]
-    assert found(0, len(data)) == found(1, len(data)) == ["über", "alles,", "字", "ok"]
-    assert found(2, len(data)) == ["alles,", "字", "ok"] and found(0, 4) == found(7, 9) == [] and found(0, 5) == ["über"]
-    assert S.strings([{"begin": 9, "end": 19}, {"begin": 0, "end": 12}, {"begin": 3, "end": 13}, {"begin": 20, "end": 30}], 10) == [
-        {"begin": 0, "end": 13}, {"begin": 9, "end": 19}, {"begin": 20, "end": 30}]
+def test_word_places():
+    for text in ("", " ", "a", "über alles, 字 ok", " lead  und\ttrail\n", "wide\u3000blanks\xa0here x", "\x85", "one\x1ftwo", "ab ab b ab"):
+        hashes, begin, end = S.word_places(text)
+        words = [text.encode()[a:b].decode() for a, b in zip(begin, end)]
+        assert words == text.split()
+        assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeated_words_equal_brute_force(spark, seed):
+    """Few words, so that many passages share their owners' hashes; rows stored twice."""
+    rng = np.random.default_rng(seed)
+    phrases = [" ".join(rng.choice(list("abcde"), 70)) for _ in range(6)]
+    own = lambda n: " ".join("".join(rng.choice(list("fghé"), 6)) for _ in range(n))
+    rows = []
+    for i in range(40):
+        text = own(int(rng.integers(0, 60)))
+        for _ in range(int(rng.integers(0, 4))):
+            p, a = phrases[rng.integers(0, 6)].split(), int(rng.integers(0, 25))
+            text += "\n\u2003"[int(rng.integers(0, 2))] + " ".join(p[a:a + int(rng.integers(30, 70))]) + " " + own(int(rng.integers(1, 30)))
+        rows.append((i, text))
+    rows += [rows[3], rows[3], (50, None), (51, "")]
+    got = sorted((r.doc_id, r.text or "") for r in C.repeated_bytes_stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), SF).collect())
+    want = sorted(zip((i for i, _ in rows), without_repeats([t or "" for _, t in rows])))
+    assert got == want and got != sorted((i, t or "") for i, t in rows)
