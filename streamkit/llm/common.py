@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -13,8 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from streamkit.session import ship_package
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,6 +43,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     lineage, survives lost executors and computes ``df`` once.  The files live
     in a folder of their own per application and call."""
     spark = df.sparkSession
+    ship_package(spark)
     path = f"{shared_dir(spark)}/streamkit-llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -94,6 +100,7 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema:
     """``mapInArrow`` over all columns of ``df``: ``make()`` runs once per
     task and gives a function from a dict of Python lists to a dict of lists
     (or arrays), one entry per result row."""
+    ship_package(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,10 +109,22 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema:
             for lo, hi in _spans(batch):
                 out = f({n: c.to_pylist() for n, c in zip(batch.schema.names, batch.slice(lo, hi - lo).columns)})
                 yield pa.RecordBatch.from_arrays([pa.array(out[x.name], type=x.type) for x in arrow], schema=arrow)
+        del f
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def release_memory() -> None:
+    """Give a finished task's memory back to the machine: workers live on and
+    serve other stages, next to the executor's JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _spans(batch: pa.RecordBatch, most: int = 8 << 20) -> list[tuple[int, int]]:
     """Row ranges of a batch of about ``most`` bytes each, so that very long
     texts are not all turned into Python strings at once."""
