@@ -2,12 +2,13 @@
 
 Each streams a whole driver table through Structured Streaming (watermarked
 window / session aggregation in append mode, or a per-record operator on
-micro-batches with its state in tables), drains it with an ``availableNow``
-trigger into a parquet table under the shared checkpoint folder, and returns
-that table.  The input of windows is bounded, so the watermark lags by all the time that it spans, all windows
-close at its end (``ClosingStream``), and the results are those of the batch
-queries in whatever order and micro-batches the rows arrive.  The state holds
-all windows until then.
+micro-batches with its state in tables), drains it into a parquet table under
+the shared checkpoint folder, and returns that table.  Windows read their table
+through the time-ordered source (``sources.ordered``): ranges of event time
+arrive one after the other, whatever the order of the part files, so the
+watermark lags by ``WATERMARK_DELAY`` only, the state holds the windows of about
+one micro-batch, a closing row ends the last ones, and the results are those of
+the batch queries.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from streamkit.functions.time import epoch_millis_to_ts, instant_to_ntz, ntz_micros
 from streamkit.operators.keyed import rolling_extreme, rolling_extreme_by, rolling_fold, rolling_reduce, rolling_sum
@@ -25,13 +27,14 @@ from streamkit.operators.windows import Agg, count_window, session_window, time_
 from streamkit.plans.programs import concat_windows
 from streamkit.plans.programs import windowed_word_count as word_count_windows
 from streamkit.session import checkpoint_dir, ship_package
+from streamkit.sources.ordered import time_ordered_stream
 from streamkit.sources.tables import load_table
 from streamkit.streaming.event_time import assign_event_time, watermark_conf
-from streamkit.streaming.replay import ClosingStream, covering_delay, table_stream
+from streamkit.streaming.replay import with_instants
 from streamkit.streaming.tables import KeyedStream, StreamState
 
 WATERMARK_DELAY = "1 hour"
-#: Micro-batches of the per-record queries.
+#: Micro-batches of the per-record queries, and at least about as many of the windows.
 ARRIVALS = 5
 #: Micro-batches of the query with late rows.
 LATE_BATCHES = 7
@@ -48,43 +51,59 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return own
 
 
+def _writer(df: DataFrame, name: str) -> tuple[DataStreamWriter, str]:
+    run, base = f"{name}-{uuid.uuid4().hex[:12]}", checkpoint_dir(df.sparkSession)
+    out = os.path.join(base, "stream-results", run)
+    return df.writeStream.format("parquet").option("path", out).option("checkpointLocation", os.path.join(base, "streams", run)).outputMode("append"), out
+
+
 def drain_to_table(df: DataFrame, name: str, between: list[Callable[[], None]] = ()) -> DataFrame:
     """Run a streaming frame over everything available and read back its
     output; then once more after each of the calls in ``between``."""
-    spark = df.sparkSession
-    run = f"{name}-{uuid.uuid4().hex[:12]}"
-    base = checkpoint_dir(spark)
-    out = os.path.join(base, "stream-results", run)
-    writer = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", os.path.join(base, "streams", run))
-              .outputMode("append").trigger(availableNow=True))
+    writer, out = _writer(df, name)
     for call in [None, *between]:
         if call:
             call()
-        query = writer.start()
+        query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
-    return spark.read.schema(df.schema).parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)
+
+
+def drain_ordered(df: DataFrame, name: str, progress: list | None = None) -> DataFrame:
+    """Run a frame over a time-ordered source to its end and read back its
+    output; ``progress`` (a list) receives the progress reports."""
+    writer, out = _writer(df, name)
+    query = writer.trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+        if progress is not None:
+            progress.extend(query.recentProgress)
+    finally:
+        query.stop()
+    return df.sparkSession.read.schema(df.schema).parquet(out)
 
 
 def _folder(spark: SparkSession, kind: str) -> str:
     return os.path.join(checkpoint_dir(spark), "stream-inputs", f"{kind}-{uuid.uuid4().hex[:12]}")
 
 
-def _closing(spark: SparkSession, sf_dir: str, table: str, time_col: str = "ts") -> ClosingStream:
+def _in_order(spark: SparkSession, sf_dir: str, table: str, columns: list[str], time_col: str = "ts") -> DataFrame:
+    """Columns of a table as a stream in the order of ``time_col``."""
     own = stream_session(spark)
-    return ClosingStream(table_stream(own, sf_dir, table), _folder(own, f"{table}-end"), time_col)
+    rows = with_instants(load_table(own, sf_dir, table).select(*columns))
+    return time_ordered_stream(rows, time_col, _folder(own, table), batches=ARRIVALS)
 
 
 def _cents(ev: DataFrame) -> DataFrame:
     return ev.withColumn("cents", F.round(F.col("value") * 100).cast("long")).withColumn("has_c", F.col("event_type").contains("c"))
 
 
-def _events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
-    """The events with their watermark, and the call that closes them."""
-    source = _closing(spark, sf_dir, "events")
-    delay = covering_delay(spark, sf_dir, "events", least=WATERMARK_DELAY)
-    return assign_event_time(_cents(source.frame), "ts", delay), [source.close]
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in order of time, with their watermark."""
+    events = _in_order(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type", "value"])
+    return assign_event_time(_cents(events), "ts", WATERMARK_DELAY)
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -94,14 +113,13 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _windows(spark: SparkSession, sf_dir: str, name: str, aggs: list[Agg], key: str | None = "user_id", size: str = "1 hour", slide: str | None = None) -> DataFrame:
-    events, close = _events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     out = time_window(events, key, "ts", size, aggs, slide=slide)
-    return _ntz(drain_to_table(out, name, close), "window_start", "window_end")
+    return _ntz(drain_ordered(out, name), "window_start", "window_end")
 
 
 def stream_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 + E2/E3 on a stream: per-user 1 h event-time windows, watermark
-    1 h and the table's time span."""
+    """W1 + E2/E3 on a stream: per-user 1 h event-time windows, watermark 1 h."""
     return _windows(spark, sf_dir, "stream_tumbling_sum", [Agg("sum", F.col("cents"), "cents")])
 
 
@@ -123,16 +141,16 @@ def stream_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_global_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2 on a stream: per 6 h window every 3 h, the event types joined in
     arrival order (time, then event id) and the sum of their lengths."""
-    events, close = _events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     out = concat_windows(events, text_col="event_type", time_col="ts", order=("event_id",), size="6 hours", slide="3 hours")
-    return _ntz(drain_to_table(out, "stream_global_concat", close), "window_start", "window_end")
+    return _ntz(drain_ordered(out, "stream_global_concat"), "window_start", "window_end")
 
 
 def stream_session_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W10 on a stream: per-user sessions, gap 6 h."""
-    events, close = _events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     out = session_window(events, "user_id", "ts", "6 hours", [Agg("count", None, "n"), Agg("sum", F.col("cents"), "cents")])
-    return _ntz(drain_to_table(out, "stream_session_by_user", close), "session_start", "session_end")
+    return _ntz(drain_ordered(out, "stream_session_by_user"), "session_start", "session_end")
 
 
 def _arriving(spark: SparkSession, sf_dir: str, name: str, columns: list[str], operator: Callable[[DataFrame, StreamState], DataFrame]) -> DataFrame:
@@ -196,12 +214,10 @@ def stream_count_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 on a stream: documents arriving one per second (event time
-    ``doc_id`` s, watermark 5 s and the table's time span), words counted in 5 s windows every 1 s."""
-    source = _closing(spark, sf_dir, "documents", "doc_id")
-    docs = source.frame.select(F.timestamp_seconds(F.col("doc_id")).alias("ts"), "text")
-    delay = covering_delay(spark, sf_dir, "documents", "doc_id", "5 seconds")
-    out = word_count_windows(assign_event_time(docs, "ts", delay), text_col="text", time_col="ts")
-    return _ntz(drain_to_table(out, "stream_windowed_word_count", [source.close]), "window_start", "window_end")
+    ``doc_id`` s, watermark 5 s), words counted in 5 s windows every 1 s."""
+    docs = _in_order(spark, sf_dir, "documents", ["doc_id", "text"], "doc_id").select(F.timestamp_seconds(F.col("doc_id")).alias("ts"), "text")
+    out = word_count_windows(assign_event_time(docs, "ts", "5 seconds"), text_col="text", time_col="ts")
+    return _ntz(drain_ordered(out, "stream_windowed_word_count"), "window_start", "window_end")
 
 
 def stream_epoch_lines_late(spark: SparkSession, sf_dir: str) -> DataFrame:

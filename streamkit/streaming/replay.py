@@ -3,8 +3,8 @@
 ``replay_lines`` writes one file per record so that a file stream with
 ``maxFilesPerTrigger=1`` delivers exactly one record per micro-batch, in
 order: the deterministic stand-in for a socket fed by hand.
-``table_stream`` streams a parquet table of a scale-factor directory;
-``ClosingStream`` makes all windows of such a bounded stream close.
+``table_stream`` streams a parquet table of a scale-factor directory in the
+order that the file source gives; ``sources.ordered`` does in order of time.
 """
 
 from __future__ import annotations
@@ -14,10 +14,9 @@ import time
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamkit.functions.time import interval_micros, ntz_to_instant
+from streamkit.functions.time import ntz_to_instant
 
 
 def replay_lines(lines: Iterable[str], directory: str) -> str:
@@ -60,43 +59,3 @@ def with_instants(df: DataFrame) -> DataFrame:
     if "ts" in df.columns and isinstance(df.schema["ts"].dataType, T.TimestampNTZType):
         df = df.withColumn("ts", ntz_to_instant("ts"))
     return df
-
-
-def covering_delay(spark: SparkSession, sf_dir: str, name: str, time_col: str = "ts", least: str = "0 seconds") -> int:
-    """A watermark delay in milliseconds, ``least`` added to all the time that
-    a table spans (``time_col`` holds times, or seconds): in whatever order and
-    batches its rows arrive, none is late."""
-    table = with_instants(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-    at = F.col(time_col)
-    at = at.cast("decimal(38,6)") * 1000 if isinstance(table.schema[time_col].dataType, T.NumericType) else F.unix_micros(at.cast("timestamp")) / 1000
-    span = table.agg(F.ceil(F.max(at) - F.min(at)).cast("long")).first()[0] or 0
-    return interval_micros(least) // 1000 + span
-
-
-#: A time after all others: the event time of a closing row.
-END = "9999-01-01 00:00:00"
-
-
-class ClosingStream:
-    """A bounded stream whose windows all close.
-
-    In append mode the last windows of a bounded input stay open, since no
-    later row moves the watermark.  ``frame`` is the stream united with a
-    second source under the shared folder, empty until ``close`` writes one
-    row there whose event time is after all others and whose other columns are
-    null.  When a query has read everything, ``close`` it and run it again: the
-    watermark passes every real window, and the closing row's own window
-    never closes."""
-
-    def __init__(self, stream: DataFrame, folder: str, time_col: str = "ts"):
-        self.folder, self.time_col, self.schema = folder, time_col, stream.schema
-        self.spark = stream.sparkSession
-        self.spark.createDataFrame([], self.schema).write.parquet(folder)
-        self.frame = stream.unionByName(self.spark.readStream.schema(self.schema).parquet(folder))
-
-    def close(self) -> None:
-        end = F.lit(END).cast("timestamp")
-        kind = self.schema[self.time_col].dataType
-        end = (F.unix_seconds(end) if isinstance(kind, T.NumericType) else end).cast(kind)
-        row = self.spark.range(1).select(*[(end if f.name == self.time_col else F.lit(None).cast(f.dataType)).alias(f.name) for f in self.schema.fields])
-        row.write.mode("append").parquet(self.folder)
