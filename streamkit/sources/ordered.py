@@ -9,8 +9,8 @@ that lags by the whole table and a state that holds every window.
    time (``repartitionByRange``; rows of one time may fill several parts, so a
    hot instant is no hot part, and rows without a time are in the first), and
 2. reads them through ``TimeOrderedSource``, a Python data source whose
-   micro-batches are the next ``per_batch`` parts in that order, each part read
-   by a task of its own as Arrow batches.
+   micro-batches are the next parts in that order up to a number of bytes, each
+   part read by a task of its own as Arrow batches.
 
 No row of a later batch is earlier than one of a batch before, so nothing is
 late under any watermark, and the state holds the windows of about one batch
@@ -38,8 +38,10 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 #: The closing row's event time, 9999-01-01 00:00:00 UTC, in seconds.
 END_SECONDS = 253_370_764_800
-#: Rows of a part; a table of fewer parts than a few batches need gets more.
+#: Rows of a part; a table of fewer parts than its batches have tasks gets more.
 PART_ROWS = 2_000_000
+#: Bytes of a micro-batch for each task that can run at a time.
+TASK_BYTES = 128 << 20
 #: Rows of an Arrow batch handed to Spark.
 ROWS = 2_048
 _ROW = "_to_row"
@@ -56,29 +58,35 @@ def _open(folder: str):
 
 class TimeOrderedReader(DataSourceStreamReader):
     def __init__(self, options: dict, schema: T.StructType):
-        self.folder, self.time_col, self.per_batch, self.schema = options["folder"], options["timecol"], int(options["perbatch"]), schema
+        self.folder, self.time_col, self.schema = options["folder"], options["timecol"], schema
+        self.batches, self.batch_bytes = int(options["batches"]), int(options["batchbytes"])
         self.at = 0
 
     @cached_property
-    def parts(self) -> list[str]:
-        """Part files by name, which is their order of time (driver only)."""
+    def files(self) -> list[tuple[str, int]]:
+        """(part file, its bytes) by name, which is their order of time (driver only)."""
         from pyarrow.fs import FileSelector  # noqa: PLC0415
 
         files, path = _open(self.folder)
-        names = [info.path for info in files.get_file_info(FileSelector(path))]
-        return sorted(p for p in names if posixpath.basename(p).startswith("part-") and p.endswith(".parquet"))
+        found = [(info.path, info.size or 0) for info in files.get_file_info(FileSelector(path))]
+        return sorted(f for f in found if posixpath.basename(f[0]).startswith("part-") and f[0].endswith(".parquet"))
 
     def initialOffset(self) -> dict:
         return {"part": 0}
 
     def latestOffset(self) -> dict:
-        self.at = min(self.at + self.per_batch, len(self.parts) + 1)  # one more: the closing row
+        limit, size = min(self.batch_bytes, -(-sum(n for _, n in self.files) // self.batches)), 0
+        while self.at < len(self.files) and (size == 0 or size < limit):
+            size += max(1, self.files[self.at][1])
+            self.at += 1
+        if self.at == len(self.files):
+            self.at += 1  # the closing row, with the last parts
         return {"part": self.at}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         self.at = max(self.at, end["part"])  # a restarted query names its last offset here
-        closing = [InputPartition(None)] if start["part"] <= len(self.parts) < end["part"] else []
-        return [InputPartition(p) for p in self.parts[start["part"]:end["part"]]] + closing
+        closing = [InputPartition(None)] if start["part"] <= len(self.files) < end["part"] else []
+        return [InputPartition(path) for path, _ in self.files[start["part"]:end["part"]]] + closing
 
     def read(self, partition: InputPartition) -> Iterator:
         import pyarrow as pa  # noqa: PLC0415
@@ -118,17 +126,17 @@ def _register(spark: SparkSession) -> str:
     return own
 
 
-def time_ordered_stream(table: DataFrame, time_col: str, folder: str, per_batch: int | None = None, batches: int = 1) -> DataFrame:
+def time_ordered_stream(table: DataFrame, time_col: str, folder: str, batches: int = 1, batch_bytes: int | None = None) -> DataFrame:
     """``table`` (a bounded frame) as a stream in the order of ``time_col`` (a
-    time, or seconds as a number), ``per_batch`` parts a micro-batch (default:
-    the default parallelism), in at least about ``batches`` micro-batches.  The
-    parts are written to ``folder``, which must be new and shared with the
-    executors.  Run it with ``drain_ordered`` or any trigger but
-    ``availableNow``, which would end after the first micro-batch."""
+    time, or seconds as a number), in about ``batches`` micro-batches, and more
+    where one would pass ``batch_bytes`` (default: 128 MB of Parquet for each task
+    that can run at a time).  The parts are written to ``folder``, which must be
+    new and shared with the executors.  Run it with ``drain_ordered`` or any
+    trigger but ``availableNow``, which would end after the first micro-batch."""
     spark = table.sparkSession
-    per_batch = per_batch or spark.sparkContext.defaultParallelism
-    parts = max(per_batch * batches, -(-table.count() // PART_ROWS))
+    tasks = spark.sparkContext.defaultParallelism
+    parts = max(tasks * batches, -(-table.count() // PART_ROWS))
     rows = table.withColumn(_ROW, F.monotonically_increasing_id())
     rows.repartitionByRange(parts, time_col, _ROW).drop(_ROW).write.parquet(folder)
-    reader = spark.readStream.format(_register(spark)).schema(table.schema)
-    return reader.option("folder", folder).option("timeCol", time_col).option("perBatch", str(per_batch)).load()
+    options = {"folder": folder, "timeCol": time_col, "batches": str(batches), "batchBytes": str(batch_bytes or tasks * TASK_BYTES)}
+    return spark.readStream.format(_register(spark)).schema(table.schema).options(**options).load()

@@ -33,7 +33,7 @@ def test_state_holds_a_batch_of_windows(spark, tmp_path):
     own = stream_session(spark)
     rows = shuffled(own, tmp_path)
     aggs = [Agg("count", F.col("event_id"), "n"), Agg("sum", F.col("event_id"), "ids")]
-    stream = time_ordered_stream(rows, "ts", new_folder(own), per_batch=2, batches=8)
+    stream = time_ordered_stream(rows, "ts", new_folder(own), batches=8)
     progress = []
     got = drain_ordered(time_window(assign_event_time(stream, "ts", "1 hour"), "user_id", "ts", "1 hour", aggs), "ordered", progress)
     want = time_window(rows, "user_id", "ts", "1 hour", aggs)
@@ -41,15 +41,15 @@ def test_state_holds_a_batch_of_windows(spark, tmp_path):
     batches = [p for p in progress if p["numInputRows"] > 0]
     state = [op["numRowsTotal"] for p in progress for op in p["stateOperators"]]
     dropped = sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
-    assert len(batches) >= 8 and dropped == 0
-    # a batch is an eighth of the table; without an order of time it would be all windows
+    assert len(batches) >= 6 and dropped == 0
+    # a batch is about an eighth of the table; without an order of time it would be all windows
     assert max(state) < want.count() / 4 and state[-1] <= 1
 
 
 def test_a_restarted_query_goes_on(spark, tmp_path):
     own = stream_session(spark)
     rows = shuffled(own, tmp_path).select("event_id", "ts")
-    stream = time_ordered_stream(rows, "ts", new_folder(own), per_batch=2, batches=6)
+    stream = time_ordered_stream(rows, "ts", new_folder(own), batches=8)
     seen, fail_at = {}, [3]
 
     def take(batch, number):
@@ -84,7 +84,7 @@ def test_odd_rows(spark):
     for data in (rows, []):
         table = own.createDataFrame(data, "id long, ts timestamp_ntz, t string, l array<int>, _to_row_ boolean")
         table = table.withColumn("d", F.lit("1.25").cast("decimal(20,2)")).withColumn("n", F.col("ts")).withColumn("ts", F.expr("ts::timestamp"))
-        stream = time_ordered_stream(table, "ts", new_folder(own), per_batch=2, batches=3)
+        stream = time_ordered_stream(table, "ts", new_folder(own), batches=3)
         assert stream.schema.simpleString() == table.schema.simpleString()
         got = drain_ordered(stream, "odd")
         end = got.where(F.unix_seconds("ts") == END_SECONDS)
@@ -94,6 +94,10 @@ def test_odd_rows(spark):
 
 def test_numbers_as_time(spark):
     own = stream_session(spark)
-    stream = time_ordered_stream(own.range(100).withColumn("x", F.col("id") % 7), "id", new_folder(own), per_batch=1, batches=4)
+    stream = time_ordered_stream(own.range(100).withColumn("x", F.col("id") % 7), "id", new_folder(own), batches=4)
     got = drain_ordered(stream, "numbers")
+    few = time_ordered_stream(own.range(100).withColumn("x", F.col("id") % 7), "id", new_folder(own), batch_bytes=1)
+    progress = []
+    assert drain_ordered(few, "by_bytes", progress).exceptAll(got).count() == 0
+    assert sum(p["numInputRows"] > 0 for p in progress) == own.sparkContext.defaultParallelism  # a part each
     assert got.where(F.col("id") < 100).count() == 100 and got.where(F.col("id") == END_SECONDS).count() == 1
