@@ -6,16 +6,17 @@ row of a key into one task: with a key holding a third of all rows, one task
 sorts a third of the data.  The scan instead cuts the *order* into blocks, the
 same for every key:
 
-1. ``plan_blocks`` takes approximate quantiles of the first order column that
-   is not constant, over all rows, one per shuffle partition.  A value that
-   holds several quantiles by itself gets a block of its own, which is cut
-   further by the quantiles of the next order column.  Any order column will
-   do: numbers and times by their value, strings by the bytes after the prefix
-   that all of them share.  The cut points are a list of doubles, a few per
-   shuffle partition.
+1. ``plan_blocks`` takes the cut points, one per shuffle partition.  Where the
+   first order column that is not constant is a number or time and no value of
+   it holds a whole block, they are its approximate quantiles over all rows, a
+   list of doubles.  Any other order (strings, a value or nulls that fill
+   blocks, ties of several columns) is cut at whole order tuples, as a range
+   partitioner does: a sample of ``SAMPLE`` rows a block is sorted by Spark and
+   every ``SAMPLE``-th tuple is a cut.
 2. ``with_blocks`` finds each row's block by binary search.  The block is a
    monotone function of the order, so the rows of a key in one block are a
    contiguous run of the key, and a key with all rows fills all partitions.
+   The sample decides the balance of the blocks only, never a result.
 3. ``blocked_scan`` computes the running value inside (key, block), and adds
    the exclusive prefix over the key's earlier blocks, a window over a table of
    one row per key and block.
@@ -41,9 +42,11 @@ from streamkit.functions.time import ntz_micros
 
 KEY = "_sk_key"
 BLK = "_sk_blk"
-#: Bytes of a string that its position among the cut points is found by (exact in a double).
-STRING_BYTES = 6
-_SUB = 1 << 20
+ROW = "_sk_row"
+#: Sampled rows a block for cut points that are order tuples (all of them come to the driver).
+SAMPLE = 30
+#: Characters or bytes kept of a string in a cut point (a shorter one is a cut as well).
+STRING = 1_024
 
 
 @dataclass
@@ -129,52 +132,37 @@ def _number(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def _images(df: DataFrame, order: list[str]) -> list[tuple[str, Column]]:
-    """(name, monotone double image) of the leading order columns that have
-    one, leaving out those that hold a single value."""
-    text = [o for o in order if isinstance(df.schema[o].dataType, (T.StringType, T.BinaryType))]
-    bounds = {}
-    if text:
-        as_bytes = lambda o: F.col(o).cast("binary")
-        row = df.agg(*[f(as_bytes(o)).alias(f"{n}{i}") for i, o in enumerate(text) for n, f in (("lo", F.min), ("hi", F.max))]).first()
-        bounds = {o: (bytes(row[f"lo{i}"] or b""), bytes(row[f"hi{i}"] or b"")) for i, o in enumerate(text)}
-    out = []
-    for o in order:
-        if o in bounds:
-            lo, hi = bounds[o]
-            if lo == hi:  # constant: the next column decides
-                continue
-            shared = next((i for i, (a, b) in enumerate(zip(lo, hi)) if a != b), min(len(lo), len(hi)))
-            part = F.hex(F.substring(F.col(o).cast("binary"), shared + 1, STRING_BYTES))
-            image = F.conv(F.rpad(part, 2 * STRING_BYTES, "0"), 16, 10).cast("double")
-            out.append((o, F.when(F.col(o).isNotNull(), image)))
-        elif (image := _number(df, o)) is not None:
-            out.append((o, image))
-        else:
-            break  # no image: what follows it cannot cut
-    return out
+def _comparable(df: DataFrame, name: str) -> Column | None:
+    """An order column as a value that compares alike and that a literal can
+    hold in every session time zone, else None."""
+    dtype, c = df.schema[name].dataType, F.col(name)
+    if isinstance(dtype, T.TimestampNTZType):
+        return ntz_micros(name)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    known = (T.NumericType, T.BooleanType, T.DateType, T.BinaryType)
+    return c if isinstance(dtype, known) or dtype == T.StringType() else None
 
 
 @dataclass
 class Blocking:
-    """Cut points: ``splits`` of the first image; for values that fill whole
-    blocks, ``inner`` splits of the next image mapped into [i, i + 1)."""
+    """Cut points: ``splits`` of ``image``, or ``cuts``, order tuples in their
+    order, of the columns in ``row``."""
 
     keys: list[str]
     order: list[str]
     image: Column | None = None
     splits: list[float] = field(default_factory=list)
-    next_image: Column | None = None
-    full: dict[float, tuple[int, float, float]] = field(default_factory=dict)
-    inner: list[float] = field(default_factory=list)
+    row: Column | None = None
+    cuts: list[Column] = field(default_factory=list)
 
     @property
     def blocked(self) -> bool:
-        return len(self.splits) > 2
+        return len(self.splits) > 2 or bool(self.cuts)
 
     @property
     def n_blocks(self) -> int:
-        return max(1, len(self.splits) - 1 + len(self.inner))
+        return max(1, len(self.splits) - 1, len(self.cuts) + 1)
 
 
 def _finite(values) -> list[float]:
@@ -188,40 +176,61 @@ def plan_blocks(df: DataFrame, keys, order, blocks: int | None = None) -> Blocki
     blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if blocks < 2 or df.isStreaming:
         return out
-    images = _images(df, out.order)
     probs, accuracy = [i / blocks for i in range(1, blocks)], max(10_000, 20 * blocks)
-    for at, (name, image) in enumerate(images):
-        cuts = _finite(df.select(image.alias("x")).agg(F.percentile_approx("x", probs, accuracy)).first()[0])
-        full = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-        if len(full) == 1 and full[0] == cuts[0] == cuts[-1] and at + 1 < len(images):
-            lo, hi = df.agg(F.min(name), F.max(name)).first()
-            if lo == hi:
-                continue
-        edges = sorted({*cuts, *full, *(math.nextafter(v, math.inf) for v in full)})
+    for at, name in enumerate(out.order):
+        image = _number(df, name)
+        if image is None:
+            break
+        found = df.select(image.alias("x")).agg(F.percentile_approx("x", probs, accuracy).alias("q"), F.count("x").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+        cuts, gone = _finite(found["q"]), (found["rows"] - found["n"]) * blocks > found["rows"]
+        full = any(a == b for a, b in zip(cuts, cuts[1:]))
+        if at + 1 < len(out.order):
+            if cuts and cuts[0] == cuts[-1] and not gone:
+                lo, hi = df.agg(F.min(name), F.max(name)).first()
+                if lo == hi and found["n"] == found["rows"]:  # constant: the next column decides
+                    continue
+            if full or gone or not cuts:
+                break
+        edges = sorted({*cuts, *(math.nextafter(v, math.inf) for v, w in zip(cuts, cuts[1:]) if v == w)})
         out.image, out.splits = image, [-math.inf, *edges, math.inf]
-        if full and at + 1 < len(images):
-            _cut_full(df, out, name, full, images[at + 1][1], cuts, accuracy)
         return out
+    _cut_tuples(df, out, blocks)
     return out
 
 
-def _cut_full(df: DataFrame, out: Blocking, name: str, full: list[float], image: Column, cuts: list[float], accuracy: int) -> None:
-    """Cuts the blocks of the values in ``full`` (each a single value of
-    column ``name``) by the next order column."""
-    share = max(cuts.count(v) for v in full) + 1
-    probs = [i / share for i in range(1, share)]
-    rows = (df.select(out.image.alias("v"), F.col(name).alias("whole"), image.alias("x")).where(F.col("v").isin(full)).groupBy("v")
-            .agg(F.min("whole").alias("a"), F.max("whole").alias("b"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.percentile_approx("x", probs, accuracy).alias("q")))
-    inner = []
-    for r in sorted(rows.collect(), key=lambda r: r["v"]):  # one row per full block
-        q = sorted(set(_finite(r["q"])))
-        if r["a"] != r["b"] or not q or not _finite([r["lo"], r["hi"]]) or r["lo"] == r["hi"]:
-            continue
-        i = len(out.full)
-        out.full[r["v"]] = (i, r["lo"], r["hi"] - r["lo"])
-        inner += [float(i), *(i + (x - r["lo"]) / (r["hi"] - r["lo"]) / 2 for x in q)]
-    if inner:
-        out.next_image, out.inner = image, [-math.inf, *sorted(set(inner)), math.inf]
+def _cut_tuples(df: DataFrame, out: Blocking, blocks: int) -> None:
+    """Cuts at order tuples, up to the first column that has no literal."""
+    images = []
+    for name in out.order:
+        c = _comparable(df, name)
+        if c is None:
+            break
+        images.append(c.alias(f"c{len(images)}"))
+    if not images:
+        return
+    rows = df.select(*images)
+    n = rows.count()
+    if n > SAMPLE * blocks:
+        rows = rows.sample(SAMPLE * blocks / n, seed=SAMPLE)
+    kinds = [f.dataType for f in rows.schema.fields]
+    short = [F.substring(f.name, 1, STRING).alias(f.name) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.col(f.name) for f in rows.schema.fields]
+    taken = [tuple(r) for r in rows.orderBy(*rows.columns).select(*short).collect()]
+    places = sorted({len(taken) * i // blocks for i in range(1, blocks)} - {0})
+    cuts = list(dict.fromkeys(tuple(bytes(v) if isinstance(v, bytearray) else v for v in taken[p]) for p in places))
+    literal = lambda cut: F.struct(*[F.lit(v).cast(k).alias(f"c{i}") for i, (v, k) in enumerate(zip(cut, kinds))])
+    out.row, out.cuts = F.struct(*images), [literal(cut) for cut in cuts]
+
+
+def _tuple_block(cuts: list[Column]) -> Column:
+    """1 and the number of cuts that are not after ``ROW``, by binary search."""
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    table = F.array(*cuts)
+
+    def step(at: Column, width: Column) -> Column:
+        probe = at + width
+        return F.when((probe <= len(cuts)) & (F.get(table, probe - 1) <= F.col(ROW)), probe).otherwise(at)
+
+    return (F.aggregate(F.array(*[F.lit(w) for w in steps]), F.lit(0), step) + 1).cast("long")
 
 
 def _bucket(df: DataFrame, x: Column, splits: list[float], name: str) -> DataFrame:
@@ -241,14 +250,9 @@ def with_blocks(df: DataFrame, blocking: Blocking) -> DataFrame:
     out = df.withColumn(KEY, key)
     if not blocking.blocked:
         return out.withColumn(BLK, F.lit(0).cast("long"))
-    out = _bucket(out, blocking.image, blocking.splits, "_sk_b0")
-    if not blocking.full:
-        return out.withColumnRenamed("_sk_b0", BLK)
-    table = {v: F.create_map(*[F.lit(x) for val, row in blocking.full.items() for x in (val, float(row[v]))]) for v in range(3)}
-    place = [table[v][blocking.image] for v in range(3)]
-    x = F.when(place[0].isNotNull(), place[0] + F.coalesce((blocking.next_image - place[1]) / place[2] / 2, F.lit(0.0)))
-    out = _bucket(out, x, blocking.inner, "_sk_b1")
-    return out.withColumn(BLK, F.col("_sk_b0") * _SUB + F.col("_sk_b1")).drop("_sk_b0", "_sk_b1")
+    if blocking.cuts:
+        return out.withColumn(ROW, blocking.row).withColumn(BLK, _tuple_block(blocking.cuts)).drop(ROW)
+    return _bucket(out, blocking.image, blocking.splits, BLK)
 
 
 def blocked_scan(df: DataFrame, blocking: Blocking, scans: list[Scan], state=None) -> DataFrame:

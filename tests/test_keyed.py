@@ -134,7 +134,7 @@ def test_bursty_hot_key_blocks_stay_balanced(spark):
 
 
 @pytest.mark.parametrize("blocks", [2, 7, 50])
-@pytest.mark.parametrize("case", ["strings", "one file", "ties", "null orders", "timestamps", "decimals", "all null"])
+@pytest.mark.parametrize("case", ["strings", "one file", "ties", "null orders", "timestamps", "decimals", "all null", "three ties", "bytes", "dates"])
 def test_any_order_is_cut_and_every_cut_gives_the_plain_answer(spark, blocks, case):
     """One key with two thirds of the rows; nulls in keys, values and orders."""
     rng = random.Random(3)
@@ -148,6 +148,9 @@ def test_any_order_is_cut_and_every_cut_gives_the_plain_answer(spark, blocks, ca
         "null orders": (df.withColumn("o", F.when(F.col("id") % 3 > 0, F.col("id"))), ["o", "id"]),
         "timestamps": (df.withColumn("o", F.timestamp_seconds(F.col("id") * 100)), ["o"]),
         "decimals": (df.withColumn("o", (F.col("id") * 1.5).cast("decimal(20,2)")), ["o"]),
+        "three ties": (df.withColumn("o", F.lit(7) + (F.col("id") > 890).cast("int")).withColumn("o2", F.when(F.col("id") < 700, F.lit("same")).otherwise(F.col("t"))), ["o", "o2", "id"]),
+        "bytes": (df.withColumn("o", F.md5(F.col("id").cast("string")).cast("binary")), ["o"]),
+        "dates": (df.withColumn("o", F.date_add(F.lit("2024-01-01"), (F.col("id") % 2).cast("int"))).withColumn("o2", F.expr("timestamp_ntz'2024-03-31 02:30:00'") + F.make_interval(secs=F.col("id"))), ["o", "o2"]),
         "all null": (df.withColumn("o", F.lit(None).cast("long")), ["o", "id"]),
     }[case]
     if case != "all null" and blocks > 2:
@@ -158,6 +161,18 @@ def test_any_order_is_cut_and_every_cut_gives_the_plain_answer(spark, blocks, ca
         _same(one, many)
 
 
+def test_an_outlier_does_not_spoil_the_cuts(spark):
+    """20,000 lines of one file and a single path from another root: 16 blocks."""
+    from streamkit.operators.scan import BLK, plan_blocks, with_blocks
+
+    path = F.when(F.col("id") == 0, F.lit("hdfs://other/x.txt")).otherwise(F.lit("file:///data/lines/part-00000.txt"))
+    df = spark.range(20_000).select(path.alias("path"), F.lit(0).alias("start"), F.col("id").alias("line"), (F.col("id") % 2).alias("key"), F.col("id").alias("v"), F.col("id").cast("string").alias("t"))
+    order = ["path", "start", "line"]
+    sizes = with_blocks(df, plan_blocks(df, ["key"], order, 16)).groupBy(BLK).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 2_500
+    _same(keyed_scan(df, ["key"], order, SCANS(), blocks=16), keyed_scan(df, ["key"], order, SCANS(), blocks=1))
+
+
 def test_null_records_are_never_the_extreme(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", 5), (3, "a", 3), (4, "a", None)], "seq long, key string, v long")
     out = rolling_extreme_by(df, "key", "seq", "v", ["seq", "v"], "min", prefix="best_").orderBy("seq").collect()
