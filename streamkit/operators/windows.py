@@ -7,12 +7,18 @@ twin in ``streamkit.streaming.stateful``.
 Time windows are epoch-aligned ``[start, end)`` like ``F.window``.
 
 * Tumbling: ``groupBy(key, window(t, size))`` with partial aggregation.
-* Sliding: rows are first aggregated into *panes* of ``gcd(size, slide)``
-  (every row counted once), then the pane partials are expanded into the
-  ``size/slide`` windows covering each pane and merged.  Spark's own sliding
-  window expands every raw row instead.
+* Sliding: consecutive windows are taken ``BUCKET`` at a time, and one
+  aggregation by (key, bucket) holds a partial for each window of the bucket, so
+  partials are made before the only shuffle and a row is copied only where its
+  windows cross into the next bucket.  Where a window has more than ``2 BUCKET``
+  slides, or partials of no fixed width, rows are aggregated into *panes* of
+  ``gcd(size, slide)`` and the pane partials expanded into the windows covering
+  each pane and merged, by a second shuffle.  Spark's own sliding window expands
+  every raw row instead.
 * Count windows and sessions need the row's rank / predecessor within its
-  key, which come from the skew-safe ``keyed_scan``.
+  key, which come from the skew-safe ``keyed_scan``.  Sliding count windows of
+  ``LONG`` rows or more merge a suffix and a prefix aggregate of neighbouring
+  stretches per row, whatever the size; shorter ones are frames.
 
 Aggregates are given as ``Agg`` objects so each knows its pane partial and
 its merge.
@@ -89,6 +95,15 @@ class Agg:
     def over(self, window: Window) -> Column:
         return self.finish(self.raw(self.input, [F.col(o) for o in self.order]).over(window)).alias(self.name)
 
+    def join(self, before: Column, after: Column) -> Column:
+        """Plain aggregates of two neighbouring runs of rows, either null if it
+        has no rows, as that of both."""
+        if self.kind == "count":
+            return F.coalesce(before, F.lit(0)) + F.coalesce(after, F.lit(0))
+        if self.kind in ("sum", "fold"):
+            return F.when(before.isNull(), after).when(after.isNull(), before).otherwise(before + after)
+        return (F.greatest if self.kind in ("max", "max_by") else F.least)(before, after)
+
     def partial(self) -> Column:
         """What panes and local sessions hand on."""
         x = self.raw(self.input, [F.col(o) for o in self.order])
@@ -146,6 +161,10 @@ def time_window(
     ntz = isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
     at = df.where(F.col(time_col).isNotNull()).withColumn("_at", _micros(df, time_col))
     by_pane = panes and slide_us < size_us
+    if by_pane and _bucketed(df, size_us, slide_us, aggs):
+        out = _bucket_windows(at, keys, size_us, slide_us, aggs)
+        out = _times(out, ntz, window_start=F.col("_k") * slide_us, window_end=F.col("_k") * slide_us + size_us)
+        return out.select(*keys, "window_start", "window_end", *[a.name for a in aggs])
     if by_pane:
         pane_us = math.gcd(size_us, slide_us)
         at = at.withColumn("_at", _floor(F.col("_at"), pane_us) * pane_us)
@@ -161,6 +180,48 @@ def time_window(
     return out.select(*keys, "window_start", "window_end", *[a.name for a in aggs])
 
 
+#: Consecutive sliding windows that one aggregation row holds.
+BUCKET = 16
+#: The most aggregates of sliding windows held that way.
+HELD = 4
+
+
+def _bucketed(df: DataFrame, size_us: int, slide_us: int, aggs: Sequence[Agg]) -> bool:
+    """Whether partials are few and of fixed width, so that Spark hashes them."""
+    if size_us > 2 * BUCKET * slide_us or len(aggs) > HELD:
+        return False
+    if any(a.kind not in ("sum", "count", "fold", "max", "min") for a in aggs):
+        return False
+    extremes = [a.col for a in aggs if a.kind in ("max", "min")]
+    kinds = [f.dataType for f in df.select(*extremes).schema.fields] if extremes else []
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return all(isinstance(k, fixed) for k in kinds)
+
+
+def _bucket_windows(at: DataFrame, keys: list[str], size_us: int, slide_us: int, aggs: Sequence[Agg]) -> DataFrame:
+    """(keys, _k, aggregates) of sliding windows, by one aggregation of (keys,
+    bucket): column i of an aggregate is that of the bucket's window i, and
+    ``_in`` has the bits of the windows that hold a row."""
+    first, last = _floor(F.col("_at") - size_us, slide_us) + 1, _floor(F.col("_at"), slide_us)
+    rows = at.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
+    lo, hi = _floor(F.col("_first"), BUCKET), _floor(F.col("_last"), BUCKET)
+    rows = rows.withColumn("_b", F.explode(F.sequence(lo, hi)))
+    own = F.col("_b") * BUCKET
+    rows = rows.withColumn("_lo", F.greatest(F.col("_first") - own, F.lit(0))).withColumn("_hi", F.least(F.col("_last") - own, F.lit(BUCKET - 1)))
+    inside = [F.col("_lo").__le__(i) & F.col("_hi").__ge__(i) for i in range(BUCKET)]
+
+    def held(a: Agg, i: int) -> Column:
+        value = a.col if a.col is not None else F.lit(1)
+        return a.raw(F.when(inside[i], value), []).alias(f"_h_{i}_{a.name}")
+
+    bits = F.bit_or(F.expr(f"shiftleft(1L, cast(_hi as int) + 1) - shiftleft(1L, cast(_lo as int))")).alias("_in")
+    buckets = rows.groupBy(*keys, "_b").agg(bits, *[held(a, i) for a in aggs for i in range(BUCKET)])
+    window = lambda i: F.struct((F.col("_b") * BUCKET + i).alias("_k"), F.expr(f"(_in & {1 << i}) != 0").alias("_has"),
+                                *[F.col(f"_h_{i}_{a.name}").alias(a.name) for a in aggs])
+    each = buckets.select(*keys, F.explode(F.array(*[window(i) for i in range(BUCKET)])).alias("_w")).where("_w._has")
+    return each.select(*keys, F.col("_w._k").alias("_k"), *[a.finish(F.col("_w")[a.name]).alias(a.name) for a in aggs])
+
+
 def _floor(micros: Column, unit: int) -> Column:
     """Floor division of a long, exact also for negative values."""
     return ((micros - F.pmod(micros, F.lit(unit).cast("long"))) / unit).cast("long")
@@ -244,12 +305,35 @@ def count_window(
     own = F.floor((F.col("_rn") - 1) / stretch).cast("long")
     after = F.when(F.pmod(F.col("_rn") - 1, F.lit(stretch).cast("long")) >= stretch - (size - 1), F.array(own, own + 1)).otherwise(F.array(own))
     copied = ranked.withColumn("_own", own).withColumn("_stretch", F.explode(after))
+    if size >= LONG and all(a.kind != "concat" for a in aggs):
+        return _long_windows(copied, keys, size, fires, aggs)
     frame = Window.partitionBy(*keys, "_stretch").orderBy("_rn").rowsBetween(-(size - 1), Window.currentRow)
     out = copied.select(*keys, "_rn", "_own", "_stretch", fires.alias("_fires"), *[a.over(frame) for a in aggs])
     return (out.where((F.col("_own") == F.col("_stretch")) & F.col("_fires"))
             .select(*keys, F.col("_rn").alias("window_end_count"), *[a.name for a in aggs]))
 
 
+def _long_windows(copied: DataFrame, keys: list[str], size: int, fires: Column, aggs: Sequence[Agg]) -> DataFrame:
+    """Sliding count windows without a frame per row.  A key's rows are cut
+    after every ``size``-th: the window that ends at a row is the end of the cut
+    before, from ``size - 1`` rows back, and the own cut up to the row.  Both
+    are running aggregates, one towards each side; a row merges two values."""
+    cut = F.floor((F.col("_rn") - 1) / size).cast("long")
+    values = [(a.input if a.input is not None else F.lit(1)).alias(f"_v{i}") for i, a in enumerate(aggs)]
+    rows = copied.select(*keys, "_rn", "_own", "_stretch", cut.alias("_cut"), fires.alias("_fires"), *values).repartition(*keys, "_stretch")
+    within = Window.partitionBy(*keys, "_stretch", "_cut")
+    upto = Window.unboundedPreceding, Window.currentRow
+    back, ahead = within.orderBy(F.desc("_rn")).rowsBetween(*upto), within.orderBy("_rn").rowsBetween(*upto)
+    along = Window.partitionBy(*keys, "_stretch").orderBy("_cut", "_rn")
+    rows = rows.select("*", *[a.raw(F.col(f"_v{i}"), []).over(back).alias(f"_s{i}") for i, a in enumerate(aggs)])
+    rows = rows.select("*", *[a.raw(F.col(f"_v{i}"), []).over(ahead).alias(f"_p{i}") for i, a in enumerate(aggs)])
+    rows = rows.select("*", *[F.lag(f"_s{i}", size - 1).over(along).alias(f"_b{i}") for i in range(len(aggs))])
+    whole = F.pmod(F.col("_rn"), F.lit(size).cast("long")) == 0  # the own cut alone
+    out = rows.where((F.col("_own") == F.col("_stretch")) & F.col("_fires"))
+    joined = lambda i, a: F.when(whole, F.col(f"_p{i}")).otherwise(a.join(F.col(f"_b{i}"), F.col(f"_p{i}")))
+    return out.select(*keys, F.col("_rn").alias("window_end_count"), *[a.finish(joined(i, a)).alias(a.name) for i, a in enumerate(aggs)])
+
+
 def _with_tails(ranked: DataFrame, keys: list[str], size: int, slide: int | None, table) -> DataFrame:
     """``ranked`` and the rows that earlier micro-batches left of its keys
     (``_new`` is false), and what this one leaves put in their place."""
@@ -270,6 +354,8 @@ def _with_tails(ranked: DataFrame, keys: list[str], size: int, slide: int | None
 
 #: The least rows of a key that sliding count windows keep together.
 STRETCH = 4096
+#: The least size of sliding count windows made from suffixes and prefixes.
+LONG = 256
 
 
 def session_window(

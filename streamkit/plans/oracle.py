@@ -283,6 +283,10 @@ SELECT event_type, {_win_cols(30 * US_MIN, 48 * US_HOUR)}, count(*) AS n, max(va
 SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS window_end_count,
        sum(round(value * 4) / 4) OVER w AS sum_value, max(value) OVER w AS max_value
 FROM events_c WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""",
+    "count_sliding_thousand": f"""WITH {EVENTS}
+SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS window_end_count,
+       CAST(sum(cents) OVER w AS BIGINT) AS cents, max(value) OVER w AS max_value, count(*) OVER w AS n
+FROM events_c WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)""",
 })
 
 ORACLE["tumbling_python_monoid"] = ORACLE["tumbling_python_reduce"]

@@ -482,6 +482,13 @@ def count_sliding_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_window(_events(spark, sf_dir), "event_type", "event_id", 100, [Agg("sum", quarters, "sum_value"), Agg("max", F.col("value"), "max_value")], slide=1)
 
 
+def count_sliding_thousand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 with windows of 1,000 rows: per event type, after every event the sum,
+    maximum and number over the last <= 1,000."""
+    return count_window(_events(spark, sf_dir), "event_type", "event_id", 1_000,
+                        [Agg("sum", F.col("cents"), "cents"), Agg("max", F.col("value"), "max_value"), Agg("count", None, "n")], slide=1)
+
+
 def session_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user sessions with a 6 h gap: count and cents."""
     return session_window(_events(spark, sf_dir), "user_id", "ts", "6 hours",
@@ -557,6 +564,7 @@ QUERIES = {
     "count_sliding": count_sliding,
     "count_sliding_by_type": count_sliding_by_type,
     "count_sliding_long": count_sliding_long,
+    "count_sliding_thousand": count_sliding_thousand,
     "session_by_user": session_by_user,
     "session_by_type": session_by_type,
     "compound_growth": compound_growth_q,

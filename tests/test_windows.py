@@ -128,6 +128,38 @@ def test_long_sliding_count_windows_for_every_aggregate(spark, monkeypatch, size
         assert got[at][0] is None if not v else got[at][0] == pytest.approx(sum(v), rel=1e-12)
 
 
+@pytest.mark.parametrize("size,slide", [(70, 1), (7, 3), (1, 2), (500, 9)])
+def test_suffixes_and_prefixes_give_the_windows(spark, monkeypatch, size, slide):
+    """Windows merged of two running aggregates, over several stretches and
+    cuts, also of null values, null keys and keys shorter than a window."""
+    import streamkit.operators.windows as W
+
+    _, df = _frames(spark)
+    df = df.withColumn("key", F.when(F.col("seq") % 37 != 0, F.col("key"))).withColumn("v", F.round("v"))
+    aggs = [Agg("sum", F.col("v"), "s"), Agg("fold", F.col("seq"), "f", initial=100), Agg("max", F.col("v"), "m"), Agg("count", F.col("v"), "n"),
+            Agg("count", None, "rows"), Agg("min", F.col("t"), "t"), Agg("min_by", F.col("t"), "b", order=("seq",), by=F.col("v")),
+            Agg("max_by", F.col("t"), "c", order=("seq",), by=F.col("v"))]
+    want = sorted(map(str, count_window(df, "key", "seq", size, aggs, slide=slide).drop("s").collect()))
+    monkeypatch.setattr(W, "STRETCH", 1)
+    monkeypatch.setattr(W, "LONG", 1)
+    got = count_window(df, "key", "seq", size, aggs, slide=slide)
+    assert sorted(map(str, got.drop("s").collect())) == want and want
+
+
+def test_sliding_windows_take_one_shuffle(spark):
+    """Whole buckets of windows are held by one aggregation; its plan has one
+    exchange, with partials before it."""
+    df = spark.range(500).select((F.col("id") % 3).alias("k"), F.timestamp_micros(F.col("id") * 700_000 - 90_000_000).alias("ts"),
+                                 F.when(F.col("id") % 5 != 0, F.col("id")).alias("v"))
+    aggs = [Agg("sum", F.col("v"), "s"), Agg("max", F.col("v"), "m"), Agg("count", F.col("v"), "n"), Agg("fold", F.col("v"), "f", initial=100)]
+    one = time_window(df, "k", "ts", "5 seconds", aggs, slide="1 second")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("HashAggregate") == 2
+    two = time_window(df, "k", "ts", "5 seconds", [*aggs, Agg("min", F.col("v"), "x")], slide="1 second").drop("x")
+    assert two._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
 def test_time_windows_without_limits(spark):
     """Thousands of windows per row, gaps between windows, times before 1970,
     rows without a time."""
