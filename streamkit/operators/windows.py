@@ -181,7 +181,7 @@ def time_window(
 
 
 #: Consecutive sliding windows that one aggregation row holds.
-BUCKET = 16
+BUCKET = 8
 #: The most aggregates of sliding windows held that way.
 HELD = 4
 
