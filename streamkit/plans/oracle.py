@@ -289,6 +289,9 @@ SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id)
 FROM events_c WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)""",
 })
 
+ORACLE["iterator_sequence"] = ORACLE["sequence_map"]
+ORACLE["flat_map_python"] = ORACLE["token_case_flatmap"]
+ORACLE["output_format_roundtrip"] = ORACLE["text_roundtrip"]
 ORACLE["tumbling_python_monoid"] = ORACLE["tumbling_python_reduce"]
 
 # Streaming: the input is bounded, so every window closes and the results are

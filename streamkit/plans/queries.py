@@ -32,7 +32,7 @@ from streamkit.operators.keyed import (
     rolling_sum,
 )
 from streamkit.operators.routing import connect, first_match_selector, select_outputs, split, union
-from streamkit.operators.transform import flat_map, word_count
+from streamkit.operators.transform import flat_map, flat_map_python, word_count
 from streamkit.operators.windows import Agg, count_window, count_window_fold, session_window, time_window, time_window_fold
 from streamkit.plans.programs import windowed_word_count as word_count_windows
 from streamkit.session import checkpoint_dir
@@ -82,6 +82,34 @@ def token_case_flatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part_tokens(spark, sf_dir, UPPER_LOWER)
 
 
+def iterator_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + P1: the order-key range from Python iterators, a stretch of at most a
+    million numbers in a task of its own, mapped to 2x."""
+    from streamkit.sources import from_iterators
+
+    lo, hi = load_table(spark, sf_dir, "orders").agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    rows = 0 if lo is None else hi + 1 - lo
+    parts = max(spark.sparkContext.defaultParallelism, -(-rows // 1_000_000))
+    out = from_iterators(spark, lambda i, n: range((lo or 0) + rows * i // n, (lo or 0) + rows * (i + 1) // n), parts, element_type=int)
+    return out.select("value", (F.lit(2) * F.col("value")).alias("doubled"))
+
+
+def flat_map_in_python(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two tokens of a line, first UPPER, second lower, from a Python
+    generator behind a table function."""
+    def make():
+        cases = (str.upper, str.lower)
+
+        def body(row):
+            for pos, (case, token) in enumerate(zip(cases, (row.p_name or "").split(" "))):
+                yield pos, case(token)
+
+        return body
+
+    part = load_table(spark, sf_dir, "part")
+    return flat_map_python(part, make, "pos int, token string", keep=("p_partkey",), reads=("p_name",))
+
+
 def token_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4 + P3: second token lower then first UPPER; keep tokens containing 'r'."""
     toks = _part_tokens(spark, sf_dir, SECOND_LOWER_FIRST_UPPER)
@@ -143,6 +171,16 @@ def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_file(spark, path, line_sep="\n\n").select("value")
 
 
+def output_format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names through an output format that commits all tasks at once,
+    read back from the committed parts."""
+    from streamkit.sinks import read_committed, write_transactional
+
+    path = _sink_dir(spark, "format")
+    write_transactional(load_table(spark, sf_dir, "part").select("p_name"), path)
+    return read_committed(spark, path).select("value")
+
+
 # -- keying and rolling aggregates -------------------------------------------
 
 def key_by_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,6 +554,9 @@ QUERIES = {
     "sequence_map": sequence_map,
     "sequence_predicate": sequence_predicate,
     "token_case_flatmap": token_case_flatmap,
+    "iterator_sequence": iterator_sequence,
+    "flat_map_python": flat_map_in_python,
+    "output_format_roundtrip": output_format_roundtrip,
     "token_filter": token_filter,
     "word_count": word_count_docs,
     "parse_pairs": parse_pairs,
