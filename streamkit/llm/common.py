@@ -96,12 +96,28 @@ def left_join_held(df: DataFrame, found: DataFrame, keys: list[str], by: str) ->
     return moved.unionByName(marked.where("not maybe").select(*df.columns, *rest))
 
 
-def map_texts(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema: str) -> DataFrame:
+#: The column that carries a whole row, or all of it but its text, past helper columns.
+ROW = "_doc"
+
+
+def nested(docs: DataFrame, *helpers: Column, apart: str | None = None) -> DataFrame:
+    """Each row as one struct ``ROW`` beside ``helpers``, so that no column of
+    the table clashes with a helper's name; column ``apart`` stays beside it."""
+    own = [F.col(f"`{c}`") for c in docs.columns if c != apart]
+    return docs.select(F.struct(*own).alias(ROW), *([F.col(f"`{apart}`")] if apart else []), *helpers)
+
+
+def unnested(df: DataFrame, columns: list[str], apart: str | None = None) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") if c == apart else F.col(ROW)[c].alias(c) for c in columns])
+
+
+def map_texts(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` over all columns of ``df``: ``make()`` runs once per
     task and gives a function from a dict of Python lists to a dict of lists
     (or arrays), one entry per result row."""
     ship_package(df.sparkSession)
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()

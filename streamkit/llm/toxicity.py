@@ -309,7 +309,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
         return keep
 
-    return map_texts(docs, make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    return map_texts(docs, make, docs.schema)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
