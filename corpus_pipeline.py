@@ -12,6 +12,9 @@ columns of ``documents``.
                        character that loses some of its bytes goes whole
 4. secrets             the found secrets are blanked out in the text
 5. packing             documents are packed into sequences
+
+Extra columns pass unchanged, whatever their names: a stage keeps the row as one
+struct beside its helper columns.  A null text stays null unless bytes of it go.
 """
 
 from __future__ import annotations
@@ -20,22 +23,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamkit.llm import jaccard, packing, secrets, suffixes, toxicity
-from streamkit.llm.common import fingerprint, left_join_held, map_texts, read_table, stage_table
+from streamkit.llm.common import ROW, fingerprint, left_join_held, map_texts, nested, read_table, stage_table, unnested
 
 
 #: Words of the shortest passage that may not repeat.
 PASSAGE = 51
 
 
-def _schema(docs: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-
-
 def _like(docs: DataFrame, out: DataFrame) -> DataFrame:
-    """The columns of ``docs``, with ``n_chars`` of the present text."""
+    """The columns of ``docs`` from (ROW, text), with ``n_chars`` of the present text."""
+    out = unnested(out, docs.columns, "text")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,16 +46,16 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     linked = stage_table(jaccard.links(docs, k=5, percent=80).select("fa", "fb", "first"), "linked")
     # a row stored twice is in one group with itself: of such rows one may stay
     goes = linked.groupBy("fa", "fb").agg(F.max("first").alias("one"), F.min("first").alias("all")).where("not all").select("fa", "fb", "one")
-    keyed = docs.withColumns(dict(zip(("fa", "fb"), fingerprint("doc_id", F.coalesce("text", F.lit(""))))))
+    keyed = nested(docs, *fingerprint("doc_id", F.coalesce("text", F.lit(""))))
     both = left_join_held(keyed, stage_table(goes, "goes"), ["fa", "fb"], "fa")
     twice = both.where("one").dropDuplicates(["fa", "fb"])
-    return both.where("one is null").unionByName(twice).select(*docs.columns)
+    return unnested(both.where("one is null").unionByName(twice), docs.columns)
 
 
 def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumns(dict(zip(("fa", "fb"), fingerprint("doc_id", text))))
-    both = left_join_held(keyed, suffixes.repeated_passages(docs, PASSAGE), ["fa", "fb"], "fa").select(*docs.columns, "spans")
+    keyed = nested(docs, *fingerprint("doc_id", text), apart="text")
+    both = left_join_held(keyed, suffixes.repeated_passages(docs, PASSAGE), ["fa", "fb"], "fa").select(ROW, "text", "spans")
 
     def make():
         def cut(rows: dict) -> dict:
@@ -68,20 +68,20 @@ def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
                     kept = [data[a:b] for a, b in zip(ends, [*(a for a, _ in gone), len(data)])]
                     text = "".join(x.decode("utf-8", "ignore") for x in kept)
                 out.append(text)
-            return {n: rows[n] for n in docs_columns} | {"text": out}
+            return {ROW: rows[ROW], "text": out}
 
         return cut
 
-    docs_columns = docs.columns
-    return _like(docs, map_texts(both, make, _schema(docs)))
+    return _like(docs, map_texts(both, make, both.select(ROW, "text").schema))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     addressed = secrets.content_address(docs)
     found = secrets.findings(addressed, secrets.scan_new(addressed)).where(F.size("found") > 0).groupBy("blob").agg(F.first("found").alias("found"))
     found = stage_table(found.withColumn("h", F.xxhash64("blob")), "secrets")
-    keyed = docs.withColumn("blob", F.sha2(F.coalesce("text", F.lit("")), 256)).withColumn("h", F.xxhash64("blob"))
-    both = left_join_held(keyed, found, ["blob", "h"], "h").select(*docs.columns, "found")
+    blob = F.sha2(F.coalesce("text", F.lit("")), 256)
+    keyed = nested(docs, blob.alias("blob"), F.xxhash64(blob).alias("h"), apart="text")
+    both = left_join_held(keyed, found, ["blob", "h"], "h").select(ROW, "text", "found")
 
     def make():
         def blank(rows: dict) -> dict:
@@ -94,12 +94,11 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
                         at = b
                     text = "".join(parts) + text[at:]
                 out.append(text)
-            return {n: rows[n] for n in docs_columns} | {"text": out}
+            return {ROW: rows[ROW], "text": out}
 
         return blank
 
-    docs_columns = docs.columns
-    return _like(docs, map_texts(both, make, _schema(docs)))
+    return _like(docs, map_texts(both, make, both.select(ROW, "text").schema))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
