@@ -83,6 +83,20 @@ def test_odd_rows(spark, odd_docs, no_docs, as_table, name, stage):
     assert len(rows) == (odd_docs.count() - 2 if name == "near_duplicates" else odd_docs.count())
 
 
+@pytest.mark.parametrize("name,stage", C.STAGES[:-1])
+def test_columns_named_like_helpers_keep_their_values(spark, as_table, name, stage):
+    words = " ".join(f"word{i}" for i in range(60))
+    texts = [words, words, "password = hunter2hunter2", None, "a quiet text"]
+    names = ["fa", "fb", "h", "blob", "found", "spans", "one", "all", "maybe", "row", "_at", "_chunk", "first", "a b"]
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    labels = spark.createDataFrame([(1, 0), (4, 0)], "doc_id long, toxic int")
+    out = stage(spark, docs, as_table(labels, "labels"))
+    assert out.columns == docs.columns
+    got = {r.doc_id: tuple(r)[2:] for r in out.collect()}
+    assert got == {i: r[2:] for i, r in enumerate(rows) if i in got} and len(got) == (4 if name == "near_duplicates" else 5)
+
+
 def test_repeated_passages_of_over_50_words_go(spark):
     """Also those of far fewer than 400 bytes; 50 words stay, and so does a string that repeats in parts only."""
     rng = np.random.default_rng(4)
