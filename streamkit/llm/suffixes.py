@@ -393,6 +393,8 @@ def repeated_words(docs: DataFrame, words: int) -> DataFrame:
     several = stage_table(each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), (F.min(whole) != F.max(whole)).alias("differ")).where("n > 1").select("key", "differ"), "several")
     shared = stage_table(may_hold(each, "key", several).join(several, "key"), "shared")
     kinds = shared.groupBy("key", "ha", "hb").agg(F.count(F.lit(1)).alias("n"), F.max("differ").alias("differ"), F.min(F.struct("row", "begin", "end")).alias("at"))
+    # tables of their own, so that a stretch or window with very many places can be split in the joins
+    kinds = stage_table(kinds.where("n > 1 or differ"), "kinds")
     settled = shared.join(kinds.where("n > 1").select("key", "ha", "hb"), ["key", "ha", "hb"], "left_semi").select("row", "begin", "end")
     todo = kinds.where("differ").select((F.col("n") == 1).alias("single"), "at.*")
     wanted = stage_table(owned.select("row", "fa", "fb").join(todo.groupBy("row").agg(F.collect_list(F.struct("single", "begin", "end")).alias("stretches")), "row"), "open")
@@ -419,6 +421,7 @@ def repeated_words(docs: DataFrame, words: int) -> DataFrame:
     windows = stage_table(map_texts(texts, make, "row long, single boolean, begin long, end long, wa long, wb long"), "open-windows")
     places = F.struct("row", "begin")
     known = windows.groupBy("wa", "wb").agg((F.min(places) != F.max(places)).alias("several")).where("several").select("wa", "wb")
+    known = stage_table(known, "known-windows")
     there = windows.where("single").join(known, ["wa", "wb"], "left_semi").select("row", "begin", "end")
     return settled.unionByName(there).join(owned.select("row", "fa", "fb"), "row").select("fa", "fb", "begin", "end")
 
