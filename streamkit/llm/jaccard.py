@@ -19,11 +19,14 @@ their sizes, so per size band
 Hot groups.  Equal sets collapse to one representative before any pairing.
 Keys that several sets of one batch share are sent as one mark per batch, so a
 key's partition gets a row per batch at most, however many documents share
-it.  Pairs are formed in two rounds: first every member of a key with the
-key's smallest member, which is linear; then, only for keys whose members are
-still in several components, the members of different components, tested by
-size and Hamming distance inside the join.  A pair that is skipped is already
-connected, so components are exact.
+it.  Pairs are formed in three steps: first every member of a key with the
+key's smallest member, which is linear; then, in keys of more than ``CROWD``
+members that are still in several components, every member with one that a hash
+of key and round picks, which is linear too and joins a large group of near
+copies, as each member meets others in each of its keys; then, for keys whose
+members are still in several components, the members of different components,
+tested by size and Hamming distance inside the join.  A pair that is skipped is
+already connected, so components are exact.
 
 Hashes have 64 bits and set identities 128; equal ones are taken as equal.
 Defined results: a document without words has 0 shingles and is linked with
@@ -45,6 +48,8 @@ from streamkit.llm.graph import components
 
 #: Words of the Hamming sketch, ratio of a size band, spare parts.
 SKETCH, BAND, SPARE = 8, 1.6, 1.25
+#: Members of a key beyond which the rounds of picked members come first, and the most of them.
+CROWD, ROUNDS = 16, 2
 _U = np.uint64
 
 
@@ -199,6 +204,24 @@ def near(a: str, b: str, percent: int) -> Column:
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (apart * (100 + percent) <= (100 - percent) * (na + nb))
 
 
+def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` (key, rep, n) with the ``root`` of their component."""
+    return members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("root"))
+
+
+def met(members: DataFrame, info: DataFrame, order: list[Column], percent: int) -> DataFrame:
+    """Pairs (a, b), a the smaller: each member of a key with the key's first by
+    ``order``, of another component if these are known, where a link is possible."""
+    known = [c for c in ("root",) if c in members.columns]
+    ends = members.groupBy("key").agg(F.min(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], "rep", "n", *known)).alias("e"), F.max("rep").alias("z"), F.min("rep").alias("y")).where("y < z")
+    allowed = (F.least("n", "e.n") * 100 >= F.greatest("n", "e.n") * percent) & (F.col("rep") != F.col("e.rep"))
+    for c in known:
+        allowed = allowed & (F.col(c) != F.col(f"e.{c}"))
+    pairs = members.join(ends.select("key", "e"), "key").where(allowed).select(F.least("rep", "e.rep").alias("a"), F.greatest("rep", "e.rep").alias("b")).distinct()
+    return (pairs.join(info.select(F.col("rep").alias("a"), F.struct("n", "sketch").alias("x")), "a")
+            .join(info.select(F.col("rep").alias("b"), F.struct("n", "sketch").alias("y")), "b").where(near("x", "y", percent)).select("a", "b"))
+
+
 def links(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """One row per document: (row, fa, fb, doc_id, n_shingles, component_id,
     first); ``first`` marks the document that stands for its component.
@@ -211,22 +234,28 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     live = stage_table(live_keys(signs).join(member, "row").select("key", "rep", "n").distinct(), "live-keys")
 
     # round 1: each member of a key with the key's smallest
-    ends = live.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("a"), F.max("rep").alias("z")).where("a.rep < z").select("key", F.col("a.rep").alias("a"), F.col("a.n").alias("na"))
-    sized = (F.least("n", "na") * 100 >= F.greatest("n", "na") * percent) & (F.col("rep") != F.col("a"))
     info = signs.select(F.col("row").alias("rep"), "n", "sketch")
-    star = live.join(ends, "key").where(sized).select("a", F.col("rep").alias("b")).distinct()
-    star = (star.join(info.select(F.col("rep").alias("a"), F.struct("n", "sketch").alias("x")), "a")
-            .join(info.select(F.col("rep").alias("b"), F.struct("n", "sketch").alias("y")), "b").where(near("x", "y", percent)).select("a", "b"))
-
-    star = stage_table(star, "star")
-    first = stage_table(verified(star, sets_of(docs, signs, star, k), percent), "links")
-    roots = components(first)
-
-    # round 2: members of a key that are still in several components
-    label = live.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("root"))
-    label = stage_table(label, "labels")
-    open_keys = label.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    rest = label.join(open_keys, "key", "left_semi").join(info.select("rep", "sketch"), "rep")
+    star = stage_table(met(live, info, [F.col("rep")], percent), "star")
+    links = stage_table(verified(star, sets_of(docs, signs, star, k), percent), "links")
+    roots = components(links)
+    label = stage_table(rooted(live, roots), "labels")
+    open_keys = label.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi")
+    open_keys = stage_table(open_keys.select("key", "members"), "open-keys")
+
+    # more rounds for crowded keys: each member with a picked one of another component
+    many = open_keys.where(F.col("members") > CROWD).select("key")
+    crowded = stage_table(may_hold(label.select("key", "rep", "n"), "key", many).join(many, "key", "left_semi"), "crowded")
+    for i in range(0 if crowded.isEmpty() else ROUNDS):
+        tried = met(rooted(crowded, roots), info, [F.xxhash64("key", "rep", F.lit(i)), F.col("rep")], percent)
+        tried = stage_table(tried.join(star, ["a", "b"], "left_anti"), "tried")
+        found = stage_table(verified(tried, sets_of(docs, signs, tried, k), percent), "links")
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        roots = components(links)
+
+    # last: members of a key that are still in several components
+    rest = rooted(label.join(open_keys, "key", "left_semi").drop("root"), roots).join(info.select("rep", "sketch"), "rep")
     pair = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.root") != F.col("y.root")) & near("x", "y", percent)
     # linked sets share as many keys as the band's D + 1 exceeds their own largest difference
     n, m = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
@@ -234,8 +263,8 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     across = (rest.alias("x").join(rest.alias("y"), pair).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), need.alias("need"))
               .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("need").alias("need")).where("shared >= need").select("a", "b"))
     across = stage_table(across.join(star, ["a", "b"], "left_anti"), "across")
-    second = stage_table(verified(across, sets_of(docs, signs, across, k), percent), "links")
-    roots = components(first.unionByName(second)) if not second.isEmpty() else roots
+    found = stage_table(verified(across, sets_of(docs, signs, across, k), percent), "links")
+    roots = components(links.unionByName(found)) if not found.isEmpty() else roots
 
     of_rep = member.select("row", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("row", F.coalesce("root", "rep").alias("root"))
     placed = signs.select("row", "fa", "fb", "doc_id", F.col("n").alias("n_shingles")).join(of_rep, "row", "left").withColumn("root", F.coalesce("root", "row"))

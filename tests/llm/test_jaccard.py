@@ -104,3 +104,26 @@ def test_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     assert got == {x: r for x, r in root.items() if x != r}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_few_pairs_remain_of_a_large_group_of_near_copies(spark, as_table, monkeypatch):
+    """The members that come first are like none of the others, which are alike."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for i in range(400):
+        copy = [f"w{j}" for j in range(300)]
+        for at in rng.choice(300, 10 if i < 20 else 3, replace=False):
+            copy[at] = f"x{i}-{at}"
+        texts.append(" ".join(copy))
+    pairs, stage = {}, J.stage_table
+
+    def counted(df, name):
+        out = stage(df, name)
+        pairs[name] = out.count()
+        return out
+
+    monkeypatch.setattr(J, "stage_table", counted)
+    folder = as_table(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), "documents")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.links(spark.read.parquet(f"{folder}/documents.parquet"), 5, 80).collect()}
+    assert got == dict(enumerate(brute(texts, 5, 80)))
+    assert pairs["across"] < len(texts)
