@@ -7,11 +7,12 @@ Kafka stream) and returns the result DataFrame; the caller picks the sink.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamkit.functions.growth import compound_growth
 from streamkit.functions.text import tokens
+from streamkit.functions.time import interval_micros
 from streamkit.operators.windows import Agg, time_window
 from streamkit.streaming.event_time import processing_time
 
@@ -23,14 +24,50 @@ def _with_time(lines: DataFrame, time_col: str | None) -> tuple[DataFrame, str]:
 
 
 def windowed_word_count(lines: DataFrame, text_col: str = "value", time_col: str | None = None,
-                        size="5 seconds", slide="1 second") -> DataFrame:
+                        size="5 seconds", slide="1 second", word_parts: int | None = None) -> DataFrame:
     """L1: split lines on single whitespace characters, count each word per
-    sliding window.  Output ``word, window_start, window_end, count``."""
+    sliding window.  Output ``word, window_start, window_end, count``.
+
+    On a stream the state has a row for each word of each open window.  Where
+    windows have few lines of many words, ``word_parts`` (streams in append mode)
+    holds the words of an open window in so many rows instead, a word in one of
+    them, and counts them when the window closes."""
     timed, t = _with_time(lines, time_col)
+    if lines.isStreaming and word_parts:
+        return _counted_when_closed(timed.select(F.col(t).alias("ts"), F.col(text_col).alias("_text")), size, slide, word_parts)
     words = timed.select(F.col(t).alias("ts"), F.explode(tokens(F.col(text_col))).alias("word"))
     return time_window(words, "word", "ts", size, [Agg("count", None, "count")], slide=slide)
 
 
+def _counted_when_closed(timed: DataFrame, size, slide, parts: int) -> DataFrame:
+    """The words of a window and part are sorted, and so the equal ones counted."""
+    end = "\n"  # no word has white space
+
+    def part(words: Column, i: Column) -> Column:
+        own = F.filter(words, lambda w: F.pmod(F.hash(w), F.lit(parts)) == i)
+        return F.struct(i.alias("part"), F.concat(F.array_join(own, end), F.when(F.size(own) > 0, end).otherwise("")).alias("words"))
+
+    dealt = _let(tokens(F.col("_text")), lambda words: F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: part(words, i)))
+    dealt = timed.select("ts", F.explode(dealt).alias("_p")).where(F.length("_p.words") > 0)
+    window = F.window("ts", f"{interval_micros(size)} microseconds", f"{interval_micros(slide)} microseconds")
+    held = dealt.groupBy(window.alias("_w"), F.col("_p.part").alias("_part")).agg(F.collect_list("_p.words").alias("_words"))
+
+    def counts(words: Column) -> Column:
+        n = F.size(words)
+        first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (words[i] != words[i - 1]))
+        return _let(first, lambda at: F.transform(at, lambda a, k: F.struct(words[a].alias("word"), (F.coalesce(F.get(at, k + 1), n) - a).cast("long").alias("count"))))
+
+    words = F.split(F.array_join("_words", ""), end)
+    words = F.sort_array(_let(words, lambda w: F.slice(w, 1, F.size(w) - 1)))
+    each = held.select("_w", F.explode(_let(words, counts)).alias("_c"))
+    return each.select(F.col("_c.word").alias("word"), F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), F.col("_c.count").alias("count"))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def concat_windows(lines: DataFrame, text_col: str = "value", time_col: str | None = None,
                     order: tuple[str, ...] = (), size="5 seconds", slide="1 second") -> DataFrame:
     """L2: pair each string with its length; one global sliding window

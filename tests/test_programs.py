@@ -1,8 +1,13 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 
 from streamkit.functions import random_int
 from streamkit.plans.programs import concat_windows, growth_table, windowed_word_count
+from streamkit.plans.streams import drain_ordered
+from streamkit.sources.ordered import time_ordered_stream
+from streamkit.streaming.event_time import assign_event_time
 from streamkit.streaming import line_stream, replay_lines, run_available
 
 
@@ -44,3 +49,15 @@ def test_growth_table_and_random(spark):
     assert row.total == 173182.86507551113 and row.per_period == 4810.63514098642
     vals = [r.v for r in spark.range(200).select(random_int(10, seed=3).alias("v")).collect()]
     assert min(vals) >= 0 and max(vals) <= 9 and len(set(vals)) > 5
+
+
+def test_words_of_a_window_share_few_state_rows(spark, tmp_path):
+    lines = [(1, "a b a"), (1, ""), (2, " b  c\t"), (2, None), (3, "é A a"), (4, "   "), (7, " ".join(f"w{i % 300}" for i in range(400)))]
+    table = spark.createDataFrame(lines, "ts long, value string").withColumn("ts", F.timestamp_seconds("ts")).coalesce(1)
+    want = {tuple(r) for r in windowed_word_count(table, time_col="ts").collect()}
+    progress = []
+    ordered = time_ordered_stream(table, "ts", str(tmp_path / "parts"))
+    out = windowed_word_count(assign_event_time(ordered, "ts", "5 seconds"), time_col="ts", word_parts=3)
+    assert {tuple(r) for r in drain_ordered(out, "few_state_rows", progress).collect()} == want
+    windows = len({r[1] for r in want}) + 5  # and those of the closing row
+    assert max(op.numRowsTotal for p in progress for op in p.stateOperators) <= 3 * windows < len(want)
