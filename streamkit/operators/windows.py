@@ -200,10 +200,20 @@ def _bucketed(df: DataFrame, size_us: int, slide_us: int, aggs: Sequence[Agg]) -
 
 def _bucket_windows(at: DataFrame, keys: list[str], size_us: int, slide_us: int, aggs: Sequence[Agg]) -> DataFrame:
     """(keys, _k, aggregates) of sliding windows, by one aggregation of (keys,
-    bucket): column i of an aggregate is that of the bucket's window i, and
-    ``_in`` has the bits of the windows that hold a row."""
+    bucket)."""
+    return _held_windows(_in_windows(at, size_us, slide_us), keys, aggs)
+
+
+def _in_windows(at: DataFrame, size_us: int, slide_us: int) -> DataFrame:
+    """The rows that are in windows, with the first and the last."""
     first, last = _floor(F.col("_at") - size_us, slide_us) + 1, _floor(F.col("_at"), slide_us)
-    rows = at.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
+    return at.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
+
+
+def _held_windows(rows: DataFrame, keys: list[str], aggs: Sequence[Agg]) -> DataFrame:
+    """(keys, _k, aggregates) of the windows ``_first`` to ``_last`` of rows: column
+    i of an aggregate is that of the bucket's window i, and ``_in`` has the bits of
+    the windows that hold a row."""
     lo, hi = _floor(F.col("_first"), BUCKET), _floor(F.col("_last"), BUCKET)
     rows = rows.withColumn("_b", F.explode(F.sequence(lo, hi)))
     own = F.col("_b") * BUCKET
@@ -222,6 +232,41 @@ def _bucket_windows(at: DataFrame, keys: list[str], size_us: int, slide_us: int,
     return each.select(*keys, F.col("_w._k").alias("_k"), *[a.finish(F.col("_w")[a.name]).alias(a.name) for a in aggs])
 
 
+#: Consecutive sliding windows whose rows ``element_windows`` keeps together, a multiple of BUCKET.
+SPAN = 64
+#: Bytes of values in one of its tasks on average, and in a span at most.
+TASK, HOT = 4 << 20, 8 << 20
+
+
+def element_windows(df: DataFrame, values: str, elements: Column, name: str, time_col: str, size, slide, aggs: Sequence[Agg]) -> DataFrame:
+    """Sliding windows keyed by the ``elements`` (an array made of the string
+    column ``values``), named ``name``, of a batch table: as ``time_window`` of the
+    exploded rows, but what moves are the values, before they are taken apart.
+
+    The rows of ``SPAN`` consecutive windows meet in one task, as many tasks as the
+    values' bytes ask for, so that its aggregation fits memory whatever the table's
+    size.  Spans of more than ``HOT`` bytes are aggregated by element instead."""
+    size_us, slide_us = interval_micros(size), interval_micros(slide)
+    exploded = lambda rows: rows.withColumn(name, F.explode(elements))
+    if df.isStreaming or slide_us >= size_us or not _bucketed(df, size_us, slide_us, aggs):
+        return time_window(exploded(df), name, time_col, size, aggs, slide=slide)
+    ntz = isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
+    at = df.where(F.col(time_col).isNotNull()).withColumn("_at", _micros(df, time_col))
+    rows = _in_windows(at, size_us, slide_us)
+    rows = rows.withColumn("_c", F.explode(F.sequence(_floor(F.col("_first"), SPAN), _floor(F.col("_last"), SPAN))))
+    own = F.col("_c") * SPAN
+    rows = rows.withColumn("_first", F.greatest("_first", own)).withColumn("_last", F.least(F.col("_last"), own + (SPAN - 1)))
+    bytes_of = rows.groupBy("_c").agg(F.sum(F.octet_length(values)).alias("n"))
+    total, hot = bytes_of.agg(F.sum("n"), F.collect_list(F.when(F.col("n") > HOT, F.col("_c")))).first()
+    calm = rows.where(~F.col("_c").isin(hot)) if hot else rows
+    calm = calm.repartition(-(-(total or 1) // TASK), "_c").sortWithinPartitions("_c", "_first")
+    out = _held_windows(exploded(calm), ["_c", name], aggs).drop("_c")
+    if hot:
+        out = out.unionByName(_held_windows(exploded(rows.where(F.col("_c").isin(hot))), [name], aggs))
+    out = _times(out, ntz, window_start=F.col("_k") * slide_us, window_end=F.col("_k") * slide_us + size_us)
+    return out.select(name, "window_start", "window_end", *[a.name for a in aggs])
+
+
 def _floor(micros: Column, unit: int) -> Column:
     """Floor division of a long, exact also for negative values."""
     return ((micros - F.pmod(micros, F.lit(unit).cast("long"))) / unit).cast("long")

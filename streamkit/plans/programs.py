@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from streamkit.functions.growth import compound_growth
 from streamkit.functions.text import tokens
 from streamkit.functions.time import interval_micros
-from streamkit.operators.windows import Agg, time_window
+from streamkit.operators.windows import Agg, element_windows, time_window
 from streamkit.streaming.event_time import processing_time
 
 
@@ -35,8 +35,8 @@ def windowed_word_count(lines: DataFrame, text_col: str = "value", time_col: str
     timed, t = _with_time(lines, time_col)
     if lines.isStreaming and word_parts:
         return _counted_when_closed(timed.select(F.col(t).alias("ts"), F.col(text_col).alias("_text")), size, slide, word_parts)
-    words = timed.select(F.col(t).alias("ts"), F.explode(tokens(F.col(text_col))).alias("word"))
-    return time_window(words, "word", "ts", size, [Agg("count", None, "count")], slide=slide)
+    lines = timed.select(F.col(t).alias("ts"), F.col(text_col).alias("_text"))
+    return element_windows(lines, "_text", tokens(F.col("_text")), "word", "ts", size, slide, [Agg("count", None, "count")])
 
 
 def _counted_when_closed(timed: DataFrame, size, slide, parts: int) -> DataFrame:

@@ -6,7 +6,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from streamkit.operators import Agg, count_window, session_window, time_window
+from streamkit.operators import Agg, count_window, session_window, time_window, windows
+from streamkit.plans.programs import windowed_word_count
 
 T0 = dt.datetime(1970, 1, 1)
 
@@ -160,6 +161,27 @@ def test_sliding_windows_take_one_shuffle(spark):
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
 
 
+def test_windows_of_elements_move_values_whole(spark, monkeypatch):
+    """The words of a span are counted where its lines meet: no word is moved,
+    and spans of many bytes, counted by word, give the same rows."""
+    rng = random.Random(2)
+    lines = [(_ms(rng.randrange(-90_000, 200_000)), " ".join(f"w{int(rng.expovariate(0.1))}" for _ in range(rng.randrange(12)))) for _ in range(300)]
+    lines += [(_ms(3_000), "a b a " * 40)] * 2 + [(_ms(64_000), ""), (_ms(5), None), (None, "lost"), (_ms(-1), "  a")]
+    df = spark.createDataFrame(lines, "ts timestamp_ntz, value string")
+    aggs = [Agg("count", None, "n"), Agg("max", F.length("value"), "m")]
+    for size, slide in (("5 seconds", "1 second"), ("7 seconds", "3 seconds"), ("4 seconds", "4 seconds"), ("40 seconds", "1 second")):
+        want = time_window(df.withColumn("word", F.explode(F.split("value", " "))), "word", "ts", size, aggs, slide=slide)
+        want = sorted(map(str, want.collect()))
+        out = lambda: windows.element_windows(df, "value", F.split("value", " "), "word", "ts", size, slide, aggs)  # noqa: B023, E731
+        assert sorted(map(str, out().collect())) == want and want
+        with monkeypatch.context() as m:
+            m.setattr(windows, "TASK", 300)
+            m.setattr(windows, "HOT", 1_200)
+            assert sorted(map(str, out().collect())) == want
+    counted = windowed_word_count(df, time_col="ts")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(word" not in counted and counted.count("Exchange") == 1
+
+
 def test_time_windows_without_limits(spark):
     """Thousands of windows per row, gaps between windows, times before 1970,
     rows without a time."""
