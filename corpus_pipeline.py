@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamkit.llm import jaccard, packing, secrets, suffixes, toxicity
-from streamkit.llm.common import ROW, fingerprint, left_join_held, map_texts, nested, read_table, stage_table, unnested
+from streamkit.llm.common import ROW, fingerprint, left_join_held, map_texts, nested, read_table, stage_table, staged_result, unnested
 
 
 #: Words of the shortest passage that may not repeat.
@@ -42,12 +42,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.accepted(docs, read_table(spark, sf_dir, "labels"))
 
 
-def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@staged_result("goes")
+def _linked_rows(docs: DataFrame) -> DataFrame:
     linked = stage_table(jaccard.links(docs, k=5, percent=80).select("fa", "fb", "first"), "linked")
     # a row stored twice is in one group with itself: of such rows one may stay
-    goes = linked.groupBy("fa", "fb").agg(F.max("first").alias("one"), F.min("first").alias("all")).where("not all").select("fa", "fb", "one")
+    return linked.groupBy("fa", "fb").agg(F.max("first").alias("one"), F.min("first").alias("all")).where("not all").select("fa", "fb", "one")
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = nested(docs, *fingerprint("doc_id", F.coalesce("text", F.lit(""))))
-    both = left_join_held(keyed, stage_table(goes, "goes"), ["fa", "fb"], "fa")
+    both = left_join_held(keyed, _linked_rows(docs), ["fa", "fb"], "fa")
     twice = both.where("one").dropDuplicates(["fa", "fb"])
     return unnested(both.where("one is null").unionByName(twice), docs.columns)
 

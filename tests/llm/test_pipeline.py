@@ -1,13 +1,16 @@
 import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 import public_tokenizers as P
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
-from streamkit.llm import packing, toxicity
-from streamkit.llm.common import stage_table
+from streamkit.llm import packing, suffixes, toxicity
+from streamkit.llm.common import SHUFFLE_CLEANUP, shared_dir, stage_table
 from tests.llm.test_jaccard import brute as linked
 from tests.llm.test_secrets import brute as secrets_of
 from tests.llm.test_suffixes import S
@@ -137,3 +140,28 @@ def test_repeated_words_equal_brute_force(spark, seed):
     got = sorted((r.doc_id, r.text or "") for r in C.repeated_bytes_stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), SF).collect())
     want = sorted(zip((i for i, _ in rows), without_repeats([t or "" for _, t in rows])))
     assert got == want and got != sorted((i, t or "") for i, t in rows)
+
+
+def test_stage_tables_leave_no_shuffle_files(spark):
+    numbers = spark.range(20_000).select((F.col("id") % 5_000).alias("k"), F.rand(1).alias("x"))
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {f for d in local for f in Path(str(d)).rglob("shuffle_*")}
+    before = files()
+    held = stage_table(numbers.groupBy("k").agg(F.sum("x").alias("s")).join(numbers.withColumnRenamed("x", "y"), "k"), "joined")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and held.count() == 20_000
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_tables_on_the_way_to_a_result_go(spark):
+    texts = [f"{'x' * 500} w{i % 3} " + " ".join(f"v{(i * j) % 40}" for j in range(60)) for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    top = Path(shared_dir(spark).removeprefix("file:")) / "streamkit-llm" / spark.sparkContext.applicationId
+    before = set(top.glob("*"))
+    found = suffixes.repeated_passages(docs, C.PASSAGE)
+    assert [p.name.split("-")[0] for p in set(top.glob("*")) - before] == ["spans"] and found.count() == 6
+    before = set(top.glob("*"))
+    C.near_duplicates_stage(spark, docs, SF)
+    assert [p.name.split("-")[0] for p in set(top.glob("*")) - before] == ["goes"]
