@@ -10,7 +10,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as C
 from streamkit.llm import packing, suffixes, toxicity
-from streamkit.llm.common import SHUFFLE_CLEANUP, shared_dir, stage_table
+from streamkit.llm import common
+from streamkit.llm.common import SHUFFLE_CLEANUP, map_texts, shared_dir, stage_table
 from tests.llm.test_jaccard import brute as linked
 from tests.llm.test_secrets import brute as secrets_of
 from tests.llm.test_suffixes import S
@@ -165,3 +166,32 @@ def test_tables_on_the_way_to_a_result_go(spark):
     before = set(top.glob("*"))
     C.near_duplicates_stage(spark, docs, SF)
     assert [p.name.split("-")[0] for p in set(top.glob("*")) - before] == ["goes"]
+
+
+def test_workers_get_texts_in_bounded_batches(spark):
+    texts = spark.range(0, 9_000, 1, 1).select("id", F.repeat(F.lit("x"), 2_000).alias("text"))
+
+    def make():
+        return lambda rows: {"n": [sum(map(len, rows["text"]))]}
+
+    sizes = [r.n for r in map_texts(texts, make, "n long").collect()]
+    assert sum(sizes) == 18_000_000 and max(sizes) <= 5 << 20
+    assert int(spark.conf.get(common.BATCH_BYTES).rstrip("b")) <= common.BATCH
+
+
+def test_a_bound_of_the_session_stays(spark):
+    own = spark.newSession()
+    own.conf.set(common.BATCH_BYTES, "1000000")
+    common.bound_batches(own)
+    assert own.conf.get(common.BATCH_BYTES).rstrip("b") == "1000000"
+
+
+def test_a_worker_drops_models_that_its_task_does_not_load():
+    loads = []
+    model = common.task_model(lambda name: loads.append(name) or name)
+    for _ in range(2):
+        common._made(lambda: model("a"))
+    assert loads == ["a"]
+    common._made(lambda: None)
+    common._made(lambda: model("a"))
+    assert loads == ["a", "a"]

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -96,3 +97,16 @@ def test_two_stage_order():
         for a, b, n in zip(kept, kept[1:], common.tolist()):
             x, y = data[a:a + 50], data[b:b + 50]
             assert n == next((i for i in range(50) if x[i] != y[i]), 50)
+
+
+def test_a_block_takes_a_bounded_multiple_of_its_bytes():
+    rng = np.random.default_rng(4)
+    letters = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes()
+    shared = [letters(450) for _ in range(300)]
+    stretches = [shared[rng.integers(300)] + letters(int(rng.integers(0, 250))) for _ in range(900)]
+    S.repeated_windows(stretches[:50])
+    tracemalloc.start()
+    found = S.repeated_windows(stretches)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(x.any() for x in found) > 500 and peak < 36 * sum(map(len, stretches))
