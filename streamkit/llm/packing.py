@@ -19,22 +19,26 @@ an empty result; further columns play no part.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamkit.llm.common import id_type, map_texts, read_table, stage_table, text_rows, tokenizer_path
+from streamkit.llm.common import id_type, map_texts, read_table, stage_table, task_model, text_rows, tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
 #: Tokens in a sequence, the id that ends a document, pieces in a shard.
 CAPACITY, SEPARATOR, SHARD = 4096, 1, 40_000
-#: Words kept per task, and the longest that is kept.
-KEPT, KEPT_CHARS = 1_000_000, 48
+#: Runs without white space kept per worker, and the longest that is kept.
+KEPT, KEPT_CHARS = 300_000, 48
+#: Bytes of texts that are split together.
+SPLIT = 1 << 20
+#: White space for str.split(), but part of a word for the tokenizer's pattern.
+SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def settled_characters() -> str:
@@ -53,8 +57,9 @@ def settled_characters() -> str:
 
 
 class WordTokenizer:
-    """Ids of a word-level BPE tokenizer whose words are encoded apart:
-    distinct words are encoded by the library and kept.  Texts that hold one
+    """Ids of a word-level BPE tokenizer whose words are encoded apart: no word
+    holds white space, so the ids of each run between it are kept, and only new
+    runs are split into words and encoded by the library.  Texts that hold one
     of its special strings, or a character that is new to some version of
     Unicode, go through the library whole."""
 
@@ -70,7 +75,7 @@ class WordTokenizer:
         if steps != ["NFC", "Replace", "Lowercase"]:
             raise ValueError(f"a normaliser of {steps} is not known here")
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
-        self.new_character = regex.compile(f"[^{settled_characters()}]").search
+        self.new_character = re.compile(f"[^{settled_characters()}]").search
         self.special = [x["content"] for x in spec["added_tokens"]]
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -81,36 +86,56 @@ class WordTokenizer:
         vocab = spec["model"]["vocab"]
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith(close)]] = True
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {}  # runs met in two calls
+        self.once: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.special) or not text.isascii() and self.new_character(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.kept) > KEPT:
-            self.kept.clear()
-        if not text.isascii():
-            # the library lower-cases each character by itself; str.lower() looks around a capital sigma
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        kept, words = self.kept, self.split(text.lower())
-        if new := [w for w in dict.fromkeys(words) if w not in kept]:
-            # each word ends with its one id that closes a word
-            ids = np.array(self.words.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) * 4 + 4
-            if len(ends) != len(new):
-                raise ValueError("the tokenizer does not split these words as its pattern does")
-            packed, at = ids.tobytes(), 0
-            for w, end in zip(new, ends.tolist()):
-                kept[w] = packed[at:end]
-                at = end
-        out = b"".join([kept[w] for w in words])
-        for w in new:
-            if len(w) > KEPT_CHARS:
-                kept.pop(w, None)
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; one call of the library encodes the new runs of all."""
+        whole, runs = {}, []
+        for i, text in enumerate(texts):
+            if any(s in text for s in self.special) or not text.isascii() and self.new_character(text):
+                whole[i], text = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), ""
+            if not text.isascii():
+                # the library lower-cases each character by itself; str.lower() looks around a capital sigma
+                text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            text = text.lower()
+            runs.append(self.split(text) if SEPARATORS.search(text) else text.split())
+        kept, once = self.kept, self.once
+        for held in (kept, once):
+            if len(held) > KEPT // 2:
+                held.clear()
+        new = set().union(*runs).difference(kept)
+        met = new.intersection(once)
+        kept.update((x, once.pop(x)) for x in met)
+        new = list(new - met)
+        if new:
+            kept.update(zip(new, self.encoded(new)))
+        out = [whole[i] if i in whole else b"".join([kept[x] for x in each]) for i, each in enumerate(runs)]
+        for x in new:
+            ids = kept.pop(x)
+            if len(x) <= KEPT_CHARS:
+                once[x] = ids
         return out
 
-
-@lru_cache(maxsize=2)
+    def encoded(self, runs: list[str]) -> list[bytes]:
+        """The ids of each run; its words are all of it."""
+        words = self.split(" ".join(runs))
+        # each word ends with its one id that closes a word
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        upto, length = (np.cumsum(np.fromiter(map(len, x), np.int64, len(x))) for x in (words, runs))
+        last = np.searchsorted(upto, length)
+        if len(ends) != len(words) or not np.array_equal(upto[last], length):
+            raise ValueError("the tokenizer does not split these words as its pattern does")
+        packed, edges = ids.tobytes(), [0, *(4 * ends[last]).tolist()]
+        return [packed[a:b] for a, b in zip(edges, edges[1:])]
+
+
+@task_model
 def tokenizer(name: str) -> WordTokenizer:
     import os
 
@@ -124,12 +149,12 @@ def pieces(docs: DataFrame, name: str = TOKENIZER, capacity: int = CAPACITY, sep
     rows = text_rows(docs, id_col, text_col).withColumn("doc_row", F.monotonically_increasing_id())
 
     def make():
-        one, end = tokenizer(name).ids, np.array([separator], "<u4").tobytes()
+        ids_of, end = tokenizer(name).ids_of, np.array([separator], "<u4").tobytes()
 
         def cut(rows: dict) -> dict:
             out: dict[str, list] = {x: [] for x in ("doc_row", "doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-            for row, doc, text in zip(rows["doc_row"], rows["doc_id"], rows["text"]):
-                ids = one(text) + end
+            for row, doc, ids in zip(rows["doc_row"], rows["doc_id"], ids_of(rows["text"])):
+                ids += end
                 for i, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for x, v in zip(out, (row, doc, i, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None)):
@@ -138,7 +163,7 @@ def pieces(docs: DataFrame, name: str = TOKENIZER, capacity: int = CAPACITY, sep
 
         return cut
 
-    return map_texts(rows, make, f"doc_row long, doc_id {id_type(rows)}, piece int, start long, length long, ids_crc32 long, ids binary")
+    return map_texts(rows, make, f"doc_row long, doc_id {id_type(rows)}, piece int, start long, length long, ids_crc32 long, ids binary", SPLIT)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -123,6 +123,30 @@ def test_word_tokenizer(text):
     assert packing.tokenizer(packing.TOKENIZER).ids(text) == packed(word.encode(text, add_special_tokens=False).ids)
 
 
+def test_only_new_runs_are_split_into_words():
+    word, asked = packing.WordTokenizer(P.path(packing.TOKENIZER)), []
+    plain = word.split
+    word.split = lambda text: asked.append(text) or plain(text)
+    text = "Some words, it's said; some more"
+    first = [word.ids(text) for _ in range(2)]
+    asked.clear()
+    assert [word.ids(text), word.ids(text)] == first and not asked
+    assert word.ids(text + " here") == packed(word.library.encode(text + " here", add_special_tokens=False).ids) and asked == ["here"]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(TEXT, max_size=6))
+def test_texts_encoded_together(texts):
+    """Also when kept runs go all the time."""
+    word = getattr(test_texts_encoded_together, "w", None) or packing.WordTokenizer(P.path(packing.TOKENIZER))
+    test_texts_encoded_together.w = word
+    kept, packing.KEPT = packing.KEPT, 8
+    try:
+        assert word.ids_of(texts) == [packed(word.library.encode(t, add_special_tokens=False).ids) for t in texts]
+    finally:
+        packing.KEPT = kept
+
+
 def check_packing(rows, docs, word):
     left = sorted((i is None, i or 0, packed([*word.encode(t or "", add_special_tokens=False).ids, 1])) for i, t in docs)
     got, bins = {}, {}
