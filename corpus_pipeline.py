@@ -19,17 +19,30 @@ struct beside its helper columns.  A null text stays null unless bytes of it go.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamkit.llm import jaccard, packing, secrets, suffixes, toxicity
-from streamkit.llm.common import ROW, fingerprint, left_join_held, map_texts, nested, read_table, stage_table, staged_result, unnested
+from streamkit.llm.common import ROW, fingerprint, left_join_held, map_texts, nested, read_table, release_heap, stage_table, staged_result, unnested
 
 
 #: Words of the shortest passage that may not repeat.
 PASSAGE = 51
 
 
+def _fresh(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, begun with executors that gave back what the one before left."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_heap(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def _like(docs: DataFrame, out: DataFrame) -> DataFrame:
     """The columns of ``docs`` from (ROW, text), with ``n_chars`` of the present text."""
     out = unnested(out, docs.columns, "text")
@@ -38,6 +51,7 @@ def _like(docs: DataFrame, out: DataFrame) -> DataFrame:
     return out
 
 
+@_fresh
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.accepted(docs, read_table(spark, sf_dir, "labels"))
 
@@ -49,6 +63,7 @@ def _linked_rows(docs: DataFrame) -> DataFrame:
     return linked.groupBy("fa", "fb").agg(F.max("first").alias("one"), F.min("first").alias("all")).where("not all").select("fa", "fb", "one")
 
 
+@_fresh
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = nested(docs, *fingerprint("doc_id", F.coalesce("text", F.lit(""))))
     both = left_join_held(keyed, _linked_rows(docs), ["fa", "fb"], "fa")
@@ -56,6 +71,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return unnested(both.where("one is null").unionByName(twice), docs.columns)
 
 
+@_fresh
 def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     keyed = nested(docs, *fingerprint("doc_id", text), apart="text")
@@ -79,6 +95,7 @@ def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return _like(docs, map_texts(both, make, both.select(ROW, "text").schema))
 
 
+@_fresh
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     addressed = secrets.content_address(docs)
     found = secrets.findings(addressed, secrets.scan_new(addressed)).where(F.size("found") > 0).groupBy("blob").agg(F.first("found").alias("found"))
@@ -105,6 +122,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _like(docs, map_texts(both, make, both.select(ROW, "text").schema))
 
 
+@_fresh
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs)
 

@@ -1,3 +1,4 @@
+import gc
 import re
 import time
 from pathlib import Path
@@ -195,3 +196,23 @@ def test_a_worker_drops_models_that_its_task_does_not_load():
     common._made(lambda: None)
     common._made(lambda: model("a"))
     assert loads == ["a", "a"]
+
+
+def test_unused_heap_is_given_back(spark):
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    held = spark._jvm.java.nio.ByteBuffer.allocate(runtime.maxMemory() // 4)
+    grown = runtime.totalMemory()
+    del held
+    gc.collect()
+    common.release_heap(spark)
+    assert runtime.totalMemory() < grown
+
+
+@pytest.mark.parametrize("name,stage", C.STAGES)
+def test_a_stage_begins_with_the_heap_given_back(spark, no_docs, monkeypatch, name, stage):
+    def released(session):
+        raise InterruptedError(session)
+
+    monkeypatch.setattr(C, "release_heap", released)
+    with pytest.raises(InterruptedError):
+        stage(spark, no_docs, SF)
