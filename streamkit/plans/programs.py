@@ -7,6 +7,8 @@ Kafka stream) and returns the result DataFrame; the caller picks the sink.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from streamkit.functions.growth import compound_growth
 from streamkit.functions.text import tokens
 from streamkit.functions.time import interval_micros
 from streamkit.operators.windows import Agg, element_windows, time_window
+from streamkit.session import ship_package
 from streamkit.streaming.event_time import processing_time
 
 
@@ -24,43 +27,108 @@ def _with_time(lines: DataFrame, time_col: str | None) -> tuple[DataFrame, str]:
 
 
 def windowed_word_count(lines: DataFrame, text_col: str = "value", time_col: str | None = None,
-                        size="5 seconds", slide="1 second", word_parts: int | None = None) -> DataFrame:
+                        size="5 seconds", slide="1 second", word_parts: int | None = None, span: int = 1) -> DataFrame:
     """L1: split lines on single whitespace characters, count each word per
     sliding window.  Output ``word, window_start, window_end, count``.
 
     On a stream the state has a row for each word of each open window.  Where
     windows have few lines of many words, ``word_parts`` (streams in append mode)
     holds the words of an open window in so many rows instead, a word in one of
-    them, and counts them when the window closes."""
+    them, and counts them when the window closes.  ``span`` consecutive windows
+    share these rows, so that a line is held about once and not in each of its
+    windows; they close with the last of them, which is when a line is late."""
     timed, t = _with_time(lines, time_col)
     if lines.isStreaming and word_parts:
-        return _counted_when_closed(timed.select(F.col(t).alias("ts"), F.col(text_col).alias("_text")), size, slide, word_parts)
+        return _counted_when_closed(timed.select(F.col(t).alias("ts"), F.col(text_col).alias("_text")), size, slide, word_parts, span)
     lines = timed.select(F.col(t).alias("ts"), F.col(text_col).alias("_text"))
     return element_windows(lines, "_text", tokens(F.col("_text")), "word", "ts", size, slide, [Agg("count", None, "count")])
 
 
-def _counted_when_closed(timed: DataFrame, size, slide, parts: int) -> DataFrame:
-    """The words of a window and part are sorted, and so the equal ones counted."""
-    end = "\n"  # no word has white space
+#: What ends a word where words are held as one string: no word has white space.
+_END = "\n"
+#: Counted words handed to Spark at a time.
+_ROWS = 1 << 16
+
+
+def _counted_when_closed(timed: DataFrame, size, slide, parts: int, span: int) -> DataFrame:
+    """The lines of ``span`` windows meet in a state row for each part; when it is
+    closed, its words are counted by window."""
+    size_us, slide_us = interval_micros(size), interval_micros(slide)
+    ship_package(timed.sparkSession)
 
     def part(words: Column, i: Column) -> Column:
         own = F.filter(words, lambda w: F.pmod(F.hash(w), F.lit(parts)) == i)
-        return F.struct(i.alias("part"), F.concat(F.array_join(own, end), F.when(F.size(own) > 0, end).otherwise("")).alias("words"))
+        return F.struct(i.alias("part"), F.when(F.size(own) > 0, F.array_join(own, _END)).alias("words"))
 
     dealt = _let(tokens(F.col("_text")), lambda words: F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: part(words, i)))
-    dealt = timed.select("ts", F.explode(dealt).alias("_p")).where(F.length("_p.words") > 0)
-    window = F.window("ts", f"{interval_micros(size)} microseconds", f"{interval_micros(slide)} microseconds")
-    held = dealt.groupBy(window.alias("_w"), F.col("_p.part").alias("_part")).agg(F.collect_list("_p.words").alias("_words"))
-
-    def counts(words: Column) -> Column:
-        n = F.size(words)
-        first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (words[i] != words[i - 1]))
-        return _let(first, lambda at: F.transform(at, lambda a, k: F.struct(words[a].alias("word"), (F.coalesce(F.get(at, k + 1), n) - a).cast("long").alias("count"))))
-
-    words = F.split(F.array_join("_words", ""), end)
-    words = F.sort_array(_let(words, lambda w: F.slice(w, 1, F.size(w) - 1)))
-    each = held.select("_w", F.explode(_let(words, counts)).alias("_c"))
-    return each.select(F.col("_c.word").alias("word"), F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), F.col("_c.count").alias("count"))
+    dealt = timed.select("ts", F.explode(dealt).alias("_p")).where(F.col("_p.words").isNotNull())
+    whole = F.window("ts", f"{size_us + (span - 1) * slide_us} microseconds", f"{span * slide_us} microseconds")
+    line = F.struct(F.unix_micros("ts").alias("at"), F.col("_p.words").alias("words"))
+    held = dealt.groupBy(whole.alias("_w"), F.col("_p.part").alias("_part")).agg(F.collect_list(line).alias("_lines"))
+    first = F.expr(f"unix_micros(_w.start) div {slide_us}")
+    each = held.select(first.alias("_k"), "_part", F.explode("_lines").alias("_l")).select("_k", "_part", "_l.at", "_l.words")
+
+    def counted(batches: Iterator) -> Iterator:
+        return count_words(batches, size_us, slide_us, span)
+
+    out = each.mapInArrow(counted, "word string, _k long, count long")
+    start = F.col("_k") * slide_us
+    return out.select("word", F.timestamp_micros(start).alias("window_start"), F.timestamp_micros(start + size_us).alias("window_end"), "count")
+
+
+def count_words(batches: Iterator, size_us: int, slide_us: int, span: int) -> Iterator:
+    """(word, window, count) of lines (first window of their span, part, time, words);
+    the lines of a span and part follow one another."""
+    import numpy as np  # noqa: PLC0415
+
+    held, own = [], None
+    for batch in batches:
+        keys = [batch.column(i).to_numpy() for i in (0, 1)]
+        changes = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
+        cuts = [0, *changes.tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if own != (key := (int(keys[0][a]), int(keys[1][a]))):
+                yield from _of_span(held, own, size_us, slide_us, span)
+                held, own = [], key
+            held.append(batch.slice(a, b - a))
+    yield from _of_span(held, own, size_us, slide_us, span)
+
+
+def _of_span(lines: list, own: tuple[int, int] | None, size_us: int, slide_us: int, span: int) -> Iterator:
+    import numpy as np  # noqa: PLC0415
+    import pyarrow as pa  # noqa: PLC0415
+    import pyarrow.compute as pc  # noqa: PLC0415
+
+    if own is None:
+        return
+    at = np.concatenate([x.column(2).to_numpy() for x in lines])
+    order = np.argsort(at, kind="stable")
+    words = pc.split_pattern(pa.concat_arrays([x.column(3) for x in lines]).take(pa.array(order)), _END)
+    offsets, coded = words.offsets.to_numpy(), words.values.dictionary_encode()
+    codes = coded.indices.to_numpy()
+    at = at[order]
+    first, last = (at - size_us) // slide_us + 1, at // slide_us
+
+    def rows(found: list) -> pa.RecordBatch:
+        k, code, n = (np.concatenate(x) for x in zip(*found))
+        return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(code)), pa.array(k), pa.array(n)], names=["word", "_k", "count"])
+
+    found, size = [], 0
+    for k in range(own[0], own[0] + span):
+        a, b = np.searchsorted(last, k, "left"), np.searchsorted(first, k, "right")  # the lines that the window holds
+        n = np.bincount(codes[offsets[a]:offsets[max(a, b)]])
+        code = np.flatnonzero(n)
+        for i in range(0, len(code), _ROWS):
+            some = code[i:i + _ROWS]
+            found.append((np.full(len(some), k, dtype=np.int64), some, n[some].astype(np.int64)))
+            size += len(some)
+            if size >= _ROWS:
+                yield rows(found)
+                found, size = [], 0
+    if found:
+        yield rows(found)
 
 
 def _let(value: Column, body) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from streamkit.operators import Agg, time_window
 from streamkit.plans.streams import drain_ordered, stream_session
 from streamkit.session import checkpoint_dir
+from streamkit.sources import ordered
 from streamkit.sources.ordered import END_SECONDS, time_ordered_stream
 from streamkit.streaming import assign_event_time
 from streamkit.streaming.replay import with_instants
@@ -101,3 +102,17 @@ def test_numbers_as_time(spark):
     assert drain_ordered(few, "by_bytes", progress).exceptAll(got).count() == 0
     assert sum(p["numInputRows"] > 0 for p in progress) == own.sparkContext.defaultParallelism  # a part each
     assert got.where(F.col("id") < 100).count() == 100 and got.where(F.col("id") == END_SECONDS).count() == 1
+
+
+def test_micro_batches_are_cut_by_weight(spark, monkeypatch):
+    """Rows of much text and little Parquet: as many micro-batches as the text asks for."""
+    monkeypatch.setattr(ordered, "TASK_WEIGHT", 10_000, raising=False)
+    own = stream_session(spark)
+    tasks = own.sparkContext.defaultParallelism
+    rows = own.range(tasks * 100).withColumn("t", F.when(F.col("id") >= 0, F.repeat(F.lit("x"), 600)))
+    stream = time_ordered_stream(rows, "id", new_folder(own), weight=F.octet_length("t"))
+    progress = []
+    assert drain_ordered(stream, "by_weight", progress).count() == tasks * 100 + 1
+    batches = [p["numInputRows"] for p in progress if p["numInputRows"] > 0]
+    assert len(batches) >= 6 and max(batches) <= 100 * tasks / 5
+    assert own.conf.get(ordered.SHUFFLE_CLEANUP) == "false"
